@@ -54,3 +54,264 @@ sql("channel_engagement", """SELECT hcp_id, hcp_name, territory, specialty, msl_
     webpage_clicks, webinars_attended, congress_sessions_attended, medical_inquiries, channels_used,
     last_msl_date, last_digital_date, last_congress_date, last_inquiry_date, last_any_engagement
     FROM channel_engagement""", ["channel_engagement"])
+
+# ----------------------------------------------------------------------------- S10
+table("extract_incremental", "silver_extracted")
+
+# ----------------------------------------------------------------------------- metric views
+from .. import config as _C  # noqa: E402
+from ..sources.feeds import feed_columns  # noqa: E402
+from .sqlgen import q, rhu  # noqa: E402
+
+
+def _avg10(col: str, unit: int) -> str:
+    return f"CAST({rhu(f'SUM(CAST(round({col} * {unit}) AS BIGINT))', f'{unit} * COUNT({col})', 4)} AS DOUBLE)"
+
+
+_ENG = "CASE WHEN days_since_last_msl <= 90 THEN hcp_id END"
+HCP_MEASURES = f"""COUNT(DISTINCT hcp_id) AS total_hcps,
+    COUNT(DISTINCT {_ENG}) AS hcps_engaged_90d,
+    CAST({rhu(f'COUNT(DISTINCT {_ENG}) * 100', 'COUNT(DISTINCT hcp_id)', 4)} AS DOUBLE) AS hcp_reach_pct,
+    COUNT(DISTINCT CASE WHEN under_engaged_priority THEN hcp_id END) AS under_engaged_priority_hcps,
+    {_avg10('engagement_score', 10)} AS avg_engagement_score,
+    {_avg10('educational_need_score', 10)} AS avg_educational_need_score,
+    CAST({rhu('SUM(influence_score)', 'COUNT(influence_score)', 4)} AS DOUBLE) AS avg_influence_score,
+    CAST(SUM(msl_interactions) AS BIGINT) AS total_msl_interactions,
+    {_avg10('email_open_rate', 1000)} AS avg_email_open_rate,
+    CAST(SUM(follow_ups_requested) AS BIGINT) AS open_follow_ups"""
+sql("metric_hcp_by_territory", f"SELECT territory, {HCP_MEASURES} FROM hcp_360 GROUP BY territory", ["hcp_360"])
+sql("metric_hcp_by_tier", f"SELECT hcp_tier, {HCP_MEASURES} FROM hcp_360 GROUP BY hcp_tier", ["hcp_360"])
+sql("metric_hcp_global", f"SELECT {HCP_MEASURES} FROM hcp_360", ["hcp_360"])
+
+_SLA = rhu("100 * COUNT(CASE WHEN sla_met THEN 1 END)", "COUNT(CASE WHEN response_status = 'Closed' THEN 1 END)", 4)
+INQ_MEASURES = f"""COUNT(*) AS total_inquiries,
+    COUNT(CASE WHEN response_status = 'Open' THEN 1 END) AS open_inquiries,
+    COUNT(CASE WHEN overdue THEN 1 END) AS overdue_inquiries,
+    CAST({rhu('SUM(response_time_days)', 'COUNT(response_time_days)', 4)} AS DOUBLE) AS avg_response_days,
+    CAST({_SLA} AS DOUBLE) AS sla_met_pct"""
+sql("metric_inquiries_by_product", f"SELECT product, {INQ_MEASURES} FROM gold_inquiries GROUP BY product",
+    ["gold_inquiries"])
+sql("metric_inquiries_by_month", f"""SELECT CAST(date_trunc('month', inquiry_date) AS DATE) AS inquiry_month,
+    {INQ_MEASURES} FROM gold_inquiries GROUP BY 1""", ["gold_inquiries"])
+sql("nl_sla_by_product", f"""SELECT product, CAST({_SLA} AS DOUBLE) AS sla_met_pct, COUNT(*) AS total_inquiries
+    FROM gold_inquiries GROUP BY product""", ["gold_inquiries"])
+
+# ----------------------------------------------------------------------------- dashboard
+sql("kpi_headline", f"""SELECT
+    (SELECT COUNT(*) FROM hcp_360) AS total_hcps,
+    (SELECT COUNT(*) FROM hcp_priority WHERE priority_tier = 'High') AS priority_high,
+    (SELECT CAST({rhu('COUNT_IF(days_since_last_msl <= 90)', 'COUNT(*)', 3)} AS DOUBLE) FROM hcp_360) AS reach_90d_pct,
+    (SELECT CAST(COUNT_IF(under_engaged_priority) AS BIGINT) FROM hcp_360) AS under_engaged,
+    (SELECT CAST(COUNT_IF(overdue) AS BIGINT) FROM gold_inquiries) AS overdue_inquiries,
+    (SELECT CAST({rhu('SUM(response_time_days)', 'COUNT(response_time_days)', 1)} AS DOUBLE)
+       FROM gold_inquiries WHERE response_status = 'Closed') AS avg_response_days""",
+    ["hcp_360", "hcp_priority", "gold_inquiries"])
+sql("reach_by_territory", """SELECT territory, total_hcps, reach_rate, under_engaged_priority_hcps,
+    territory_opportunity_score AS opportunity_score FROM territory_opportunity ORDER BY reach_rate ASC""",
+    ["territory_opportunity"])
+_TOTALS = """SELECT topic_category, CAST(SUM(mentions) AS BIGINT) AS mentions, COUNT(DISTINCT hcp_id) AS hcps
+    FROM topic_interest GROUP BY topic_category"""
+sql("topic_interest_totals", _TOTALS + " ORDER BY mentions DESC", ["topic_interest"])
+sql("inquiry_sla_by_product", f"""SELECT product, COUNT(*) AS total_inquiries,
+    CAST(COUNT_IF(overdue) AS BIGINT) AS overdue_inquiries,
+    CAST({rhu('COUNT_IF(sla_met)', "COUNT_IF(response_status = 'Closed')", 3)} AS DOUBLE) AS sla_met_pct
+    FROM gold_inquiries GROUP BY product ORDER BY total_inquiries DESC""", ["gold_inquiries"])
+sql("priority_distribution", "SELECT priority_tier, COUNT(*) AS hcps FROM hcp_priority GROUP BY priority_tier",
+    ["hcp_priority"])
+sql("queue_top25", """SELECT hcp_id, hcp_name, territory, priority_tier, msl_priority_score, trigger, topic,
+    recommended_date FROM next_best_engagement ORDER BY msl_priority_score DESC, hcp_id LIMIT 25""",
+    ["next_best_engagement"])
+
+# ----------------------------------------------------------------------------- NL answers
+sql("nl_high_under_engaged", """SELECT p.hcp_id, p.hcp_name, p.territory, p.msl_priority_score,
+    p.days_since_last_msl, n.trigger, n.overdue, n.recommended_date
+    FROM hcp_priority p JOIN next_best_engagement n USING (hcp_id)
+    WHERE p.priority_tier = 'High' AND p.under_engaged_priority""", ["hcp_priority", "next_best_engagement"])
+sql("nl_top_topics", _TOTALS + " ORDER BY mentions DESC, topic_category LIMIT 5", ["topic_interest"])
+sql("nl_lowest_reach", """SELECT territory, reach_rate, under_engaged_priority_hcps FROM (
+    SELECT territory, reach_rate, under_engaged_priority_hcps,
+      RANK() OVER (ORDER BY reach_rate ASC) AS reach_rank
+    FROM territory_opportunity
+    WHERE territory IS NOT NULL AND reach_rate IS NOT NULL AND under_engaged_priority_hcps IS NOT NULL) ranked
+  WHERE reach_rank <= 5 ORDER BY reach_rate ASC, territory ASC""", ["territory_opportunity"])
+sql("nl_overdue_avg", f"""SELECT CAST(COUNT_IF(overdue) AS BIGINT) AS overdue_inquiries,
+    CAST({rhu('SUM(response_time_days)', 'COUNT(response_time_days)', 1)} AS DOUBLE) AS avg_response_days
+    FROM gold_inquiries""", ["gold_inquiries"])
+sql("nl_tier1_safety", """SELECT h.hcp_id, h.hcp_name, h.territory, i.inquiry_id, i.inquiry_date,
+    i.response_status, i.product
+    FROM silver_hcp h JOIN gold_inquiries i USING (hcp_id)
+    WHERE h.hcp_tier = 'Tier 1 KOL' AND i.response_status <> 'Closed'
+      AND lower(i.inquiry_topic) = lower('Safety / ILD Management')""", ["silver_hcp", "gold_inquiries"])
+sql("extraction_distribution", """SELECT topic_category, sentiment, interest_level, COUNT(*) AS notes
+    FROM silver_extracted GROUP BY topic_category, sentiment, interest_level""", ["silver_extracted"])
+
+_ROWS = (["bronze_hcp_master", "bronze_msl_interactions", "bronze_medical_inquiries", "bronze_congress_events",
+          "bronze_digital_engagement", "bronze_publications_trials", "bronze_patient_claims_summary",
+          "bronze_approved_content", "bronze_content_shared"]
+         + ["silver_hcp", "silver_inquiries", "silver_congress", "silver_digital", "silver_publications",
+            "silver_claims", "silver_content", "silver_content_shared", "silver_extracted",
+            "gold_inquiries", "gold_publications", "gold_content", "gold_content_shared", "interaction_summary",
+            "topic_interest", "congress_engagement", "channel_engagement", "hcp_360", "hcp_priority",
+            "next_best_engagement", "territory_opportunity"])
+_ALIAS = {"gold_publications": "silver_publications", "gold_content": "silver_content",
+          "gold_content_shared": "silver_content_shared"}
+
+
+def _layer(n: str) -> str:
+    return n.split("_", 1)[0] if n.startswith(("bronze_", "silver_")) else "gold"
+
+
+sql("row_counts", "\nUNION ALL\n".join(
+    f"SELECT {q(_layer(n))} AS layer, {q(n)} AS table_name, COUNT(*) AS row_count FROM {_ALIAS.get(n, n)}"
+    for n in _ROWS), [_ALIAS.get(n, n) for n in _ROWS])
+
+# ----------------------------------------------------------------------------- cockpit
+sql("app_hcp_list", """SELECT p.hcp_id, h.hcp_name, h.specialty, h.territory, h.hcp_tier,
+    p.msl_priority_score, p.priority_tier
+    FROM hcp_priority p JOIN hcp_360 h USING (hcp_id) ORDER BY p.msl_priority_score DESC, h.hcp_name""",
+    ["hcp_priority", "hcp_360"])
+
+
+def _latest(src: str, order: str, n: int, cols: str) -> str:
+    return f"""SELECT hcp_id, recency_rank, {cols} FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY hcp_id ORDER BY {order}) AS INTEGER) AS recency_rank
+      FROM {src}) WHERE recency_rank <= {n}"""
+
+
+sql("app_recent_interactions", _latest(
+    "silver_extracted", "interaction_date DESC, interaction_id DESC", 5,
+    "interaction_id, interaction_date, channel, msl_name, topic_category, scientific_topic, information_need, "
+    "sentiment, interest_level, follow_up_requested, competitor_mentioned, evidence_type_requested"),
+    ["silver_extracted"])
+sql("app_topic_interests", """SELECT hcp_id,
+    CAST(row_number() OVER (PARTITION BY hcp_id ORDER BY topic_interest_score DESC, mentions DESC,
+                                 topic_category) AS INTEGER) AS interest_rank,
+    topic_category, mentions, topic_interest_score, mentions_current_30d, mentions_prior_30d,
+    last_mention_date, mentions_current_30d - mentions_prior_30d AS momentum
+    FROM topic_interest""", ["topic_interest"])
+sql("app_recent_inquiries", _latest(
+    "gold_inquiries", "inquiry_date DESC, inquiry_id DESC", 5,
+    "inquiry_id, inquiry_date, inquiry_topic, evidence_type_requested, indication, product, response_status, "
+    "response_time_days, overdue"), ["gold_inquiries"])
+sql("app_publications", _latest(
+    "silver_publications", "year DESC, record_id DESC", 8,
+    "record_id, record_type, title, journal_or_registry, year, therapeutic_area, trial_id"),
+    ["silver_publications"])
+
+CTES_EXTRA = {
+    "recommend_content": ("""
+  SELECT hcp_id, content_id, content_title, content_type, topic_category, indication, product,
+    approval_status, med_review_id, approval_date
+  FROM (
+    SELECT t.hcp_id, c.*, row_number() OVER (PARTITION BY t.hcp_id
+             ORDER BY c.approval_date DESC, c.content_id DESC) AS rn
+    FROM top_topic t JOIN silver_content c ON c.topic_category = t.top_scientific_topic
+    WHERE c.approval_status = 'Approved'
+      AND c.content_id NOT IN (SELECT a.content_id FROM silver_content_shared a WHERE a.hcp_id = t.hcp_id))
+  WHERE rn = 1""", ["top_topic", "silver_content", "silver_content_shared"]),
+}
+
+
+def _even0(x: str) -> str:
+    """Half-even rounding to an integer of a non-negative 1-decimal score (Python's format rule)."""
+    return f"CAST(round_even(CAST({x} AS DECIMAL(10,1)), 0) AS BIGINT)"
+
+
+def _t(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), 'None')"
+
+
+CTES_EXTRA["briefing_context"] = (f"""
+  WITH t4 AS (
+    SELECT hcp_id, string_agg(topic_category || ' (score ' || CAST({_even0('topic_interest_score')} AS VARCHAR)
+                              || ')', ', ' ORDER BY rn) AS topics_txt
+    FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id
+            ORDER BY topic_interest_score DESC, mentions DESC, topic_category) AS rn FROM topic_interest)
+    WHERE rn <= 4 GROUP BY hcp_id),
+  note AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id
+            ORDER BY interaction_date DESC, interaction_id DESC) AS rn FROM silver_extracted) WHERE rn = 1),
+  oi AS (
+    SELECT hcp_id, string_agg(inquiry_topic || ' (' || indication || ')', '; ' ORDER BY rn) AS inq_txt
+    FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id ORDER BY rn) AS k FROM (
+            SELECT *, row_number() OVER (PARTITION BY hcp_id ORDER BY inquiry_date DESC, inquiry_id DESC) AS rn
+            FROM gold_inquiries) WHERE rn <= 5 AND response_status IS DISTINCT FROM 'Closed')
+    WHERE k <= 3 GROUP BY hcp_id)
+  SELECT h.hcp_id, concat_ws(chr(10),
+    'HCP: ' || {_t('h.hcp_name')} || ', ' || {_t('h.specialty')} || ', ' || {_t('h.practice_setting')} || ' setting.',
+    'Institution: ' || {_t('h.institution')} || ' (' || {_t('h.city')} || ', ' || {_t('h.state')} || ', '
+      || {_t('h.territory')} || ').',
+    'Tier: ' || {_t('h.hcp_tier')} || '. Influence ' || {_t('h.influence_score')} || ', publications '
+      || {_t('h.publication_count')} || ', trials ' || {_t('h.trial_participation')} || '.',
+    'Engagement: ' || {_t('h.msl_interactions')} || ' MSL interactions; ' || {_t('h.interactions_90d')}
+      || ' in last 90 days; last MSL '
+      || CASE WHEN h.days_since_last_msl = 999 THEN 'never' ELSE CAST(h.days_since_last_msl AS VARCHAR) || ' days ago' END
+      || '.',
+    CASE WHEN t4.topics_txt IS NOT NULL THEN 'Top scientific interests: ' || t4.topics_txt || '.' END,
+    CASE WHEN len(h.emerging_topics) > 0
+         THEN 'Emerging interest topics: [''' || array_to_string(h.emerging_topics, ''', ''') || '''].' END,
+    CASE WHEN note.hcp_id IS NOT NULL THEN 'Most recent MSL note (' || strftime(note.interaction_date, '%Y-%m-%d')
+      || ', ' || note.channel || '): topic ''' || note.scientific_topic || ''', need ''' || note.information_need
+      || ''', sentiment ' || note.sentiment || ', interest ' || note.interest_level
+      || ', follow-up requested: ' || CASE WHEN note.follow_up_requested THEN 'True' ELSE 'False' END
+      || ', evidence: ' || note.evidence_type_requested
+      || CASE WHEN note.competitor_mentioned IS NOT NULL AND note.competitor_mentioned <> 'None'
+              THEN ', competitor: ' || note.competitor_mentioned ELSE '' END || '.' END,
+    CASE WHEN oi.inq_txt IS NOT NULL THEN 'Open medical inquiries: ' || oi.inq_txt || '.' END,
+    'Outstanding follow-ups requested: ' || {_t('h.follow_ups_requested')} || '.') AS context
+  FROM hcp_360 h LEFT JOIN t4 USING (hcp_id) LEFT JOIN note USING (hcp_id) LEFT JOIN oi USING (hcp_id)""",
+    ["hcp_360", "topic_interest", "silver_extracted", "gold_inquiries"])
+
+CTES_EXTRA["serving_action_queue"] = ("""
+  SELECT hcp_id, hcp_name, specialty, territory, priority_tier, msl_priority_score, engagement_segment,
+    trigger, topic, suggested_engagement, recommended_date, overdue FROM next_best_engagement""",
+    ["next_best_engagement"])
+
+_HASH_COLS = ["hcp_id", "msl_name", "review_decision", "review_notes", "scheduled_channel", "scheduled_date"]
+_HASH = "sha256(concat_ws(chr(1), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _HASH_COLS) + "))"
+CTES_EXTRA["review_seed"] = (f"""
+  SELECT {_HASH} AS action_id, * FROM (
+    SELECT hcp_id, {q(_C.SEED_MSL)} AS msl_name, {q(_C.SEED_DECISION)} AS review_decision,
+      {q(_C.SEED_NOTES)} AS review_notes, {q(_C.SEED_CHANNEL)} AS scheduled_channel,
+      DATE '2024-01-31' + 14 AS scheduled_date
+    FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 2)""", ["serving_action_queue"])
+CTES_EXTRA["review_actions"] = (f"""
+  SELECT * FROM review_seed
+  UNION
+  SELECT {_HASH} AS action_id, * FROM (
+    SELECT hcp_id, {q(_C.SEED_MSL)} AS msl_name, {q(_C.SEED_DECISION)} AS review_decision,
+      suggested_engagement AS review_notes, {q(_C.SEED_CHANNEL)} AS scheduled_channel,
+      recommended_date AS scheduled_date
+    FROM serving_action_queue WHERE priority_tier = 'High')""", ["review_seed", "serving_action_queue"])
+
+for _name, (_body, _deps) in CTES_EXTRA.items():
+    CTES[_name] = (_body, _deps)
+    table(_name)
+
+sql("briefing_prompt", f"SELECT hcp_id, {q(_C.BRIEFING_INSTRUCTION)} || context AS prompt FROM briefing_context",
+    ["briefing_context"])
+sql("engagement_plan", """SELECT h.hcp_id,
+    coalesce(n.suggested_engagement, 'Address outstanding scientific question') AS objective,
+    coalesce(n.trigger, 'Scientific engagement cadence') AS trigger,
+    coalesce(n.topic, h.top_scientific_topic, 'Scientific exchange') AS topic,
+    coalesce(r.content_title, 'MSL to identify approved asset') AS supporting_asset,
+    coalesce(h.preferred_engagement_channel, 'In-person') AS preferred_channel,
+    coalesce(h.recommended_follow_up_window, 'Within 30 days') AS timing,
+    'MSL confirmation' AS required_review
+    FROM hcp_360 h LEFT JOIN next_best_engagement n USING (hcp_id) LEFT JOIN recommend_content r USING (hcp_id)""",
+    ["hcp_360", "next_best_engagement", "recommend_content"])
+sql("masked_hcp_360", "SELECT * REPLACE (sha256(npi) AS npi) FROM hcp_360", ["hcp_360"])
+sql("action_queue_top50", "SELECT * FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 50",
+    ["serving_action_queue"])
+sql("queue_check", """SELECT hcp_id, hcp_name, priority_tier, msl_priority_score, trigger,
+    (SELECT COUNT(*) FROM serving_action_queue) AS queue_rows
+    FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 5""", ["serving_action_queue"])
+sql("recent_reviews", """SELECT action_id, hcp_id, msl_name, review_decision, review_notes, scheduled_channel,
+    scheduled_date FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id ORDER BY action_id DESC) AS rn
+    FROM review_actions) WHERE rn <= 5""", ["review_actions"])
+
+# ----------------------------------------------------------------------------- bronze ingest
+for _feed in ["hcp_master", "msl_interactions", "medical_inquiries", "congress_events", "digital_engagement",
+              "publications_trials", "patient_claims_summary", "approved_content", "content_shared"]:
+    _src = f"bronze_{_feed}"
+    sql(_src, f"SELECT {', '.join(feed_columns(_feed))}, true AS ingest_ok FROM {_src}", [_src])

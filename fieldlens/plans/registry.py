@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import consumers as C
 from ..operators import extract as X
 from ..operators import gold as G
+from ..operators import governance as GOV
+from ..operators import serving as SV
 from .catalog import Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +109,184 @@ def _open_inquiries(lh: Lakehouse) -> DataFrame:
 @register("pubs_tracked")
 def _pubs(lh: Lakehouse) -> DataFrame:
     return G.pubs_tracked(lh.table("silver_publications"))
+
+
+# ----------------------------------------------------------------------------- S10 incremental extraction
+@register("extract_incremental")
+def _extract_incremental(lh: Lakehouse) -> DataFrame:
+    """Two refreshes against a stored hash cache: older notes first, then all notes.
+
+    The second run extracts only notes whose hash is not cached; the result
+    equals a full extraction.
+    """
+    from ..session import work_dir
+
+    spark, s = lh.spark, lh.settings
+    notes = lh.table("bronze_msl_interactions")
+    cache_path = work_dir(spark, "extract-cache") + "/cache"
+    older = notes.filter(F.col("interaction_date") < F.date_sub(F.lit(s.as_of), 120))
+    _, first = X.extract_incremental(older, None)
+    first.write.mode("overwrite").parquet(cache_path)
+    table, new_rows = X.extract_incremental(notes, spark.read.parquet(cache_path))
+    new_rows.write.mode("append").parquet(cache_path)
+    return table
+
+
+# ----------------------------------------------------------------------------- metric views (M1-M3)
+def _metric(key: str, view: str, dims: list[str], measures: list[str] | None = None):
+    from .metrics import HCP_ENGAGEMENT, MEDICAL_INQUIRIES
+
+    def run(lh: Lakehouse) -> DataFrame:
+        if view == "hcp":
+            return HCP_ENGAGEMENT.query(lh.table("hcp_360"), dims, measures)
+        return MEDICAL_INQUIRIES.query(lh.table("gold_inquiries"), dims, measures)
+    register(key)(run)
+
+
+_metric("metric_hcp_by_territory", "hcp", ["territory"])
+_metric("metric_hcp_by_tier", "hcp", ["hcp_tier"])
+_metric("metric_hcp_global", "hcp", [])
+_metric("metric_inquiries_by_product", "inq", ["product"])
+_metric("metric_inquiries_by_month", "inq", ["inquiry_month"])
+_metric("nl_sla_by_product", "inq", ["product"], ["sla_met_pct", "total_inquiries"])
+
+
+# ----------------------------------------------------------------------------- dashboard, NL, cockpit
+def _wide(lh: Lakehouse) -> DataFrame:
+    return G.with_next_best(lh.table("hcp_profile"), lh.settings)
+
+
+@register("kpi_headline")
+def _kpi(lh: Lakehouse) -> DataFrame:
+    return C.kpi_headline(lh.table("hcp_profile"), lh.table("gold_inquiries"), lh.settings)
+
+
+register("reach_by_territory")(lambda lh: C.reach_by_territory(lh.table("territory_opportunity")))
+register("topic_interest_totals")(lambda lh: C.topic_interest_totals(lh.table("topic_interest")))
+register("inquiry_sla_by_product")(lambda lh: C.inquiry_sla_by_product(lh.table("gold_inquiries")))
+register("priority_distribution")(lambda lh: C.priority_distribution(lh.table("hcp_priority")))
+register("queue_top25")(lambda lh: C.queue_top25(lh.table("next_best_engagement"), lh.settings))
+register("nl_high_under_engaged")(lambda lh: C.nl_high_under_engaged(_wide(lh)))
+register("nl_top_topics")(lambda lh: C.nl_top_topics(lh.table("topic_interest")))
+register("nl_lowest_reach")(lambda lh: C.nl_lowest_reach(lh.table("territory_opportunity")))
+register("nl_overdue_avg")(lambda lh: C.nl_overdue_avg(lh.table("gold_inquiries")))
+register("nl_tier1_safety")(lambda lh: C.nl_tier1_safety(lh.table("silver_hcp"), lh.table("gold_inquiries")))
+register("extraction_distribution")(lambda lh: C.extraction_distribution(lh.table("silver_extracted")))
+
+ROW_COUNT_TABLES = (
+    [f"bronze_{f}" for f in ["hcp_master", "msl_interactions", "medical_inquiries", "congress_events",
+                             "digital_engagement", "publications_trials", "patient_claims_summary",
+                             "approved_content", "content_shared"]]
+    + ["silver_hcp", "silver_inquiries", "silver_congress", "silver_digital", "silver_publications",
+       "silver_claims", "silver_content", "silver_content_shared", "silver_extracted",
+       "gold_inquiries", "gold_publications", "gold_content", "gold_content_shared", "interaction_summary",
+       "topic_interest", "congress_engagement", "channel_engagement", "hcp_360", "hcp_priority",
+       "next_best_engagement", "territory_opportunity"])
+
+
+@register("row_counts")
+def _row_counts(lh: Lakehouse) -> DataFrame:
+    return C.row_counts({n: lh.table(n) for n in ROW_COUNT_TABLES})
+
+
+register("app_hcp_list")(lambda lh: C.app_hcp_list(G.with_priority(lh.table("hcp_profile"), lh.settings)))
+register("app_recent_interactions")(lambda lh: C.app_recent_interactions(lh.table("silver_extracted"),
+                                                                         lh.settings))
+register("app_topic_interests")(lambda lh: C.app_topic_interests(lh.table("topic_interest")))
+register("app_recent_inquiries")(lambda lh: C.app_recent_inquiries(lh.table("gold_inquiries"), lh.settings))
+register("app_publications")(lambda lh: C.app_publications(lh.table("gold_publications"), lh.settings))
+
+
+def _recommend(lh: Lakehouse) -> DataFrame:
+    return C.recommend_content(G.top_topic(lh.table("topic_interest")), lh.table("gold_content"),
+                               lh.table("gold_content_shared"))
+
+
+register("recommend_content")(_recommend)
+
+
+def _context(lh: Lakehouse) -> DataFrame:
+    return C.briefing_context(lh.table("hcp_profile"), lh.table("topic_interest"), lh.table("silver_extracted"),
+                              lh.table("gold_inquiries"), lh.settings)
+
+
+register("briefing_context")(_context)
+register("briefing_prompt")(lambda lh: C.briefing_prompt(_context(lh)))
+register("engagement_plan")(lambda lh: C.engagement_plan(_wide(lh), _recommend(lh)))
+register("masked_hcp_360")(lambda lh: GOV.mask(GOV.classify(lh.table("hcp_360"))))
+
+
+# ----------------------------------------------------------------------------- serving
+def _queue_snapshot(lh: Lakehouse) -> DataFrame:
+    from ..session import work_dir
+
+    path = work_dir(lh.spark, "serving") + "/msl_action_queue"
+    return SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), path)
+
+
+register("serving_action_queue")(_queue_snapshot)
+register("action_queue_top50")(lambda lh: SV.top_of_queue(_queue_snapshot(lh), lh.settings.queue_limit))
+register("queue_check")(lambda lh: SV.queue_check(_queue_snapshot(lh)))
+
+REVIEW_OUT = ["hcp_id", "msl_name", "review_decision", "review_notes", "scheduled_channel", "scheduled_date"]
+
+
+def _review_log(lh: Lakehouse, with_bulk: bool) -> str:
+    from .. import config as CF
+    from ..session import work_dir
+
+    spark = lh.spark
+    queue = _queue_snapshot(lh)
+    log = work_dir(spark, "reviews") + "/msl_review_actions"
+    SV.seed_reviews(spark, queue, log, lh.settings)
+    SV.seed_reviews(spark, queue, log, lh.settings)  # idempotent: the log is no longer empty
+    if with_bulk:
+        approvals = queue.filter(F.col("priority_tier") == "High").select(
+            "hcp_id", F.lit(CF.SEED_MSL).alias("msl_name"), F.lit(CF.SEED_DECISION).alias("review_decision"),
+            F.col("suggested_engagement").alias("review_notes"),
+            F.lit(CF.SEED_CHANNEL).alias("scheduled_channel"), F.col("recommended_date").alias("scheduled_date"))
+        SV.append_reviews(spark, approvals, log)
+        SV.append_reviews(spark, approvals, log)  # a retried append writes nothing new
+    return log
+
+
+register("review_seed")(lambda lh: SV.read_log(lh.spark, _review_log(lh, False)).select("action_id", *REVIEW_OUT))
+register("review_actions")(lambda lh: SV.read_log(lh.spark, _review_log(lh, True)).select("action_id", *REVIEW_OUT))
+register("recent_reviews")(lambda lh: SV.recent_reviews(SV.read_log(lh.spark, _review_log(lh, True)),
+                                                        lh.settings.recent_limit).select("action_id", *REVIEW_OUT))
+
+
+# ----------------------------------------------------------------------------- bronze ingest
+def _bronze(feed: str):
+    def run(lh: Lakehouse) -> DataFrame:
+        from ..session import work_dir
+        from ..sources.testbind import bind_feed
+        from ..streaming import bronze as B
+
+        spark = lh.spark
+        root = work_dir(spark, f"bronze-{feed}")
+        bound = bind_feed(lh.star, feed, lh.settings)
+        if feed == "hcp_master":  # older versions arrive in an earlier drop
+            first = bound.filter(F.col("_ingested_at") < F.lit(bound_current()).cast("timestamp"))
+            second = bound.filter(F.col("_ingested_at") >= F.lit(bound_current()).cast("timestamp"))
+        else:
+            h = F.abs(F.xxhash64(*[F.col(c) for c in bound.columns if not c.startswith("_")])) % 2
+            first, second = bound.filter(h == 0), bound.filter(h == 1)
+        table, ckpt = f"{root}/table", f"{root}/_checkpoint"
+        for i, part in enumerate([first, second]):
+            B.drop_files(part, f"{root}/landing/drop-{i}")
+            B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)
+        B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)  # no new files: appends nothing
+        return B.bronze_view(spark, feed, table)
+    return run
+
+
+def bound_current() -> str:
+    from ..sources.testbind import HCP_CURRENT_TS
+
+    return HCP_CURRENT_TS
+
+
+for _feed in ["hcp_master", "msl_interactions", "medical_inquiries", "congress_events", "digital_engagement",
+              "publications_trials", "patient_claims_summary", "approved_content", "content_shared"]:
+    register(f"bronze_{_feed}")(_bronze(_feed))

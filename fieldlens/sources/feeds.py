@@ -93,6 +93,7 @@ def write_feed_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     if files:
         out = out.repartition(files)
     (out.write.mode("overwrite").option("header", "true").option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
         .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
