@@ -9,7 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
+)
+
+_TYPES = {"STRING": StringType(), "INT": IntegerType(), "DOUBLE": DoubleType(), "DATE": DateType(),
+          "BOOLEAN": BooleanType()}
 
 FEED_DDL = {
     "hcp_master": (
@@ -58,13 +63,20 @@ RESCUE_COLUMN = "_rescued"
 LINEAGE_COLUMNS = ["_ingested_at", "_source_file"]
 
 
+def _fields(feed: str) -> list[tuple[str, str]]:
+    return [tuple(part.split()) for part in FEED_DDL[feed].split(", ")]
+
+
 def feed_schema(feed: str, with_rescue: bool = True) -> StructType:
-    ddl = FEED_DDL[feed] + (f", {RESCUE_COLUMN} STRING" if with_rescue else "")
-    return StructType.fromDDL(ddl)
+    """Explicit schema (built without a session, so it can be used at import time)."""
+    fields = [StructField(n, _TYPES[t], True) for n, t in _fields(feed)]
+    if with_rescue:
+        fields.append(StructField(RESCUE_COLUMN, StringType(), True))
+    return StructType(fields)
 
 
 def feed_columns(feed: str) -> list[str]:
-    return [f.name for f in feed_schema(feed, with_rescue=False).fields]
+    return [n for n, _ in _fields(feed)]
 
 
 def csv_options(feed: str) -> dict[str, str]:
