@@ -43,25 +43,29 @@ def note_hash(col: Column) -> Column:
 
 
 class RegexExtractor:
-    """Deterministic extractor for the field-note sentence template."""
+    """Deterministic extractor for the field-note sentence template.
+
+    It reads the note column itself rather than the prompt: the instruction
+    prefix carries no fields, and skipping it keeps every pattern scan short.
+    """
 
     name = "regex"
 
+    def __init__(self, source_col: str = "raw_notes"):
+        self.source_col = source_col
+
     @staticmethod
     def fields(note: Column) -> Column:
         def grab(pattern: str) -> Column:
             return F.nullif(F.regexp_extract(note, pattern, 1), F.lit(""))
 
         evidence_raw = grab(r"regarding (.+?) evidence\.")
-        evidence = None
-        for e in EVIDENCE_TYPES:
-            evidence = (F.when(F.lower(evidence_raw) == e.lower(), F.lit(e)) if evidence is None
-                        else evidence.when(F.lower(evidence_raw) == e.lower(), F.lit(e)))
-        evidence = evidence.otherwise(first_upper(evidence_raw))
+        canonical = F.create_map(*[F.lit(x) for e in EVIDENCE_TYPES for x in (e.lower(), e)])
+        evidence = F.coalesce(F.element_at(canonical, F.lower(evidence_raw)), first_upper(evidence_raw))
         follow = (F.when(note.contains("Requested a follow-up"), F.lit(True))
                   .when(note.contains("No specific follow-up"), F.lit(False)))
         return F.struct(
-            F.when(F.lower(note).rlike("leukemia|lymphoma|myeloma"), F.lit("Hematology-Oncology"))
+            F.when(note.rlike("(?i)leukemia|lymphoma|myeloma"), F.lit("Hematology-Oncology"))
             .when(note.isNotNull(), F.lit("Oncology")).alias("therapeutic_area"),
             grab(r"to discuss (.+) for \S+ \(").alias("scientific_topic"),
             grab(r"interest appeared \w+\. (.+?) regarding ").alias("information_need"),
@@ -76,7 +80,8 @@ class RegexExtractor:
         )
 
     def apply(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
-        return df.withColumn("extracted_raw", F.to_json(self.fields(F.col(prompt_col))))
+        src = self.source_col if self.source_col in df.columns else prompt_col
+        return df.withColumn("extracted_raw", F.to_json(self.fields(F.col(src))))
 
 
 class BatchModelExtractor:

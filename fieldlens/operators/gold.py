@@ -47,28 +47,54 @@ def gold_passthrough(silver: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- rollups
 
-def msl_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
-    """One aggregate over the extracted notes serving G5, G8 and the latest-note signals."""
+def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
+    """One aggregate of the extracted notes per (HCP, topic) holding every partial
+    that the per-HCP and per-topic tables need.
+
+    Both :func:`msl_rollup` and :func:`topic_interest` read this frame, so a
+    plan that needs both scans and extracts the notes once and shuffles them
+    once; the per-HCP level then re-aggregates at most one row per topic.
+    """
     age = days_since(s.as_of, F.col("interaction_date"))
-    last = F.max("interaction_date")
-    latest = F.max_by(
-        F.struct(F.col("information_need").alias("recent_question"),
-                 F.col("evidence_type_requested").alias("recent_evidence_request"),
-                 F.nullif(F.col("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
-                 F.col("preferred_channel")),
-        F.struct("interaction_date", "interaction_id"))
-    return extracted.groupBy("hcp_id").agg(
-        F.count(F.lit(1)).alias("total_interactions"),
-        F.count(F.when(age <= s.recent_days, 1)).alias("interactions_30d"),
-        F.count(F.when(age <= s.reach_days, 1)).alias("interactions_90d"),
-        F.count(F.when(age <= s.half_year_days, 1)).alias("interactions_180d"),
-        F.round(exact_avg(F.col("duration_minutes")), 1).alias("avg_duration_dec"),
+    weight = (F.when(F.col("interest_level") == "High", 3)
+              .when(F.col("interest_level") == "Medium", 2).otherwise(1))
+    latest_key = F.struct("interaction_date", "interaction_id")
+    return extracted.groupBy("hcp_id", "topic_category").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(age <= s.recent_days, 1)).alias("n30"),
+        F.count(F.when(age.between(s.recent_days + 1, s.prior_days), 1)).alias("n31_60"),
+        F.count(F.when(age <= s.reach_days, 1)).alias("n90"),
+        F.count(F.when(age <= s.half_year_days, 1)).alias("n180"),
+        F.sum(weight).alias("w_sum"),
+        F.sum("duration_minutes").alias("dur_sum"),
+        F.count("duration_minutes").alias("dur_n"),
+        F.count(F.when(F.col("follow_up_requested"), 1)).alias("follow_ups"),
+        F.max("interaction_date").alias("last_date"),
+        F.max("sentiment").alias("max_sentiment"),
+        F.max_by(F.struct(
+            F.col("information_need").alias("recent_question"),
+            F.col("evidence_type_requested").alias("recent_evidence_request"),
+            F.nullif(F.col("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
+            F.col("preferred_channel")), latest_key).alias("latest"),
+        F.max(latest_key).alias("latest_key"),
+    )
+
+
+def msl_rollup(notes_r: DataFrame, s: Settings) -> DataFrame:
+    """Per-HCP note aggregates (G5, G8, latest-note signals) from :func:`note_rollup`."""
+    last = F.max("last_date")
+    return notes_r.groupBy("hcp_id").agg(
+        F.sum("n").alias("total_interactions"),
+        F.sum("n30").alias("interactions_30d"),
+        F.sum("n90").alias("interactions_90d"),
+        F.sum("n180").alias("interactions_180d"),
+        F.round(quotient(F.sum("dur_sum"), F.sum("dur_n")), 1).alias("avg_duration_dec"),
         last.alias("last_interaction_date"),
         F.datediff(F.lit(s.as_of), last).alias("days_since_last_interaction"),
-        F.count(F.when(F.col("follow_up_requested"), 1)).alias("follow_ups_requested"),
-        F.countDistinct("topic_category").alias("distinct_topics"),
-        F.max("sentiment").alias("sample_sentiment"),
-        latest.alias("latest"),
+        F.sum("follow_ups").alias("follow_ups_requested"),
+        F.count("topic_category").alias("distinct_topics"),
+        F.max("max_sentiment").alias("sample_sentiment"),
+        F.max_by("latest", "latest_key").alias("latest"),
     )
 
 
@@ -85,21 +111,18 @@ def latest_note(msl_r: DataFrame) -> DataFrame:
     return msl_r.select("hcp_id", "latest.*")
 
 
-def topic_interest(extracted: DataFrame, s: Settings) -> DataFrame:
+def topic_interest(notes_r: DataFrame, s: Settings) -> DataFrame:
     """Per HCP and topic: mentions, 30-day vs prior 30-day, interest weight, score."""
-    age = days_since(s.as_of, F.col("interaction_date"))
-    weight = (F.when(F.col("interest_level") == "High", 3)
-              .when(F.col("interest_level") == "Medium", 2).otherwise(1))
-    n = F.count(F.lit(1))
-    current = F.count(F.when(age <= s.recent_days, 1))
-    avg_w = exact_avg(weight)
-    score = n * s.topic_w_mentions + current * s.topic_w_current + avg_w * s.topic_w_interest
-    return extracted.groupBy("hcp_id", "topic_category").agg(
-        n.alias("mentions"),
-        current.alias("mentions_current_30d"),
-        F.count(F.when(age.between(s.recent_days + 1, s.prior_days), 1)).alias("mentions_prior_30d"),
+    avg_w = quotient(F.col("w_sum"), F.col("n"))
+    score = (F.col("n") * s.topic_w_mentions + F.col("n30") * s.topic_w_current
+             + avg_w * s.topic_w_interest)
+    return notes_r.select(
+        "hcp_id", "topic_category",
+        F.col("n").alias("mentions"),
+        F.col("n30").alias("mentions_current_30d"),
+        F.col("n31_60").alias("mentions_prior_30d"),
         _dbl(F.round(avg_w, 2)).alias("avg_interest_weight"),
-        F.max("interaction_date").alias("last_mention_date"),
+        F.col("last_date").alias("last_mention_date"),
         _dbl(F.round(score, 1)).alias("topic_interest_score"),
     )
 
@@ -181,13 +204,12 @@ def _channel_frame(hcp: DataFrame, dig_r: DataFrame, msl_r: DataFrame, cg_r: Dat
                      F.col("last_interaction_date").alias("last_msl_date"))
     cg = cg_r.select("hcp_id", F.col("sessions_attended").alias("cg_att"), "last_congress_date")
     inq = inq_r.select("hcp_id", F.col("medical_inquiries").alias("inq_n"), "last_inquiry_date")
-    j = (hcp.select("hcp_id", "hcp_name", "territory", "specialty")
-         .join(dig_r, "hcp_id", "left").join(m, "hcp_id", "left")
+    j = (hcp.join(dig_r, "hcp_id", "left").join(m, "hcp_id", "left")
          .join(cg, "hcp_id", "left").join(inq, "hcp_id", "left"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     used = lambda c: F.when(z(c) > 0, 1).otherwise(0)
     return j.select(
-        "hcp_id", "hcp_name", "territory", "specialty",
+        *hcp.columns,
         z("m_n").alias("msl_interactions"),
         F.col("avg_duration_dec").alias("avg_msl_duration_dec"),
         z("emails_sent").alias("emails_sent"),
@@ -222,15 +244,15 @@ def channel_engagement(hcp, dig_r, msl_r, cg_r, inq_r, s: Settings) -> DataFrame
 
 # --------------------------------------------------------------------------- G9-G11
 
-def hcp_profile(hcp: DataFrame, extracted: DataFrame, inquiries: DataFrame, congress: DataFrame,
+def hcp_profile(hcp: DataFrame, notes_r: DataFrame, inquiries: DataFrame, congress: DataFrame,
                 digital: DataFrame, publications: DataFrame, s: Settings) -> DataFrame:
     """Wide per-HCP frame from which G9, G10 and G11 are projected."""
-    msl_r = msl_rollup(extracted, s)
-    topics = topic_interest(extracted, s)
+    msl_r = msl_rollup(notes_r, s)
+    topics = topic_interest(notes_r, s)
     cg_r = congress_rollup(congress)
     inq_r = inquiry_rollup(inquiries)
     ch = _channel_frame(hcp, digital_rollup(digital), msl_r, cg_r, inq_r, s).select(
-        "hcp_id", F.col("msl_interactions").alias("ch_msl"), "avg_msl_duration_dec", "open_rate_dec",
+        *hcp.columns, F.col("msl_interactions").alias("ch_msl"), "avg_msl_duration_dec", "open_rate_dec",
         F.col("webinars_attended").alias("ch_webinars"), F.col("webpage_clicks").alias("ch_clicks"),
         F.col("medical_inquiries").alias("ch_inq"), F.col("channels_used").alias("ch_used"),
         "last_any_engagement")
@@ -239,7 +261,8 @@ def hcp_profile(hcp: DataFrame, extracted: DataFrame, inquiries: DataFrame, cong
                       "latest")
     cg = cg_r.select("hcp_id", F.col("sessions_attended").alias("cg_att"))
     oi = inq_r.select("hcp_id", F.col("open_inquiries").alias("oi_n"), F.col("overdue_inquiries").alias("ov_n"))
-    j = (hcp.join(ch, "hcp_id", "left").join(mi, "hcp_id", "left").join(cg, "hcp_id", "left")
+    # the channel frame already holds one row per master HCP: join the rest onto it
+    j = (ch.join(mi, "hcp_id", "left").join(cg, "hcp_id", "left")
          .join(top_topic(topics), "hcp_id", "left").join(emerging_topics(topics), "hcp_id", "left")
          .join(oi, "hcp_id", "left").join(pubs_tracked(publications), "hcp_id", "left"))
 

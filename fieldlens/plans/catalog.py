@@ -58,21 +58,22 @@ class Lakehouse:
             "gold_content": (["silver_content"], lambda: G.gold_passthrough(t("silver_content"))),
             "gold_content_shared": (["silver_content_shared"],
                                     lambda: G.gold_passthrough(t("silver_content_shared"))),
-            "interaction_summary": (["silver_extracted"],
-                                    lambda: G.interaction_summary(G.msl_rollup(t("silver_extracted"), s))),
-            "topic_interest": (["silver_extracted"], lambda: G.topic_interest(t("silver_extracted"), s)),
+            "note_rollup": (["silver_extracted"], lambda: G.note_rollup(t("silver_extracted"), s)),
+            "interaction_summary": (["note_rollup"],
+                                    lambda: G.interaction_summary(G.msl_rollup(t("note_rollup"), s))),
+            "topic_interest": (["note_rollup"], lambda: G.topic_interest(t("note_rollup"), s)),
             "congress_engagement": (["silver_congress", "silver_hcp"], lambda: G.congress_engagement(
                 G.congress_rollup(t("silver_congress")), t("silver_hcp"))),
             "channel_engagement": (
-                ["silver_hcp", "silver_digital", "silver_extracted", "silver_congress", "silver_inquiries"],
+                ["silver_hcp", "silver_digital", "note_rollup", "silver_congress", "silver_inquiries"],
                 lambda: G.channel_engagement(
                     t("silver_hcp"), G.digital_rollup(t("silver_digital")),
-                    G.msl_rollup(t("silver_extracted"), s), G.congress_rollup(t("silver_congress")),
+                    G.msl_rollup(t("note_rollup"), s), G.congress_rollup(t("silver_congress")),
                     G.inquiry_rollup(t("silver_inquiries")), s)),
             "hcp_profile": (
-                ["silver_hcp", "silver_extracted", "silver_inquiries", "silver_congress",
+                ["silver_hcp", "note_rollup", "silver_inquiries", "silver_congress",
                  "silver_digital", "silver_publications"],
-                lambda: G.hcp_profile(t("silver_hcp"), t("silver_extracted"), t("silver_inquiries"),
+                lambda: G.hcp_profile(t("silver_hcp"), t("note_rollup"), t("silver_inquiries"),
                                       t("silver_congress"), t("silver_digital"),
                                       t("silver_publications"), s)),
             "hcp_360": (["hcp_profile"], lambda: G.hcp_360(t("hcp_profile"))),

@@ -98,7 +98,7 @@ def _emerging(lh: Lakehouse) -> DataFrame:
 
 @register("latest_note")
 def _latest_note(lh: Lakehouse) -> DataFrame:
-    return G.latest_note(G.msl_rollup(lh.table("silver_extracted"), lh.settings))
+    return G.latest_note(G.msl_rollup(lh.table("note_rollup"), lh.settings))
 
 
 @register("open_inquiries")

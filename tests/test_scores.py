@@ -84,7 +84,7 @@ def fixture(spark):
     hcp = S.silver_hcp(hcps)
     ext = X.silver_extracted(notes)
     inquiries = S.silver_inquiries(inq, DEFAULT)
-    profile = G.hcp_profile(hcp, ext, inquiries, cg, dig, pubs, DEFAULT)
+    profile = G.hcp_profile(hcp, G.note_rollup(ext, DEFAULT), inquiries, cg, dig, pubs, DEFAULT)
     return {"hcp": hcp, "ext": ext, "inq": inquiries, "profile": profile, "cg": cg, "dig": dig}
 
 
@@ -107,7 +107,7 @@ def test_overdue_three_valued(fixture):
 
 
 def test_interaction_boundaries(fixture):
-    s = by_id(G.interaction_summary(G.msl_rollup(fixture["ext"], DEFAULT)))
+    s = by_id(G.interaction_summary(G.msl_rollup(G.note_rollup(fixture["ext"], DEFAULT), DEFAULT)))
     h1, h2 = s["h1"], s["h2"]
     assert (h1.total_interactions, h1.interactions_30d, h1.interactions_90d) == (4, 2, 4)
     assert h1.avg_duration_min == 27.5            # (30+45+15+20)/4
@@ -117,7 +117,7 @@ def test_interaction_boundaries(fixture):
 
 
 def test_topic_interest_score(fixture):
-    t = {(r.hcp_id, r.topic_category): r for r in G.topic_interest(fixture["ext"], DEFAULT).collect()}
+    t = {(r.hcp_id, r.topic_category): r for r in G.topic_interest(G.note_rollup(fixture["ext"], DEFAULT), DEFAULT).collect()}
     cns = t[("h1", "CNS / Brain Metastases")]
     # mentions 2, current (<=30 d) 1 [day 30], prior (31-60) 1 [day 31], weights High 3 + Medium 2
     assert (cns.mentions, cns.mentions_current_30d, cns.mentions_prior_30d) == (2, 1, 1)
@@ -201,8 +201,8 @@ def test_ties_do_not_depend_on_partitioning(spark):
     results = set()
     for n in (1, 7):
         ext = X.silver_extracted(notes.repartition(n))
-        top = G.top_topic(G.topic_interest(ext, DEFAULT)).collect()[0]
-        latest = G.latest_note(G.msl_rollup(ext, DEFAULT)).collect()[0]
+        top = G.top_topic(G.topic_interest(G.note_rollup(ext, DEFAULT), DEFAULT)).collect()[0]
+        latest = G.latest_note(G.msl_rollup(G.note_rollup(ext, DEFAULT), DEFAULT)).collect()[0]
         results.add((top.top_scientific_topic, latest.recent_question))
     assert results == {("CNS / Brain Metastases", "Requested subgroup analysis")}
 
