@@ -62,10 +62,12 @@ class RegexExtractor:
         evidence_raw = grab(r"regarding (.+?) evidence\.")
         canonical = F.create_map(*[F.lit(x) for e in EVIDENCE_TYPES for x in (e.lower(), e)])
         evidence = F.coalesce(F.element_at(canonical, F.lower(evidence_raw)), first_upper(evidence_raw))
+        low = F.lower(note)
         follow = (F.when(note.contains("Requested a follow-up"), F.lit(True))
                   .when(note.contains("No specific follow-up"), F.lit(False)))
         return F.struct(
-            F.when(note.rlike("(?i)leukemia|lymphoma|myeloma"), F.lit("Hematology-Oncology"))
+            F.when(low.contains("leukemia") | low.contains("lymphoma") | low.contains("myeloma"),
+                   F.lit("Hematology-Oncology"))
             .when(note.isNotNull(), F.lit("Oncology")).alias("therapeutic_area"),
             grab(r"to discuss (.+) for \S+ \(").alias("scientific_topic"),
             grab(r"interest appeared \w+\. (.+?) regarding ").alias("information_need"),
@@ -79,9 +81,17 @@ class RegexExtractor:
             evidence.alias("evidence_type_requested"),
         )
 
+    def _source(self, df: DataFrame, prompt_col: str) -> Column:
+        return F.col(self.source_col if self.source_col in df.columns else prompt_col)
+
     def apply(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
-        src = self.source_col if self.source_col in df.columns else prompt_col
-        return df.withColumn("extracted_raw", F.to_json(self.fields(F.col(src))))
+        """The response text (JSON), as any extractor returns it."""
+        return df.withColumn("extracted_raw", F.to_json(self.fields(self._source(df, prompt_col))))
+
+    def parsed(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
+        """The parsed struct directly: parsing this extractor's own JSON is the identity,
+        so the table path skips the text round trip."""
+        return df.withColumn("j", self.fields(self._source(df, prompt_col)))
 
 
 class BatchModelExtractor:
@@ -150,8 +160,12 @@ def apply_defaults(df: DataFrame, parsed: str = "j") -> DataFrame:
 def silver_extracted(interactions: DataFrame, extractor=None) -> DataFrame:
     """The composed extraction table, one row per interaction."""
     extractor = extractor or RegexExtractor()
-    raw = extractor.apply(extract_prompt(interactions))
-    parsed = raw.withColumn("j", parse_response(clean_json(F.col("extracted_raw"))))
+    prompts = extract_prompt(interactions)
+    if hasattr(extractor, "parsed"):
+        parsed = extractor.parsed(prompts)
+    else:
+        raw = extractor.apply(prompts)
+        parsed = raw.withColumn("j", parse_response(clean_json(F.col("extracted_raw"))))
     fixed = apply_defaults(parsed)
     return fixed.withColumn("topic_category", classify_topic(F.col("scientific_topic")))
 
