@@ -80,10 +80,26 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+def topic_frame(notes_r: DataFrame, s: Settings) -> DataFrame:
+    """Per (HCP, topic): the partials plus the rounded interest weight and score."""
+    avg_w = quotient(F.col("w_sum"), F.col("n"))
+    score = (F.col("n") * s.topic_w_mentions + F.col("n30") * s.topic_w_current
+             + avg_w * s.topic_w_interest)
+    return notes_r.withColumn("avg_w_dec", F.round(avg_w, 2)).withColumn("score_dec", F.round(score, 1))
+
+
 def msl_rollup(notes_r: DataFrame, s: Settings) -> DataFrame:
-    """Per-HCP note aggregates (G5, G8, latest-note signals) from :func:`note_rollup`."""
+    """Per-HCP note aggregates from :func:`note_rollup`: cadence (G5, G8), latest-note
+    signals (G9c), top topic (G9a) and emerging topics (G9b) in one aggregate.
+
+    Keeping every per-HCP note signal in one aggregate means a plan joins the
+    notes to the HCP master once; separate consumers of one rollup are pruned
+    to different columns and would no longer be reused as one exchange.
+    """
+    t = topic_frame(notes_r, s)
     last = F.max("last_date")
-    return notes_r.groupBy("hcp_id").agg(
+    emerging = F.array_sort(F.collect_set(F.when(F.col("n30") > F.col("n31_60"), F.col("topic_category"))))
+    return t.groupBy("hcp_id").agg(
         F.sum("n").alias("total_interactions"),
         F.sum("n30").alias("interactions_30d"),
         F.sum("n90").alias("interactions_90d"),
@@ -95,7 +111,10 @@ def msl_rollup(notes_r: DataFrame, s: Settings) -> DataFrame:
         F.count("topic_category").alias("distinct_topics"),
         F.max("max_sentiment").alias("sample_sentiment"),
         F.max_by("latest", "latest_key").alias("latest"),
-    )
+        F.min_by(F.struct(F.col("topic_category").alias("topic"), F.col("score_dec").alias("score")),
+                 F.struct(-F.col("score_dec"), -F.col("n"), F.col("topic_category"))).alias("top"),
+        emerging.alias("emerging_all"),
+    ).withColumn("emerging_topics", F.when(F.size("emerging_all") > 0, F.col("emerging_all"))).drop("emerging_all")
 
 
 def interaction_summary(msl_r: DataFrame) -> DataFrame:
@@ -113,17 +132,14 @@ def latest_note(msl_r: DataFrame) -> DataFrame:
 
 def topic_interest(notes_r: DataFrame, s: Settings) -> DataFrame:
     """Per HCP and topic: mentions, 30-day vs prior 30-day, interest weight, score."""
-    avg_w = quotient(F.col("w_sum"), F.col("n"))
-    score = (F.col("n") * s.topic_w_mentions + F.col("n30") * s.topic_w_current
-             + avg_w * s.topic_w_interest)
-    return notes_r.select(
+    return topic_frame(notes_r, s).select(
         "hcp_id", "topic_category",
         F.col("n").alias("mentions"),
         F.col("n30").alias("mentions_current_30d"),
         F.col("n31_60").alias("mentions_prior_30d"),
-        _dbl(F.round(avg_w, 2)).alias("avg_interest_weight"),
+        _dbl(F.col("avg_w_dec")).alias("avg_interest_weight"),
         F.col("last_date").alias("last_mention_date"),
-        _dbl(F.round(score, 1)).alias("topic_interest_score"),
+        _dbl(F.col("score_dec")).alias("topic_interest_score"),
     )
 
 
@@ -195,36 +211,47 @@ def pubs_tracked(publications: DataFrame) -> DataFrame:
         F.count(F.when(F.col("record_type") == "Clinical Trial", 1)).alias("trials_tracked"))
 
 
-# --------------------------------------------------------------------------- G8
+# --------------------------------------------------------------------------- G8-G11
+
+def rollup_frame(hcp: DataFrame, msl_r: DataFrame, dig_r: DataFrame, cg_r: DataFrame, inq_r: DataFrame,
+                 pubs_r: DataFrame | None = None) -> DataFrame:
+    """The HCP master with each rollup left-joined exactly once on ``hcp_id``."""
+    j = (hcp.join(msl_r, "hcp_id", "left").join(dig_r, "hcp_id", "left")
+         .join(cg_r, "hcp_id", "left").join(inq_r, "hcp_id", "left"))
+    return j if pubs_r is None else j.join(pubs_r, "hcp_id", "left")
+
+
+def _z(c) -> Column:
+    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0))
+
 
-def _channel_frame(hcp: DataFrame, dig_r: DataFrame, msl_r: DataFrame, cg_r: DataFrame,
-                   inq_r: DataFrame, s: Settings) -> DataFrame:
+def _open_rate() -> Column:
+    return F.round(quotient(_z("emails_opened"), F.col("emails_sent")), 3)
+
+
+def _channel_columns(s: Settings) -> dict[str, Column]:
     floor = F.lit(s.last_engagement_floor)
-    m = msl_r.select("hcp_id", F.col("total_interactions").alias("m_n"), "avg_duration_dec",
-                     F.col("last_interaction_date").alias("last_msl_date"))
-    cg = cg_r.select("hcp_id", F.col("sessions_attended").alias("cg_att"), "last_congress_date")
-    inq = inq_r.select("hcp_id", F.col("medical_inquiries").alias("inq_n"), "last_inquiry_date")
-    j = (hcp.join(dig_r, "hcp_id", "left").join(m, "hcp_id", "left")
-         .join(cg, "hcp_id", "left").join(inq, "hcp_id", "left"))
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    used = lambda c: F.when(z(c) > 0, 1).otherwise(0)
-    return j.select(
-        *hcp.columns,
-        z("m_n").alias("msl_interactions"),
-        F.col("avg_duration_dec").alias("avg_msl_duration_dec"),
-        z("emails_sent").alias("emails_sent"),
-        z("emails_opened").alias("emails_opened"),
-        F.round(quotient(z("emails_opened"), F.col("emails_sent")), 3).alias("open_rate_dec"),
-        z("webpage_clicks").alias("webpage_clicks"),
-        z("webinars_attended").alias("webinars_attended"),
-        z("cg_att").alias("congress_sessions_attended"),
-        z("inq_n").alias("medical_inquiries"),
-        (used("m_n") + used("emails_sent") + used("cg_att") + used("inq_n")).alias("channels_used"),
-        "last_msl_date", "last_digital_date", "last_congress_date", "last_inquiry_date",
-        F.greatest(F.coalesce("last_msl_date", floor), F.coalesce("last_digital_date", floor),
-                   F.coalesce("last_congress_date", floor), F.coalesce("last_inquiry_date", floor))
-        .alias("last_any_engagement"),
-    )
+    used = lambda c: F.when(_z(c) > 0, 1).otherwise(0)
+    return {
+        "msl_interactions": _z("total_interactions"),
+        "avg_msl_duration_min": _dbl(F.col("avg_duration_dec")),
+        "emails_sent": _z("emails_sent"),
+        "emails_opened": _z("emails_opened"),
+        "email_open_rate": _dbl(_open_rate()),
+        "webpage_clicks": _z("webpage_clicks"),
+        "webinars_attended": _z("webinars_attended"),
+        "congress_sessions_attended": _z("sessions_attended"),
+        "medical_inquiries": _z("medical_inquiries"),
+        "channels_used": (used("total_interactions") + used("emails_sent") + used("sessions_attended")
+                          + used("medical_inquiries")),
+        "last_msl_date": F.col("last_interaction_date"),
+        "last_digital_date": F.col("last_digital_date"),
+        "last_congress_date": F.col("last_congress_date"),
+        "last_inquiry_date": F.col("last_inquiry_date"),
+        "last_any_engagement": F.greatest(
+            F.coalesce("last_interaction_date", floor), F.coalesce("last_digital_date", floor),
+            F.coalesce("last_congress_date", floor), F.coalesce("last_inquiry_date", floor)),
+    }
 
 
 CHANNEL_COLUMNS = ["hcp_id", "hcp_name", "territory", "specialty", "msl_interactions",
@@ -236,69 +263,53 @@ CHANNEL_COLUMNS = ["hcp_id", "hcp_name", "territory", "specialty", "msl_interact
 
 def channel_engagement(hcp, dig_r, msl_r, cg_r, inq_r, s: Settings) -> DataFrame:
     """Omnichannel roll-up per HCP of the master."""
-    f = _channel_frame(hcp, dig_r, msl_r, cg_r, inq_r, s)
-    return (f.withColumn("avg_msl_duration_min", _dbl(F.col("avg_msl_duration_dec")))
-            .withColumn("email_open_rate", _dbl(F.col("open_rate_dec")))
-            .select(*CHANNEL_COLUMNS))
-
+    cols = _channel_columns(s)
+    j = rollup_frame(hcp, msl_r, dig_r, cg_r, inq_r)
+    return j.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in CHANNEL_COLUMNS])
 
-# --------------------------------------------------------------------------- G9-G11
 
 def hcp_profile(hcp: DataFrame, notes_r: DataFrame, inquiries: DataFrame, congress: DataFrame,
                 digital: DataFrame, publications: DataFrame, s: Settings) -> DataFrame:
     """Wide per-HCP frame from which G9, G10 and G11 are projected."""
-    msl_r = msl_rollup(notes_r, s)
-    topics = topic_interest(notes_r, s)
-    cg_r = congress_rollup(congress)
-    inq_r = inquiry_rollup(inquiries)
-    ch = _channel_frame(hcp, digital_rollup(digital), msl_r, cg_r, inq_r, s).select(
-        *hcp.columns, F.col("msl_interactions").alias("ch_msl"), "avg_msl_duration_dec", "open_rate_dec",
-        F.col("webinars_attended").alias("ch_webinars"), F.col("webpage_clicks").alias("ch_clicks"),
-        F.col("medical_inquiries").alias("ch_inq"), F.col("channels_used").alias("ch_used"),
-        "last_any_engagement")
-    mi = msl_r.select("hcp_id", "interactions_30d", "interactions_90d", "interactions_180d",
-                      "days_since_last_interaction", F.col("follow_ups_requested").alias("mi_fu"),
-                      "latest")
-    cg = cg_r.select("hcp_id", F.col("sessions_attended").alias("cg_att"))
-    oi = inq_r.select("hcp_id", F.col("open_inquiries").alias("oi_n"), F.col("overdue_inquiries").alias("ov_n"))
-    # the channel frame already holds one row per master HCP: join the rest onto it
-    j = (ch.join(mi, "hcp_id", "left").join(cg, "hcp_id", "left")
-         .join(top_topic(topics), "hcp_id", "left").join(emerging_topics(topics), "hcp_id", "left")
-         .join(oi, "hcp_id", "left").join(pubs_tracked(publications), "hcp_id", "left"))
-
-    z = lambda c: F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0))
-    rate = F.coalesce(F.col("open_rate_dec"), dec("0.000"))
+    j = rollup_frame(hcp, msl_rollup(notes_r, s), digital_rollup(digital), congress_rollup(congress),
+                     inquiry_rollup(inquiries), pubs_tracked(publications))
+    ch = _channel_columns(s)
+    z = _z
+    rate = F.coalesce(_open_rate(), dec("0.000"))
     days = F.coalesce(F.col("days_since_last_interaction"), F.lit(s.never_contacted_days))
+    top_score = F.col("top.score")
     digital_score = F.round(F.least(
-        dec(100), rate * s.digital_w_open_rate + z("ch_webinars") * s.digital_w_webinar
-        + F.least(z("ch_clicks"), F.lit(s.digital_click_cap)) * dec("1.0")), 1)
+        dec(100), rate * s.digital_w_open_rate + z("webinars_attended") * s.digital_w_webinar
+        + F.least(z("webpage_clicks"), F.lit(s.digital_click_cap)) * dec("1.0")), 1)
     need = F.round(F.least(
-        dec(100), z("oi_n") * s.need_w_open_inquiry + z("mi_fu") * s.need_w_follow_up
-        + F.coalesce(d1("top_topic_interest_score"), dec("0.0")) * dec(s.need_w_top_topic)), 1)
+        dec(100), z("open_inquiries") * s.need_w_open_inquiry + z("follow_ups_requested") * s.need_w_follow_up
+        + F.coalesce(top_score, dec("0.0")) * dec(s.need_w_top_topic)), 1)
     engagement = F.round(F.least(
-        dec(100), z("interactions_90d") * s.engage_w_interactions_90d + z("cg_att") * s.engage_w_attended
-        + rate * s.engage_w_open_rate), 1)
+        dec(100), z("interactions_90d") * s.engage_w_interactions_90d
+        + z("sessions_attended") * s.engage_w_attended + rate * s.engage_w_open_rate), 1)
     under = (F.col("influence_score") >= s.influence_threshold) & (days > s.reach_days)
-    window = (F.when(under | (z("oi_n") > 0), F.lit(C.WINDOW_14))
+    window = (F.when(under | (z("open_inquiries") > 0), F.lit(C.WINDOW_14))
               .when(days > s.cadence_days, F.lit(C.WINDOW_30)).otherwise(F.lit(C.WINDOW_60)))
     return j.select(
         "hcp_id", "hcp_name", "specialty", "institution", "city", "state", "territory",
         "practice_setting", "hcp_tier", "primary_therapeutic_area", "publication_count",
         "trial_participation", "influence_score", "npi",
-        z("ch_msl").alias("msl_interactions"),
-        _dbl(F.col("avg_msl_duration_dec")).alias("avg_msl_duration_min"),
+        ch["msl_interactions"].alias("msl_interactions"),
+        ch["avg_msl_duration_min"].alias("avg_msl_duration_min"),
         _dbl(rate).alias("email_open_rate"),
-        z("ch_webinars").alias("webinars_attended"),
-        z("cg_att").alias("congress_sessions_attended"),
-        z("ch_inq").alias("medical_inquiries"),
-        z("ch_used").alias("channels_used"),
-        "last_any_engagement",
+        ch["webinars_attended"].alias("webinars_attended"),
+        ch["congress_sessions_attended"].alias("congress_sessions_attended"),
+        ch["medical_inquiries"].alias("medical_inquiries"),
+        ch["channels_used"].alias("channels_used"),
+        ch["last_any_engagement"].alias("last_any_engagement"),
         z("interactions_30d").alias("interactions_30d"),
         z("interactions_90d").alias("interactions_90d"),
         z("interactions_180d").alias("interactions_180d"),
         days.alias("days_since_last_msl"),
-        z("mi_fu").alias("follow_ups_requested"),
-        "top_scientific_topic", "top_topic_interest_score", "emerging_topics",
+        z("follow_ups_requested").alias("follow_ups_requested"),
+        F.col("top.topic").alias("top_scientific_topic"),
+        _dbl(top_score).alias("top_topic_interest_score"),
+        "emerging_topics",
         F.col("latest.recent_question").alias("recent_question"),
         F.col("latest.recent_evidence_request").alias("recent_evidence_request"),
         F.col("latest.recent_competitor_interest").alias("recent_competitor_interest"),
@@ -308,10 +319,10 @@ def hcp_profile(hcp: DataFrame, notes_r: DataFrame, inquiries: DataFrame, congre
         _dbl(need).alias("educational_need_score"),
         _dbl(engagement).alias("engagement_score"),
         under.alias("under_engaged_priority"),
-        _dbl(F.col("avg_msl_duration_dec")).alias("avg_engagement_duration"),
+        ch["avg_msl_duration_min"].alias("avg_engagement_duration"),
         F.coalesce(F.col("latest.preferred_channel"), F.lit(C.DEFAULT_CHANNEL)).alias("preferred_engagement_channel"),
         window.alias("recommended_follow_up_window"),
-        z("ov_n").alias("overdue_inquiries"),
+        z("overdue_inquiries").alias("overdue_inquiries"),
     )
 
 
