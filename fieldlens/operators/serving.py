@@ -65,11 +65,18 @@ def decisions(df: DataFrame) -> DataFrame:
         F.current_timestamp().alias("reviewed_at"))
 
 
+def path_has_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its file system (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    try:
+    if path_has_files(spark, path):
         return spark.read.schema(REVIEW_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - an empty log has no files yet
-        return spark.createDataFrame([], REVIEW_SCHEMA)
+    return spark.createDataFrame([], REVIEW_SCHEMA)  # an empty log has no files yet
 
 
 def append_reviews(spark: SparkSession, new: DataFrame, path: str) -> None:

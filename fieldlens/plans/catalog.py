@@ -26,10 +26,12 @@ BRONZE = {f"bronze_{f}": f for f in FEEDS}
 
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT,
-                 extractor=None, bronze_paths: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, settings: Settings = DEFAULT,
+                 extractor=None, bronze_paths: dict[str, str] | None = None,
+                 extract_cache: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.extract_cache = extract_cache
         self.settings = settings
         self.extractor = extractor
         self.star = StarTables(spark, sf_dir)
@@ -51,8 +53,7 @@ class Lakehouse:
             "silver_content": (["bronze_approved_content"], lambda: S.silver_content(t("bronze_approved_content"))),
             "silver_content_shared": (["bronze_content_shared"],
                                       lambda: S.silver_content_shared(t("bronze_content_shared"))),
-            "silver_extracted": (["bronze_msl_interactions"],
-                                 lambda: X.silver_extracted(t("bronze_msl_interactions"), self.extractor)),
+            "silver_extracted": (["bronze_msl_interactions"], self._extracted),
             "gold_inquiries": (["silver_inquiries"], lambda: G.gold_inquiries(t("silver_inquiries"))),
             "gold_publications": (["silver_publications"], lambda: G.gold_passthrough(t("silver_publications"))),
             "gold_content": (["silver_content"], lambda: G.gold_passthrough(t("silver_content"))),
@@ -83,6 +84,18 @@ class Lakehouse:
                 t("hcp_profile"), t("silver_claims"), s)),
         }
 
+    def _extracted(self) -> DataFrame:
+        notes = self.table("bronze_msl_interactions")
+        if not self.extract_cache:
+            return X.silver_extracted(notes, self.extractor)
+        # incremental: only notes whose hash is not cached go to the extractor
+        from ..operators.serving import path_has_files
+
+        cache = self.spark.read.parquet(self.extract_cache) if path_has_files(self.spark, self.extract_cache) else None
+        table, new_rows = X.extract_incremental(notes, cache, self.extractor)
+        new_rows.write.mode("append").parquet(self.extract_cache)
+        return table
+
     # -- resolution ---------------------------------------------------------
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -93,7 +106,13 @@ class Lakehouse:
         if name in BRONZE:
             feed = BRONZE[name]
             if feed in self.bronze_paths:
-                return self.spark.read.parquet(self.bronze_paths[feed])
+                from ..operators.serving import path_has_files
+                from ..sources.feeds import bronze_schema
+
+                path = self.bronze_paths[feed]
+                if path_has_files(self.spark, path):
+                    return self.spark.read.schema(bronze_schema(feed)).parquet(path)
+                return self.spark.createDataFrame([], bronze_schema(feed))  # nothing landed yet
             return bind_feed(self.star, feed, self.settings)
         if name not in self.builders:
             raise KeyError(f"unknown table {name!r}")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
+    BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType,
 )
 
 _TYPES = {"STRING": StringType(), "INT": IntegerType(), "DOUBLE": DoubleType(), "DATE": DateType(),
@@ -75,6 +75,12 @@ def feed_schema(feed: str, with_rescue: bool = True) -> StructType:
     return StructType(fields)
 
 
+def bronze_schema(feed: str) -> StructType:
+    """Schema of a bronze table: the feed, the rescue column and the lineage columns."""
+    return StructType(feed_schema(feed).fields + [StructField("_ingested_at", TimestampType(), True),
+                                                  StructField("_source_file", StringType(), True)])
+
+
 def feed_columns(feed: str) -> list[str]:
     return [n for n, _ in _fields(feed)]
 
