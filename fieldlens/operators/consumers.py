@@ -212,8 +212,6 @@ def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame) ->
     whose content_id is NULL gets no recommendation.
     """
     approved = content.filter(F.col("approval_status") == "Approved")
-    ranked = approved.withColumn("cand_rank", F.row_number().over(
-        Window.partitionBy("topic_category").orderBy(F.desc("approval_date"), F.desc("content_id"))))
     shares = shared.select("hcp_id", "content_id")
     has_null = (shares.groupBy("hcp_id")
                 .agg(F.max(F.col("content_id").isNull().cast("int")).alias("has_null_share")))
@@ -222,6 +220,13 @@ def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame) ->
                 .join(approved.select("content_id", "topic_category"), "content_id")
                 .join(tops, ["hcp_id", "topic_category"])
                 .groupBy("hcp_id").agg(F.count(F.lit(1)).alias("k")))
+    # No HCP needs a rank beyond max(k) + 1. With that bound as a literal, Spark
+    # plans a partial WindowGroupLimit below the shuffle, so each topic's sort
+    # sees at most that many assets per map task instead of the whole catalogue.
+    max_rank = (blocking.agg(F.max("k")).first()[0] or 0) + 1
+    ranked = (approved.withColumn("cand_rank", F.row_number().over(
+        Window.partitionBy("topic_category").orderBy(F.desc("approval_date"), F.desc("content_id"))))
+        .filter(F.col("cand_rank") <= max_rank))
     cands = (tops.join(blocking, "hcp_id", "left").join(has_null, "hcp_id", "left")
              .filter(F.coalesce("has_null_share", F.lit(0)) == 0)
              .select("hcp_id", "topic_category",
