@@ -26,11 +26,31 @@ def first_upper(s: Column) -> Column:
     return F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))
 
 
+_REGEX_SPECIAL = set("\\^$.|?*+()[]{}")
+
+
+def literal_alternatives(pattern: str) -> list[str] | None:
+    """The words of a pattern that is a plain alternation of literals, else None."""
+    words = pattern.split("|")
+    return None if any(set(w) & _REGEX_SPECIAL for w in words) else words
+
+
+def matches(s: Column, pattern: str) -> Column:
+    """``s RLIKE pattern``; a literal alternation runs as substring tests (same result, no regex)."""
+    words = literal_alternatives(pattern)
+    if words is None:
+        return s.rlike(pattern)
+    out = s.contains(words[0])
+    for w in words[1:]:
+        out = out | s.contains(w)
+    return out
+
+
 def classify_topic(topic: Column) -> Column:
-    """Ordered regex cascade on lower(topic); first match wins (substring search)."""
+    """Ordered cascade of the topic rules on lower(topic); first match wins (substring search)."""
     low = F.lower(topic)
     expr = None
     for pattern, label in TOPIC_RULES:
-        expr = (F.when(low.rlike(pattern), F.lit(label)) if expr is None
-                else expr.when(low.rlike(pattern), F.lit(label)))
+        hit = matches(low, pattern)
+        expr = F.when(hit, F.lit(label)) if expr is None else expr.when(hit, F.lit(label))
     return expr.otherwise(F.lit(TOPIC_DEFAULT))
