@@ -14,6 +14,12 @@ def _v(x: str) -> str:
     return f"CAST({x} AS VARCHAR)"
 
 
+def _line_id(prefix: str) -> str:
+    """order-line-part-supplier-shipday: unique for every lineitem row."""
+    return (f"{prefix}{_v('l_orderkey')} || '-' || {_v('l_linenumber')} || '-' || {_v('l_partkey')} || '-' "
+            f"|| {_v('l_suppkey')} || '-' || strftime(l_shipdate, '%Y%m%d')")
+
+
 def _lineage(feed: str) -> str:
     return f"{HCP_CURRENT} AS _ingested_at, {q('bound:' + feed)} AS _source_file"
 
@@ -70,10 +76,11 @@ def _note() -> str:
 
 BRONZE_NOTES = f"""
   WITH j AS (
-    SELECT l_orderkey AS ok, l_partkey AS pk, l_suppkey AS sk, l_linenumber, o_custkey,
+    SELECT {_line_id('')} AS interaction_id,
+      l_orderkey AS ok, l_partkey AS pk, l_suppkey AS sk, o_custkey,
       CAST(l_shipdate AS DATE) AS ship
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_linestatus = 'O' AND l_returnflag = 'R' AND l_linenumber <= 2),
+    WHERE l_linenumber IN (1, 2)),
   f AS (
     SELECT *,
       {pick(C.CHANNELS, 'sk % 5')} AS channel,
@@ -89,10 +96,10 @@ BRONZE_NOTES = f"""
       (pk % 20) < 9 AS follow_up,
       CASE WHEN pk % 11 = 0 THEN chr(10) || 'HCP added: "please send the slide deck".' ELSE '' END AS remark
     FROM j)
-  SELECT {_v('ok')} || '-' || {_v('l_linenumber')} || '-' || {_v('pk')} || '-' || {_v('sk')} AS interaction_id,
+  SELECT interaction_id,
     {_v('o_custkey')} AS hcp_id,
     'MSL-' || {_v('sk % 8 + 1')} AS msl_name,
-    {AS_OF} - CAST(date_diff('day', ship, DATE '2001-11-04') % 270 AS INTEGER) AS interaction_date,
+    {AS_OF} - CAST(date_diff('day', ship, DATE '2001-11-04') % 1500 AS INTEGER) AS interaction_date,
     channel,
     CAST(15 * (1 + pk % 4) AS INTEGER) AS duration_minutes,
     {_note()} AS raw_notes,
@@ -102,18 +109,21 @@ BRONZE_NOTES = f"""
 BRONZE_INQUIRIES = f"""
   WITH o AS (
     SELECT o_orderkey AS ok, o_custkey AS ck, o_orderstatus,
-      {AS_OF} - CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') % 240 AS INTEGER) AS idate,
-      CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'In Progress' END AS status,
+      {AS_OF} - CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') % 720 AS INTEGER) AS idate,
       [2, 3, 5][o_orderkey % 3 + 1] AS target,
       o_orderkey % 4 AS prod,
       o_orderkey // 4 AS sel
-    FROM orders
-    WHERE (o_orderkey + o_custkey) % 8 = 0 OR (o_orderstatus = 'F' AND (o_orderkey + o_custkey) % 7 = 0)),
+    FROM orders),
+  s AS (
+    SELECT *,
+      CASE WHEN o_orderstatus = 'F' OR date_diff('day', idate, {AS_OF}) > 60 THEN 'Closed'
+           WHEN o_orderstatus = 'O' THEN 'Open' WHEN o_orderstatus = 'P' THEN 'In Progress' END AS status
+    FROM o),
   r AS (
     SELECT *,
-      CASE WHEN o_orderstatus = 'F' THEN 1 + ok % 7 ELSE date_diff('day', idate, {AS_OF}) END AS response,
+      CASE WHEN status = 'Closed' THEN 1 + ok % 7 ELSE date_diff('day', idate, {AS_OF}) END AS response,
       CASE prod WHEN 0 THEN sel % 5 WHEN 1 THEN 5 + sel % 2 WHEN 2 THEN 7 ELSE 8 END AS pi
-    FROM o)
+    FROM s)
   SELECT 'INQ-' || {_v('ok')} AS inquiry_id, {_v('ck')} AS hcp_id, idate AS inquiry_date,
     {pick(C.INQUIRY_TOPICS, '(ok // 12) % 9')} AS inquiry_topic,
     {pick(C.EVIDENCE_TYPES, 'ck % 8')} AS evidence_type_requested,
@@ -128,11 +138,12 @@ BRONZE_INQUIRIES = f"""
 
 BRONZE_CONGRESS = f"""
   WITH j AS (
-    SELECT l_orderkey AS ok, l_partkey AS pk, l_suppkey AS sk, o_custkey,
+    SELECT {_line_id("'CE-' || ")} AS event_attendance_id,
+      l_partkey AS pk, l_suppkey AS sk, o_custkey,
       CASE l_returnflag WHEN 'A' THEN 'Attended' WHEN 'R' THEN 'Registered' WHEN 'N' THEN 'No-show' END AS status
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_linestatus = 'F' AND l_linenumber = 3)
-  SELECT 'CE-' || {_v('ok')} || '-' || {_v('pk')} || '-' || {_v('sk')} AS event_attendance_id,
+    WHERE l_linenumber IN (3, 4))
+  SELECT event_attendance_id,
     {_v('o_custkey')} AS hcp_id,
     {pick(C.CONGRESS_EVENTS, 'sk % 7')} AS event_name,
     {AS_OF} - CAST(50 * (sk % 7) AS INTEGER) AS event_date,
@@ -147,9 +158,11 @@ BRONZE_DIGITAL = f"""
   SELECT 'DIG-' || {_v('event_id')} AS engagement_id,
     {_v('user_id * 10 + event_id % 8')} AS hcp_id,
     CAST(ts AS DATE) AS activity_date,
-    CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 2 WHEN 'click' THEN 3 END
+    CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 2 WHEN 'click' THEN 3
+              WHEN 'error' THEN 1 END
          AS INTEGER) AS emails_sent,
-    CAST(CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN 1 WHEN 'view' THEN 1 WHEN 'click' THEN 2 END
+    CAST(CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN 1 WHEN 'view' THEN 1 WHEN 'click' THEN 2
+              WHEN 'error' THEN 0 END
          AS INTEGER) AS emails_opened,
     'Digital asset ' || {_v('event_id % 25')} AS content_title,
     CASE WHEN event_type = 'signup' THEN 'Webinar' WHEN event_type = 'view' THEN 'Web page' ELSE 'Email' END
@@ -158,7 +171,7 @@ BRONZE_DIGITAL = f"""
     (event_type = 'signup' AND event_id % 2 = 0) AS attended_webinar,
     CAST(CAST(floor(value) AS INTEGER) % 46 AS INTEGER) AS content_minutes_viewed,
     {_lineage('digital_engagement')}
-  FROM events WHERE event_type <> 'error'"""
+  FROM events"""
 
 BRONZE_PUBLICATIONS = f"""
   SELECT 'PUB-' || {_v('p_partkey')} AS record_id,
@@ -195,7 +208,8 @@ BRONZE_CLAIMS = f"""
 
 def _content_cols(pk: str) -> str:
     return (f"'CNT-' || {_v(pk)} AS content_id, "
-            f"{pick(TB.BOUND_CATEGORIES, pk + ' % 9')} || ': ' || p_name AS content_title, "
+            f"{pick(TB.BOUND_CATEGORIES, pk + ' % 9')} || ': ' || {pick(TB.CONTENT_TYPES, pk + ' % 5')} "
+            f"|| ' ' || {_v(pk)} AS content_title, "
             f"{pick(TB.CONTENT_TYPES, pk + ' % 5')} AS content_type, "
             f"{pick(TB.BOUND_CATEGORIES, pk + ' % 9')} AS topic_category")
 
@@ -208,18 +222,18 @@ BRONZE_CONTENT = f"""
     CASE WHEN p_partkey % 17 = 0 THEN 'Expired' ELSE 'Approved' END AS approval_status,
     'MRC-' || {_v('p_partkey')} AS med_review_id,
     {_lineage('approved_content')}
-  FROM part WHERE p_size <= 5"""
+  FROM part"""
 
 BRONZE_SHARED = f"""
-  SELECT 'SHR-' || {_v('l_orderkey')} || '-' || {_v('p_partkey')} || '-' || {_v('l_suppkey')} AS share_id,
+  SELECT {_line_id("'SHR-' || ")} AS share_id,
     {_v('o_custkey')} AS hcp_id,
-    {_content_cols('p_partkey')},
+    {_content_cols('l_partkey')},
     {AS_OF} - CAST(l_orderkey % 200 AS INTEGER) AS shared_date,
     'MSL-' || {_v('l_suppkey % 8 + 1')} AS shared_by_msl,
     {pick(TB.SHARE_CHANNELS, 'l_suppkey % 3')} AS share_channel,
     {_lineage('content_shared')}
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE l_linenumber = 5 AND p_size <= 5 AND p_partkey % 17 <> 0"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE l_linenumber >= 5"""
 
 BRONZE_SQL = {
     "bronze_hcp_master": BRONZE_HCP,
