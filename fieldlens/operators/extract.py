@@ -42,11 +42,40 @@ def note_hash(col: Column) -> Column:
     return F.sha2(F.coalesce(col, F.lit("")), 256)
 
 
+# Per-field search patterns of the note template (any text: first match wins).
+FIELD_PATTERNS = {
+    "preferred_channel": r"via (\S+) to discuss",
+    "scientific_topic": r"to discuss (.+) for \S+ \(",
+    "product_or_indication": r" for (\S+ \(.*\) in .+?)\. Overall tone",
+    "sentiment": r"Overall tone was (\w+)",
+    "interest_level": r"interest appeared (\w+)",
+    "information_need": r"interest appeared \w+\. (.+?) regarding ",
+    "evidence_type_requested": r"regarding (.+?) evidence\.",
+    "competitor_mentioned": r"experience with (.+?) and asked",
+}
+# The same fields in one anchored pass over a note that follows the template,
+# groups in FIELD_PATTERNS order. On template notes each group equals the
+# per-field pattern's capture (every separator occurs once); the trailing
+# [\s\S]* consumes the rest so the replacement is exactly the packed groups.
+TEMPLATE_PATTERN = (
+    r"^Met with the HCP via (\S+) to discuss (.+?) for (\S+ \(.*\) in .+?)\. Overall tone was (\w+)"
+    r" and scientific interest appeared (\w+)\. (.+?) regarding (.+?) evidence\."
+    r"(?: HCP compared experience with (.+?) and asked how our data differs\.)?[\s\S]*"
+)
+_SEP = "\u0001"
+
+
 class RegexExtractor:
     """Deterministic extractor for the field-note sentence template.
 
     It reads the note column itself rather than the prompt: the instruction
     prefix carries no fields, and skipping it keeps every pattern scan short.
+
+    A note that follows the template is parsed by one anchored regex pass
+    (``regexp_replace`` packs the groups, ``split`` unpacks them); any other
+    note falls back to one search per field. Both run JVM-side in codegen, and
+    the captures are projected once before the struct is built, so no pattern
+    runs twice per note.
     """
 
     name = "regex"
@@ -55,11 +84,21 @@ class RegexExtractor:
         self.source_col = source_col
 
     @staticmethod
-    def fields(note: Column) -> Column:
-        def grab(pattern: str) -> Column:
-            return F.nullif(F.regexp_extract(note, pattern, 1), F.lit(""))
+    def captures(df: DataFrame, note: Column) -> DataFrame:
+        """``df`` plus one ``_cap_<field>`` column per pattern (NULL when absent)."""
+        packed = F.when(~note.contains(_SEP), F.split(
+            F.regexp_replace(note, TEMPLATE_PATTERN, _SEP.join(f"${i}" for i in range(1, 9))), _SEP))
+        staged = df.withColumn("_cap_packed", packed)
+        fast = F.size("_cap_packed") == len(FIELD_PATTERNS)
+        caps = [F.when(fast, F.nullif(F.element_at("_cap_packed", i + 1), F.lit("")))
+                .otherwise(F.nullif(F.regexp_extract(note, pattern, 1), F.lit(""))).alias(f"_cap_{name}")
+                for i, (name, pattern) in enumerate(FIELD_PATTERNS.items())]
+        return staged.select("*", *caps).drop("_cap_packed")
 
-        evidence_raw = grab(r"regarding (.+?) evidence\.")
+    @staticmethod
+    def struct_from_captures(note: Column) -> Column:
+        cap = lambda name: F.col(f"_cap_{name}")
+        evidence_raw = cap("evidence_type_requested")
         canonical = F.create_map(*[F.lit(x) for e in EVIDENCE_TYPES for x in (e.lower(), e)])
         evidence = F.coalesce(F.element_at(canonical, F.lower(evidence_raw)), first_upper(evidence_raw))
         low = F.lower(note)
@@ -69,29 +108,33 @@ class RegexExtractor:
             F.when(low.contains("leukemia") | low.contains("lymphoma") | low.contains("myeloma"),
                    F.lit("Hematology-Oncology"))
             .when(note.isNotNull(), F.lit("Oncology")).alias("therapeutic_area"),
-            grab(r"to discuss (.+) for \S+ \(").alias("scientific_topic"),
-            grab(r"interest appeared \w+\. (.+?) regarding ").alias("information_need"),
-            grab(r" for (\S+ \(.*\) in .+?)\. Overall tone").alias("product_or_indication"),
-            first_upper(grab(r"Overall tone was (\w+)")).alias("sentiment"),
-            first_upper(grab(r"interest appeared (\w+)")).alias("interest_level"),
+            cap("scientific_topic").alias("scientific_topic"),
+            cap("information_need").alias("information_need"),
+            cap("product_or_indication").alias("product_or_indication"),
+            first_upper(cap("sentiment")).alias("sentiment"),
+            first_upper(cap("interest_level")).alias("interest_level"),
             follow.alias("follow_up_requested"),
-            F.when(note.isNotNull(), F.coalesce(grab(r"experience with (.+?) and asked"), F.lit("None")))
+            F.when(note.isNotNull(), F.coalesce(cap("competitor_mentioned"), F.lit("None")))
             .alias("competitor_mentioned"),
-            first_upper(grab(r"via (\S+) to discuss")).alias("preferred_channel"),
+            first_upper(cap("preferred_channel")).alias("preferred_channel"),
             evidence.alias("evidence_type_requested"),
         )
 
-    def _source(self, df: DataFrame, prompt_col: str) -> Column:
-        return F.col(self.source_col if self.source_col in df.columns else prompt_col)
+    def _with_struct(self, df: DataFrame, prompt_col: str, out: str, to_text: bool) -> DataFrame:
+        note = F.col(self.source_col if self.source_col in df.columns else prompt_col)
+        staged = self.captures(df, note)
+        s = self.struct_from_captures(note)
+        return staged.withColumn(out, F.to_json(s) if to_text else s).drop(
+            *[f"_cap_{name}" for name in FIELD_PATTERNS])
 
     def apply(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
         """The response text (JSON), as any extractor returns it."""
-        return df.withColumn("extracted_raw", F.to_json(self.fields(self._source(df, prompt_col))))
+        return self._with_struct(df, prompt_col, "extracted_raw", True)
 
     def parsed(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
         """The parsed struct directly: parsing this extractor's own JSON is the identity,
         so the table path skips the text round trip."""
-        return df.withColumn("j", self.fields(self._source(df, prompt_col)))
+        return self._with_struct(df, prompt_col, "j", False)
 
 
 class BatchModelExtractor:

@@ -131,3 +131,27 @@ def test_incremental_extracts_only_new_notes(spark, tmp_dir):
     assert new2.count() == 2
     full = X.silver_extracted(_notes(spark, base))
     assert sorted(map(tuple, table2.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_single_pass_equals_per_field_search(spark):
+    """Template notes take the one-pass parse and give each per-field search's capture;
+    off-template text (and text holding the packing separator) falls back to the searches."""
+    from fieldlens.plans.catalog import Lakehouse
+
+    notes = Lakehouse(spark, "/root/testdata/sf0.001").table("bronze_msl_interactions").select("raw_notes")
+    odd = spark.createDataFrame(
+        [("Call notes: via phone to discuss dosing for Enhertu (T-DXd) in NSCLC. Overall tone was calm",),
+         ("Met with the HCP via email to discuss x for Y (z) in w. Overall tone was good \u0001",),
+         ("",), (None,)], "raw_notes string")
+    df = notes.unionByName(odd)
+    n = F.col("raw_notes")
+    caps = X.RegexExtractor.captures(df, n)
+    packed = F.split(F.regexp_replace(n, X.TEMPLATE_PATTERN, "\u0001".join(f"${i}" for i in range(1, 9))), "\u0001")
+    checks = [F.sum((~F.col(f"_cap_{k}").eqNullSafe(F.nullif(F.regexp_extract(n, p, 1), F.lit("")))).cast("int"))
+              .alias(k) for k, p in X.FIELD_PATTERNS.items()]
+    row = caps.agg(F.sum((F.size(packed) == 8).cast("int")).alias("fast"), *checks).first().asDict()
+    assert row.pop("fast") == notes.count()  # every template note takes the single pass, no odd one does
+    assert row == {k: 0 for k in X.FIELD_PATTERNS}
+    off_template = odd.first().raw_notes
+    got = caps.filter(n == off_template).select("_cap_scientific_topic").first()[0]
+    assert got == "dosing"
