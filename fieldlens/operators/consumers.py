@@ -220,10 +220,15 @@ def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame) ->
                 .join(approved.select("content_id", "topic_category"), "content_id")
                 .join(tops, ["hcp_id", "topic_category"])
                 .groupBy("hcp_id").agg(F.count(F.lit(1)).alias("k")))
-    # No HCP needs a rank beyond max(k) + 1. With that bound as a literal, Spark
+    # No HCP needs a rank beyond max(k) + 1. With a bound as a literal, Spark
     # plans a partial WindowGroupLimit below the shuffle, so each topic's sort
     # sees at most that many assets per map task instead of the whole catalogue.
-    max_rank = (blocking.agg(F.max("k")).first()[0] or 0) + 1
+    # The bound is taken from shares and catalogue alone (distinct approved
+    # assets shared with one HCP >= k), so computing it needs no note extraction.
+    max_shared = (shares.filter(F.col("content_id").isNotNull()).distinct()
+                  .join(approved.select("content_id"), "content_id")
+                  .groupBy("hcp_id").count().agg(F.max("count")).first()[0])
+    max_rank = (max_shared or 0) + 1
     ranked = (approved.withColumn("cand_rank", F.row_number().over(
         Window.partitionBy("topic_category").orderBy(F.desc("approval_date"), F.desc("content_id"))))
         .filter(F.col("cand_rank") <= max_rank))

@@ -20,8 +20,14 @@ class StarTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        # one reader per table and instance: feeds that share a table (lineitem,
+        # orders, customer) reuse its resolved relation instead of listing and
+        # reading the footers again; the plan still scans per consumer
         if name in STAR_TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            if name not in self._read:
+                self._read[name] = read_table(self.spark, self.sf_dir, name)
+            return self._read[name]
         raise AttributeError(name)
