@@ -18,15 +18,33 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+_GRAPHS: dict[tuple, Lakehouse] = {}
+
+
+def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """The table graph for ``sf_dir`` in this application, built once.
+
+    DataFrames are immutable lazy plans, so registered queries over the same
+    tables share one graph (binding, extraction, rollups) instead of rebuilding
+    it through thousands of driver calls per query. Nothing is cached in
+    memory: every action plans and reads the files again. The input tables are
+    immutable snapshots; ``Lakehouse(spark, dir)`` gives a fresh graph.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _GRAPHS:
+        _GRAPHS[key] = Lakehouse(spark, sf_dir)
+    return _GRAPHS[key]
+
+
 def register(key: str):
     def deco(fn: Callable[[Lakehouse], DataFrame]) -> Callable[[Lakehouse], DataFrame]:
-        REGISTRY[key] = lambda spark, sf_dir: fn(Lakehouse(spark, sf_dir))
+        REGISTRY[key] = lambda spark, sf_dir: fn(lakehouse(spark, sf_dir))
         return fn
     return deco
 
 
 def _table(key: str, name: str | None = None) -> None:
-    REGISTRY[key] = lambda spark, sf_dir: Lakehouse(spark, sf_dir).table(name or key)
+    REGISTRY[key] = lambda spark, sf_dir: lakehouse(spark, sf_dir).table(name or key)
 
 
 # ----------------------------------------------------------------------------- silver
