@@ -133,13 +133,37 @@ class Lakehouse:
             visit(n)
         return out
 
+    def levels(self, targets: list[str] | None = None) -> list[list[str]]:
+        """The tables of :meth:`order` grouped by dependency depth: a table's inputs all
+        sit in earlier levels, so the tables of one level are independent."""
+        depth: dict[str, int] = {}
+        for n in self.order(targets):
+            depth[n] = 1 + max((depth.get(d, 0) for d in self.builders[n][0]), default=0)
+        out: list[list[str]] = [[] for _ in range(max(depth.values(), default=0))]
+        for n, d in depth.items():
+            out[d - 1].append(n)
+        return out
+
     # -- full refresh -------------------------------------------------------
-    def refresh(self, out_dir: str, targets: list[str] | None = None) -> dict[str, str]:
-        """Write every needed table once, in dependency order; later tables read the files."""
+    def refresh(self, out_dir: str, targets: list[str] | None = None, parallel: int = 4) -> dict[str, str]:
+        """Write every needed table once, in dependency order; later tables read the files.
+
+        The tables of one dependency level are written by concurrent jobs (up to
+        ``parallel``), so small independent tables share the cluster instead of
+        running one after another. Each written table replaces its in-memory
+        plan with a read of the files, which also cuts lineage between layers.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
         written: dict[str, str] = {}
-        for name in self.order(targets):
-            path = os.path.join(out_dir, name)
-            self.table(name).write.mode("overwrite").parquet(path)
-            self._tables[name] = self.spark.read.parquet(path)
-            written[name] = path
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for level in self.levels(targets):
+                frames = {name: self.table(name) for name in level}  # plans built on this thread
+                paths = {name: os.path.join(out_dir, name) for name in level}
+                jobs = [pool.submit(frames[n].write.mode("overwrite").parquet, paths[n]) for n in level]
+                for job in jobs:
+                    job.result()
+                for name in level:
+                    self._tables[name] = self.spark.read.parquet(paths[name])
+                    written[name] = paths[name]
         return written

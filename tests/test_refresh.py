@@ -26,3 +26,17 @@ def test_refresh_matches_batch_tables(spark, tmp_dir):
     cache = spark.read.parquet(f"{out}/extract_cache")
     assert cache.count() == cache.select("note_hash").distinct().count()
     assert cache.count() == batch.table("silver_extracted").select("raw_notes").distinct().count()
+
+
+def test_refresh_levels_respect_dependencies(spark):
+    """Tables written concurrently (one level) never depend on each other."""
+    from fieldlens.plans.catalog import BRONZE, Lakehouse
+
+    lh = Lakehouse(spark, SF)
+    levels = lh.levels()
+    seen: set[str] = set()
+    for level in levels:
+        for name in level:
+            assert all(d in seen or d in BRONZE for d in lh.builders[name][0]), name
+        seen.update(level)
+    assert seen == set(lh.order())
