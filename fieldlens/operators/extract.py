@@ -87,7 +87,8 @@ class RegexExtractor:
 
     @staticmethod
     def captures(df: DataFrame, note: Column) -> DataFrame:
-        """``df`` plus one ``_cap_<field>`` column per pattern (NULL when absent)."""
+        """``df`` plus one ``_cap_<field>`` column per pattern (NULL when absent) and
+        ``_cap_lower``, the lower-cased note."""
         packed = F.when(~note.contains(_SEP), F.split(
             F.regexp_replace(note, TEMPLATE_PATTERN, _SEP.join(f"${i}" for i in range(1, 9))), _SEP))
         staged = df.withColumn("_cap_packed", packed)
@@ -95,7 +96,8 @@ class RegexExtractor:
         caps = [F.when(fast, F.nullif(F.element_at("_cap_packed", i + 1), F.lit("")))
                 .otherwise(F.nullif(F.regexp_extract(note, pattern, 1), F.lit(""))).alias(f"_cap_{name}")
                 for i, (name, pattern) in enumerate(FIELD_PATTERNS.items())]
-        return staged.select("*", *caps).drop("_cap_packed")
+        # the lower-cased note feeds three keyword tests: project it once
+        return staged.select("*", *caps, F.lower(note).alias("_cap_lower")).drop("_cap_packed")
 
     @staticmethod
     def struct_from_captures(note: Column) -> Column:
@@ -103,7 +105,7 @@ class RegexExtractor:
         evidence_raw = cap("evidence_type_requested")
         canonical = F.create_map(*[F.lit(x) for e in EVIDENCE_TYPES for x in (e.lower(), e)])
         evidence = F.coalesce(F.element_at(canonical, F.lower(evidence_raw)), first_upper(evidence_raw))
-        low = F.lower(note)
+        low = F.col("_cap_lower")
         follow = (F.when(note.contains("Requested a follow-up"), F.lit(True))
                   .when(note.contains("No specific follow-up"), F.lit(False)))
         return F.struct(
@@ -127,7 +129,7 @@ class RegexExtractor:
         staged = self.captures(df, note)
         s = self.struct_from_captures(note)
         return staged.withColumn(out, F.to_json(s) if to_text else s).drop(
-            *[f"_cap_{name}" for name in FIELD_PATTERNS])
+            *[f"_cap_{name}" for name in FIELD_PATTERNS], "_cap_lower")
 
     def apply(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
         """The response text (JSON), as any extractor returns it."""
