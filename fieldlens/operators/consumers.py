@@ -101,15 +101,16 @@ def nl_top_topics(topics: DataFrame, k: int = 5) -> DataFrame:
 def nl_lowest_reach(territory: DataFrame, k: int = 5) -> DataFrame:
     """Territories with RANK() <= k by reach ascending, ties kept.
 
-    rank(x) <= k  <=>  x <= the k-th smallest value (counting duplicates),
-    so the k-th value comes from a top-k (TakeOrderedAndProject) and the
-    answer is a filter, with no single-partition window over the table.
+    ``rank() <= k`` with a literal k is planned with a partial
+    ``WindowGroupLimit``: each map task forwards only its rows of rank <= k
+    (ties included), so the final single-partition window sees at most that
+    many rows per task, and the territory table is computed once (a k-th value
+    subquery would compute it a second time).
     """
     valid = territory.filter(F.col("territory").isNotNull() & F.col("reach_rate").isNotNull()
                              & F.col("under_engaged_priority_hcps").isNotNull())
-    lowest = valid.select("reach_rate").orderBy("reach_rate").limit(k)
-    kth = lowest.agg(F.max("reach_rate")).scalar()
-    return (valid.filter(F.col("reach_rate") <= kth)
+    ranked = valid.withColumn("reach_rank", F.rank().over(Window.orderBy("reach_rate")))
+    return (ranked.filter(F.col("reach_rank") <= k)
             .select("territory", "reach_rate", "under_engaged_priority_hcps")
             .orderBy("reach_rate", "territory"))
 
@@ -216,10 +217,11 @@ def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame) ->
     has_null = (shares.groupBy("hcp_id")
                 .agg(F.max(F.col("content_id").isNull().cast("int")).alias("has_null_share")))
     tops = top.select("hcp_id", F.col("top_scientific_topic").alias("topic_category"))
+    # k per (HCP, topic) from shares and catalogue alone; joined to the HCP's top
+    # topic once below, so the top-topic plan (note extraction) is consumed once
     blocking = (shares.filter(F.col("content_id").isNotNull()).distinct()
                 .join(approved.select("content_id", "topic_category"), "content_id")
-                .join(tops, ["hcp_id", "topic_category"])
-                .groupBy("hcp_id").agg(F.count(F.lit(1)).alias("k")))
+                .groupBy("hcp_id", "topic_category").agg(F.count(F.lit(1)).alias("k")))
     # No HCP needs a rank beyond max(k) + 1. With a bound as a literal, Spark
     # plans a partial WindowGroupLimit below the shuffle, so each topic's sort
     # sees at most that many assets per map task instead of the whole catalogue.
@@ -232,7 +234,7 @@ def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame) ->
     ranked = (approved.withColumn("cand_rank", F.row_number().over(
         Window.partitionBy("topic_category").orderBy(F.desc("approval_date"), F.desc("content_id"))))
         .filter(F.col("cand_rank") <= max_rank))
-    cands = (tops.join(blocking, "hcp_id", "left").join(has_null, "hcp_id", "left")
+    cands = (tops.join(blocking, ["hcp_id", "topic_category"], "left").join(has_null, "hcp_id", "left")
              .filter(F.coalesce("has_null_share", F.lit(0)) == 0)
              .select("hcp_id", "topic_category",
                      F.explode(F.sequence(F.lit(1), F.coalesce("k", F.lit(0)) + 1)).alias("cand_rank")))
