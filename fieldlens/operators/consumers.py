@@ -248,29 +248,28 @@ def _fmt_int(c: Column) -> Column:
     return c.cast("bigint").cast("string")
 
 
-def briefing_context(profile: DataFrame, topics: DataFrame, extracted: DataFrame,
-                     inquiries: DataFrame, s: Settings) -> DataFrame:
-    """The structured context text per HCP that a briefing is written from."""
+def briefing_context(profile: DataFrame, inquiries: DataFrame, s: Settings) -> DataFrame:
+    """The structured context text per HCP that a briefing is written from.
+
+    The top topics and the newest note come from the profile's note rollup
+    (``topic_list``, ``brief``), so the notes are extracted and aggregated once.
+    """
     days = F.col("days_since_last_msl")
     last = F.when(days == s.never_contacted_days, F.lit("never")).otherwise(
         F.concat(_fmt_int(days), F.lit(" days ago")))
-    # topics: at most one row per topic category per HCP, so the list is bounded
-    top4 = topics.groupBy("hcp_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(
-        (-F.col("topic_interest_score")).alias("o1"), (-F.col("mentions")).alias("o2"),
-        F.col("topic_category").alias("o3"),
-        F.concat(F.col("topic_category"), F.lit(" (score "),
-                 _fmt_int(F.bround(F.col("topic_interest_score").cast("decimal(10,1)"), 0)),
-                 F.lit(")")).alias("txt")))), 1, s.briefing_topics).alias("t4"))
-    note = extracted.groupBy("hcp_id").agg(F.max_by(F.struct(
-        "interaction_date", "channel", "scientific_topic", "information_need", "sentiment", "interest_level",
-        "follow_up_requested", "evidence_type_requested", "competitor_mentioned"),
-        F.struct("interaction_date", "interaction_id")).alias("n"))
+    # at most one entry per topic category per HCP, so the list is bounded
+    top4 = F.slice(F.array_sort(F.transform("topic_list", lambda x: F.struct(
+        (-x["score_dec"]).alias("o1"), (-x["n"]).alias("o2"), x["topic_category"].alias("o3"),
+        F.concat(x["topic_category"], F.lit(" (score "),
+                 _fmt_int(F.bround(x["score_dec"].cast("decimal(10,1)"), 0)), F.lit(")")).alias("txt")))),
+        1, s.briefing_topics)
     recent = _latest(inquiries, [F.desc("inquiry_date"), F.desc("inquiry_id")], s.recent_limit, "r")
     open_inq = (recent.filter(F.col("response_status") != "Closed").groupBy("hcp_id")
                 .agg(F.slice(F.array_sort(F.collect_list(F.struct(
                     "r", F.concat(F.col("inquiry_topic"), F.lit(" ("), F.col("indication"), F.lit(")"))
                     .alias("txt")))), 1, s.briefing_open_inquiries).alias("oi")))
-    j = (profile.join(top4, "hcp_id", "left").join(note, "hcp_id", "left").join(open_inq, "hcp_id", "left"))
+    j = (profile.withColumn("t4", top4).withColumnRenamed("brief", "n")
+         .join(open_inq, "hcp_id", "left"))
     comp = F.col("n.competitor_mentioned")
     note_line = F.when(F.col("n").isNotNull(), F.concat(
         F.lit("Most recent MSL note ("), F.date_format("n.interaction_date", "yyyy-MM-dd"), F.lit(", "),

@@ -76,6 +76,10 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
             F.col("evidence_type_requested").alias("recent_evidence_request"),
             F.nullif(F.col("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
             F.col("preferred_channel")), latest_key).alias("latest"),
+        F.max_by(F.struct(
+            "interaction_date", "channel", "scientific_topic", "information_need", "sentiment",
+            "interest_level", "follow_up_requested", "evidence_type_requested", "competitor_mentioned"),
+            latest_key).alias("brief"),
         F.max(latest_key).alias("latest_key"),
     )
 
@@ -111,6 +115,9 @@ def msl_rollup(notes_r: DataFrame, s: Settings) -> DataFrame:
         F.count("topic_category").alias("distinct_topics"),
         F.max("max_sentiment").alias("sample_sentiment"),
         F.max_by("latest", "latest_key").alias("latest"),
+        F.max_by("brief", "latest_key").alias("brief"),
+        # one entry per topic category of the HCP: bounded by the classifier's categories
+        F.collect_list(F.struct("topic_category", "score_dec", "n")).alias("topic_list"),
         F.min_by(F.struct(F.col("topic_category").alias("topic"), F.col("score_dec").alias("score")),
                  F.struct(-F.col("score_dec"), -F.col("n"), F.col("topic_category"))).alias("top"),
         emerging.alias("emerging_all"),
@@ -323,6 +330,7 @@ def hcp_profile(hcp: DataFrame, notes_r: DataFrame, inquiries: DataFrame, congre
         F.coalesce(F.col("latest.preferred_channel"), F.lit(C.DEFAULT_CHANNEL)).alias("preferred_engagement_channel"),
         window.alias("recommended_follow_up_window"),
         z("overdue_inquiries").alias("overdue_inquiries"),
+        "brief", "topic_list",  # newest-note detail and per-topic scores for the briefing (A14)
     )
 
 

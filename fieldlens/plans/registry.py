@@ -224,8 +224,7 @@ register("recommend_content")(_recommend)
 
 
 def _context(lh: Lakehouse) -> DataFrame:
-    return C.briefing_context(lh.table("hcp_profile"), lh.table("topic_interest"), lh.table("silver_extracted"),
-                              lh.table("gold_inquiries"), lh.settings)
+    return C.briefing_context(lh.table("hcp_profile"), lh.table("gold_inquiries"), lh.settings)
 
 
 register("briefing_context")(_context)
