@@ -208,8 +208,16 @@ def _row_counts(lh: Lakehouse) -> DataFrame:
 
 
 register("app_hcp_list")(lambda lh: C.app_hcp_list(G.with_priority(lh.table("hcp_profile"), lh.settings)))
-register("app_recent_interactions")(lambda lh: C.app_recent_interactions(lh.table("silver_extracted"),
-                                                                         lh.settings))
+@register("app_recent_interactions")
+def _recent_interactions(lh: Lakehouse) -> DataFrame:
+    """A3 from raw notes: rank first (partial WindowGroupLimit), then extract only the
+    rows shown. Extraction is row-wise, so this equals ranking the extracted table,
+    with a fraction of the extraction work (and of the model calls, for a model extractor)."""
+    s = lh.settings
+    notes = lh.table("bronze_msl_interactions")
+    newest = C._latest(notes, [F.desc("interaction_date"), F.desc("interaction_id")], s.recent_limit,
+                       "_newest").drop("_newest")
+    return C.app_recent_interactions(X.silver_extracted(newest, lh.extractor), s)
 register("app_topic_interests")(lambda lh: C.app_topic_interests(lh.table("topic_interest")))
 register("app_recent_inquiries")(lambda lh: C.app_recent_inquiries(lh.table("gold_inquiries"), lh.settings))
 register("app_publications")(lambda lh: C.app_publications(lh.table("gold_publications"), lh.settings))
