@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,11 +10,6 @@ from pyspark.sql import functions as F
 from ..config import TOPIC_DEFAULT, TOPIC_RULES
 
 
-def pick(values: Sequence[str], index: Column) -> Column:
-    """values[index] for a 0-based integer column: a literal array lookup (no join)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
 def days_since(as_of: _dt.date, d: Column) -> Column:
     """Whole days from ``d`` to the as-of date (negative for future dates)."""
     return F.datediff(F.lit(as_of), d)
