@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality
+from . import decontaminate, mixing, quality, simhash, token_files
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
+    "op2_simhash": simhash.op2_simhash,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_token_files": token_files.op6_token_files,
     "op7_quality": quality.op7_quality,
 }
 
