@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality, simhash, token_files
+from . import chat, decontaminate, licenses, lines, mixing, quality, secrets, simhash, token_files, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
+    "op3_chat": chat.op3_chat,
+    "op4_lines": lines.op4_lines,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_token_files": token_files.op6_token_files,
     "op7_quality": quality.op7_quality,
+    "op8_licenses": licenses.op8_licenses,
+    "op9_warc": warc.op9_warc,
+    "op10_secrets": secrets.op10_secrets,
 }
 
+#: The others have no SQL form (a hash-drawn mix, SimHash, a tokenizer, a trained model): tests compare with brute force.
 ORACLE = {
+    "op3_chat": chat.ORACLE,
+    "op4_lines": lines.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_quality": quality.ORACLE,
+    "op8_licenses": licenses.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
