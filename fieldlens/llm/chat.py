@@ -230,9 +230,9 @@ WITH c AS (
   SELECT *, regexp_replace(t, '([<\\[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>>|start_of_turn>|end_of_turn>)', '\\1\\\\\\2\\3', 'g') AS x FROM c
 )
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
        CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(t) END), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN t END, '' ORDER BY turn, role, t), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN t END, '' ORDER BY turn NULLS FIRST, role, t), '')) AS loss_sha256,
        CAST(sum(12 + length(role) + 1 + length(x) + 11) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
