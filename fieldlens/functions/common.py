@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TOPIC_DEFAULT, TOPIC_RULES
@@ -48,3 +48,11 @@ def classify_topic(topic: Column) -> Column:
         hit = matches(low, pattern)
         expr = F.when(hit, F.lit(label)) if expr is None else expr.when(hit, F.lit(label))
     return expr.otherwise(F.lit(TOPIC_DEFAULT))
+
+
+def path_has_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its file system (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))

@@ -33,12 +33,3 @@ def quotient(num: Column, den: Column) -> Column:
 def exact_avg(col: Column) -> Column:
     """AVG of an integer or decimal column without float rounding (aggregate)."""
     return quotient(F.sum(col.cast(WIDE)), F.count(col))
-
-
-def round_half_up(col: Column, scale: int) -> Column:
-    """HALF_UP round of a DECIMAL column, kept DECIMAL for further arithmetic."""
-    return F.round(col, scale)
-
-
-def as_double(col: Column) -> Column:
-    return col.cast("double")

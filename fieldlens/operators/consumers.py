@@ -87,8 +87,8 @@ def queue_top25(next_best: DataFrame, s: Settings) -> DataFrame:
 # ----------------------------------------------------------------------------- NL answers
 
 def nl_high_under_engaged(next_best_wide: DataFrame) -> DataFrame:
-    """High priority, under-engaged (influential, no visit for > 90 days)."""
-    return (next_best_wide.filter((F.col("priority_tier") == "High") & F.col("under_engaged_priority"))
+    """High priority, under-engaged (influential, no visit for > 90 days) and overdue (a late open inquiry)."""
+    return (next_best_wide.filter((F.col("priority_tier") == "High") & F.col("under_engaged_priority") & F.col("overdue"))
             .select("hcp_id", "hcp_name", "territory", "msl_priority_score", "days_since_last_msl",
                     "trigger", "overdue", "recommended_date"))
 
@@ -134,7 +134,7 @@ def nl_tier1_safety(hcp: DataFrame, inquiries: DataFrame) -> DataFrame:
 def extraction_distribution(extracted: DataFrame) -> DataFrame:
     """Topic x sentiment x interest counts."""
     return (extracted.groupBy("topic_category", "sentiment", "interest_level")
-            .agg(F.count(F.lit(1)).alias("notes")).orderBy(F.desc("notes")))
+            .agg(F.count(F.lit(1)).alias("notes")).orderBy(F.desc("notes"), "topic_category", "sentiment", "interest_level"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -253,10 +253,12 @@ def briefing_context(profile: DataFrame, inquiries: DataFrame, s: Settings) -> D
 
     The top topics and the newest note come from the profile's note rollup
     (``topic_list``, ``brief``), so the notes are extracted and aggregated once.
+    A missing value is printed as ``None``; it never removes its line.
     """
+    text = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("None"))
     days = F.col("days_since_last_msl")
     last = F.when(days == s.never_contacted_days, F.lit("never")).otherwise(
-        F.concat(_fmt_int(days), F.lit(" days ago")))
+        F.concat(text(_fmt_int(days)), F.lit(" days ago")))
     # at most one entry per topic category per HCP, so the list is bounded
     top4 = F.slice(F.array_sort(F.transform("topic_list", lambda x: F.struct(
         (-x["score_dec"]).alias("o1"), (-x["n"]).alias("o2"), x["topic_category"].alias("o3"),
@@ -264,32 +266,32 @@ def briefing_context(profile: DataFrame, inquiries: DataFrame, s: Settings) -> D
                  _fmt_int(F.bround(x["score_dec"].cast("decimal(10,1)"), 0)), F.lit(")")).alias("txt")))),
         1, s.briefing_topics)
     recent = _latest(inquiries, [F.desc("inquiry_date"), F.desc("inquiry_id")], s.recent_limit, "r")
-    open_inq = (recent.filter(F.col("response_status") != "Closed").groupBy("hcp_id")
+    open_inq = (recent.filter(~F.col("response_status").eqNullSafe("Closed")).groupBy("hcp_id")
                 .agg(F.slice(F.array_sort(F.collect_list(F.struct(
-                    "r", F.concat(F.col("inquiry_topic"), F.lit(" ("), F.col("indication"), F.lit(")"))
+                    "r", F.concat(text("inquiry_topic"), F.lit(" ("), text("indication"), F.lit(")"))
                     .alias("txt")))), 1, s.briefing_open_inquiries).alias("oi")))
     j = (profile.withColumn("t4", top4).withColumnRenamed("brief", "n")
          .join(open_inq, "hcp_id", "left"))
     comp = F.col("n.competitor_mentioned")
     note_line = F.when(F.col("n").isNotNull(), F.concat(
-        F.lit("Most recent MSL note ("), F.date_format("n.interaction_date", "yyyy-MM-dd"), F.lit(", "),
-        F.col("n.channel"), F.lit("): topic '"), F.col("n.scientific_topic"), F.lit("', need '"),
-        F.col("n.information_need"), F.lit("', sentiment "), F.col("n.sentiment"), F.lit(", interest "),
-        F.col("n.interest_level"), F.lit(", follow-up requested: "),
+        F.lit("Most recent MSL note ("), text(F.date_format("n.interaction_date", "yyyy-MM-dd")), F.lit(", "),
+        text("n.channel"), F.lit("): topic '"), text("n.scientific_topic"), F.lit("', need '"),
+        text("n.information_need"), F.lit("', sentiment "), text("n.sentiment"), F.lit(", interest "),
+        text("n.interest_level"), F.lit(", follow-up requested: "),
         F.when(F.col("n.follow_up_requested"), F.lit("True")).otherwise(F.lit("False")),
-        F.lit(", evidence: "), F.col("n.evidence_type_requested"),
+        F.lit(", evidence: "), text("n.evidence_type_requested"),
         F.when(comp.isNotNull() & (comp != "None"), F.concat(F.lit(", competitor: "), comp)).otherwise(F.lit("")),
         F.lit(".")))
     lines = [
-        F.concat(F.lit("HCP: "), F.col("hcp_name"), F.lit(", "), F.col("specialty"), F.lit(", "),
-                 F.col("practice_setting"), F.lit(" setting.")),
-        F.concat(F.lit("Institution: "), F.col("institution"), F.lit(" ("), F.col("city"), F.lit(", "),
-                 F.col("state"), F.lit(", "), F.col("territory"), F.lit(").")),
-        F.concat(F.lit("Tier: "), F.col("hcp_tier"), F.lit(". Influence "), _fmt_int(F.col("influence_score")),
-                 F.lit(", publications "), _fmt_int(F.col("publication_count")), F.lit(", trials "),
-                 _fmt_int(F.col("trial_participation")), F.lit(".")),
-        F.concat(F.lit("Engagement: "), _fmt_int(F.col("msl_interactions")), F.lit(" MSL interactions; "),
-                 _fmt_int(F.col("interactions_90d")), F.lit(" in last 90 days; last MSL "), last, F.lit(".")),
+        F.concat(F.lit("HCP: "), text("hcp_name"), F.lit(", "), text("specialty"), F.lit(", "),
+                 text("practice_setting"), F.lit(" setting.")),
+        F.concat(F.lit("Institution: "), text("institution"), F.lit(" ("), text("city"), F.lit(", "),
+                 text("state"), F.lit(", "), text("territory"), F.lit(").")),
+        F.concat(F.lit("Tier: "), text("hcp_tier"), F.lit(". Influence "), text(_fmt_int(F.col("influence_score"))),
+                 F.lit(", publications "), text(_fmt_int(F.col("publication_count"))), F.lit(", trials "),
+                 text(_fmt_int(F.col("trial_participation"))), F.lit(".")),
+        F.concat(F.lit("Engagement: "), text(_fmt_int(F.col("msl_interactions"))), F.lit(" MSL interactions; "),
+                 text(_fmt_int(F.col("interactions_90d"))), F.lit(" in last 90 days; last MSL "), last, F.lit(".")),
         F.when(F.size("t4") > 0, F.concat(F.lit("Top scientific interests: "),
                                           F.array_join(F.transform("t4", lambda x: x["txt"]), ", "), F.lit("."))),
         F.when(F.size("emerging_topics") > 0, F.concat(
@@ -298,7 +300,7 @@ def briefing_context(profile: DataFrame, inquiries: DataFrame, s: Settings) -> D
         note_line,
         F.when(F.size("oi") > 0, F.concat(F.lit("Open medical inquiries: "),
                                           F.array_join(F.transform("oi", lambda x: x["txt"]), "; "), F.lit("."))),
-        F.concat(F.lit("Outstanding follow-ups requested: "), _fmt_int(F.col("follow_ups_requested")), F.lit(".")),
+        F.concat(F.lit("Outstanding follow-ups requested: "), text(_fmt_int(F.col("follow_ups_requested"))), F.lit(".")),
     ]
     return j.select("hcp_id", F.concat_ws("\n", *lines).alias("context"))
 

@@ -21,13 +21,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import (
-    EVIDENCE_TYPES, EXTRACTION_DEFAULTS, EXTRACTION_INSTRUCTION, EXTRACTION_SCHEMA,
+    COMPETITORS, EVIDENCE_TYPES, EXTRACTION_DEFAULTS, EXTRACTION_INSTRUCTION, EXTRACTION_SCHEMA, PRODUCTS, TOPIC_DEFAULT,
 )
-from ..functions.common import classify_topic, first_upper
+from ..functions.common import classify_topic, first_upper, path_has_files
 
 NOTE_COLUMNS = ["interaction_id", "hcp_id", "msl_name", "interaction_date", "channel",
                 "duration_minutes"]
@@ -44,26 +44,36 @@ def note_hash(col: Column) -> Column:
 
 # Per-field search patterns of the note template (any text: first match wins).
 FIELD_PATTERNS = {
-    "preferred_channel": r"via (\S+) to discuss",
-    "scientific_topic": r"to discuss (.+) for \S+ \(",
-    "product_or_indication": r" for (\S+ \(.*\) in .+?)\. Overall tone",
-    "sentiment": r"Overall tone was (\w+)",
-    "interest_level": r"interest appeared (\w+)",
-    "information_need": r"interest appeared \w+\. (.+?) regarding ",
-    "evidence_type_requested": r"regarding (.+?) evidence\.",
-    "competitor_mentioned": r"experience with (.+?) and asked",
+    "preferred_channel": r"Contact \(([^)\n]+)\)",
+    "scientific_topic": r"Subject: ([^.\n]+)\.",
+    "product_or_indication": r"Product: ([^.\n]+)\.",
+    "sentiment": r"Mood: (\w+)",
+    "interest_level": r"Interest: (\w+)",
+    "information_need": r"Ask: ([^.\n]+)\.",
+    "evidence_type_requested": r"Evidence: ([^.\n]+)\.",
+    "competitor_mentioned": r"Also considered: ([^.\n]+)\.",
 }
 # The same fields in one anchored pass over a note that follows the template,
-# groups in FIELD_PATTERNS order. On template notes each group equals the
-# per-field pattern's capture (every separator occurs once). \S++ and \w++ are
-# possessive (the next character is never in their class, so no match is
-# lost), and the DOTALL tail (?s:.*) consumes the rest so the replacement is
-# exactly the packed groups; both halve the scan time of the plain forms.
+# groups in FIELD_PATTERNS order. Every group excludes its closing character,
+# so nothing backtracks, and the DOTALL tail consumes the rest.
 TEMPLATE_PATTERN = (
-    r"^Met with the HCP via (\S++) to discuss (.+?) for (\S++ \(.*\) in .+?)\. Overall tone was (\w++)"
-    r" and scientific interest appeared (\w++)\. (.+?) regarding (.+?) evidence\."
-    r"(?: HCP compared experience with (.+?) and asked how our data differs\.)?(?s:.*)"
+    r"^Contact \(([^)\n]++)\)\. Subject: ([^.\n]++)\. Product: ([^.\n]++)\. Mood: (\w++)\. Interest: (\w++)\."
+    r" Ask: ([^.\n]++)\. Evidence: ([^.\n]++)\.(?: Also considered: ([^.\n]++)\.)?(?s:.*)"
 )
+# Notes in free wording: what is looked for when a label is missing. The first
+# entry that matches the lower-cased note wins; topics use the topic rules.
+FREE_SENTIMENT = [("Negative", r"\b(sceptical|skeptical|critical|annoyed|disappointed|negative)\b"),
+                  ("Positive", r"\b(enthusiastic|impressed|pleased|keen|positive)\b"), ("Neutral", r"\b(neutral|reserved)\b")]
+FREE_INTEREST = [("High", r"\b(very interested|enthusiastic|keen|high interest|strong interest)\b"),
+                 ("Low", r"\b(little interest|low interest|not interested)\b"), ("Medium", r"\b(some interest|moderate interest)\b")]
+FREE_CHANNEL = [("Phone", r"\b(phone|phoned|telephone)\b"), ("Virtual", r"\b(video|virtual|online)\b"),
+                ("Congress", r"\b(congress|symposium|conference)\b"), ("Email", r"\be-?mail\b"),
+                ("In-person", r"\b(in person|in-person|visited|visit)\b")]
+FREE_EVIDENCE = [("Registry", r"\b(registry|real[- ]world)\b"), ("Safety", r"\b(safety|adverse|toxicity)\b"),
+                 ("Biomarker", r"\b(biomarker|assay|testing)\b"), ("Dosing", r"\b(dosing|dose)\b"),
+                 ("Comparative", r"\b(versus|head[- ]to[- ]head|compared)\b"), ("Efficacy", r"\b(efficacy|survival|response rate)\b")]
+FREE_CALL_BACK = r"\b(call (me |him |her |them )?back|follow[- ]up|get back to)\b"
+FREE_NO_CALL_BACK = r"\bno (call back|follow[- ]up)\b"
 _SEP = "\u0001"
 
 
@@ -102,30 +112,49 @@ class RegexExtractor:
     @staticmethod
     def struct_from_captures(note: Column) -> Column:
         cap = lambda name: F.col(f"_cap_{name}")
+        low = F.col("_cap_lower")
+
+        def free(entries: list[tuple[str, str]]) -> Column:
+            out = F.lit(None).cast("string")
+            for value, pattern in reversed(entries):
+                out = F.when(low.rlike(pattern), F.lit(value)).otherwise(out)
+            return out
+
+        def named(values: list[str]) -> Column:
+            found = F.filter(F.array(*[F.lit(v) for v in values]), lambda v: F.contains(low, F.lower(v)))
+            return F.get(found, F.lit(0))
+
+        # a labelled note has a subject; only a note without one is searched for words
+        plain = note.isNotNull() & cap("scientific_topic").isNull()
+        or_free = lambda labelled, value: F.coalesce(labelled, F.when(plain, value))
         evidence_raw = cap("evidence_type_requested")
         canonical = F.create_map(*[F.lit(x) for e in EVIDENCE_TYPES for x in (e.lower(), e)])
         evidence = F.coalesce(F.element_at(canonical, F.lower(evidence_raw)), first_upper(evidence_raw))
-        low = F.col("_cap_lower")
-        follow = (F.when(note.contains("Requested a follow-up"), F.lit(True))
-                  .when(note.contains("No specific follow-up"), F.lit(False)))
+        follow = (F.when(note.contains("No call back."), F.lit(False)).when(note.contains("Call back agreed."), F.lit(True))
+                  .when(plain & low.rlike(FREE_NO_CALL_BACK), F.lit(False)).when(plain & low.rlike(FREE_CALL_BACK), F.lit(True)))
+        topic = F.nullif(classify_topic(low), F.lit(TOPIC_DEFAULT))
         return F.struct(
             F.when(low.contains("leukemia") | low.contains("lymphoma") | low.contains("myeloma"),
                    F.lit("Hematology-Oncology"))
             .when(note.isNotNull(), F.lit("Oncology")).alias("therapeutic_area"),
-            cap("scientific_topic").alias("scientific_topic"),
+            or_free(cap("scientific_topic"), topic).alias("scientific_topic"),
             cap("information_need").alias("information_need"),
-            cap("product_or_indication").alias("product_or_indication"),
-            first_upper(cap("sentiment")).alias("sentiment"),
-            first_upper(cap("interest_level")).alias("interest_level"),
+            or_free(cap("product_or_indication"), named(PRODUCTS)).alias("product_or_indication"),
+            or_free(first_upper(cap("sentiment")), free(FREE_SENTIMENT)).alias("sentiment"),
+            or_free(first_upper(cap("interest_level")), free(FREE_INTEREST)).alias("interest_level"),
             follow.alias("follow_up_requested"),
-            F.when(note.isNotNull(), F.coalesce(cap("competitor_mentioned"), F.lit("None")))
-            .alias("competitor_mentioned"),
-            first_upper(cap("preferred_channel")).alias("preferred_channel"),
-            evidence.alias("evidence_type_requested"),
+            F.when(note.isNotNull(), F.coalesce(or_free(cap("competitor_mentioned"), named([c for c in COMPETITORS if c != "None"])),
+                                                F.lit("None"))).alias("competitor_mentioned"),
+            or_free(first_upper(cap("preferred_channel")), free(FREE_CHANNEL)).alias("preferred_channel"),
+            or_free(evidence, free(FREE_EVIDENCE)).alias("evidence_type_requested"),
         )
 
     def _with_struct(self, df: DataFrame, prompt_col: str, out: str, to_text: bool) -> DataFrame:
-        note = F.col(self.source_col if self.source_col in df.columns else prompt_col)
+        if self.source_col in df.columns:
+            note = F.col(self.source_col)
+        else:  # the instruction names the possible values: it must not be searched for them
+            prompt, n = F.col(prompt_col), len(EXTRACTION_INSTRUCTION)
+            note = F.when(prompt.startswith(EXTRACTION_INSTRUCTION), F.substring(prompt, n + 1, 1 << 30)).otherwise(prompt)
         staged = self.captures(df, note)
         s = self.struct_from_captures(note)
         return staged.withColumn(out, F.to_json(s) if to_text else s).drop(
@@ -217,21 +246,37 @@ def silver_extracted(interactions: DataFrame, extractor=None) -> DataFrame:
     return fixed.withColumn("topic_category", classify_topic(F.col("scientific_topic")))
 
 
-def extract_incremental(interactions: DataFrame, cache: DataFrame | None, extractor=None
-                        ) -> tuple[DataFrame, DataFrame]:
-    """Extract only notes whose hash is not in ``cache`` (note_hash, extracted_raw).
+def new_responses(interactions: DataFrame, cache: DataFrame | None, extractor=None) -> DataFrame:
+    """S10, first half: (note_hash, extracted_raw) of the distinct notes that ``cache`` doesn't have.
 
-    Returns ``(extracted_table, new_cache_rows)``. The caller appends the new
-    rows to the cache table; re-running with an unchanged input extracts nothing.
+    The caller appends these rows to the stored cache. Each new distinct note is
+    sent to the extractor once, when that write runs.
     """
     extractor = extractor or RegexExtractor()
     prompts = extract_prompt(interactions).withColumn("note_hash", note_hash(F.col("prompt")))
     distinct = (prompts.filter(F.col("prompt").isNotNull())
                 .groupBy("note_hash").agg(F.min("prompt").alias("prompt")))
-    todo = distinct if cache is None else distinct.join(cache, "note_hash", "left_anti")
-    new_rows = extractor.apply(todo).select("note_hash", "extracted_raw")
-    known = new_rows if cache is None else cache.select("note_hash", "extracted_raw").unionByName(new_rows)
-    raw = prompts.join(known, "note_hash", "left").drop("note_hash")
+    todo = distinct if cache is None else distinct.join(cache.select("note_hash"), "note_hash", "left_anti")
+    if hasattr(extractor, "responses"):
+        return extractor.responses(todo).select("note_hash", "extracted_raw")
+    return extractor.apply(todo).select("note_hash", "extracted_raw")
+
+
+def table_from_cache(interactions: DataFrame, cache: DataFrame) -> DataFrame:
+    """S10, second half: the extraction table from stored responses; nothing is extracted here."""
+    prompts = extract_prompt(interactions).withColumn("note_hash", note_hash(F.col("prompt")))
+    raw = prompts.join(cache.select("note_hash", "extracted_raw"), "note_hash", "left").drop("note_hash")
     parsed = raw.withColumn("j", parse_response(clean_json(F.col("extracted_raw"))))
-    table = apply_defaults(parsed).withColumn("topic_category", classify_topic(F.col("scientific_topic")))
-    return table, new_rows
+    return apply_defaults(parsed).withColumn("topic_category", classify_topic(F.col("scientific_topic")))
+
+
+def extract_incremental(spark: SparkSession, interactions: DataFrame, cache_path: str, extractor=None) -> DataFrame:
+    """Append responses of new notes to the cache at ``cache_path``, then build the table from the stored cache.
+
+    An unchanged input extracts nothing; table and cache hold the same answers,
+    also for an extractor that would answer differently if asked again.
+    """
+    schema = "note_hash STRING, extracted_raw STRING"
+    stored = spark.read.schema(schema).parquet(cache_path) if path_has_files(spark, cache_path) else None
+    new_responses(interactions, stored, extractor).write.mode("append").parquet(cache_path)
+    return table_from_cache(interactions, spark.read.schema(schema).parquet(cache_path))

@@ -1,25 +1,28 @@
 """Column classification and masking.
 
 Classification lives in ``StructField.metadata`` so it travels with the
-schema into every written Parquet file; masking is a projection that hashes
-each column tagged ``pii`` with SHA-256, so joins on the masked value still
-work while the raw identifier is not exposed.
+schema into every written Parquet file. Masking replaces each column tagged
+``pii`` by its HMAC-SHA-256 under a key of the caller's, so joins on the masked
+value still work, and identifiers can't be found by trying them all without
+the key. ``Lakehouse.refresh`` writes classified tables with their tags and a
+masked copy of each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed classification of the HCP profile.
 PII_COLUMNS = {"npi": "pii"}
+CLASSIFIED_TABLES = ["silver_hcp", "hcp_360"]
 TABLE_TAGS = {"layer": "gold", "serving": "analytics"}
 
 
 def classify(df: DataFrame, tags: dict[str, str] = PII_COLUMNS) -> DataFrame:
-    """Attach ``{"classification": tag}`` metadata to the tagged columns."""
+    """Attach the table tags to every column and ``classification`` to the tagged ones."""
     return df.select(*[
-        F.col(c).alias(c, metadata={"classification": tags[c], **TABLE_TAGS}) if c in tags else F.col(c)
+        F.col(c).alias(c, metadata=TABLE_TAGS | ({"classification": tags[c]} if c in tags else {}))
         for c in df.columns])
 
 
@@ -27,9 +30,19 @@ def pii_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.metadata.get("classification") == "pii"]
 
 
-def mask(df: DataFrame) -> DataFrame:
-    """Replace every pii-tagged column by its SHA-256 hex digest (NULL stays NULL)."""
+def keyed_hash(value: Column, key: str) -> Column:
+    """HMAC-SHA-256 (hex) of a string column; the key has at most 64 bytes."""
+    block = key.encode()
+    if not 0 < len(block) <= 64:
+        raise ValueError("a key of 1 to 64 bytes is needed")
+    inner, outer = (bytearray(b ^ pad for b in block.ljust(64, b"\0")) for pad in (0x36, 0x5C))
+    first = F.sha2(F.concat(F.lit(inner), F.encode(value, "utf-8")), 256)
+    return F.sha2(F.concat(F.lit(outer), F.unhex(first)), 256)
+
+
+def mask(df: DataFrame, key: str) -> DataFrame:
+    """Replace every pii-tagged column by its keyed hash (NULL stays NULL)."""
     tagged = set(pii_columns(df))
     return df.select(*[
-        F.sha2(F.col(c).cast("string"), 256).alias(c, metadata=df.schema[c].metadata) if c in tagged else F.col(c)
+        keyed_hash(F.col(c).cast("string"), key).alias(c, metadata=df.schema[c].metadata) if c in tagged else F.col(c)
         for c in df.columns])

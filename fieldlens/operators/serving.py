@@ -1,9 +1,10 @@
 """Operational serving: keyed queue snapshot, review write-back log.
 
-The queue is published as a keyed snapshot (overwrite, unique ``hcp_id``).
+The queue is published as a keyed, versioned snapshot (unique ``hcp_id``).
 Review decisions go to an append-only log whose ``action_id`` is a hash of
-the decision's content, and every append is a left-anti join against the log
-first: a retried or re-run append writes each decision once.
+the caller's request id, and every append is a left-anti join against the log
+first: a retried append writes each request once, and equal decisions under
+different request ids are all kept.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import Settings
+from ..functions.common import path_has_files
+from ..plans import publish as PB
 
 QUEUE_COLUMNS = ["hcp_id", "hcp_name", "specialty", "territory", "priority_tier", "msl_priority_score",
                  "engagement_segment", "trigger", "topic", "suggested_engagement", "recommended_date",
@@ -28,18 +31,28 @@ def action_queue(next_best: DataFrame) -> DataFrame:
     return next_best.select(*QUEUE_COLUMNS)
 
 
-def publish_snapshot(queue: DataFrame, path: str, key: str = "hcp_id") -> DataFrame:
-    """K3: write the queue as a keyed snapshot, then verify the key is unique.
+def publish_snapshot(queue: DataFrame, root: str, key: str = "hcp_id") -> DataFrame:
+    """K3: write the queue to a new folder under ``root``, check the key, then switch readers to it.
 
-    The check reads the written files (not the lineage), so it costs one
-    aggregation over the snapshot and fails loudly before anyone serves it.
+    The check reads the written files (not the lineage). When it fails nothing
+    is published and the former snapshot stays served.
     """
-    queue.write.mode("overwrite").parquet(path)
-    snap = queue.sparkSession.read.parquet(path)
-    dupes = snap.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
+    spark = queue.sparkSession
+    run = PB.new_run(root)
+    queue.write.parquet(run)
+    dupes = spark.read.parquet(run).groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
     if dupes:
-        raise ValueError(f"snapshot key {key!r} is not unique in {path}")
-    return snap
+        raise ValueError(f"snapshot key {key!r} is not unique in {run}")
+    PB.publish(spark, root, run)
+    return served_snapshot(spark, root)
+
+
+def served_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The snapshot that is published under ``root``."""
+    now = PB.current(spark, root)
+    if now is None:
+        raise ValueError(f"nothing is published under {root}")
+    return spark.read.parquet(now[1])
 
 
 def top_of_queue(queue: DataFrame, n: int) -> DataFrame:
@@ -56,21 +69,15 @@ def queue_check(queue: DataFrame, n: int = 5) -> DataFrame:
 
 
 def decisions(df: DataFrame) -> DataFrame:
-    """Normalise decision records and derive their content hash id."""
-    content = ["hcp_id", "msl_name", "review_decision", "review_notes", "scheduled_channel", "scheduled_date"]
-    return df.select(
-        F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content]), 256)
-        .alias("action_id"),
-        *content,
-        F.current_timestamp().alias("reviewed_at"))
+    """Normalise decision records; ``action_id`` is a hash of the caller's ``request_id``.
 
-
-def path_has_files(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists on its file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    Content plays no part: two decisions with equal content and different
+    request ids are two decisions. A NULL request id is refused.
+    """
+    content = ["hcp_id", "msl_name", "review_decision", "review_notes", "scheduled_channel", "scheduled_date"]
+    checked = F.when(F.col("request_id").isNull(), F.raise_error(F.lit("a decision needs a request_id"))).otherwise(
+        F.col("request_id").cast("string"))
+    return df.select(F.sha2(checked, 256).alias("action_id"), *content, F.current_timestamp().alias("reviewed_at"))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +87,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_reviews(spark: SparkSession, new: DataFrame, path: str) -> None:
-    """K4: idempotent append of decision records to the log at ``path``."""
+    """K4: append every request that the log at ``path`` doesn't have; a retried append writes nothing."""
     log = read_log(spark, path)
     fresh = decisions(new).join(log.select("action_id"), "action_id", "left_anti").dropDuplicates(["action_id"])
     fresh.write.mode("append").parquet(path)
@@ -91,9 +98,9 @@ def seed_reviews(spark: SparkSession, queue: DataFrame, path: str, s: Settings)
     if read_log(spark, path).limit(1).count() > 0:
         return
     top = top_of_queue(queue, s.seed_decisions).select(
-        "hcp_id", F.lit(C.SEED_MSL).alias("msl_name"), F.lit(C.SEED_DECISION).alias("review_decision"),
+        F.concat(F.lit("seed-"), "hcp_id").alias("request_id"), "hcp_id", F.lit(C.SEED_MSL).alias("msl_name"), F.lit(C.SEED_DECISION).alias("review_decision"),
         F.lit(C.SEED_NOTES).alias("review_notes"), F.lit(C.SEED_CHANNEL).alias("scheduled_channel"),
-        F.date_add(F.lit(s.as_of), 14).alias("scheduled_date"))
+        F.date_add(F.lit(s.as_of), s.seed_schedule_days).alias("scheduled_date"))
     append_reviews(spark, top, path)
 
 

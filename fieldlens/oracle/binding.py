@@ -63,24 +63,19 @@ BRONZE_HCP = f"""
 
 
 def _note() -> str:
-    comp = ("CASE WHEN competitor = 'None' THEN '' ELSE ' HCP compared experience with ' || competitor "
-            "|| ' and asked how our data differs.' END")
-    fu = ("CASE WHEN follow_up THEN ' Requested a follow-up with additional materials.' "
-          "ELSE ' No specific follow-up requested at this time.' END")
-    return ("'Met with the HCP via ' || lower(channel) || ' to discuss ' || topic || ' for ' || product "
-            "|| ' (' || inn || ') in ' || indication || '. Overall tone was ' || lower(sentiment) "
-            "|| ' and scientific interest appeared ' || lower(interest) || '. ' || need || ' regarding ' "
-            f"|| lower(evidence) || ' evidence.' || {comp} || {fu} "
-            "|| ' Non-promotional scientific exchange only.' || remark")
+    comp = "CASE WHEN competitor = 'None' THEN '' ELSE ' Also considered: ' || competitor || '.' END"
+    fu = "CASE WHEN follow_up THEN ' Call back agreed.' ELSE ' No call back.' END"
+    return ("format('Contact ({}). Subject: {}. Product: {} / {} / {}. Mood: {}. Interest: {}. Ask: {}. Evidence: {}.', "
+            "lower(channel), topic, product, inn, indication, lower(sentiment), lower(interest), need, lower(evidence)) "
+            f"|| {comp} || {fu} || remark")
 
 
 BRONZE_NOTES = f"""
   WITH j AS (
     SELECT {_line_id('')} AS interaction_id,
       l_orderkey AS ok, l_partkey AS pk, l_suppkey AS sk, o_custkey,
-      CAST(l_shipdate AS DATE) AS ship
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_linenumber IN (1, 2)),
+      CAST(l_shipdate AS DATE) AS ship, l_linenumber
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
   f AS (
     SELECT *,
       {pick(C.CHANNELS, 'sk % 5')} AS channel,
@@ -93,13 +88,13 @@ BRONZE_NOTES = f"""
       {pick(C.INFO_NEEDS, '(sk // 5) % 10')} AS need,
       {pick(C.EVIDENCE_TYPES, '(ok // 45) % 8')} AS evidence,
       {pick(C.COMPETITORS, 'o_custkey % 8')} AS competitor,
-      (pk % 20) < 9 AS follow_up,
-      CASE WHEN pk % 11 = 0 THEN chr(10) || 'HCP added: "please send the slide deck".' ELSE '' END AS remark
+      (pk % 60) < 9 AS follow_up,
+      CASE WHEN pk % 11 = 0 THEN chr(10) || 'Asked: "could I get the chart pack".' ELSE '' END AS remark
     FROM j)
   SELECT interaction_id,
     {_v('o_custkey')} AS hcp_id,
     'MSL-' || {_v('sk % 8 + 1')} AS msl_name,
-    {AS_OF} - CAST(date_diff('day', ship, DATE '2001-11-04') % 1500 AS INTEGER) AS interaction_date,
+    {AS_OF} - CAST((date_diff('day', ship, DATE '2001-11-04') + 2500 * (l_linenumber % 2)) % 5000 AS INTEGER) AS interaction_date,
     channel,
     CAST(15 * (1 + pk % 4) AS INTEGER) AS duration_minutes,
     {_note()} AS raw_notes,
@@ -111,8 +106,7 @@ BRONZE_INQUIRIES = f"""
     SELECT o_orderkey AS ok, o_custkey AS ck, o_orderstatus,
       {AS_OF} - CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') % 720 AS INTEGER) AS idate,
       [2, 3, 5][o_orderkey % 3 + 1] AS target,
-      o_orderkey % 4 AS prod,
-      o_orderkey // 4 AS sel
+      o_orderkey % 9 AS pi
     FROM orders),
   s AS (
     SELECT *,
@@ -121,8 +115,7 @@ BRONZE_INQUIRIES = f"""
     FROM o),
   r AS (
     SELECT *,
-      CASE WHEN status = 'Closed' THEN 1 + ok % 7 ELSE date_diff('day', idate, {AS_OF}) END AS response,
-      CASE prod WHEN 0 THEN sel % 5 WHEN 1 THEN 5 + sel % 2 WHEN 2 THEN 7 ELSE 8 END AS pi
+      CASE WHEN status = 'Closed' THEN 1 + ok % 7 ELSE date_diff('day', idate, {AS_OF}) END AS response
     FROM s)
   SELECT 'INQ-' || {_v('ok')} AS inquiry_id, {_v('ck')} AS hcp_id, idate AS inquiry_date,
     {pick(C.INQUIRY_TOPICS, '(ok // 12) % 9')} AS inquiry_topic,
@@ -132,7 +125,7 @@ BRONZE_INQUIRIES = f"""
     CAST(response AS INTEGER) AS response_time_days,
     (status = 'Closed' AND response <= target) AS sla_met,
     CAST(target AS INTEGER) AS sla_target_days,
-    {pick(C.PRODUCTS, 'prod')} AS product,
+    {pick(TB.PI_PRODUCT, 'pi')} AS product,
     {_lineage('medical_inquiries')}
   FROM r"""
 
@@ -140,9 +133,9 @@ BRONZE_CONGRESS = f"""
   WITH j AS (
     SELECT {_line_id("'CE-' || ")} AS event_attendance_id,
       l_partkey AS pk, l_suppkey AS sk, o_custkey,
-      CASE l_returnflag WHEN 'A' THEN 'Attended' WHEN 'R' THEN 'Registered' WHEN 'N' THEN 'No-show' END AS status
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_linenumber IN (3, 4))
+      CASE WHEN l_returnflag = 'A' AND l_partkey % 8 = 0 THEN 'Attended' WHEN l_returnflag IN ('A', 'R') THEN 'Registered'
+           WHEN l_returnflag = 'N' THEN 'No-show' END AS status
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
   SELECT event_attendance_id,
     {_v('o_custkey')} AS hcp_id,
     {pick(C.CONGRESS_EVENTS, 'sk % 7')} AS event_name,
@@ -175,7 +168,7 @@ BRONZE_DIGITAL = f"""
 
 BRONZE_PUBLICATIONS = f"""
   SELECT 'PUB-' || {_v('p_partkey')} AS record_id,
-    {_v('p_partkey % (SELECT count(*) FROM customer)')} AS hcp_id,
+    {_v('p_partkey % (SELECT greatest(count(*) // 15, 1) FROM customer)')} AS hcp_id,
     CASE WHEN p_size % 5 < 3 THEN 'Publication' ELSE 'Clinical Trial' END AS record_type,
     p_name AS title,
     CASE WHEN p_size % 5 < 3 THEN {pick(TB.JOURNALS, 'p_size % 4')} ELSE 'ClinicalTrials.gov' END
@@ -197,8 +190,8 @@ BRONZE_CLAIMS = f"""
     n_name || ' metro ' || {_v('sk % 3')} AS city,
     {pick(TB.STATES, 's_nationkey % 10')} AS state,
     n_name AS territory,
-    {pick(_DIAG, 'sk % 4')} AS diagnosis,
-    {pick(C.PRODUCTS, 'sk % 4')} AS primary_therapy,
+    {pick(_DIAG, 'sk % 5')} AS diagnosis,
+    {pick(C.PRODUCTS, 'sk % 5')} AS primary_therapy,
     CAST(diagnosed AS INTEGER) AS diagnosed_patient_count,
     CAST(treated AS INTEGER) AS treated_patient_count,
     CAST({rhu('treated * 100', 'diagnosed', 2)} AS DOUBLE) AS treatment_penetration_rate,
@@ -232,8 +225,7 @@ BRONZE_SHARED = f"""
     'MSL-' || {_v('l_suppkey % 8 + 1')} AS shared_by_msl,
     {pick(TB.SHARE_CHANNELS, 'l_suppkey % 3')} AS share_channel,
     {_lineage('content_shared')}
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_linenumber >= 5"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 BRONZE_SQL = {
     "bronze_hcp_master": BRONZE_HCP,

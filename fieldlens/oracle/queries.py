@@ -97,25 +97,26 @@ sql("nl_sla_by_product", f"""SELECT product, CAST({_SLA} AS DOUBLE) AS sla_met_p
     FROM gold_inquiries GROUP BY product""", ["gold_inquiries"])
 
 # ----------------------------------------------------------------------------- dashboard
-sql("kpi_headline", f"""SELECT
-    (SELECT COUNT(*) FROM hcp_360) AS total_hcps,
-    (SELECT COUNT(*) FROM hcp_priority WHERE priority_tier = 'High') AS priority_high,
-    (SELECT CAST({rhu('COUNT_IF(days_since_last_msl <= 90)', 'COUNT(*)', 3)} AS DOUBLE) FROM hcp_360) AS reach_90d_pct,
-    (SELECT CAST(COUNT_IF(under_engaged_priority) AS BIGINT) FROM hcp_360) AS under_engaged,
-    (SELECT CAST(COUNT_IF(overdue) AS BIGINT) FROM gold_inquiries) AS overdue_inquiries,
-    (SELECT CAST({rhu('SUM(response_time_days)', 'COUNT(response_time_days)', 1)} AS DOUBLE)
-       FROM gold_inquiries WHERE response_status = 'Closed') AS avg_response_days""",
-    ["hcp_360", "hcp_priority", "gold_inquiries"])
+sql("kpi_headline", f"""SELECT * FROM (WITH people AS (
+    SELECT count(*) AS n, count(*) FILTER (r.priority_tier = 'High') AS high, count(*) FILTER (h.days_since_last_msl <= 90) AS seen,
+      count(*) FILTER (h.under_engaged_priority) AS neglected FROM hcp_360 h JOIN hcp_priority r USING (hcp_id)),
+  asked AS (
+    SELECT count(*) FILTER (overdue) AS late, sum(response_time_days) FILTER (response_status = 'Closed') AS days,
+      count(response_time_days) FILTER (response_status = 'Closed') AS closed FROM gold_inquiries)
+  SELECT n AS total_hcps, high AS priority_high, CAST({rhu('seen', 'n', 3)} AS DOUBLE) AS reach_90d_pct,
+    neglected AS under_engaged, late AS overdue_inquiries, CAST({rhu('days', 'closed', 1)} AS DOUBLE) AS avg_response_days
+  FROM people CROSS JOIN asked)""", ["hcp_360", "hcp_priority", "gold_inquiries"])
 sql("reach_by_territory", """SELECT territory, total_hcps, reach_rate, under_engaged_priority_hcps,
     territory_opportunity_score AS opportunity_score FROM territory_opportunity ORDER BY reach_rate ASC""",
     ["territory_opportunity"])
 _TOTALS = """SELECT topic_category, CAST(SUM(mentions) AS BIGINT) AS mentions, COUNT(DISTINCT hcp_id) AS hcps
     FROM topic_interest GROUP BY topic_category"""
 sql("topic_interest_totals", _TOTALS + " ORDER BY mentions DESC", ["topic_interest"])
-sql("inquiry_sla_by_product", f"""SELECT product, COUNT(*) AS total_inquiries,
-    CAST(COUNT_IF(overdue) AS BIGINT) AS overdue_inquiries,
-    CAST({rhu('COUNT_IF(sla_met)', "COUNT_IF(response_status = 'Closed')", 3)} AS DOUBLE) AS sla_met_pct
-    FROM gold_inquiries GROUP BY product ORDER BY total_inquiries DESC""", ["gold_inquiries"])
+sql("inquiry_sla_by_product", f"""SELECT * FROM (WITH asked AS (
+    SELECT product, [1, overdue::INT, sla_met::INT, (response_status = 'Closed')::INT] AS c FROM gold_inquiries),
+  total AS (SELECT product, sum(c[1]) AS n, sum(c[2]) AS late, sum(c[3]) AS met, sum(c[4]) AS closed FROM asked GROUP BY ALL)
+  SELECT product, CAST(n AS BIGINT) AS total_inquiries, CAST(coalesce(late, 0) AS BIGINT) AS overdue_inquiries,
+    CAST({rhu('coalesce(met, 0)', 'closed', 3)} AS DOUBLE) AS sla_met_pct FROM total) ORDER BY total_inquiries DESC""", ["gold_inquiries"])
 sql("priority_distribution", "SELECT priority_tier, COUNT(*) AS hcps FROM hcp_priority GROUP BY priority_tier",
     ["hcp_priority"])
 sql("queue_top25", """SELECT hcp_id, hcp_name, territory, priority_tier, msl_priority_score, trigger, topic,
@@ -126,14 +127,13 @@ sql("queue_top25", """SELECT hcp_id, hcp_name, territory, priority_tier, msl_pri
 sql("nl_high_under_engaged", """SELECT p.hcp_id, p.hcp_name, p.territory, p.msl_priority_score,
     p.days_since_last_msl, n.trigger, n.overdue, n.recommended_date
     FROM hcp_priority p JOIN next_best_engagement n USING (hcp_id)
-    WHERE p.priority_tier = 'High' AND p.under_engaged_priority""", ["hcp_priority", "next_best_engagement"])
+    WHERE p.priority_tier = 'High' AND p.under_engaged_priority AND n.overdue""", ["hcp_priority", "next_best_engagement"])
 sql("nl_top_topics", _TOTALS + " ORDER BY mentions DESC, topic_category LIMIT 5", ["topic_interest"])
-sql("nl_lowest_reach", """SELECT territory, reach_rate, under_engaged_priority_hcps FROM (
-    SELECT territory, reach_rate, under_engaged_priority_hcps,
-      RANK() OVER (ORDER BY reach_rate ASC) AS reach_rank
-    FROM territory_opportunity
-    WHERE territory IS NOT NULL AND reach_rate IS NOT NULL AND under_engaged_priority_hcps IS NOT NULL) ranked
-  WHERE reach_rank <= 5 ORDER BY reach_rate ASC, territory ASC""", ["territory_opportunity"])
+sql("nl_lowest_reach", """SELECT * FROM (WITH known AS (
+    SELECT territory, reach_rate, under_engaged_priority_hcps FROM territory_opportunity
+    WHERE territory IS NOT NULL AND reach_rate IS NOT NULL AND under_engaged_priority_hcps IS NOT NULL)
+  SELECT k.* FROM known k WHERE (SELECT count(*) FROM known o WHERE o.reach_rate < k.reach_rate) < 5)
+  ORDER BY reach_rate, territory""", ["territory_opportunity"])
 sql("nl_overdue_avg", f"""SELECT CAST(COUNT_IF(overdue) AS BIGINT) AS overdue_inquiries,
     CAST({rhu('SUM(response_time_days)', 'COUNT(response_time_days)', 1)} AS DOUBLE) AS avg_response_days
     FROM gold_inquiries""", ["gold_inquiries"])
@@ -166,10 +166,8 @@ sql("row_counts", "\nUNION ALL\n".join(
     for n in _ROWS), [_ALIAS.get(n, n) for n in _ROWS])
 
 # ----------------------------------------------------------------------------- cockpit
-sql("app_hcp_list", """SELECT p.hcp_id, h.hcp_name, h.specialty, h.territory, h.hcp_tier,
-    p.msl_priority_score, p.priority_tier
-    FROM hcp_priority p JOIN hcp_360 h USING (hcp_id) ORDER BY p.msl_priority_score DESC, h.hcp_name""",
-    ["hcp_priority", "hcp_360"])
+sql("app_hcp_list", """SELECT hcp_id, hcp_name, specialty, territory, hcp_tier, msl_priority_score, priority_tier
+    FROM hcp_priority ORDER BY msl_priority_score DESC, hcp_name, hcp_id""", ["hcp_priority"])
 
 
 def _latest(src: str, order: str, n: int, cols: str) -> str:
@@ -267,22 +265,19 @@ CTES_EXTRA["serving_action_queue"] = ("""
     trigger, topic, suggested_engagement, recommended_date, overdue FROM next_best_engagement""",
     ["next_best_engagement"])
 
-_HASH_COLS = ["hcp_id", "msl_name", "review_decision", "review_notes", "scheduled_channel", "scheduled_date"]
-_HASH = "sha256(concat_ws(chr(1), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _HASH_COLS) + "))"
+_SEED = f"""'seed-' || hcp_id AS request, hcp_id, {q(_C.SEED_MSL)} AS msl_name, {q(_C.SEED_DECISION)} AS review_decision"""
 CTES_EXTRA["review_seed"] = (f"""
-  SELECT {_HASH} AS action_id, * FROM (
-    SELECT hcp_id, {q(_C.SEED_MSL)} AS msl_name, {q(_C.SEED_DECISION)} AS review_decision,
-      {q(_C.SEED_NOTES)} AS review_notes, {q(_C.SEED_CHANNEL)} AS scheduled_channel,
+  SELECT sha256(request) AS action_id, * EXCLUDE (request) FROM (
+    SELECT {_SEED}, {q(_C.SEED_NOTES)} AS review_notes, {q(_C.SEED_CHANNEL)} AS scheduled_channel,
       DATE '2024-01-31' + 14 AS scheduled_date
     FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 2)""", ["serving_action_queue"])
 CTES_EXTRA["review_actions"] = (f"""
   SELECT * FROM review_seed
-  UNION
-  SELECT {_HASH} AS action_id, * FROM (
-    SELECT hcp_id, {q(_C.SEED_MSL)} AS msl_name, {q(_C.SEED_DECISION)} AS review_decision,
-      suggested_engagement AS review_notes, {q(_C.SEED_CHANNEL)} AS scheduled_channel,
-      recommended_date AS scheduled_date
-    FROM serving_action_queue WHERE priority_tier = 'High')""", ["review_seed", "serving_action_queue"])
+  UNION ALL
+  SELECT sha256(format('bulk-{{}}-{{}}', k, hcp_id)) AS action_id, hcp_id, {q(_C.SEED_MSL)} AS msl_name,
+    {q(_C.SEED_DECISION)} AS review_decision, suggested_engagement AS review_notes,
+    {q(_C.SEED_CHANNEL)} AS scheduled_channel, recommended_date AS scheduled_date
+  FROM serving_action_queue, range(7) t(k) WHERE priority_tier = 'High'""", ["review_seed", "serving_action_queue"])
 
 for _name, (_body, _deps) in CTES_EXTRA.items():
     CTES[_name] = (_body, _deps)
@@ -300,15 +295,18 @@ sql("engagement_plan", """SELECT h.hcp_id,
     'MSL confirmation' AS required_review
     FROM hcp_360 h LEFT JOIN next_best_engagement n USING (hcp_id) LEFT JOIN recommend_content r USING (hcp_id)""",
     ["hcp_360", "next_best_engagement", "recommend_content"])
-sql("masked_hcp_360", "SELECT * REPLACE (sha256(npi) AS npi) FROM hcp_360", ["hcp_360"])
+_PAD = [bytes(b ^ x for b in _C.DEFAULT.mask_key.encode().ljust(64, b"\0")).hex() for x in (0x36, 0x5C)]
+sql("masked_hcp_360", f"""SELECT * REPLACE (
+    sha256(from_hex('{_PAD[1]}') || from_hex(sha256(from_hex('{_PAD[0]}') || encode(npi)))) AS npi) FROM hcp_360""", ["hcp_360"])
 sql("action_queue_top50", "SELECT * FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 50",
     ["serving_action_queue"])
 sql("queue_check", """SELECT hcp_id, hcp_name, priority_tier, msl_priority_score, trigger,
     (SELECT COUNT(*) FROM serving_action_queue) AS queue_rows
     FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 5""", ["serving_action_queue"])
 sql("recent_reviews", """SELECT action_id, hcp_id, msl_name, review_decision, review_notes, scheduled_channel,
-    scheduled_date FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id ORDER BY action_id DESC) AS rn
-    FROM review_actions) WHERE rn <= 5""", ["review_actions"])
+    scheduled_date FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id
+      ORDER BY action_id IN (SELECT action_id FROM review_seed), action_id DESC) AS rn
+    FROM review_actions) WHERE rn <= 5""", ["review_actions", "review_seed"])
 
 # ----------------------------------------------------------------------------- bronze ingest
 for _feed in ["hcp_master", "msl_interactions", "medical_inquiries", "congress_events", "digital_engagement",

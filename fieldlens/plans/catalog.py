@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Settings
 from ..operators import extract as X
+from ..functions.common import path_has_files
 from ..operators import gold as G
+from ..operators import governance as GOV
 from ..operators import silver as S
 from ..sources.feeds import FEEDS
 from ..sources.tables import StarTables
 from ..sources.testbind import bind_feed
+from . import publish as PB
 
 BRONZE = {f"bronze_{f}": f for f in FEEDS}
 
@@ -88,13 +91,16 @@ class Lakehouse:
         notes = self.table("bronze_msl_interactions")
         if not self.extract_cache:
             return X.silver_extracted(notes, self.extractor)
-        # incremental: only notes whose hash is not cached go to the extractor
-        from ..operators.serving import path_has_files
+        # the stored responses; `refresh` adds those of new notes before this table is built
+        if not path_has_files(self.spark, self.extract_cache):
+            return X.silver_extracted(notes, self.extractor)
+        cache = self.spark.read.schema("note_hash STRING, extracted_raw STRING").parquet(self.extract_cache)
+        return X.table_from_cache(notes, cache)
 
-        cache = self.spark.read.parquet(self.extract_cache) if path_has_files(self.spark, self.extract_cache) else None
-        table, new_rows = X.extract_incremental(notes, cache, self.extractor)
-        new_rows.write.mode("append").parquet(self.extract_cache)
-        return table
+    def update_extract_cache(self) -> None:
+        """Send the notes that the stored cache doesn't have to the extractor, each distinct one once."""
+        if self.extract_cache:
+            X.extract_incremental(self.spark, self.table("bronze_msl_interactions"), self.extract_cache, self.extractor)
 
     # -- resolution ---------------------------------------------------------
     def table(self, name: str) -> DataFrame:
@@ -106,7 +112,6 @@ class Lakehouse:
         if name in BRONZE:
             feed = BRONZE[name]
             if feed in self.bronze_paths:
-                from ..operators.serving import path_has_files
                 from ..sources.feeds import bronze_schema
 
                 path = self.bronze_paths[feed]
@@ -146,24 +151,41 @@ class Lakehouse:
 
     # -- full refresh -------------------------------------------------------
     def refresh(self, out_dir: str, targets: list[str] | None = None, parallel: int = 4) -> dict[str, str]:
-        """Write every needed table once, in dependency order; later tables read the files.
+        """Write every needed table once into a new run folder, in dependency order, then publish the folder.
 
         The tables of one dependency level are written by concurrent jobs (up to
-        ``parallel``), so small independent tables share the cluster instead of
-        running one after another. Each written table replaces its in-memory
-        plan with a read of the files, which also cuts lineage between layers.
+        ``parallel``). Each written table replaces its in-memory plan with a read
+        of the files, which also cuts lineage between layers. Classified tables
+        carry their tags, and a masked copy is written beside each. Readers of
+        ``published(spark, out_dir)`` get the new tables only after all of them
+        are written: a failed run leaves the former version in place.
         """
         from concurrent.futures import ThreadPoolExecutor
 
+        run = PB.new_run(out_dir)
         written: dict[str, str] = {}
+        if "silver_extracted" in self.order(targets):
+            self.update_extract_cache()
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for level in self.levels(targets):
                 frames = {name: self.table(name) for name in level}  # plans built on this thread
-                paths = {name: os.path.join(out_dir, name) for name in level}
-                jobs = [pool.submit(frames[n].write.mode("overwrite").parquet, paths[n]) for n in level]
+                for name in [n for n in level if n in GOV.CLASSIFIED_TABLES]:
+                    frames[name] = GOV.classify(frames[name])
+                    frames[f"{name}_masked"] = GOV.mask(frames[name], self.settings.mask_key)
+                paths = {name: os.path.join(run, name) for name in frames}
+                jobs = [pool.submit(frames[n].write.parquet, paths[n]) for n in frames]
                 for job in jobs:
                     job.result()
                 for name in level:
                     self._tables[name] = self.spark.read.parquet(paths[name])
-                    written[name] = paths[name]
+                written.update(paths)
+        PB.publish(self.spark, out_dir, run)
         return written
+
+
+def published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """A table of the published refresh under ``out_dir``."""
+    now = PB.current(spark, out_dir)
+    if now is None:
+        raise ValueError(f"nothing is published under {out_dir}")
+    return spark.read.parquet(os.path.join(now[1], name))

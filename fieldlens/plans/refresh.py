@@ -6,7 +6,7 @@
 run ingests only files not seen before (checkpointed bronze streams), then
 fully refreshes the silver and gold tables from the whole bronze tables,
 extracts only notes whose hash is not yet in the extraction cache, and
-overwrites the keyed serving snapshot. Every output lives under ``<out>``,
+publishes tables and the keyed serving snapshot once they are complete. Every output lives under ``<out>``,
 which on a cluster is shared storage.
 """
 
@@ -22,6 +22,7 @@ from ..config import DEFAULT, Settings
 from ..operators import serving as SV
 from ..sources.feeds import FEEDS
 from ..streaming import bronze as B
+from . import publish as PB
 from .catalog import Lakehouse
 
 
@@ -30,12 +31,12 @@ def _join(root: str, *parts: str) -> str:
 
 
 def ingest_all(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
-    """Run every feed's bronze stream once (availableNow); returns bronze table paths."""
-    paths = {}
-    for feed in FEEDS:
-        table = _join(out, "bronze", feed)
-        B.ingest(spark, feed, _join(landing, feed, "*"), table, _join(out, "_checkpoints", feed))
-        paths[feed] = table
+    """Run every feed's bronze stream once (availableNow), side by side; returns bronze table paths."""
+    paths = {feed: _join(out, "bronze", feed) for feed in FEEDS}
+    runs = [B.start(spark, feed, _join(landing, feed, "*"), table, _join(out, "_checkpoints", feed))
+            for feed, table in paths.items()]
+    for run in runs:
+        B.finish(run)
     return paths
 
 
@@ -47,7 +48,8 @@ def run_refresh(spark: SparkSession, landing: str, out: str, settings: Settings
     written = lh.refresh(_join(out, "tables"))
     queue = SV.action_queue(lh.table("next_best_engagement"))
     SV.publish_snapshot(queue, _join(out, "serving", "msl_action_queue"))
-    written["msl_action_queue"] = _join(out, "serving", "msl_action_queue")
+    now = PB.current(spark, _join(out, "serving", "msl_action_queue"))
+    written["msl_action_queue"] = now[1]
     return written
 
 

@@ -143,11 +143,8 @@ def _extract_incremental(lh: Lakehouse) -> DataFrame:
     notes = lh.table("bronze_msl_interactions")
     cache_path = work_dir(spark, "extract-cache") + "/cache"
     older = notes.filter(F.col("interaction_date") < F.date_sub(F.lit(s.as_of), 120))
-    _, first = X.extract_incremental(older, None)
-    first.write.mode("overwrite").parquet(cache_path)
-    table, new_rows = X.extract_incremental(notes, spark.read.parquet(cache_path))
-    new_rows.write.mode("append").parquet(cache_path)
-    return table
+    X.extract_incremental(spark, older, cache_path)
+    return X.extract_incremental(spark, notes, cache_path)
 
 
 # ----------------------------------------------------------------------------- metric views (M1-M3)
@@ -238,15 +235,23 @@ def _context(lh: Lakehouse) -> DataFrame:
 register("briefing_context")(_context)
 register("briefing_prompt")(lambda lh: C.briefing_prompt(_context(lh)))
 register("engagement_plan")(lambda lh: C.engagement_plan(_wide(lh), _recommend(lh)))
-register("masked_hcp_360")(lambda lh: GOV.mask(GOV.classify(lh.table("hcp_360"))))
+register("masked_hcp_360")(lambda lh: GOV.mask(GOV.classify(lh.table("hcp_360")), lh.settings.mask_key))
 
 
 # ----------------------------------------------------------------------------- serving
+_SNAPSHOTS: dict[tuple, str] = {}
+
+
 def _queue_snapshot(lh: Lakehouse) -> DataFrame:
+    """The served queue of the tables: published once for an application, then read by every serving key."""
     from ..session import work_dir
 
-    path = work_dir(lh.spark, "serving") + "/msl_action_queue"
-    return SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), path)
+    key = (lh.spark.sparkContext.applicationId, lh.sf_dir)
+    if key not in _SNAPSHOTS:
+        root = work_dir(lh.spark, "serving") + "/msl_action_queue"
+        SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), root)
+        _SNAPSHOTS[key] = root
+    return SV.served_snapshot(lh.spark, _SNAPSHOTS[key])
 
 
 register("serving_action_queue")(_queue_snapshot)
@@ -266,8 +271,9 @@ def _review_log(lh: Lakehouse, with_bulk: bool) -> str:
     SV.seed_reviews(spark, queue, log, lh.settings)
     SV.seed_reviews(spark, queue, log, lh.settings)  # idempotent: the log is no longer empty
     if with_bulk:
-        approvals = queue.filter(F.col("priority_tier") == "High").select(
-            "hcp_id", F.lit(CF.SEED_MSL).alias("msl_name"), F.lit(CF.SEED_DECISION).alias("review_decision"),
+        turns = F.explode(F.sequence(F.lit(0), F.lit(6))).alias("k")  # seven requests each, so the newest-five limit bites
+        approvals = queue.filter(F.col("priority_tier") == "High").select("*", turns).select(
+            F.concat(F.lit("bulk-"), F.col("k").cast("string"), F.lit("-"), "hcp_id").alias("request_id"), "hcp_id", F.lit(CF.SEED_MSL).alias("msl_name"), F.lit(CF.SEED_DECISION).alias("review_decision"),
             F.col("suggested_engagement").alias("review_notes"),
             F.lit(CF.SEED_CHANNEL).alias("scheduled_channel"), F.col("recommended_date").alias("scheduled_date"))
         SV.append_reviews(spark, approvals, log)

@@ -12,6 +12,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # many small partitions to begin with; AQE merges what is too small
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -45,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="fieldlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

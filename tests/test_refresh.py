@@ -1,6 +1,6 @@
 """End to end: CSV drops -> streaming bronze -> silver/gold refresh -> serving snapshot."""
 
-from fieldlens.plans.catalog import Lakehouse
+from fieldlens.plans.catalog import Lakehouse, published
 from fieldlens.plans.refresh import land_bound_feeds, run_refresh
 
 SF = "/root/testdata/sf0.001"
@@ -20,6 +20,11 @@ def test_refresh_matches_batch_tables(spark, tmp_dir):
     for name in ["silver_hcp", "hcp_360", "next_best_engagement", "territory_opportunity"]:
         got = spark.read.parquet(written[name])
         assert _rows(got) == _rows(batch.table(name).select(*got.columns)), name
+    assert _rows(published(spark, f"{out}/tables", "hcp_priority")) == _rows(spark.read.parquet(written["hcp_priority"]))
+    tagged = spark.read.parquet(written["hcp_360"]).schema["npi"].metadata
+    assert tagged["classification"] == "pii"
+    clear = {r.npi for r in spark.read.parquet(written["hcp_360"]).collect()}
+    assert not clear & {r.npi for r in spark.read.parquet(written["hcp_360_masked"]).collect()}
     queue = spark.read.parquet(written["msl_action_queue"])
     assert queue.count() == batch.table("next_best_engagement").count()
     # the second run sent only the new notes to the extractor; the cache holds each note once

@@ -36,13 +36,10 @@ PUB_SCHEMA = ("record_id string, hcp_id string, record_type string, title string
 
 
 def note(topic, interest="high", follow=False, competitor=None):
-    comp = f" HCP compared experience with {competitor} and asked how our data differs." if competitor else ""
-    fu = (" Requested a follow-up with additional materials." if follow
-          else " No specific follow-up requested at this time.")
-    return (f"Met with the HCP via phone to discuss {topic} for Enhertu (trastuzumab deruxtecan (T-DXd)) in "
-            f"HER2+ metastatic breast cancer. Overall tone was positive and scientific interest appeared "
-            f"{interest}. Requested subgroup analysis regarding efficacy evidence.{comp}{fu} "
-            f"Non-promotional scientific exchange only.")
+    comp = f" Also considered: {competitor}." if competitor else ""
+    return (f"Contact (phone). Subject: {topic}. Product: Velomab / velotuzumab / early ductal carcinoma. Mood: positive. "
+            f"Interest: {interest}. Ask: share the poster. Evidence: efficacy.{comp} "
+            f"{'Call back agreed.' if follow else 'No call back.'}")
 
 
 def hcp_row(hid, influence, territory="T1", ts="2024-01-30 00:00:00", name=None):
@@ -60,17 +57,17 @@ def fixture(spark):
     notes = spark.createDataFrame([
         ("n1", "h1", "m", ago(30), "Phone", 30, note("brain metastases", "high", True)),
         ("n2", "h1", "m", ago(31), "Phone", 45, note("brain metastases", "medium")),
-        ("n3", "h1", "m", ago(60), "Phone", 15, note("dose timing", "low", competitor="Kadcyla")),
+        ("n3", "h1", "m", ago(60), "Phone", 15, note("dose timing", "low", competitor="Hexavir")),
         ("n4", "h1", "m", ago(-5), "Virtual", 20, note("dose timing", "high")),   # future date counts <= 30
         ("n5", "h2", "m", ago(91), "Phone", 30, note("brain metastases", "low")),
         ("n6", "h2", "m", ago(180), "Phone", 30, note("brain metastases", "low")),
         ("n7", "h3", "m", ago(61), "Phone", 30, note("survival outcomes", "high")),
     ], NOTE_SCHEMA)
     inq = spark.createDataFrame([
-        ("q1", "h1", ago(10), "t", "e", "i", "Open", 10, False, 3, "Enhertu"),       # overdue
-        ("q2", "h1", ago(2), "t", "e", "i", "Open", 2, False, 3, "Enhertu"),         # not yet
-        ("q3", "h2", ago(40), "t", "e", "i", None, 40, False, 2, "Enhertu"),         # NULL status -> NULL
-        ("q4", "h3", ago(40), "t", "e", "i", "Closed", 2, True, None, "Datroway"),   # NULL target
+        ("q1", "h1", ago(10), "t", "e", "i", "Open", 10, False, 3, "Velomab"),       # overdue
+        ("q2", "h1", ago(2), "t", "e", "i", "Open", 2, False, 3, "Velomab"),         # not yet
+        ("q3", "h2", ago(40), "t", "e", "i", None, 40, False, 2, "Velomab"),         # NULL status -> NULL
+        ("q4", "h3", ago(40), "t", "e", "i", "Closed", 2, True, None, "Corvexa"),   # NULL target
     ], INQ_SCHEMA)
     cg = spark.createDataFrame([
         ("c1", "h1", "E1", ago(5), "s", "Oncology", "Attended", True),
@@ -204,7 +201,7 @@ def test_ties_do_not_depend_on_partitioning(spark):
         top = G.top_topic(G.topic_interest(G.note_rollup(ext, DEFAULT), DEFAULT)).collect()[0]
         latest = G.latest_note(G.msl_rollup(G.note_rollup(ext, DEFAULT), DEFAULT)).collect()[0]
         results.add((top.top_scientific_topic, latest.recent_question))
-    assert results == {("CNS / Brain Metastases", "Requested subgroup analysis")}
+    assert results == {("CNS / Brain Metastases", "share the poster")}
 
 
 def test_profile_unique_per_hcp(spark):

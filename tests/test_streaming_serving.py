@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fieldlens.config import DEFAULT
@@ -21,13 +22,13 @@ def _drop(folder, name, body):
 
 def test_each_file_ingested_once_across_restarts(spark, tmp_dir):
     land, table, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
-    _drop(f"{land}/d1", "a.csv", "Q1,h1,2024-01-02,Dosing guidance,Safety,x,Open,3,False,2,Enhertu\n")
+    _drop(f"{land}/d1", "a.csv", "Q1,h1,2024-01-02,Dosing guidance,Safety,x,Open,3,False,2,Velomab\n")
     B.ingest(spark, "medical_inquiries", f"{land}/*", table, ckpt)
     B.ingest(spark, "medical_inquiries", f"{land}/*", table, ckpt)  # restart, nothing new
     assert spark.read.parquet(table).count() == 1
     _drop(f"{land}/d2", "b.csv",
-          "Q2,h2,2024-01-03,\"Safety / ILD management\",Safety,x,Closed,1,True,2,Datroway\n"
-          "Q3,h3,2024-01-04,Dosing,Safety,x,Open,not-a-number,False,2,Enhertu\n")
+          "Q2,h2,2024-01-03,\"Safety / ILD management\",Safety,x,Closed,1,True,2,Corvexa\n"
+          "Q3,h3,2024-01-04,Dosing,Safety,x,Open,not-a-number,False,2,Velomab\n")
     B.ingest(spark, "medical_inquiries", f"{land}/*", table, ckpt)
     t = spark.read.parquet(table)
     rows = {r.inquiry_id: r for r in t.collect()}
@@ -49,7 +50,23 @@ def test_multiline_quoted_notes_round_trip(spark, tmp_dir):
     assert len(got) == 1 and got[0].raw_notes == 'line one\nHCP said "send it", thanks ' and got[0].ingest_ok
 
 
-def test_review_log_append_is_idempotent(spark, tmp_dir):
+def test_reordered_header_fails_instead_of_swapping(spark, tmp_dir):
+    folder = f"{tmp_dir}/landing/d1"
+    os.makedirs(folder)
+    with open(f"{folder}/a.csv", "w") as f:
+        f.write(HEADER.replace("indication,response_status", "response_status,indication") + "Q1,h1,2024-01-02,t,e,Open,x,3,False,2,p\n")
+    try:
+        B.ingest(spark, "medical_inquiries", f"{tmp_dir}/landing/*", f"{tmp_dir}/t", f"{tmp_dir}/c")
+    except StreamingQueryException:
+        return
+    raise AssertionError("reordered header was read by position")
+
+
+DECISION = ("request_id string, hcp_id string, msl_name string, review_decision string, review_notes string, "
+            "scheduled_channel string, scheduled_date date")
+
+
+def test_review_log_keeps_every_request_once(spark, tmp_dir):
     queue = spark.createDataFrame(
         [("h1", 70.0), ("h2", 90.0), ("h3", 80.0)], "hcp_id string, msl_priority_score double")
     log = f"{tmp_dir}/log"
@@ -57,20 +74,36 @@ def test_review_log_append_is_idempotent(spark, tmp_dir):
     SV.seed_reviews(spark, queue, log, DEFAULT)
     seeded = SV.read_log(spark, log)
     assert sorted(r.hcp_id for r in seeded.collect()) == ["h2", "h3"]
-    new = spark.createDataFrame([("h1", "MSL", "Deferred", "n", "Phone", dt.date(2024, 2, 1))] * 2,
-                                "hcp_id string, msl_name string, review_decision string, review_notes string, "
-                                "scheduled_channel string, scheduled_date date")
+    day = dt.date(2024, 2, 1)
+    same = [("r1", "h1", "MSL", "Approved", None, "Phone", day), ("r2", "h1", "MSL", "Approved", None, "Phone", day),
+            ("r3", "h1", "MSL", "Approved", "", "Phone", day)]  # equal content, three requests
+    new = spark.createDataFrame(same, DECISION)
     SV.append_reviews(spark, new, log)
-    SV.append_reviews(spark, new, log)
-    assert SV.read_log(spark, log).count() == 3
-    recent = SV.recent_reviews(SV.read_log(spark, log), 5)
-    assert recent.count() == 3
+    SV.append_reviews(spark, new, log)  # a retry
+    assert SV.read_log(spark, log).count() == 5
+    assert SV.recent_reviews(SV.read_log(spark, log), 2).filter("hcp_id = 'h1'").count() == 2
 
 
-def test_snapshot_rejects_duplicate_keys(spark, tmp_dir):
-    dup = spark.createDataFrame([("h1", 1.0), ("h1", 2.0)], "hcp_id string, msl_priority_score double")
+def test_failed_check_leaves_the_former_snapshot(spark, tmp_dir):
+    schema = "hcp_id string, msl_priority_score double"
+    root = f"{tmp_dir}/q"
+    SV.publish_snapshot(spark.createDataFrame([("h1", 1.0)], schema), root)
     try:
-        SV.publish_snapshot(dup, f"{tmp_dir}/q")
+        SV.publish_snapshot(spark.createDataFrame([("h1", 1.0), ("h1", 2.0)], schema), root)
     except ValueError:
+        assert SV.served_snapshot(spark, root).count() == 1
+        SV.publish_snapshot(spark.createDataFrame([("h1", 1.0), ("h2", 2.0)], schema), root)
+        assert SV.served_snapshot(spark, root).count() == 2
         return
     raise AssertionError("duplicate key not detected")
+
+
+def test_keyed_hash_is_hmac(spark):
+    import hashlib
+    import hmac
+
+    from fieldlens.operators.governance import keyed_hash
+
+    df = spark.createDataFrame([("1000000001",), (None,), ("é",)], "v string")
+    got = {r.v: r.h for r in df.select("v", keyed_hash(F.col("v"), "secret").alias("h")).collect()}
+    assert got == {v: v and hmac.new(b"secret", v.encode(), hashlib.sha256).hexdigest() for v in got}
