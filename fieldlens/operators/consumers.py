@@ -12,6 +12,8 @@ more than any other.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -202,46 +204,47 @@ CONTENT_COLUMNS = ["content_id", "content_title", "content_type", "topic_categor
                    "product", "approval_status", "med_review_id", "approval_date"]
 
 
-def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame) -> DataFrame:
+def rank_catalogue(content: DataFrame) -> DataFrame:
+    """Approved assets with their place in their topic, newest first (ties: largest id).
+
+    Places are counted per topic and month and added up over the few months of
+    a topic, so a topic with most of the catalogue is sorted in many tasks.
+    """
+    approved = content.filter(F.col("approval_status") == "Approved").withColumn(
+        "_month", F.coalesce(F.trunc("approval_date", "month"), F.lit(dt.date(1900, 1, 1))))
+    months = approved.groupBy(F.col("topic_category").alias("_t"), F.col("_month").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.partitionBy("_t").orderBy(F.desc("_m")).rowsBetween(Window.unboundedPreceding, -1)
+    months = months.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+    inside = Window.partitionBy("topic_category", "_month").orderBy(F.desc("approval_date"), F.desc("content_id"))
+    return (approved.withColumn("_place", F.row_number().over(inside))
+            .join(months, F.col("topic_category").eqNullSafe(F.col("_t")) & (F.col("_month") == F.col("_m")))
+            .withColumn("cand_rank", F.col("_before") + F.col("_place")).select(*content.columns, "cand_rank"))
+
+
+def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """A10: newest Approved asset of each HCP's top topic that was not shared with the HCP.
 
-    An HCP whose shared list holds k approved assets of its top topic gets
-    its answer within the first k+1 assets of that topic, so each HCP is
-    expanded to exactly k+1 candidate ranks and equi-joined on
-    (topic, rank): the work is linear in HCPs plus shares, with no HCP x
-    catalogue pairing. ``NOT IN`` semantics are kept: an HCP with a share
-    whose content_id is NULL gets no recommendation.
+    One pass over the shares: each becomes (topic, rank) by the catalogue, and an
+    HCP's set of them is one aggregate. The answer's rank is the smallest one
+    that the set lacks, so each HCP joins the catalogue once, by (topic, rank),
+    with no HCP x catalogue pairing and no job while the plan is built.
+    ``NOT IN`` semantics are kept: an HCP with a share whose content_id is NULL
+    gets no recommendation. With ``keep``, those columns of ``top`` are carried
+    and HCPs without an answer stay, with NULL content columns.
     """
-    approved = content.filter(F.col("approval_status") == "Approved")
-    shares = shared.select("hcp_id", "content_id")
-    has_null = (shares.groupBy("hcp_id")
-                .agg(F.max(F.col("content_id").isNull().cast("int")).alias("has_null_share")))
-    tops = top.select("hcp_id", F.col("top_scientific_topic").alias("topic_category"))
-    # k per (HCP, topic) from shares and catalogue alone; joined to the HCP's top
-    # topic once below, so the top-topic plan (note extraction) is consumed once
-    blocking = (shares.filter(F.col("content_id").isNotNull()).distinct()
-                .join(approved.select("content_id", "topic_category"), "content_id")
-                .groupBy("hcp_id", "topic_category").agg(F.count(F.lit(1)).alias("k")))
-    # No HCP needs a rank beyond max(k) + 1. With a bound as a literal, Spark
-    # plans a partial WindowGroupLimit below the shuffle, so each topic's sort
-    # sees at most that many assets per map task instead of the whole catalogue.
-    # The bound is taken from shares and catalogue alone (distinct approved
-    # assets shared with one HCP >= k), so computing it needs no note extraction.
-    max_shared = (shares.filter(F.col("content_id").isNotNull()).distinct()
-                  .join(approved.select("content_id"), "content_id")
-                  .groupBy("hcp_id").count().agg(F.max("count")).first()[0])
-    max_rank = (max_shared or 0) + 1
-    ranked = (approved.withColumn("cand_rank", F.row_number().over(
-        Window.partitionBy("topic_category").orderBy(F.desc("approval_date"), F.desc("content_id"))))
-        .filter(F.col("cand_rank") <= max_rank))
-    cands = (tops.join(blocking, ["hcp_id", "topic_category"], "left").join(has_null, "hcp_id", "left")
-             .filter(F.coalesce("has_null_share", F.lit(0)) == 0)
-             .select("hcp_id", "topic_category",
-                     F.explode(F.sequence(F.lit(1), F.coalesce("k", F.lit(0)) + 1)).alias("cand_rank")))
-    hits = (cands.join(ranked, ["topic_category", "cand_rank"])
-            .join(shares.filter(F.col("content_id").isNotNull()), ["hcp_id", "content_id"], "left_anti"))
-    best = hits.groupBy("hcp_id").agg(F.min_by(F.struct(*CONTENT_COLUMNS), F.col("cand_rank")).alias("c"))
-    return best.select("hcp_id", *[F.col(f"c.{c}").alias(c) for c in CONTENT_COLUMNS])
+    ranked = rank_catalogue(content)
+    places = ranked.select(F.col("content_id").alias("_c"), F.struct(F.col("topic_category").alias("t"), F.col("cand_rank").alias("r")).alias("_p"))
+    seen = (shared.select("hcp_id", "content_id").join(places, F.col("content_id") == F.col("_c"), "left")
+            .groupBy("hcp_id").agg(F.bool_or(F.col("content_id").isNull()).alias("_null"), F.collect_set("_p").alias("_seen")))
+    used = F.transform(F.filter(F.coalesce("_seen", F.array().cast("array<struct<t:string,r:bigint>>")),
+                                lambda p: p["t"] == F.col("top_scientific_topic")), lambda p: p["r"])
+    free = F.array_min(F.array_except(F.sequence(F.lit(1).cast("bigint"), F.size("_used") + F.lit(1).cast("bigint")), F.col("_used")))
+    wanted = top.join(seen.withColumnRenamed("hcp_id", "_h"), F.col("hcp_id") == F.col("_h"), "left").withColumn("_used", used)
+    wanted = wanted.select("hcp_id", *(keep or []), F.col("top_scientific_topic").alias("_topic"),
+                           F.when(~F.coalesce("_null", F.lit(False)), free).alias("_rank"))
+    hit = (F.col("topic_category") == F.col("_topic")) & (F.col("cand_rank") == F.col("_rank"))
+    found = wanted.join(ranked.select(*CONTENT_COLUMNS, "cand_rank"), hit, "left" if keep else "inner")
+    return found.select("hcp_id", *(keep or []), *CONTENT_COLUMNS)
 
 
 def _fmt_int(c: Column) -> Column:
@@ -310,16 +313,19 @@ def briefing_prompt(context: DataFrame) -> DataFrame:
     return context.select("hcp_id", F.concat(F.lit(C.BRIEFING_INSTRUCTION), F.col("context")).alias("prompt"))
 
 
-def engagement_plan(next_best_wide: DataFrame, recommendation: DataFrame) -> DataFrame:
-    """Plan card per HCP with the application's fallbacks."""
-    r = recommendation.select("hcp_id", F.col("content_title").alias("asset_title"))
-    j = next_best_wide.join(r, "hcp_id", "left")
+PLAN_COLUMNS = ["suggested_engagement", "trigger", "topic", "top_scientific_topic", "preferred_engagement_channel",
+                "recommended_follow_up_window"]
+
+
+def engagement_plan(next_best_wide: DataFrame, content: DataFrame, shared: DataFrame) -> DataFrame:
+    """Plan card per HCP with the application's fallbacks; the top topic comes from the profile itself."""
+    j = recommend_content(next_best_wide, content, shared, keep=PLAN_COLUMNS)
     return j.select(
         "hcp_id",
         F.coalesce("suggested_engagement", F.lit("Address outstanding scientific question")).alias("objective"),
         F.coalesce("trigger", F.lit(C.TRIGGER_CADENCE)).alias("trigger"),
         F.coalesce("topic", "top_scientific_topic", F.lit("Scientific exchange")).alias("topic"),
-        F.coalesce("asset_title", F.lit(C.ASSET_FALLBACK)).alias("supporting_asset"),
+        F.coalesce("content_title", F.lit(C.ASSET_FALLBACK)).alias("supporting_asset"),
         F.coalesce("preferred_engagement_channel", F.lit(C.DEFAULT_CHANNEL)).alias("preferred_channel"),
         F.coalesce("recommended_follow_up_window", F.lit(C.WINDOW_30)).alias("timing"),
         F.lit("MSL confirmation").alias("required_review"),

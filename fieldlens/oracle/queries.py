@@ -83,12 +83,23 @@ sql("metric_hcp_by_territory", f"SELECT territory, {HCP_MEASURES} FROM hcp_360 G
 sql("metric_hcp_by_tier", f"SELECT hcp_tier, {HCP_MEASURES} FROM hcp_360 GROUP BY hcp_tier", ["hcp_360"])
 sql("metric_hcp_global", f"SELECT {HCP_MEASURES} FROM hcp_360", ["hcp_360"])
 
+for _d, _col in [("specialty", "specialty"), ("practice_setting", "practice_setting"),
+                 ("therapeutic_area", "primary_therapeutic_area"), ("top_scientific_topic", "top_scientific_topic"),
+                 ("preferred_channel", "preferred_engagement_channel")]:
+    sql(f"metric_hcp_by_{_d}", f"SELECT {_col} AS {_d}, {HCP_MEASURES} FROM hcp_360 GROUP BY ALL", ["hcp_360"])
+sql("metric_hcp_by_territory_and_tier", f"SELECT territory, hcp_tier, {HCP_MEASURES} FROM hcp_360 GROUP BY ALL", ["hcp_360"])
+sql("metric_hcp_influential_by_tier", f"SELECT hcp_tier, {HCP_MEASURES} FROM hcp_360 WHERE influence_score >= 60 GROUP BY ALL",
+    ["hcp_360"])
+
 _SLA = rhu("100 * COUNT(CASE WHEN sla_met THEN 1 END)", "COUNT(CASE WHEN response_status = 'Closed' THEN 1 END)", 4)
 INQ_MEASURES = f"""COUNT(*) AS total_inquiries,
     COUNT(CASE WHEN response_status = 'Open' THEN 1 END) AS open_inquiries,
     COUNT(CASE WHEN overdue THEN 1 END) AS overdue_inquiries,
     CAST({rhu('SUM(response_time_days)', 'COUNT(response_time_days)', 4)} AS DOUBLE) AS avg_response_days,
     CAST({_SLA} AS DOUBLE) AS sla_met_pct"""
+for _d, _col in [("inquiry_topic", "inquiry_topic"), ("evidence_type", "evidence_type_requested"), ("indication", "indication"),
+                 ("response_status", "response_status")]:
+    sql(f"metric_inquiries_by_{_d}", f"SELECT {_col} AS {_d}, {INQ_MEASURES} FROM gold_inquiries GROUP BY ALL", ["gold_inquiries"])
 sql("metric_inquiries_by_product", f"SELECT product, {INQ_MEASURES} FROM gold_inquiries GROUP BY product",
     ["gold_inquiries"])
 sql("metric_inquiries_by_month", f"""SELECT CAST(date_trunc('month', inquiry_date) AS DATE) AS inquiry_month,

@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT, Settings
 from ..functions.numeric import exact_avg, quotient
 
 MEASURE_SCALE = 4
@@ -57,36 +58,40 @@ def _hcp(c: str) -> Callable[[], Column]:
     return lambda: F.col(c)
 
 
-def _engaged() -> Column:
-    return F.when(F.col("days_since_last_msl") <= 90, F.col("hcp_id"))
-
-
-HCP_ENGAGEMENT = MetricView(
-    name="metric_hcp_engagement",
-    dimensions={
-        "territory": _hcp("territory"),
-        "specialty": _hcp("specialty"),
-        "hcp_tier": _hcp("hcp_tier"),
-        "practice_setting": _hcp("practice_setting"),
-        "therapeutic_area": _hcp("primary_therapeutic_area"),
-        "top_scientific_topic": _hcp("top_scientific_topic"),
-        "preferred_channel": _hcp("preferred_engagement_channel"),
-    },
-    measures={
-        "total_hcps": lambda: F.countDistinct("hcp_id"),
-        "hcps_engaged_90d": lambda: F.countDistinct(_engaged()),
-        "hcp_reach_pct": lambda: _ratio(F.countDistinct(_engaged()) * 100, F.countDistinct("hcp_id")),
-        "under_engaged_priority_hcps": lambda: F.countDistinct(
-            F.when(F.col("under_engaged_priority"), F.col("hcp_id"))),
-        "avg_engagement_score": lambda: _avg(F.col("engagement_score").cast("decimal(10,1)")),
-        "avg_educational_need_score": lambda: _avg(F.col("educational_need_score").cast("decimal(10,1)")),
-        "avg_influence_score": lambda: _avg(F.col("influence_score")),
-        "total_msl_interactions": lambda: F.sum("msl_interactions"),
-        "avg_email_open_rate": lambda: _avg(F.col("email_open_rate").cast("decimal(10,3)")),
-        "open_follow_ups": lambda: F.sum("follow_ups_requested"),
-    },
-    labels={"hcp_tier": "HCP Tier", "total_hcps": "Total HCPs", "hcp_reach_pct": "HCP Reach Pct"},
-)
+def hcp_engagement(s: Settings = DEFAULT) -> MetricView:
+    """The HCP metric view; "engaged" follows the reach window of the settings."""
+    def _engaged() -> Column:
+        return F.when(F.col("days_since_last_msl") <= s.reach_days, F.col("hcp_id"))
+
+    return MetricView(
+        name="metric_hcp_engagement",
+        dimensions={
+            "territory": _hcp("territory"),
+            "specialty": _hcp("specialty"),
+            "hcp_tier": _hcp("hcp_tier"),
+            "practice_setting": _hcp("practice_setting"),
+            "therapeutic_area": _hcp("primary_therapeutic_area"),
+            "top_scientific_topic": _hcp("top_scientific_topic"),
+            "preferred_channel": _hcp("preferred_engagement_channel"),
+        },
+        measures={
+            "total_hcps": lambda: F.countDistinct("hcp_id"),
+            "hcps_engaged_90d": lambda: F.countDistinct(_engaged()),
+            "hcp_reach_pct": lambda: _ratio(F.countDistinct(_engaged()) * 100, F.countDistinct("hcp_id")),
+            "under_engaged_priority_hcps": lambda: F.countDistinct(
+                F.when(F.col("under_engaged_priority"), F.col("hcp_id"))),
+            "avg_engagement_score": lambda: _avg(F.col("engagement_score").cast("decimal(10,1)")),
+            "avg_educational_need_score": lambda: _avg(F.col("educational_need_score").cast("decimal(10,1)")),
+            "avg_influence_score": lambda: _avg(F.col("influence_score")),
+            "total_msl_interactions": lambda: F.sum("msl_interactions"),
+            "avg_email_open_rate": lambda: _avg(F.col("email_open_rate").cast("decimal(10,3)")),
+            "open_follow_ups": lambda: F.sum("follow_ups_requested"),
+        },
+        labels={"hcp_tier": "HCP Tier", "total_hcps": "Total HCPs", "hcp_reach_pct": "HCP Reach Pct"},
+    )
+
+
+HCP_ENGAGEMENT = hcp_engagement()
 
 
 def _closed() -> Column:

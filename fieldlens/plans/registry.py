@@ -148,19 +148,26 @@ def _extract_incremental(lh: Lakehouse) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- metric views (M1-M3)
-def _metric(key: str, view: str, dims: list[str], measures: list[str] | None = None):
-    from .metrics import HCP_ENGAGEMENT, MEDICAL_INQUIRIES
+def _metric(key: str, view: str, dims: list[str], measures: list[str] | None = None, where: Callable | None = None):
+    from .metrics import MEDICAL_INQUIRIES, hcp_engagement
 
     def run(lh: Lakehouse) -> DataFrame:
+        rows = where() if where else None
         if view == "hcp":
-            return HCP_ENGAGEMENT.query(lh.table("hcp_360"), dims, measures)
-        return MEDICAL_INQUIRIES.query(lh.table("gold_inquiries"), dims, measures)
+            return hcp_engagement(lh.settings).query(lh.table("hcp_360"), dims, measures, rows)
+        return MEDICAL_INQUIRIES.query(lh.table("gold_inquiries"), dims, measures, rows)
     register(key)(run)
 
 
 _metric("metric_hcp_by_territory", "hcp", ["territory"])
 _metric("metric_hcp_by_tier", "hcp", ["hcp_tier"])
 _metric("metric_hcp_global", "hcp", [])
+for _d in ["specialty", "practice_setting", "therapeutic_area", "top_scientific_topic", "preferred_channel"]:
+    _metric(f"metric_hcp_by_{_d}", "hcp", [_d])
+_metric("metric_hcp_by_territory_and_tier", "hcp", ["territory", "hcp_tier"])
+_metric("metric_hcp_influential_by_tier", "hcp", ["hcp_tier"], where=lambda: F.col("influence_score") >= 60)
+for _d in ["inquiry_topic", "evidence_type", "indication", "response_status"]:
+    _metric(f"metric_inquiries_by_{_d}", "inq", [_d])
 _metric("metric_inquiries_by_product", "inq", ["product"])
 _metric("metric_inquiries_by_month", "inq", ["inquiry_month"])
 _metric("nl_sla_by_product", "inq", ["product"], ["sla_met_pct", "total_inquiries"])
@@ -234,7 +241,8 @@ def _context(lh: Lakehouse) -> DataFrame:
 
 register("briefing_context")(_context)
 register("briefing_prompt")(lambda lh: C.briefing_prompt(_context(lh)))
-register("engagement_plan")(lambda lh: C.engagement_plan(_wide(lh), _recommend(lh)))
+register("engagement_plan")(lambda lh: C.engagement_plan(
+    _wide(lh), lh.table("gold_content"), lh.table("gold_content_shared")))
 register("masked_hcp_360")(lambda lh: GOV.mask(GOV.classify(lh.table("hcp_360")), lh.settings.mask_key))
 
 

@@ -62,7 +62,7 @@ def test_metric_view_grains_agree(spark):
 
 def test_masking_hashes_tagged_columns(spark):
     df = spark.createDataFrame([("h1", "1000000001")], "hcp_id string, npi string")
-    m = GOV.mask(GOV.classify(df))
+    m = GOV.mask(GOV.classify(df), "key")
     assert GOV.pii_columns(m) == ["npi"]
     r = m.collect()[0]
     assert r.hcp_id == "h1" and len(r.npi) == 64 and r.npi != "1000000001"
