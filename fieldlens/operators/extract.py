@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import (
-    COMPETITORS, EVIDENCE_TYPES, EXTRACTION_DEFAULTS, EXTRACTION_INSTRUCTION, EXTRACTION_SCHEMA, PRODUCTS, TOPIC_DEFAULT,
+    COMPETITORS, DEFAULT, EVIDENCE_TYPES, EXTRACTION_DEFAULTS, EXTRACTION_INSTRUCTION, EXTRACTION_SCHEMA, PRODUCTS, TOPIC_DEFAULT,
 )
 from ..functions.common import classify_topic, first_upper, path_has_files
 
@@ -227,7 +227,7 @@ def apply_defaults(df: DataFrame, parsed: str = "j") -> DataFrame:
             "sentiment", "interest_level", "follow_up_requested", "competitor_mentioned"]],
         F.coalesce(F.nullif(j("preferred_channel"), F.lit("None")), F.col("channel")).alias("preferred_channel"),
         F.coalesce(j("evidence_type_requested"), F.lit(d["evidence_type_requested"])).alias("evidence_type_requested"),
-        F.when(j("follow_up_requested"), F.date_add(F.col("interaction_date"), 14))
+        F.when(j("follow_up_requested"), F.date_add(F.col("interaction_date"), DEFAULT.followup_after_days))
         .alias("recommended_follow_up_date"),
         "raw_notes",
     )

@@ -172,7 +172,7 @@ def congress_rollup(congress: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("sessions_registered"),
         F.count(F.when(attended, 1)).alias("sessions_attended"),
         F.count(F.when(F.col("visited_medical_booth"), 1)).alias("booth_visits"),
-        F.countDistinct("event_name").alias("distinct_events"),
+        F.size(F.collect_set("event_name")).cast("bigint").alias("distinct_events"),
         F.array_sort(F.collect_set("session_topic")).alias("session_topics"),
         F.max("event_date").alias("last_congress_date"),
     )
@@ -401,9 +401,10 @@ def with_next_best(profile: DataFrame, s: Settings) -> DataFrame:
                .when(F.col("recent_competitor_interest").isNotNull(), C.TRIGGER_COMPETITOR)
                .otherwise(C.TRIGGER_CADENCE))
     win = F.col("recommended_follow_up_window")
-    date = (F.when(win == C.WINDOW_14, F.date_add(F.lit(s.as_of), 14))
-            .when(win == C.WINDOW_30, F.date_add(F.lit(s.as_of), 30))
-            .otherwise(F.date_add(F.lit(s.as_of), 60)))
+    days = {w: int(w.split()[1]) for w in (C.WINDOW_14, C.WINDOW_30, C.WINDOW_60)}  # "Within 14 days"
+    date = (F.when(win == C.WINDOW_14, F.date_add(F.lit(s.as_of), days[C.WINDOW_14]))
+            .when(win == C.WINDOW_30, F.date_add(F.lit(s.as_of), days[C.WINDOW_30]))
+            .otherwise(F.date_add(F.lit(s.as_of), days[C.WINDOW_60])))
     return (p.withColumn("trigger", trigger)
             .withColumn("topic", F.coalesce(topic, F.lit(C.TOPIC_DEFAULT)))
             .withColumn("suggested_engagement", F.concat(

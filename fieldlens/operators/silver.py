@@ -26,7 +26,8 @@ def silver_hcp(bronze: DataFrame) -> DataFrame:
     newest = (bronze.filter(F.col("hcp_id").isNotNull())
               .groupBy("hcp_id")
               .agg(F.max_by(F.struct(*payload),
-                            F.struct("_ingested_at", "_source_file", "hcp_name", "influence_score"))
+                            F.struct("_ingested_at", "_source_file", "hcp_name", "influence_score",
+                                     *[c for c in payload if c not in ("hcp_name", "influence_score")]))
                    .alias("r")))
     return newest.select(
         "hcp_id",

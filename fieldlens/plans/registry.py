@@ -32,6 +32,8 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """
     key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _GRAPHS:
+        while len(_GRAPHS) >= 8:  # plans only; the oldest graph goes
+            _GRAPHS.pop(next(iter(_GRAPHS)))
         _GRAPHS[key] = Lakehouse(spark, sf_dir)
     return _GRAPHS[key]
 
