@@ -34,6 +34,7 @@ gives no file and an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import json
 import re
@@ -51,8 +52,9 @@ from .text import read_table, shared_folder, whole
 
 FRAME_IDS = 1 << 16
 END_ID = 0
-MEMO = 400_000  # pieces a worker remembers
-BATCH_CHARS = 4_000_000
+MEMO = 200_000  # pieces a worker remembers
+BATCH_CHARS = 1_000_000
+BATCH_ROWS = 256  # texts handed to Python at once
 SKIP_DIRECTORY, SKIP_SEEK, SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -68,6 +70,9 @@ class Encoder:
     """Ids of whole texts as little-endian bytes, with a memo of pieces."""
 
     def __init__(self, path: str) -> None:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -213,6 +218,18 @@ class FileReader:
             start += n
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Actions inside hand at most ``rows`` rows to Python at once, so long texts stay few in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes the files under ``folder``; the stored manifest, one row per file, in file order."""
     import pyarrow as pa
@@ -250,7 +267,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
                                           "n_ids": [writer.n_ids], "bytes": [writer.n_bytes]})
 
     made = rows.mapInArrow(run, "part long, name string, n_docs long, n_ids long, bytes long")
-    made.write.parquet(f"{folder}-manifest")
+    with small_batches(spark, BATCH_ROWS):
+        made.write.parquet(f"{folder}-manifest")
     return spark.read.parquet(f"{folder}-manifest").orderBy("part")
 
 
