@@ -45,8 +45,8 @@ SPANS = "array<struct<start:int,kind:int,stop:int>>"
 class Training:
     """Bounds of the labelled sample and the decision threshold (nats per transition)."""
 
-    random_rows: int = 2000   # texts with a fixed-pattern secret, by smallest hash of the id
-    word_rows: int = 2000     # texts for ordinary words, by smallest hash of the id
+    random_rows: int = 2000   # texts with a fixed-pattern secret, by smallest hash of id and text
+    word_rows: int = 2000     # texts for ordinary words, by smallest hash of id and text
     smoothing: float = 0.5
     threshold: float = 0.8
 
@@ -54,15 +54,21 @@ class Training:
 def samples(docs: DataFrame, training: Training = Training(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(sample, label): matched secrets of at most ``random_rows`` texts, words and plain numbers of at most ``word_rows`` texts."""
     t = whole(F.col(text))
-    rows = docs.select(F.xxhash64(F.col(doc_id)).alias("h"), t.alias("t"))
-    found = rows.where(F.col("t").contains("AKIA") | F.col("t").rlike(HEX)).orderBy("h", "t").limit(training.random_rows)
+    rows = docs.select(F.xxhash64(F.col(doc_id), t).alias("h"), t.alias("t"))
+    found = _smallest(rows.where(F.col("t").contains("AKIA") | F.col("t").rlike(HEX)), training.random_rows)
     secret = F.concat(F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))
-    plain = rows.orderBy("h", "t").limit(training.word_rows)
+    plain = _smallest(rows, training.word_rows)
     ordinary = F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_.=-])(?:[A-Za-z]{2,}|[0-9]{2,})(?![A-Za-z0-9+/_=-])"), F.lit(0))
     return (found.select(F.explode_outer(secret).alias("sample"), F.lit(1).alias("label"))
             .unionAll(plain.select(F.explode_outer(ordinary).alias("sample"), F.lit(0).alias("label"))).where("sample is not null"))
 
 
+def _smallest(rows: DataFrame, n: int) -> DataFrame:
+    """The n rows with the smallest hash ``h``: only hashes are ranked, texts stay where they are."""
+    last = rows.select("h").orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return rows.limit(0) if last is None else rows.where(F.col("h") <= last).limit(n)  # equal hashes: equal rows
+
+
 def _codes(sample: Column) -> Column:
     """Places of a string's characters in the alphabet, 0 for any other."""
     return F.transform(F.split(sample, ""), lambda c: F.instr(F.lit(ALPHABET), c))
