@@ -8,9 +8,10 @@ until no target is above its cap.
 A source's documents fall into blocks by hash. A permuted order of the blocks
 is drawn as often as the target needs: whole rounds first, then leading blocks
 of one more round, and of the block in which the target is reached the
-documents that still fit, largest first. So whole documents are taken, each at
-most ceil(cap) times, and a source misses its target by less than the smallest
-document left in that block.
+documents that still fit, largest first. What room is then left is spent in the
+same way on the fitting documents of the blocks after it, until none is left. So
+whole documents are taken, each at most ceil(cap) times, and a source misses its
+target by less than the smallest of its documents that the last round left out.
 
 The number of block draws of each source is exact. A binary tree over the
 output shards splits these counts: at every node the left half's counts are a
@@ -68,7 +69,8 @@ def targets(rows: DataFrame, mix: Mix) -> DataFrame:
 
     Windows without a partition key run over one row per source.
     """
-    per = rows.groupBy("__source").agg(F.sum("__size").alias("s"), F.count(F.lit(1)).alias("docs"))
+    per = rows.groupBy("__source").agg(F.sum("__size").alias("s"), F.count(F.lit(1)).alias("docs"),
+                                       F.min(F.when(F.col("__size") > 0, F.col("__size"))).alias("least"))
     by_name = W.orderBy(F.col("__source").asc_nulls_last())
     per = per.withColumn("idx", F.row_number().over(by_name) - 1)
     cycle = F.array(*[F.lit(float(w)) for w in mix.weights])
@@ -84,7 +86,7 @@ def targets(rows: DataFrame, mix: Mix) -> DataFrame:
            .withColumn("target", F.least(F.col("level") * F.col("w"), mix.cap * F.col("s"))))
     words = F.round("target").cast("long")
     blocks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("s") / mix.block_words), F.ceil(F.col("docs") / mix.block_docs))
-    return per.select("__source", "idx", "s", "docs", "target", blocks.alias("blocks"),
+    return per.select("__source", "idx", "s", "docs", "least", "target", blocks.alias("blocks"),
                       F.when(F.col("s") > 0, F.floor(words / F.col("s"))).otherwise(0).alias("q"),
                       F.when(F.col("s") > 0, F.pmod(words, F.greatest("s", F.lit(1)))).otherwise(0).cast("long").alias("r"))
 
@@ -126,6 +128,61 @@ def split_quotas(counts: DataFrame, mix: Mix) -> DataFrame:
     return node.select(F.col("lo").alias("shard"), "counts")
 
 
+def _fitting(found: DataFrame) -> DataFrame:
+    """(idx, block, __row, size): of each block's rows, a bounded list, those that fit its ``room``, largest first."""
+    entry = F.struct((-F.col("__size")).alias("neg"), "h", "__row")
+    lists = found.where("__size > 0").groupBy("idx", "block", "room").agg(F.sort_array(F.collect_list(entry)).alias("rows"))
+    none = F.array().cast("array<boolean>")
+    fits = F.aggregate("rows", F.struct(F.col("room").alias("room"), none.alias("fit")), lambda a, x: F.struct(
+        F.when(-x["neg"] <= a["room"], a["room"] + x["neg"]).otherwise(a["room"]).alias("room"),
+        F.concat(a["fit"], F.array(-x["neg"] <= a["room"])).alias("fit")), lambda a: a["fit"])
+    each = lists.withColumn("fit", fits).select("idx", "block", F.explode(F.arrays_zip("rows", "fit")).alias("x")).where("x.fit")
+    return each.select("idx", "block", F.col("x.rows.__row").alias("__row"), (-F.col("x.rows.neg")).alias("size"))
+
+
+def _last_round(slim: DataFrame, blocks: DataFrame, sources: DataFrame, folder: str, seed: int, small: bool) -> DataFrame:
+    """(idx, block, __row, size) of the documents that the last round takes one by one: of the block in which the target
+    is reached, then of the blocks after it, until the source's room is below its smallest document left out.
+
+    A step deals with documents of at most half the room. Where all of them fit, at most one larger one does, and the
+    source is done. Elsewhere a block is reached again, and largest first fills more than half of the room. So each step
+    halves the room, and steps are at most as many as its bits.
+    """
+    spark = slim.sparkSession
+    same = ["idx", "block"]
+    place = F.struct(F.xxhash64(F.lit(seed), "idx", "block").alias("at"), "block")  # in the permuted order
+    before = W.partitionBy("idx").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+    reached = blocks.where("state = 2").select(*same, "room", place.alias("place"))
+    _fitting(slim.join(reached.select(*same, "room"), same)).write.parquet(f"{folder}/picks-0")
+    step = 0
+    while True:
+        spent = spark.read.parquet(f"{folder}/picks-{step}").groupBy(*same).agg(F.sum("size").alias("spent"))
+        left = reached.join(spent, same, "left").join(sources.select("idx", "least"), "idx").select(
+            "idx", (F.col("room") - F.coalesce("spent", F.lit(0))).alias("limit"), F.col("place").alias("behind"), "least")
+        left.where("limit >= least").drop("least").write.parquet(f"{folder}/left-{step}")
+        left = spark.read.parquet(f"{folder}/left-{step}")
+        if left.isEmpty():
+            return spark.read.parquet(*[f"{folder}/picks-{k}" for k in range(step + 1)])
+        step += 1
+        rest = (slim.join(F.broadcast(left) if small else left, "idx").withColumn("place", place)
+                .where("place > behind and __size > 0 and __size <= limit"))
+        halves = rest.where("2 * __size <= limit")
+        sums = halves.groupBy(*same, "place", "limit").agg(F.sum("__size").alias("words"))
+        sums = sums.withColumn("room", F.col("limit") - F.coalesce(F.sum("words").over(before), F.lit(0)))
+        sums.where("room > 0").write.parquet(f"{folder}/later-{step}")
+        later = spark.read.parquet(f"{folder}/later-{step}")
+        entire, reached = later.where("words <= room"), later.where("words > room").select(*same, "room", "place")
+        done = left.join(reached.select("idx"), "idx", "left_anti").join(
+            entire.groupBy("idx").agg(F.sum("words").alias("spent")), "idx", "left").select(
+            F.col("idx").alias("d_idx"), (F.col("limit") - F.coalesce("spent", F.lit(0))).alias("over"))
+        larger = rest.join(F.broadcast(done) if small else done, F.col("idx") == F.col("d_idx")).where("2 * __size > limit and __size <= over")
+        larger = larger.groupBy("idx").agg(F.min(F.struct("place", "h", "__row", "block", "__size")).alias("x"))
+        got = halves.join(entire.select(*same), same).select(*same, "__row", F.col("__size").alias("size"))
+        got = got.unionByName(_fitting(halves.join(reached.select(*same, "room"), same)))
+        got = got.unionByName(larger.select("idx", "x.block", "x.__row", F.col("x.__size").alias("size")))
+        got.write.parquet(f"{folder}/picks-{step}")
+
+
 def draw(rows: DataFrame, mix: Mix, folder: str) -> DataFrame:
     """Per row of ``numbered``: __row, __id, size, source_size, target, draws and ``shards`` (one entry per draw)."""
     spark = rows.sparkSession
@@ -147,32 +204,33 @@ def draw(rows: DataFrame, mix: Mix, folder: str) -> DataFrame:
     placed = placed.withColumn("state", F.when(F.col("room") <= 0, 0).when(F.col("words") <= F.col("room"), 1).otherwise(2))
     placed.write.parquet(f"{folder}/blocks")
     blocks = spark.read.parquet(f"{folder}/blocks")
-    n_draws = blocks.groupBy("idx").agg((F.max(F.col("q") * F.col("present")) + F.count(F.when(F.col("state") > 0, 1))).alias("n"))
+    picks = _last_round(slim, blocks, sources, folder, mix.seed, small)
+    parts = picks.select("idx", "block").distinct().withColumn("part", F.lit(True))
+    blocks = blocks.join(parts, ["idx", "block"], "left").withColumn("part", (F.col("state") == 2) | F.coalesce("part", F.lit(False)))
+    # the last round's draws are those of its whole blocks and of the blocks it takes documents of, numbered without gaps
+    taken = F.when((F.col("state") > 0) | F.col("part"), 1).otherwise(0)
+    blocks = blocks.withColumn("last", taken).withColumn("turn", F.sum("last").over(W.partitionBy("idx").orderBy("rank")) - 1)
+    blocks.write.parquet(f"{folder}/drawn")
+    blocks = spark.read.parquet(f"{folder}/drawn")
+    n_draws = blocks.groupBy("idx").agg((F.max(F.col("q") * F.col("present")) + F.sum("last")).alias("n"))
     counts = n_draws.agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", "n"))), lambda x: x["n"]).alias("counts"))
     quotas = split_quotas(counts, mix).select("shard", F.posexplode("counts").alias("idx", "quota"))
     upto = F.sum("quota").over(W.partitionBy("idx").orderBy("shard"))
     bounds = (quotas.withColumn("upto", upto).groupBy("idx")
               .agg(F.transform(F.sort_array(F.collect_list(F.struct("shard", "upto"))), lambda x: x["upto"]).alias("bounds")))
     # draw number: whole rounds one after the other, then the last round; each in the permuted order of the blocks
-    epochs = F.when(F.col("q") + F.signum("state") > 0, F.sequence(F.lit(0).cast("long"), F.col("q") + F.signum("state").cast("long") - 1)).otherwise(
+    epochs = F.when(F.col("q") + F.col("last") > 0, F.sequence(F.lit(0).cast("long"), F.col("q") + F.col("last") - 1)).otherwise(
         F.array().cast("array<bigint>"))
-    shard_of = F.transform(epochs, lambda e: F.size(F.filter("bounds", lambda b: b <= e * F.col("present") + F.col("rank"))))
+    number = lambda e: e * F.col("present") + F.when(e < F.col("q"), F.col("rank")).otherwise(F.col("turn"))
+    shard_of = F.transform(epochs, lambda e: F.size(F.filter("bounds", lambda b: b <= number(e))))
     joined = blocks.join(F.broadcast(bounds) if small else bounds, "idx")
-    plan = joined.select(F.col("idx").alias("p_idx"), F.col("block").alias("p_block"), "state", "room", shard_of.alias("shards"))
+    plan = joined.select(F.col("idx").alias("p_idx"), F.col("block").alias("p_block"), "state", "part", shard_of.alias("shards"))
     found = slim.join(plan, (F.col("idx") == F.col("p_idx")) & (F.col("block") == F.col("p_block")))
     out = ["__row", "__id", "__size", "s", "target", "draws", "shards"]
-    whole_blocks = found.where("state <> 2").withColumn("draws", F.col("q") + F.col("state"))
-    # the block in which the target is reached: a bounded list of (size, id, row) tuples, largest first
-    entry = F.struct((-F.col("__size")).alias("neg"), "h", "__row", "__id")
-    last = found.where("state = 2").groupBy("idx", "block", "s", "target", "q", "room", "shards").agg(
-        F.sort_array(F.collect_list(entry)).alias("rows"))
-    none = F.array().cast("array<boolean>")
-    fits = F.aggregate("rows", F.struct(F.col("room").alias("room"), none.alias("fit")), lambda a, x: F.struct(
-        F.when(-x["neg"] <= a["room"], a["room"] + x["neg"]).otherwise(a["room"]).alias("room"),
-        F.concat(a["fit"], F.array(-x["neg"] <= a["room"])).alias("fit")), lambda a: a["fit"])
-    last = last.withColumn("fit", fits).select("s", "target", "q", "shards", F.explode(F.arrays_zip("rows", "fit")).alias("x"))
-    last = last.select(F.col("x.rows.__row").alias("__row"), F.col("x.rows.__id").alias("__id"), (-F.col("x.rows.neg")).alias("__size"),
-                       "s", "target", (F.col("q") + F.col("x.fit").cast("long")).alias("draws"), "shards")
+    whole_blocks = found.where("not part").withColumn("draws", F.col("q") + F.col("state"))
+    picked = picks.select(F.col("__row").alias("p_row"))
+    last = found.where("part").join(picked, F.col("__row") == F.col("p_row"), "left").withColumn(
+        "draws", F.col("q") + F.col("p_row").isNotNull().cast("long"))
     got = whole_blocks.select(*out).unionByName(last.select(*out))
     return got.select("__row", "__id", F.col("__size").alias("size"), F.col("s").alias("source_size"), "target",
                       F.when(F.col("__size") > 0, F.col("draws")).otherwise(0).cast("long").alias("draws"),

@@ -80,6 +80,24 @@ def test_mix_small_blocks_and_null_source(spark, docs, tmp_dir):
     assert mixed.count() == sum(per_shard.values()) and mixed.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_mix_spends_the_room_behind_a_long_document(spark, docs, tmp_dir):
+    data = []
+    for s in range(9):  # one document of a third of the source's words; the others fit, or grow smaller and smaller
+        sizes = [3000] + ([1 + i % 19 for i in range(600)] if s % 3 else list(range(1, 110)))
+        data += [(1000 * s + i, "w " * n, "en", f"s{s}", 0) for i, n in enumerate(sizes)]
+    mix = mixing.Mix(block_words=200, block_docs=50)
+    rows = mixing.numbered(docs(data), [], "source", "doc_id", "text", f"{tmp_dir}/rows")
+    out = mixing.draw(rows, mix, tmp_dir).select("__id", "size", "source_size", "target", "draws", F.size("shards").alias("n")).collect()
+    assert len(out) == len(data) and all(r["n"] == r["draws"] for r in out)
+    for s in range(9):
+        own = [r for r in out if r["__id"] // 1000 == s]
+        target, size = round(own[0]["target"]), own[0]["source_size"]
+        gap = target - sum(r["draws"] * r["size"] for r in own)
+        left_out = [r["size"] for r in own if r["draws"] == target // size]
+        assert {r["draws"] - target // size for r in own} <= {0, 1}
+        assert -1 <= gap < min(left_out), (s, gap, target)
+
+
 def test_split_quotas_are_exact_and_near_their_mean(spark):
     counts = spark.createDataFrame([([4000, 37, 0, 963],)], "counts array<bigint>")
     got = {r["shard"]: r["counts"] for r in mixing.split_quotas(counts, mixing.Mix(shards=6)).collect()}
