@@ -46,7 +46,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document copy, read back from the token files: place, length and checksum of its ids."""
     from fieldlens.llm import token_files as files
 
-    return files.round_trip(spark, docs)
+    return files.round_trip(spark, docs, plain_special=False)
 
 
 STAGES = [

@@ -25,7 +25,9 @@ manifest row per file.
 Encoding uses the tokenizers library. Text is cut where a space stands between
 two other characters and at the tokenizer's own word boundaries, which its
 merges never cross, and equal pieces are encoded once per worker (bounded
-memo); ``encode`` therefore equals encoding the whole text.
+memo); ``encode`` therefore equals encoding the whole text. By default a special
+token's name inside a text is ordinary text (``plain_special``); the query takes
+the library's default, which gives it the token's own id.
 
 Defined results: null and empty texts have only the end id; null ids come
 first; rows with equal ids stay separate, next to each other; an empty table
@@ -77,16 +79,18 @@ def _gaps(text: str) -> bool:
 class Encoder:
     """Ids of whole texts as little-endian bytes, with a memo of pieces."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain_special: bool = True) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_special
         with open(path) as f:
             spec = json.load(f)
+        added = [t for t in spec.get("added_tokens") or [] if not (plain_special and t["special"])]
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added)) if added else None
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                          and spec.get("normalizer") is None and spec.get("post_processor") is None)
@@ -100,7 +104,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        easy = [self.by_piece and not _gaps(t) and not ODD.search(t) for t in texts]
+        easy = [self.by_piece and not _gaps(t) and not ODD.search(t) and not (self.added and self.added.search(t)) for t in texts]
         split = [t.replace(" ", "\0 ").split("\0") if e else [] for t, e in zip(texts, easy)]  # \0 is odd, so not in t
         if len(self.known) > MEMO:  # the shorter half stays: short pieces come again most
             middle = sorted(map(len, self.known))[MEMO // 2]
@@ -115,12 +119,13 @@ class Encoder:
         return [b"".join(map(known.__getitem__, s)) if e else next(hard) for s, e in zip(split, easy)]
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, plain_special: bool) -> Encoder:
     """One encoder per Python worker, so its memo outlives a task."""
     held = sys.modules.setdefault("_token_file_encoders", types.ModuleType("_token_file_encoders"))
-    if path not in held.__dict__:
-        held.__dict__[path] = Encoder(path)
-    return held.__dict__[path]
+    key = f"{path} {plain_special}"
+    if key not in held.__dict__:
+        held.__dict__[key] = Encoder(path, plain_special)
+    return held.__dict__[key]
 
 
 def _filesystem(path: str):
@@ -241,7 +246,8 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
+                      plain_special: bool = True) -> DataFrame:
     """Writes the files under ``folder``; the stored manifest, one row per file, in file order."""
     import pyarrow as pa
 
@@ -256,7 +262,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
         first = next(batches, None)
         if first is None:
             return
-        part, coder = first.column("part")[0].as_py(), _encoder(tokenizer)
+        part, coder = first.column("part")[0].as_py(), _encoder(tokenizer, plain_special)
         place, at = _filesystem(folder)
         place.create_dir(at, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.zst"
@@ -308,18 +314,18 @@ def read_documents(spark: SparkSession, folder: str, manifest: DataFrame, wanted
     return todo.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, plain_special: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every row, from the files it writes."""
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path(TOKENIZER)
     folder = shared_folder(spark, "tokens")
-    manifest = write_token_files(docs, folder, tokenizer)
+    manifest = write_token_files(docs, folder, tokenizer, plain_special=plain_special)
     back = read_documents(spark, folder, manifest)
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.crc32("ids").alias("ids_crc32"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(spark, read_table(spark, sf_dir, "documents"))
+    return round_trip(spark, read_table(spark, sf_dir, "documents"), plain_special=False)

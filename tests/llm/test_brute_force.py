@@ -198,6 +198,24 @@ def test_token_files_round_trip(spark, docs):
     assert got == sorted(want)
 
 
+def test_token_query_takes_the_library_default(spark, docs, tmp_dir):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b", "<|endoftext", "one two", "<|endoftext|> <|endoftext|>"]
+    frame = docs([(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    frame.write.parquet(f"{tmp_dir}/documents.parquet")
+    want, at = [], 0
+    for i, t in enumerate(texts):
+        ids = lib.encode(t, add_special_tokens=False).ids + [0]
+        want.append((i, at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        at += len(ids)
+    assert sorted(map(tuple, QUERIES["op6_token_files"](spark, tmp_dir).collect())) == want
+    assert sorted(map(tuple, corpus_pipeline.token_files(spark, frame, tmp_dir).collect())) == want
+
+
 def test_frames_are_independent_and_checked(tmp_dir):
     import pyarrow as pa
     import zstandard
