@@ -20,7 +20,8 @@ uniforms), so shards hold disjoint draws, quotas sum exactly, and reruns agree.
 Inside a shard rows are ordered by a hash.
 
 Only (row, id, source, size) tuples are shuffled, by (source, block); a block is
-bounded in words and documents, so a hot source is many groups. Totals per
+bounded in documents, also where many rows share an id, and but for a long
+document in words, so a hot source is many groups. Totals per
 source are partial aggregates. Sources are joined by broadcast only when a
 count shows at most ``MAX_SOURCES``.
 
@@ -140,6 +141,20 @@ def _fitting(found: DataFrame) -> DataFrame:
     return each.select("idx", "block", F.col("x.rows.__row").alias("__row"), (-F.col("x.rows.neg")).alias("size"))
 
 
+def _parted(slim: DataFrame, mix: Mix, folder: str) -> DataFrame:
+    """``slim`` with blocks of about ``block_docs`` rows where one holds over twice as many: rows that share an id hash alike
+    and are dealt over further blocks by row number. Unique ids fill no block so far, so their blocks don't change."""
+    counts = slim.groupBy("idx", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * mix.block_docs)
+    counts.select("idx", "block", F.ceil(F.col("n") / mix.block_docs).alias("pieces")).write.parquet(f"{folder}/full")
+    full = slim.sparkSession.read.parquet(f"{folder}/full")
+    n = full.count()
+    if not n:
+        return slim
+    full = F.broadcast(full) if n <= MAX_SOURCES else full
+    piece = F.pmod(F.xxhash64(F.lit(mix.seed), "h", "__row"), F.coalesce("pieces", F.lit(1)))
+    return slim.join(full, ["idx", "block"], "left").withColumn("block", F.col("block") + F.col("blocks") * piece).drop("pieces")
+
+
 def _last_round(slim: DataFrame, blocks: DataFrame, sources: DataFrame, folder: str, seed: int, small: bool) -> DataFrame:
     """(idx, block, __row, size) of the documents that the last round takes one by one: of the block in which the target
     is reached, then of the blocks after it, until the source's room is below its smallest document left out.
@@ -196,6 +211,7 @@ def draw(rows: DataFrame, mix: Mix, folder: str) -> DataFrame:
     slim = slim.join(held, F.col("__source").eqNullSafe(F.col("s_name"))).select(
         "__row", "__id", "__size", "h", "idx", "s", "target", "blocks", "q", "r",
         F.pmod(F.xxhash64(F.lit(mix.seed), "h"), F.col("blocks")).alias("block"))
+    slim = _parted(slim, mix, folder)
     sizes = slim.groupBy("idx", "block", "blocks", "q", "r").agg(F.sum("__size").alias("words"))
     order = W.partitionBy("idx").orderBy(F.xxhash64(F.lit(mix.seed), "idx", "block"), "block")  # over blocks, not rows
     placed = (sizes.withColumn("rank", (F.row_number().over(order) - 1).cast("long"))

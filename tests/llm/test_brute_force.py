@@ -98,6 +98,20 @@ def test_mix_spends_the_room_behind_a_long_document(spark, docs, tmp_dir):
         assert -1 <= gap < min(left_out), (s, gap, target)
 
 
+def test_mix_blocks_are_bounded_for_a_repeated_id(spark, docs, tmp_dir):
+    data = [(7 if i % 3 == 0 else i, "w " * (1 + i % 5), "en", f"s{i % 2}", 0) for i in range(3000)]
+    mix = mixing.Mix(block_docs=50)
+    rows = mixing.numbered(docs(data), [], "source", "doc_id", "text", f"{tmp_dir}/rows")
+    out = mixing.draw(rows, mix, tmp_dir).select("__row", "__id", "size", "source_size", "target", "draws").collect()
+    assert len({r["__row"] for r in out}) == len(out) == len(data)
+    blocks = spark.read.parquet(f"{tmp_dir}/blocks").collect()
+    assert max(b["words"] for b in blocks) <= 5 * 2 * 50
+    assert sum(b["words"] for b in blocks) == sum(1 + i % 5 for i in range(3000))
+    for size, target in {(r["source_size"], r["target"]) for r in out}:
+        gap = target - sum(r["draws"] * r["size"] for r in out if r["target"] == target)
+        assert -1 <= gap < 6, (gap, target, size)
+
+
 def test_split_quotas_are_exact_and_near_their_mean(spark):
     counts = spark.createDataFrame([([4000, 37, 0, 963],)], "counts array<bigint>")
     got = {r["shard"]: r["counts"] for r in mixing.split_quotas(counts, mixing.Mix(shards=6)).collect()}
