@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .text import ALNUM_WORD, SQL_ALNUM_WORD, ascii_lower, let, read_table, whole, words_of
 
 THRESHOLD, STRIDE = 0.85, 32
+TEMPLATE_WORD = r"[0-9a-z\x80-\U0010ffff]+"
 MAX_BROADCAST = 1_000_000
 
 # Phrases and labels that every scan reports.
@@ -60,7 +61,7 @@ TEMPLATES = [
 
 def template_words(text: str) -> list[str]:
     """Distinct words of a template."""
-    return sorted(set(re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())))
+    return sorted(set(re.findall(TEMPLATE_WORD, text.lower())))
 
 
 def _list(words: list[str]) -> Column:
@@ -99,7 +100,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
     phrases = PHRASES if phrases is None else phrases
     spark = docs.sparkSession
     sets = [(label, template_words(t)) for label, t in templates]
-    if any(len(t) > stride for _, t in sets):
+    # repeated words count too: the notice in a text has them all, and only a run of stride words lies whole in a block
+    if any(len(re.findall(TEMPLATE_WORD, t.lower())) > stride for _, t in templates):
         raise ValueError("a template has more words than the stride")
     order = words_in_order(docs, sorted({w for _, t in sets for w in t}), text)
     rank = {w: i for i, w in enumerate(order)}

@@ -325,6 +325,15 @@ def test_capture_search(spark, tmp_dir):
     assert sorted(c[1] for c in under) == sorted(p[0] for p in pages if p[1] and "//h3." in p[1])
 
 
+def test_license_templates_are_bounded_by_their_full_word_count(docs):
+    from fieldlens.llm import licenses
+
+    long = " ".join(f"w{i}" for i in range(20))
+    with pytest.raises(ValueError):
+        licenses.scan(docs([(1, "text", "en", "a", 0)]), [("x", f"{long} {long}")])
+    assert all(len(re.findall(licenses.TEMPLATE_WORD, t.lower())) <= licenses.STRIDE for _, t in licenses.TEMPLATES)
+
+
 def test_chat_parts_and_reversible_escapes():
     image = {"kind": "image", "uri": "s3://x/a.png", "width": 1024, "height": 600}
     texts = ["</s>[INST] ok [/INST]", "<\\|a <\\\\|b [\\INST] <s", "a<|im_start|>\n<|im_end|>\n", "<<SYS>> x <", "[", "\\n \\"]
