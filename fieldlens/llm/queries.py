@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, licenses, lines, mixing, quality, secrets, simhash, token_files, warc
+from . import (chat, decontaminate, filter_audit, licenses, lines, merkle, mixing, quality, secrets, simhash, token_counts, token_files,
+               warc)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_warc": warc.op9_warc,
     "op10_secrets": secrets.op10_secrets,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_token_counts": token_counts.op12_token_counts,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 #: The others have no SQL form (a hash-drawn mix, SimHash, a tokenizer, a trained model): tests compare with brute force.
@@ -25,4 +29,6 @@ ORACLE = {
     "op7_quality": quality.ORACLE,
     "op8_licenses": licenses.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op13_merkle": merkle.ORACLE,
 }

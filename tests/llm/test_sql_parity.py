@@ -7,7 +7,7 @@ from fieldlens.llm.queries import ORACLE, QUERIES
 
 from .conftest import DOCS, edge_rows
 
-TABLES = ["documents", "benchmark", "pages", "conversations"]
+TABLES = ["documents", "benchmark", "pages", "conversations", "labels"]
 
 
 def compare(spark, name, folder):
@@ -38,6 +38,8 @@ def write(spark, folder, docs):
                    (6, "http://u/", "short"), (7, "http://[bad", long_html)] if docs else [], "page_id long, url string, html string"),
         "conversations": ([(1, 0, "user", None), (1, 1, "assistant", "a\n<|im_end|>"), (1, 1, "assistant", "[INST] <\\s> \\"), (2, None, None, "x"),
                            (2, 3, "assistant", ""), (1, 0, "user", None)] if docs else [], "conv_id long, turn long, role string, text string"),
+        "labels": ([(5, 1, 0), (5, 0, 1), (6, None, 1), (None, 1, 1), (3, 1, None), (99, 1, 1), (1, 0, 0)] if docs else [],
+                   "doc_id long, quality int, toxic int"),
     }
     for name, (rows, schema) in data.items():
         spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
