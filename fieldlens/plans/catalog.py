@@ -112,11 +112,12 @@ class Lakehouse:
         if name in BRONZE:
             feed = BRONZE[name]
             if feed in self.bronze_paths:
-                from ..sources.feeds import bronze_schema
+                from ..sources.feeds import BATCH_COLUMN, bronze_schema
+                from ..streaming.bronze import read_bronze
 
                 path = self.bronze_paths[feed]
                 if path_has_files(self.spark, path):
-                    return self.spark.read.schema(bronze_schema(feed)).parquet(path)
+                    return read_bronze(self.spark, feed, path).drop(BATCH_COLUMN)
                 return self.spark.createDataFrame([], bronze_schema(feed))  # nothing landed yet
             return bind_feed(self.star, feed, self.settings)
         if name not in self.builders:

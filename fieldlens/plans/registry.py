@@ -298,6 +298,27 @@ register("recent_reviews")(lambda lh: SV.recent_reviews(SV.read_log(lh.spark, _r
 
 
 # ----------------------------------------------------------------------------- bronze ingest
+def _drops(bound: DataFrame, feed: str) -> list[DataFrame]:
+    """A feed's rows in three drops of different headers.
+
+    The first has the feed's own header; the second has its columns in reverse order and one that the feed doesn't
+    know; the third writes the names in capitals and lacks the last column. HCP versions that were superseded are in
+    the first.
+    """
+    from ..sources.feeds import feed_columns
+
+    columns = feed_columns(feed)
+    last = F.ascii(F.substring(F.col(columns[0]), -1, 1))
+    drop = last % 3
+    if feed == "hcp_master":
+        current = F.col("_ingested_at") >= F.lit(bound_current()).cast("timestamp")
+        drop = F.when(current, 1 + F.coalesce(last, F.lit(0)) % 2).otherwise(0)
+    rows = bound.withColumn("_drop", F.coalesce(drop, F.lit(0)))
+    return [rows.where("_drop = 0").select(*columns),
+            rows.where("_drop = 1").select(*reversed(columns), F.upper(F.col(columns[0])).alias("system_key")),
+            rows.where("_drop = 2").select(*[F.col(c).alias(c.upper()) for c in columns[:-1]])]
+
+
 def _bronze(feed: str):
     def run(lh: Lakehouse) -> DataFrame:
         from ..session import work_dir
@@ -306,18 +327,14 @@ def _bronze(feed: str):
 
         spark = lh.spark
         root = work_dir(spark, f"bronze-{feed}")
-        bound = bind_feed(lh.star, feed, lh.settings)
-        if feed == "hcp_master":  # older versions arrive in an earlier drop
-            first = bound.filter(F.col("_ingested_at") < F.lit(bound_current()).cast("timestamp"))
-            second = bound.filter(F.col("_ingested_at") >= F.lit(bound_current()).cast("timestamp"))
-        else:
-            h = F.abs(F.xxhash64(*[F.col(c) for c in bound.columns if not c.startswith("_")])) % 2
-            first, second = bound.filter(h == 0), bound.filter(h == 1)
         table, ckpt = f"{root}/table", f"{root}/_checkpoint"
-        for i, part in enumerate([first, second]):
-            B.drop_files(part, f"{root}/landing/drop-{i}")
-            B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)
-        B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)  # no new files: appends nothing
+        drops = _drops(bind_feed(lh.star, feed, lh.settings), feed)
+        B.drop_files(drops[0], f"{root}/landing/drop-0")
+        B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)
+        B.drop_files(drops[1], f"{root}/landing/drop-1")
+        B.drop_files(drops[2], f"{root}/landing/drop-2")
+        B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)  # one batch with two headers
+        B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)  # no new files: stores nothing
         return B.bronze_view(spark, feed, table)
     return run
 

@@ -1,8 +1,8 @@
 """The nine raw feeds: explicit read schemas in header order, plus CSV I/O.
 
-OSS Spark has no schema hints, so every feed is read with its full schema and
-a corrupt-record column (``_rescued``) instead of header inference. Inference
-would need an extra pass over 100 TB and guesses types per file.
+OSS Spark has no schema hints, so the types of a feed's columns are stated here and
+files are mapped to them by the names in their headers (``streaming/headers.py``).
+Inference would need an extra pass over 100 TB and guesses types per file.
 """
 
 from __future__ import annotations
@@ -60,6 +60,7 @@ MULTILINE_FEEDS = {"msl_interactions"}
 
 RESCUE_COLUMN = "_rescued"
 LINEAGE_COLUMNS = ["_ingested_at", "_source_file"]
+BATCH_COLUMN = "_batch"   # partition of a bronze table: the micro-batch that wrote it
 
 
 def _fields(feed: str) -> list[tuple[str, str]]:
@@ -88,7 +89,7 @@ def csv_options(feed: str) -> dict[str, str]:
     """Reader options: header, RFC-4180 quoting, PERMISSIVE with a rescue column."""
     opts = {
         "header": "true",
-        "enforceSchema": "false",  # a header in another order or with other names fails instead of swapping columns
+        "enforceSchema": "false",  # without a mapped header, other names fail instead of swapping columns
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": RESCUE_COLUMN,
         "dateFormat": "yyyy-MM-dd",
