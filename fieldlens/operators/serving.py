@@ -1,10 +1,12 @@
-"""Operational serving: keyed queue snapshot, review write-back log.
-
-The queue is published as a keyed, versioned snapshot (unique ``hcp_id``).
-Review decisions go to an append-only log whose ``action_id`` is a hash of
-the caller's request id, and every append is a left-anti join against the log
-first: a retried append writes each request once, and equal decisions under
-different request ids are all kept.
+"""Operational serving: keyed queue snapshot, its change feed, review write-back log.
+
+The queue is published as a keyed, versioned snapshot (unique ``hcp_id``); two
+versions give the change feed that brings a copy up to date. Review decisions go
+to an append-only log with an optimistic commit log (:mod:`..plans.commitlog`).
+``action_id`` is a hash of the caller's request id, and every append keeps only
+requests that the log doesn't have: a retried append, or two appenders at once,
+write each request once, and equal decisions under different request ids are all
+kept. ``review_id`` is a dense number in the order of commits.
 """
 
 from __future__ import annotations
@@ -14,15 +16,15 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import Settings
-from ..functions.common import path_has_files
 from ..plans import publish as PB
+from ..plans.commitlog import CommitLog
 
 QUEUE_COLUMNS = ["hcp_id", "hcp_name", "specialty", "territory", "priority_tier", "msl_priority_score",
                  "engagement_segment", "trigger", "topic", "suggested_engagement", "recommended_date",
                  "overdue"]
-REVIEW_COLUMNS = ["action_id", "hcp_id", "msl_name", "review_decision", "review_notes",
+REVIEW_COLUMNS = ["review_id", "action_id", "hcp_id", "msl_name", "review_decision", "review_notes",
                   "scheduled_channel", "scheduled_date", "reviewed_at"]
-REVIEW_SCHEMA = ("action_id STRING, hcp_id STRING, msl_name STRING, review_decision STRING, "
+REVIEW_SCHEMA = ("review_id LONG, action_id STRING, hcp_id STRING, msl_name STRING, review_decision STRING, "
                  "review_notes STRING, scheduled_channel STRING, scheduled_date DATE, reviewed_at TIMESTAMP")
 
 
@@ -39,12 +41,13 @@ def publish_snapshot(queue: DataFrame, root: str, key: str = "hcp_id") -> DataFr
     """
     spark = queue.sparkSession
     run = PB.new_run(root)
+    before = PB.current(spark, root)
     queue.write.parquet(run)
     dupes = spark.read.parquet(run).groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
     if dupes:
         raise ValueError(f"snapshot key {key!r} is not unique in {run}")
-    PB.publish(spark, root, run)
-    return served_snapshot(spark, root)
+    PB.publish(spark, root, run, before[0] if before else 0)
+    return spark.read.parquet(run)
 
 
 def served_snapshot(spark: SparkSession, root: str) -> DataFrame:
@@ -55,6 +58,33 @@ def served_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(now[1])
 
 
+def snapshot_at(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(PB.run_of(spark, root, version))
+
+
+def changes(old: DataFrame, new: DataFrame, key: str = "hcp_id") -> DataFrame:
+    """The change feed between two versions: ``change`` (insert, update, delete), the key and the new row's columns.
+
+    The old side brings only its key and a digest of its row; rows whose digests agree are left out. Columns of a
+    deleted row are NULL but for the key.
+    """
+    rows = sorted(set(new.columns) - {key})
+    digest = F.sha2(F.to_json(F.struct(*rows)), 256)
+    before = old.select(F.col(key).alias("__key"), digest.alias("__before"))
+    after = new.select("*", digest.alias("__after"))
+    both = after.join(before, F.col(key) == F.col("__key"), "full")
+    change = (F.when(F.col("__before").isNull(), "insert").when(F.col("__after").isNull(), "delete")
+              .when(F.col("__before") != F.col("__after"), "update"))
+    return (both.withColumn("change", change).where(F.col("change").isNotNull())
+            .select("change", F.coalesce(F.col(key), F.col("__key")).alias(key), *[c for c in new.columns if c != key]))
+
+
+def apply_changes(old: DataFrame, feed: DataFrame, key: str = "hcp_id") -> DataFrame:
+    """The new version from the old one and the feed."""
+    kept = old.join(feed.select(key), key, "left_anti").select(*old.columns)
+    return kept.unionByName(feed.where("change != 'delete'").select(*old.columns))
+
+
 def top_of_queue(queue: DataFrame, n: int) -> DataFrame:
     """Top-n by score (ties by hcp_id)."""
     return queue.orderBy(F.desc("msl_priority_score"), "hcp_id").limit(n)
@@ -80,28 +110,90 @@ def decisions(df: DataFrame) -> DataFrame:
     return df.select(F.sha2(checked, 256).alias("action_id"), *content, F.current_timestamp().alias("reviewed_at"))
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    if path_has_files(spark, path):
-        return spark.read.schema(REVIEW_SCHEMA).parquet(path)
+def _rows_of(spark: SparkSession, entries: list[dict]) -> DataFrame:
+    folders = [f for e in entries for f in e["folders"]]
+    if folders:
+        return spark.read.schema(REVIEW_SCHEMA).parquet(*folders)
     return spark.createDataFrame([], REVIEW_SCHEMA)  # an empty log has no files yet
 
 
-def append_reviews(spark: SparkSession, new: DataFrame, path: str) -> None:
-    """K4: append every request that the log at ``path`` doesn't have; a retried append writes nothing."""
-    log = read_log(spark, path)
-    fresh = decisions(new).join(log.select("action_id"), "action_id", "left_anti").dropDuplicates(["action_id"])
-    fresh.write.mode("append").parquet(path)
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return _rows_of(spark, CommitLog(spark, path).entries())
+
+
+def _next_id(entries: list[dict]) -> int:
+    return entries[-1]["next_id"] if entries else 1
+
 
+def numbered(rows: DataFrame, order: str, first: int, staged: str) -> tuple[DataFrame, int]:
+    """``rows`` with ``review_id`` = first, first + 1, ... in ``order``, and how many there are.
+
+    The rows are range-partitioned, sorted and written once to ``staged``; a row's number is its place in its partition
+    plus the rows of the partitions before, of which there are as many counts as partitions.
+    """
+    spark = rows.sparkSession
+    rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("__row", F.monotonically_increasing_id()).write.parquet(staged)
+    written = spark.read.parquet(staged).withColumn("__part", F.shiftright("__row", 33))
+    counts = written.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.min("__row").alias("low")).orderBy("__part").collect()
+    at, offsets = first, []
+    for r in counts:
+        offsets.append((r["__part"], at - r["low"]))
+        at += r["n"]
+    table = F.broadcast(spark.createDataFrame(offsets, "__part LONG, __offset LONG"))
+    out = written.join(table, "__part").withColumn("review_id", F.col("__row") + F.col("__offset"))
+    return out.drop("__row", "__part", "__offset"), at - first
+
+
+def _commit(spark: SparkSession, log: CommitLog, make) -> dict | None:
+    """Append the rows that ``make`` gives for the log's present entries."""
+    def prepare(entries: list[dict]) -> dict | None:
+        rows = make(entries)
+        if rows is None:
+            return None
+        first = _next_id(entries)
+        out, n = numbered(rows, "action_id", first, log.folder_for_data("staged"))
+        if not n:
+            return None
+        folder = log.folder_for_data()
+        out.select(*REVIEW_COLUMNS).write.parquet(folder)
+        return {"folders": [folder], "rows": n, "next_id": first + n}
+
+    return log.append(prepare)
+
+
+def append_reviews(spark: SparkSession, new: DataFrame, path: str) -> dict | None:
+    """K4: append every request that the log at ``path`` doesn't have; a retried append writes nothing.
+
+    Of several rows with one request id the least in order of content counts. Returns the commit, None without new rows.
+    """
+    made = decisions(new)
+    content = [c for c in made.columns if c != "action_id"]
+    once = made.groupBy("action_id").agg(F.min(F.struct(*content)).alias("r")).select("action_id", "r.*")
+    return _commit(spark, CommitLog(spark, path),
+                   lambda entries: once.join(_rows_of(spark, entries).select("action_id"), "action_id", "left_anti"))
 
-def seed_reviews(spark: SparkSession, queue: DataFrame, path: str, s: Settings) -> None:
-    """K5: when the log is empty, record an approval for the top decisions of the queue."""
-    if read_log(spark, path).limit(1).count() > 0:
-        return
+
+def seed_reviews(spark: SparkSession, queue: DataFrame, path: str, s: Settings) -> dict | None:
+    """K5: when the log is empty, record an approval for the top decisions of the queue; only one of several seeders does."""
     top = top_of_queue(queue, s.seed_decisions).select(
         F.concat(F.lit("seed-"), "hcp_id").alias("request_id"), "hcp_id", F.lit(C.SEED_MSL).alias("msl_name"), F.lit(C.SEED_DECISION).alias("review_decision"),
         F.lit(C.SEED_NOTES).alias("review_notes"), F.lit(C.SEED_CHANNEL).alias("scheduled_channel"),
         F.date_add(F.lit(s.as_of), s.seed_schedule_days).alias("scheduled_date"))
-    append_reviews(spark, top, path)
+    return _commit(spark, CommitLog(spark, path), lambda entries: None if entries else decisions(top))
+
+
+def compact_log(spark: SparkSession, path: str) -> dict | None:
+    """Rewrite the log's rows to one folder and commit an entry that replaces all before it; ids stay."""
+    log = CommitLog(spark, path)
+
+    def prepare(entries: list[dict]) -> dict | None:
+        if len(entries) < 2:
+            return None
+        folder = log.folder_for_data()
+        _rows_of(spark, entries).repartitionByRange("review_id").write.parquet(folder)
+        return {"folders": [folder], "rows": 0, "next_id": _next_id(entries), "replaces": True}
+
+    return log.append(prepare)
 
 
 def recent_reviews(log: DataFrame, n: int) -> DataFrame:

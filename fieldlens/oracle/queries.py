@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .medallion import CTES
-from .sqlgen import with_ctes
+from .sqlgen import AS_OF, as_before, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -279,14 +279,15 @@ CTES_EXTRA["serving_action_queue"] = ("""
 
 _SEED = f"""'seed-' || hcp_id AS request, hcp_id, {q(_C.SEED_MSL)} AS msl_name, {q(_C.SEED_DECISION)} AS review_decision"""
 CTES_EXTRA["review_seed"] = (f"""
-  SELECT sha256(request) AS action_id, * EXCLUDE (request) FROM (
+  SELECT row_number() OVER (ORDER BY sha256(request)) AS review_id, sha256(request) AS action_id, * EXCLUDE (request) FROM (
     SELECT {_SEED}, {q(_C.SEED_NOTES)} AS review_notes, {q(_C.SEED_CHANNEL)} AS scheduled_channel,
       DATE '2024-01-31' + 14 AS scheduled_date
     FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 2)""", ["serving_action_queue"])
 CTES_EXTRA["review_actions"] = (f"""
   SELECT * FROM review_seed
   UNION ALL
-  SELECT sha256(format('bulk-{{}}-{{}}', k, hcp_id)) AS action_id, hcp_id, {q(_C.SEED_MSL)} AS msl_name,
+  SELECT (SELECT count(*) FROM review_seed) + row_number() OVER (ORDER BY sha256(format('bulk-{{}}-{{}}', k, hcp_id))) AS review_id,
+    sha256(format('bulk-{{}}-{{}}', k, hcp_id)) AS action_id, hcp_id, {q(_C.SEED_MSL)} AS msl_name,
     {q(_C.SEED_DECISION)} AS review_decision, suggested_engagement AS review_notes,
     {q(_C.SEED_CHANNEL)} AS scheduled_channel, recommended_date AS scheduled_date
   FROM serving_action_queue, range(7) t(k) WHERE priority_tier = 'High'""", ["review_seed", "serving_action_queue"])
@@ -295,6 +296,15 @@ for _name, (_body, _deps) in CTES_EXTRA.items():
     CTES[_name] = (_body, _deps)
     table(_name)
 
+# The queue before and after newer notes and HCP versions arrived.
+_OLDER = {"bronze_hcp_master": f"SELECT * FROM bronze_hcp_master WHERE _ingested_at < {HCP_CURRENT}",
+          "bronze_msl_interactions": f"SELECT * FROM bronze_msl_interactions WHERE interaction_date < {AS_OF} - INTERVAL 120 DAY"}
+sql("queue_changes", """SELECT CASE WHEN o.hcp_id IS NULL THEN 'insert' WHEN n.hcp_id IS NULL THEN 'delete' ELSE 'update' END AS change,
+    coalesce(n.hcp_id, o.hcp_id) AS hcp_id, n.* EXCLUDE (hcp_id)
+    FROM serving_action_queue n FULL JOIN serving_action_queue_before o ON n.hcp_id = o.hcp_id
+    WHERE n IS DISTINCT FROM o""",
+    ["serving_action_queue", as_before(CTES, "serving_action_queue", _OLDER)])
+
 sql("briefing_prompt", f"SELECT hcp_id, {q(_C.BRIEFING_INSTRUCTION)} || context AS prompt FROM briefing_context",
     ["briefing_context"])
 sql("engagement_plan", """SELECT h.hcp_id,
@@ -315,7 +325,7 @@ sql("action_queue_top50", "SELECT * FROM serving_action_queue ORDER BY msl_prior
 sql("queue_check", """SELECT hcp_id, hcp_name, priority_tier, msl_priority_score, trigger,
     (SELECT COUNT(*) FROM serving_action_queue) AS queue_rows
     FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 5""", ["serving_action_queue"])
-sql("recent_reviews", """SELECT action_id, hcp_id, msl_name, review_decision, review_notes, scheduled_channel,
+sql("recent_reviews", """SELECT review_id, action_id, hcp_id, msl_name, review_decision, review_notes, scheduled_channel,
     scheduled_date FROM (SELECT *, row_number() OVER (PARTITION BY hcp_id
       ORDER BY action_id IN (SELECT action_id FROM review_seed), action_id DESC) AS rn
     FROM review_actions) WHERE rn <= 5""", ["review_actions", "review_seed"])
@@ -328,7 +338,7 @@ def _bronze(feed: str) -> str:
     if feed == "hcp_master":
         drop = f"CASE WHEN _ingested_at >= {HCP_CURRENT} THEN 1 + coalesce(ascii(right({key}, 1)), 0) % 2 ELSE 0 END"
     return f"""SELECT {', '.join(cols[:-1])}, CASE WHEN d < 2 THEN {last} END AS {last},
-      CASE WHEN d = 1 THEN CAST(json_object('system_key', upper({key})) AS VARCHAR) END AS rescued, 'drop-' || d AS source_drop,
+      CASE WHEN d = 1 AND {key} IS NOT NULL THEN CAST(json_object('system_key', upper({key})) AS VARCHAR) END AS rescued, 'drop-' || d AS source_drop,
       CAST(CASE WHEN d = 0 THEN 0 ELSE 1 END AS INTEGER) AS ingest_batch, true AS ingest_ok
     FROM (SELECT *, {drop} AS d FROM bronze_{feed})"""
 

@@ -9,6 +9,7 @@ agreement between the two is evidence rather than a tautology.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 AS_OF = "DATE '2024-01-31'"
@@ -64,3 +65,26 @@ def with_ctes(ctes: dict[str, tuple[str, list[str]]], final: str, deps: list[str
         return final
     body = ",\n".join(f"{n} AS (\n{ctes[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final}"
+
+
+def as_before(ctes: dict[str, tuple[str, list[str]]], name: str, replaced: dict[str, str]) -> str:
+    """Adds a second chain of CTEs (names ending in ``_before``) in which some tables are replaced; returns ``name``'s name in it."""
+    hit: dict[str, bool] = {}
+
+    def uses(n: str) -> bool:
+        if n not in hit:
+            hit[n] = n in replaced or any([uses(d) for d in ctes[n][1]])
+        return hit[n]
+
+    uses(name)
+    changed = [n for n, h in hit.items() if h]
+    for n in changed:
+        if n in replaced:
+            ctes[f"{n}_before"] = (replaced[n], [n])
+        else:
+            body, deps = ctes[n]
+            mine = [d for d in deps if hit[d]]
+            if mine:
+                body = re.sub(r"\b(FROM|JOIN)(\s+)(" + "|".join(map(re.escape, mine)) + r")\b", r"\1\2\3_before", body)
+            ctes[f"{n}_before"] = (body, [f"{d}_before" if hit[d] else d for d in deps])
+    return f"{name}_before"

@@ -34,6 +34,7 @@ class Lakehouse:
                  extract_cache: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.inputs: str | None = None   # state of the input files that this graph was built for
         self.extract_cache = extract_cache
         self.settings = settings
         self.extractor = extractor
@@ -108,6 +109,10 @@ class Lakehouse:
             self._tables[name] = self._build(name)
         return self._tables[name]
 
+    def replace(self, name: str, table: DataFrame) -> None:
+        """Use ``table`` for ``name`` in everything built from now on."""
+        self._tables[name] = table
+
     def _build(self, name: str) -> DataFrame:
         if name in BRONZE:
             feed = BRONZE[name]

@@ -1,39 +1,42 @@
-"""Versioned publishing: outputs go to a new folder, and one small committed write switches readers to it.
+"""Versioned publishing: outputs go to a new folder, and one small atomic commit switches readers to it.
 
-A root keeps ``_published/version=N`` records, each naming a run folder. A
-record is written only when the run is complete and checked, so a failed run
-leaves the former version served. Old run folders stay until removed.
+The commit log of a root names a run folder per version. A version is
+committed only when the run is complete and checked, so a failed run leaves the
+former version served, and of two publishers one gets the version and the other
+an error. Old run folders stay until removed, so versions can be compared.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from ..functions.common import path_has_files
+from .commitlog import CommitLog
 
 
 def new_run(root: str) -> str:
     return f"{root.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
 
 
-def _records(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("run STRING, version LONG").parquet(f"{root.rstrip('/')}/_published")
-
-
 def current(spark: SparkSession, root: str) -> tuple[int, str] | None:
     """(version, run folder) that readers get, or None."""
-    if not path_has_files(spark, f"{root.rstrip('/')}/_published"):
-        return None
-    row = _records(spark, root).orderBy(F.desc("version")).first()
-    return (row["version"], row["run"]) if row else None
-
-
-def publish(spark: SparkSession, root: str, run: str) -> None:
-    """Switch readers of ``root`` to the finished run folder; a concurrent publisher of the same version fails."""
-    now = current(spark, root)
-    version = now[0] + 1 if now else 1
-    spark.createDataFrame([(run,)], "run STRING").coalesce(1).write.mode("error").parquet(
-        f"{root.rstrip('/')}/_published/version={version}")
+    now = CommitLog(spark, root).entry()
+    return (now["version"], now["run"]) if now else None
+
+
+def run_of(spark: SparkSession, root: str, version: int) -> str:
+    """The run folder of a version."""
+    return CommitLog(spark, root).entry(version)["run"]
+
+
+def publish(spark: SparkSession, root: str, run: str, after: int | None = None) -> int:
+    """Switch readers of ``root`` to the finished run folder; returns its version.
+
+    ``after`` is the version that the publisher started from (default: the newest one): when another publisher has
+    committed since, CommitConflict is raised and nothing changes.
+    """
+    log = CommitLog(spark, root)
+    version = (log.last() if after is None else after) + 1
+    log.create(version, {"run": run})
+    return version

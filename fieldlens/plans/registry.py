@@ -12,6 +12,7 @@ from ..operators import extract as X
 from ..operators import gold as G
 from ..operators import governance as GOV
 from ..operators import serving as SV
+from ..sources.tables import fingerprint
 from .catalog import Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,14 +28,16 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     DataFrames are immutable lazy plans, so registered queries over the same
     tables share one graph (binding, extraction, rollups) instead of rebuilding
     it through thousands of driver calls per query. Nothing is cached in
-    memory: every action plans and reads the files again. The input tables are
-    immutable snapshots; ``Lakehouse(spark, dir)`` gives a fresh graph.
+    memory: every action plans and reads the files again. Files that were added, removed or
+    rewritten since give a new graph; ``Lakehouse(spark, dir)`` gives a fresh one.
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    inputs = fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, inputs)
     if key not in _GRAPHS:
         while len(_GRAPHS) >= 8:  # plans only; the oldest graph goes
             _GRAPHS.pop(next(iter(_GRAPHS)))
         _GRAPHS[key] = Lakehouse(spark, sf_dir)
+        _GRAPHS[key].inputs = inputs
     return _GRAPHS[key]
 
 
@@ -141,11 +144,10 @@ def _extract_incremental(lh: Lakehouse) -> DataFrame:
     """
     from ..session import work_dir
 
-    spark, s = lh.spark, lh.settings
+    spark = lh.spark
     notes = lh.table("bronze_msl_interactions")
     cache_path = work_dir(spark, "extract-cache") + "/cache"
-    older = notes.filter(F.col("interaction_date") < F.date_sub(F.lit(s.as_of), 120))
-    X.extract_incremental(spark, older, cache_path)
+    X.extract_incremental(spark, older_notes(lh), cache_path)
     return X.extract_incremental(spark, notes, cache_path)
 
 
@@ -253,10 +255,10 @@ _SNAPSHOTS: dict[tuple, str] = {}
 
 
 def _queue_snapshot(lh: Lakehouse) -> DataFrame:
-    """The served queue of the tables: published once for an application, then read by every serving key."""
+    """The served queue of the tables as they are now: published once for an application and state of the input files."""
     from ..session import work_dir
 
-    key = (lh.spark.sparkContext.applicationId, lh.sf_dir)
+    key = (lh.spark.sparkContext.applicationId, lh.sf_dir, lh.inputs)
     if key not in _SNAPSHOTS:
         root = work_dir(lh.spark, "serving") + "/msl_action_queue"
         SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), root)
@@ -264,6 +266,30 @@ def _queue_snapshot(lh: Lakehouse) -> DataFrame:
     return SV.served_snapshot(lh.spark, _SNAPSHOTS[key])
 
 
+def _before(lh: Lakehouse) -> Lakehouse:
+    """The tables as they were when only the older notes and the first versions of HCPs had arrived."""
+    older = Lakehouse(lh.spark, lh.sf_dir, lh.settings)
+    master = lh.table("bronze_hcp_master")
+    older.replace("bronze_hcp_master", master.where(F.col("_ingested_at") < F.lit(bound_current()).cast("timestamp")))
+    older.replace("bronze_msl_interactions", older_notes(lh))
+    return older
+
+
+def older_notes(lh: Lakehouse) -> DataFrame:
+    return lh.table("bronze_msl_interactions").filter(F.col("interaction_date") < F.date_sub(F.lit(lh.settings.as_of), 120))
+
+
+@register("queue_changes")
+def _queue_changes(lh: Lakehouse) -> DataFrame:
+    """K3: two published versions of the queue, before and after newer notes and HCP versions, and what changed between them."""
+    from ..session import work_dir
+
+    root = work_dir(lh.spark, "serving-feed") + "/msl_action_queue"
+    SV.publish_snapshot(SV.action_queue(_before(lh).table("next_best_engagement")), root)
+    SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), root)
+    return SV.changes(SV.snapshot_at(lh.spark, root, 1), SV.snapshot_at(lh.spark, root, 2))
+
+
 register("serving_action_queue")(_queue_snapshot)
 register("action_queue_top50")(lambda lh: SV.top_of_queue(_queue_snapshot(lh), lh.settings.queue_limit))
 register("queue_check")(lambda lh: SV.queue_check(_queue_snapshot(lh)))
@@ -278,23 +304,29 @@ def _review_log(lh: Lakehouse, with_bulk: bool) -> str:
     spark = lh.spark
     queue = _queue_snapshot(lh)
     log = work_dir(spark, "reviews") + "/msl_review_actions"
-    SV.seed_reviews(spark, queue, log, lh.settings)
-    SV.seed_reviews(spark, queue, log, lh.settings)  # idempotent: the log is no longer empty
+    _at_once(lambda: SV.seed_reviews(spark, queue, log, lh.settings))  # one of two seeders records it
     if with_bulk:
         turns = F.explode(F.sequence(F.lit(0), F.lit(6))).alias("k")  # seven requests each, so the newest-five limit bites
         approvals = queue.filter(F.col("priority_tier") == "High").select("*", turns).select(
             F.concat(F.lit("bulk-"), F.col("k").cast("string"), F.lit("-"), "hcp_id").alias("request_id"), "hcp_id", F.lit(CF.SEED_MSL).alias("msl_name"), F.lit(CF.SEED_DECISION).alias("review_decision"),
             F.col("suggested_engagement").alias("review_notes"),
             F.lit(CF.SEED_CHANNEL).alias("scheduled_channel"), F.col("recommended_date").alias("scheduled_date"))
-        SV.append_reviews(spark, approvals, log)
-        SV.append_reviews(spark, approvals, log)  # a retried append writes nothing new
+        _at_once(lambda: SV.append_reviews(spark, approvals, log))  # two appenders of the same requests
     return log
 
 
-register("review_seed")(lambda lh: SV.read_log(lh.spark, _review_log(lh, False)).select("action_id", *REVIEW_OUT))
-register("review_actions")(lambda lh: SV.read_log(lh.spark, _review_log(lh, True)).select("action_id", *REVIEW_OUT))
+def _at_once(job: Callable, writers: int = 2) -> None:
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(writers) as pool:
+        for done in [pool.submit(job) for _ in range(writers)]:
+            done.result()
+
+
+register("review_seed")(lambda lh: SV.read_log(lh.spark, _review_log(lh, False)).select("review_id", "action_id", *REVIEW_OUT))
+register("review_actions")(lambda lh: SV.read_log(lh.spark, _review_log(lh, True)).select("review_id", "action_id", *REVIEW_OUT))
 register("recent_reviews")(lambda lh: SV.recent_reviews(SV.read_log(lh.spark, _review_log(lh, True)),
-                                                        lh.settings.recent_limit).select("action_id", *REVIEW_OUT))
+                                                        lh.settings.recent_limit).select("review_id", "action_id", *REVIEW_OUT))
 
 
 # ----------------------------------------------------------------------------- bronze ingest

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of path, length and time of change of every file of the tables under ``sf_dir``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen: list[str] = []
+    for name in STAR_TABLES:
+        table = jvm.org.apache.hadoop.fs.Path(root, f"{name}.parquet")
+        if fs.exists(table):
+            files = fs.listFiles(table, True)
+            while files.hasNext():
+                f = files.next()
+                seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 class StarTables:
     """Lazy accessor: ``StarTables(spark, dir).lineitem``."""
 

@@ -3,11 +3,14 @@
 import datetime as dt
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from fieldlens.config import DEFAULT
 from fieldlens.operators import serving as SV
+from fieldlens.plans import publish as PB
+from fieldlens.plans.commitlog import CommitConflict, CommitLog
 from fieldlens.streaming import bronze as B
 
 HEADER = "inquiry_id,hcp_id,inquiry_date,inquiry_topic,evidence_type_requested,indication,response_status," \
@@ -141,6 +144,80 @@ def test_failed_check_leaves_the_former_snapshot(spark, tmp_dir):
     raise AssertionError("duplicate key not detected")
 
 
+def test_appenders_at_once_write_each_request_once_with_dense_ids(spark, tmp_dir):
+    log, day = f"{tmp_dir}/log", dt.date(2024, 2, 1)
+    batches = [[(f"r{i}", f"h{i % 3}", "MSL", "Approved", f"note {i}", "Phone", day) for i in range(8 * k, 8 * k + 16)] for k in range(4)]
+    frames = [spark.createDataFrame(b + b[:3], DECISION) for b in batches]   # neighbours share half of their requests
+    with ThreadPoolExecutor(4) as pool:
+        commits = [c for c in pool.map(lambda f: SV.append_reviews(spark, f, log), frames) if c]
+    rows = SV.read_log(spark, log).collect()
+    assert len(rows) == len({r.action_id for r in rows}) == 40
+    assert sorted(r.review_id for r in rows) == list(range(1, 41))
+    assert sorted(c["version"] for c in commits) == list(range(1, len(commits) + 1))
+    by_commit = {r.review_id: r.action_id for r in rows}
+    SV.compact_log(spark, log)
+    assert {r.review_id: r.action_id for r in SV.read_log(spark, log).collect()} == by_commit
+    assert len(CommitLog(spark, log).entries()) == 1
+    more = SV.append_reviews(spark, spark.createDataFrame([("new", "h1", "MSL", "Approved", None, "Phone", day)], DECISION), log)
+    assert more["next_id"] == 42 and SV.read_log(spark, log).count() == 41
+
+
+def test_one_of_many_seeders_seeds(spark, tmp_dir):
+    queue = spark.createDataFrame([("h1", 70.0), ("h2", 90.0)], "hcp_id string, msl_priority_score double")
+    with ThreadPoolExecutor(3) as pool:
+        done = list(pool.map(lambda _: SV.seed_reviews(spark, queue, f"{tmp_dir}/log", DEFAULT), range(3)))
+    assert sum(d is not None for d in done) == 1 and SV.read_log(spark, f"{tmp_dir}/log").count() == 2
+
+
+def test_a_version_is_committed_once(spark, tmp_dir):
+    log = CommitLog(spark, f"{tmp_dir}/x")
+
+    def race(i):
+        try:
+            log.create(1, {"run": str(i)})
+            return i
+        except CommitConflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(race, range(8)) if i is not None]
+    assert len(won) == 1 and log.entry()["run"] == str(won[0]) and log.last() == 1
+    PB.publish(spark, f"{tmp_dir}/x", "second", after=1)
+    try:
+        PB.publish(spark, f"{tmp_dir}/x", "late", after=1)   # started before the second was there
+    except CommitConflict:
+        assert PB.current(spark, f"{tmp_dir}/x") == (2, "second")
+        return
+    raise AssertionError("a stale publisher replaced a newer version")
+
+
+def test_change_feed_brings_the_old_version_up_to_date(spark):
+    schema = "hcp_id string, score double, topic string"
+    old = spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, None), ("c", 3.0, "z"), ("d", None, "")], schema)
+    new = spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, ""), ("d", None, None), ("e", 5.0, None)], schema)
+    feed = SV.changes(old, new)
+    assert sorted((r.hcp_id, r.change) for r in feed.collect()) == [("b", "update"), ("c", "delete"), ("d", "update"), ("e", "insert")]
+    assert sorted(map(tuple, SV.apply_changes(old, feed).collect()), key=repr) == sorted(map(tuple, new.collect()), key=repr)
+    assert SV.changes(new, new).count() == 0
+
+
+def test_snapshot_follows_the_input_files(spark, tmp_dir):
+    import shutil
+
+    from fieldlens.sources.tables import fingerprint
+
+    folder = f"{tmp_dir}/sf"
+    os.makedirs(folder)
+    for name in os.listdir("/root/testdata/sf0.001"):
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}", f"{folder}/{name}")
+    before = fingerprint(spark, folder)
+    assert before == fingerprint(spark, folder)
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").limit(10).write.parquet(f"{folder}/more")
+    os.unlink(f"{folder}/orders.parquet")
+    os.rename(f"{folder}/more", f"{folder}/orders.parquet")
+    assert before != fingerprint(spark, folder)
+
+
 def test_keyed_hash_is_hmac(spark):
     import hashlib
     import hmac
