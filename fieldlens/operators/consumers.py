@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -139,15 +139,10 @@ def extraction_distribution(extracted: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("notes")).orderBy(F.desc("notes"), "topic_category", "sentiment", "interest_level"))
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table and layer, one global count per table, unioned."""
-    out = None
-    for name, df in tables.items():
-        layer = name.split("_", 1)[0] if name.startswith(("bronze_", "silver_")) else "gold"
-        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count")
-        out = one if out is None else out.unionByName(one)
-    return out
+def row_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Rows per table and layer, from the counts that a refresh observed while it wrote the tables."""
+    layer = lambda n: n.split("_", 1)[0] if n.startswith(("bronze_", "silver_")) else "gold"
+    return spark.createDataFrame([(layer(n), n, c) for n, c in counts.items()], "layer STRING, table_name STRING, row_count LONG")
 
 
 # ----------------------------------------------------------------------------- cockpit

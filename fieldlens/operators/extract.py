@@ -263,7 +263,11 @@ def new_responses(interactions: DataFrame, cache: DataFrame | None, extractor=No
 
 
 def table_from_cache(interactions: DataFrame, cache: DataFrame) -> DataFrame:
-    """S10, second half: the extraction table from stored responses; nothing is extracted here."""
+    """S10, second half: the extraction table from stored responses; nothing is extracted here.
+
+    A cache that two runs filled at once may hold several responses of one note: the least counts, for every interaction.
+    """
+    cache = cache.groupBy("note_hash").agg(F.min("extracted_raw").alias("extracted_raw"))
     prompts = extract_prompt(interactions).withColumn("note_hash", note_hash(F.col("prompt")))
     raw = prompts.join(cache.select("note_hash", "extracted_raw"), "note_hash", "left").drop("note_hash")
     parsed = raw.withColumn("j", parse_response(clean_json(F.col("extracted_raw"))))

@@ -47,6 +47,27 @@ def gold_passthrough(silver: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- rollups
 
+def interest_weight() -> Column:
+    return (F.when(F.col("interest_level") == "High", 3)
+            .when(F.col("interest_level") == "Medium", 2).otherwise(1))
+
+
+def latest_signals() -> Column:
+    """What the profile takes from an HCP's newest note."""
+    return F.struct(
+        F.col("information_need").alias("recent_question"),
+        F.col("evidence_type_requested").alias("recent_evidence_request"),
+        F.nullif(F.col("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
+        F.col("preferred_channel"))
+
+
+def briefing_note() -> Column:
+    """What a briefing takes from an HCP's newest note."""
+    return F.struct(
+        "interaction_date", "channel", "scientific_topic", "information_need", "sentiment",
+        "interest_level", "follow_up_requested", "evidence_type_requested", "competitor_mentioned")
+
+
 def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
     """One aggregate of the extracted notes per (HCP, topic) holding every partial
     that the per-HCP and per-topic tables need.
@@ -56,8 +77,6 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
     once; the per-HCP level then re-aggregates at most one row per topic.
     """
     age = days_since(s.as_of, F.col("interaction_date"))
-    weight = (F.when(F.col("interest_level") == "High", 3)
-              .when(F.col("interest_level") == "Medium", 2).otherwise(1))
     latest_key = F.struct("interaction_date", "interaction_id")
     return extracted.groupBy("hcp_id", "topic_category").agg(
         F.count(F.lit(1)).alias("n"),
@@ -65,21 +84,14 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
         F.count(F.when(age.between(s.recent_days + 1, s.prior_days), 1)).alias("n31_60"),
         F.count(F.when(age <= s.reach_days, 1)).alias("n90"),
         F.count(F.when(age <= s.half_year_days, 1)).alias("n180"),
-        F.sum(weight).alias("w_sum"),
+        F.sum(interest_weight()).alias("w_sum"),
         F.sum("duration_minutes").alias("dur_sum"),
         F.count("duration_minutes").alias("dur_n"),
         F.count(F.when(F.col("follow_up_requested"), 1)).alias("follow_ups"),
         F.max("interaction_date").alias("last_date"),
         F.max("sentiment").alias("max_sentiment"),
-        F.max_by(F.struct(
-            F.col("information_need").alias("recent_question"),
-            F.col("evidence_type_requested").alias("recent_evidence_request"),
-            F.nullif(F.col("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
-            F.col("preferred_channel")), latest_key).alias("latest"),
-        F.max_by(F.struct(
-            "interaction_date", "channel", "scientific_topic", "information_need", "sentiment",
-            "interest_level", "follow_up_requested", "evidence_type_requested", "competitor_mentioned"),
-            latest_key).alias("brief"),
+        F.max_by(latest_signals(), latest_key).alias("latest"),
+        F.max_by(briefing_note(), latest_key).alias("brief"),
         F.max(latest_key).alias("latest_key"),
     )
 
@@ -167,14 +179,22 @@ def emerging_topics(topics: DataFrame) -> DataFrame:
 
 
 def congress_rollup(congress: DataFrame) -> DataFrame:
+    """Two levels: rows are added up per HCP and event, whose number of rows per HCP is then the distinct events.
+
+    The only sets are of topics, which the output lists.
+    """
     attended = F.col("attendance_status") == "Attended"
-    return congress.groupBy("hcp_id").agg(
-        F.count(F.lit(1)).alias("sessions_registered"),
-        F.count(F.when(attended, 1)).alias("sessions_attended"),
-        F.count(F.when(F.col("visited_medical_booth"), 1)).alias("booth_visits"),
-        F.size(F.collect_set("event_name")).cast("bigint").alias("distinct_events"),
-        F.array_sort(F.collect_set("session_topic")).alias("session_topics"),
-        F.max("event_date").alias("last_congress_date"),
+    events = congress.groupBy("hcp_id", "event_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(attended, 1)).alias("attended"),
+        F.count(F.when(F.col("visited_medical_booth"), 1)).alias("booth"), F.collect_set("session_topic").alias("topics"),
+        F.max("event_date").alias("last_date"))
+    return events.groupBy("hcp_id").agg(
+        F.sum("n").alias("sessions_registered"),
+        F.sum("attended").alias("sessions_attended"),
+        F.sum("booth").alias("booth_visits"),
+        F.count("event_name").alias("distinct_events"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("topics")))).alias("session_topics"),
+        F.max("last_date").alias("last_congress_date"),
     )
 
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..operators import extract as X
@@ -41,6 +42,7 @@ class Lakehouse:
         self.star = StarTables(spark, sf_dir)
         self.bronze_paths = bronze_paths or {}
         self._tables: dict[str, DataFrame] = {}
+        self._bronze_counts: dict[str, Observation] = {}
         s = settings
         t = self.table
         self.builders: dict[str, tuple[list[str], Callable[[], DataFrame]]] = {
@@ -164,20 +166,27 @@ class Lakehouse:
         of the files, which also cuts lineage between layers. Classified tables
         carry their tags, and a masked copy is written beside each. Readers of
         ``published(spark, out_dir)`` get the new tables only after all of them
-        are written: a failed run leaves the former version in place.
+        are written: a failed run leaves the former version in place. The rows of every table, and of the bronze
+        tables that they read, are counted while they are written (``Observation``) and kept in the published entry.
         """
         from concurrent.futures import ThreadPoolExecutor
 
         run = PB.new_run(out_dir)
+        before = PB.current(self.spark, out_dir)
         written: dict[str, str] = {}
+        counts: dict[str, int] = {}
+        for name in BRONZE:
+            self._observed(name)
         if "silver_extracted" in self.order(targets):
             self.update_extract_cache()
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for level in self.levels(targets):
                 frames = {name: self.table(name) for name in level}  # plans built on this thread
+                plain, seen = frames, {name: Observation() for name in level}
+                frames = {name: df.observe(seen[name], F.count(F.lit(1)).alias("rows")) for name, df in frames.items()}
                 for name in [n for n in level if n in GOV.CLASSIFIED_TABLES]:
                     frames[name] = GOV.classify(frames[name])
-                    frames[f"{name}_masked"] = GOV.mask(frames[name], self.settings.mask_key)
+                    frames[f"{name}_masked"] = GOV.mask(GOV.classify(plain[name]), self.settings.mask_key)
                 paths = {name: os.path.join(run, name) for name in frames}
                 jobs = [pool.submit(frames[n].write.parquet, paths[n]) for n in frames]
                 for job in jobs:
@@ -185,9 +194,19 @@ class Lakehouse:
                 for name in level:
                     self._tables[name] = self.spark.read.parquet(paths[name])
                 written.update(paths)
-        PB.publish(self.spark, out_dir, run)
+                counts.update({name: o.get["rows"] for name, o in seen.items()})
+                for name in [n for n in self._bronze_counts if any(n in self.builders[t][0] for t in level)]:
+                    counts[name] = self._bronze_counts.pop(name).get["rows"]
+        PB.publish(self.spark, out_dir, run, before[0] if before else 0, counts)
         return written
 
+    def _observed(self, name: str) -> None:
+        """Count a bronze table's rows in the one job that reads it."""
+        readers = [t for t, (deps, _) in self.builders.items() if name in deps]
+        if len(readers) == 1 and readers[0] not in self._tables:
+            self._bronze_counts[name] = Observation()
+            self._tables[name] = self.table(name).observe(self._bronze_counts[name], F.count(F.lit(1)).alias("rows"))
+
 
 def published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """A table of the published refresh under ``out_dir``."""

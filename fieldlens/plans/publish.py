@@ -30,7 +30,12 @@ def run_of(spark: SparkSession, root: str, version: int) -> str:
     return CommitLog(spark, root).entry(version)["run"]
 
 
-def publish(spark: SparkSession, root: str, run: str, after: int | None = None) -> int:
+def counts(spark: SparkSession, root: str) -> dict[str, int]:
+    """Rows per table of the published version, as counted while they were written."""
+    return CommitLog(spark, root).entry()["counts"]
+
+
+def publish(spark: SparkSession, root: str, run: str, after: int | None = None, counts: dict[str, int] | None = None) -> int:
     """Switch readers of ``root`` to the finished run folder; returns its version.
 
     ``after`` is the version that the publisher started from (default: the newest one): when another publisher has
@@ -38,5 +43,5 @@ def publish(spark: SparkSession, root: str, run: str, after: int | None = None)
     """
     log = CommitLog(spark, root)
     version = (log.last() if after is None else after) + 1
-    log.create(version, {"run": run})
+    log.create(version, {"run": run, "counts": counts or {}})
     return version

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from ..operators import governance as GOV
 from ..operators import serving as SV
 from ..sources.tables import fingerprint
 from .catalog import Lakehouse
+from .states import NoteStates
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -151,6 +154,40 @@ def _extract_incremental(lh: Lakehouse) -> DataFrame:
     return X.extract_incremental(spark, notes, cache_path)
 
 
+# ----------------------------------------------------------------------------- K2: incremental refresh
+def _two_waves(lh: Lakehouse) -> NoteStates:
+    """Older notes first, then the newer ones: each wave extracts and adds up its own notes only."""
+    from ..session import work_dir
+
+    store = NoteStates(lh.spark, work_dir(lh.spark, "note-states"))
+    notes = lh.table("bronze_msl_interactions")
+    day = F.date_sub(F.lit(lh.settings.as_of), 120)
+    waves = [F.col("interaction_date") < day, F.coalesce(F.col("interaction_date") >= day, F.lit(True))]
+    for batch, wave in enumerate(waves):
+        store.update(batch, lambda after, wave=wave: X.silver_extracted(notes.where(wave), lh.extractor))
+    return store
+
+
+@register("refresh_incremental")
+def _refresh_incremental(lh: Lakehouse) -> DataFrame:
+    """The queue after the second wave, from stored states; the first wave's notes are not read again."""
+    store = _two_waves(lh)
+    after = Lakehouse(lh.spark, lh.sf_dir, lh.settings)
+    after.replace("note_rollup", store.rollup(lh.settings))
+    return after.table("next_best_engagement")
+
+
+EARLIER = dt.date(2023, 12, 2)
+
+
+@register("topic_interest_earlier")
+def _topics_earlier(lh: Lakehouse) -> DataFrame:
+    """Topic interest as of another day, from the same states, merged to one a day."""
+    store = _two_waves(lh)
+    store.compact()
+    return G.topic_interest(store.rollup(lh.settings, EARLIER), replace(lh.settings, as_of=EARLIER))
+
+
 # ----------------------------------------------------------------------------- metric views (M1-M3)
 def _metric(key: str, view: str, dims: list[str], measures: list[str] | None = None, where: Callable | None = None):
     from .metrics import MEDICAL_INQUIRIES, hcp_engagement
@@ -212,7 +249,14 @@ ROW_COUNT_TABLES = (
 
 @register("row_counts")
 def _row_counts(lh: Lakehouse) -> DataFrame:
-    return C.row_counts({n: lh.table(n) for n in ROW_COUNT_TABLES})
+    """One refresh writes the tables and counts their rows on the way; its published counts are read, no table is."""
+    from ..session import work_dir
+    from . import publish as PB
+
+    out = work_dir(lh.spark, "counted-refresh")
+    Lakehouse(lh.spark, lh.sf_dir, lh.settings).refresh(out)
+    counts = PB.counts(lh.spark, out)
+    return C.row_counts(lh.spark, {n: counts[n] for n in ROW_COUNT_TABLES})
 
 
 register("app_hcp_list")(lambda lh: C.app_hcp_list(G.with_priority(lh.table("hcp_profile"), lh.settings)))
