@@ -158,7 +158,8 @@ class Lakehouse:
         return out
 
     # -- full refresh -------------------------------------------------------
-    def refresh(self, out_dir: str, targets: list[str] | None = None, parallel: int = 4) -> dict[str, str]:
+    def refresh(self, out_dir: str, targets: list[str] | None = None, parallel: int = 4,
+                stored: dict[str, list[str]] | None = None) -> dict[str, str]:
         """Write every needed table once into a new run folder, in dependency order, then publish the folder.
 
         The tables of one dependency level are written by concurrent jobs (up to
@@ -168,19 +169,24 @@ class Lakehouse:
         ``published(spark, out_dir)`` get the new tables only after all of them
         are written: a failed run leaves the former version in place. The rows of every table, and of the bronze
         tables that they read, are counted while they are written (``Observation``) and kept in the published entry.
+        ``stored`` names the folders of tables that an incremental store keeps: they are published as they are.
         """
+        stored = stored or {}
         from concurrent.futures import ThreadPoolExecutor
 
         run = PB.new_run(out_dir)
         before = PB.current(self.spark, out_dir)
         written: dict[str, str] = {}
         counts: dict[str, int] = {}
+        for name, folders in stored.items():
+            self._tables[name] = self.spark.read.parquet(*folders)
         for name in BRONZE:
             self._observed(name)
-        if "silver_extracted" in self.order(targets):
+        if "silver_extracted" in self.order(targets) and "silver_extracted" not in stored:
             self.update_extract_cache()
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for level in self.levels(targets):
+                level = [name for name in level if name not in stored]
                 frames = {name: self.table(name) for name in level}  # plans built on this thread
                 plain, seen = frames, {name: Observation() for name in level}
                 frames = {name: df.observe(seen[name], F.count(F.lit(1)).alias("rows")) for name, df in frames.items()}
@@ -197,7 +203,7 @@ class Lakehouse:
                 counts.update({name: o.get["rows"] for name, o in seen.items()})
                 for name in [n for n in self._bronze_counts if any(n in self.builders[t][0] for t in level)]:
                     counts[name] = self._bronze_counts.pop(name).get["rows"]
-        PB.publish(self.spark, out_dir, run, before[0] if before else 0, counts)
+        PB.publish(self.spark, out_dir, run, before[0] if before else 0, counts, stored)
         return written
 
     def _observed(self, name: str) -> None:
@@ -210,7 +216,7 @@ class Lakehouse:
 
 def published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """A table of the published refresh under ``out_dir``."""
-    now = PB.current(spark, out_dir)
+    now = PB.CommitLog(spark, out_dir).entry()
     if now is None:
         raise ValueError(f"nothing is published under {out_dir}")
-    return spark.read.parquet(os.path.join(now[1], name))
+    return spark.read.parquet(*now["stored"].get(name, [os.path.join(now["run"], name)]))

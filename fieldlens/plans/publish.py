@@ -35,7 +35,8 @@ def counts(spark: SparkSession, root: str) -> dict[str, int]:
     return CommitLog(spark, root).entry()["counts"]
 
 
-def publish(spark: SparkSession, root: str, run: str, after: int | None = None, counts: dict[str, int] | None = None) -> int:
+def publish(spark: SparkSession, root: str, run: str, after: int | None = None, counts: dict[str, int] | None = None,
+            stored: dict[str, list[str]] | None = None) -> int:
     """Switch readers of ``root`` to the finished run folder; returns its version.
 
     ``after`` is the version that the publisher started from (default: the newest one): when another publisher has
@@ -43,5 +44,5 @@ def publish(spark: SparkSession, root: str, run: str, after: int | None = None,
     """
     log = CommitLog(spark, root)
     version = (log.last() if after is None else after) + 1
-    log.create(version, {"run": run, "counts": counts or {}})
+    log.create(version, {"run": run, "counts": counts or {}, "stored": stored or {}})
     return version

@@ -3,10 +3,10 @@
     python -m fieldlens.plans.refresh --landing <root> --out <root> [--as-of YYYY-MM-DD]
 
 ``<landing>/<feed>/`` holds the drop folders of each of the nine feeds. Each
-run ingests only files not seen before (checkpointed bronze streams), then
-fully refreshes the silver and gold tables from the whole bronze tables,
-extracts only notes whose hash is not yet in the extraction cache, and
-publishes tables and the keyed serving snapshot once they are complete. Every output lives under ``<out>``,
+run ingests only files not seen before (checkpointed bronze streams), extracts
+and adds up only the notes of new batches (:mod:`.states`; a note whose text is in
+the extraction cache isn't sent to the extractor again), rebuilds the other silver
+tables and the gold tables, and publishes tables and the keyed serving snapshot once they are complete. Every output lives under ``<out>``,
 which on a cluster is shared storage.
 """
 
@@ -17,13 +17,17 @@ import datetime as dt
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
+from ..functions.common import path_has_files
+from ..operators import extract as X
 from ..operators import serving as SV
-from ..sources.feeds import FEEDS
+from ..sources.feeds import BATCH_COLUMN, FEEDS
 from ..streaming import bronze as B
 from . import publish as PB
 from .catalog import Lakehouse
+from .states import NoteStates
 
 
 def _join(root: str, *parts: str) -> str:
@@ -40,12 +44,30 @@ def ingest_all(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
     return paths
 
 
+def store_new_notes(spark: SparkSession, notes: str, out: str, extractor=None) -> NoteStates | None:
+    """Extract and add up the batches of notes that the store under ``out`` doesn't have; None before the first note."""
+    store = NoteStates(spark, _join(out, "note_states"))
+    if not path_has_files(spark, notes):
+        return None
+    rows = B.read_bronze(spark, "msl_interactions", notes)
+    newest = rows.agg(F.max(BATCH_COLUMN)).first()[0]
+    if newest is None:
+        return None
+    cache = _join(out, "extract_cache")
+    store.update(newest, lambda after: X.extract_incremental(spark, rows.where(F.col(BATCH_COLUMN) > after), cache, extractor))
+    return store
+
+
 def run_refresh(spark: SparkSession, landing: str, out: str, settings: Settings = DEFAULT,
                 extractor=None) -> dict[str, str]:
     bronze = ingest_all(spark, landing, out)
-    lh = Lakehouse(spark, None, settings, extractor=extractor, bronze_paths=bronze,
-                   extract_cache=_join(out, "extract_cache"))
-    written = lh.refresh(_join(out, "tables"))
+    lh = Lakehouse(spark, None, settings, extractor=extractor, bronze_paths=bronze)
+    store = store_new_notes(spark, bronze["msl_interactions"], out, extractor)
+    stored = {}
+    if store:
+        lh.replace("note_rollup", store.rollup(settings))
+        stored["silver_extracted"] = store.folders("extracted")
+    written = lh.refresh(_join(out, "tables"), stored=stored)
     queue = SV.action_queue(lh.table("next_best_engagement"))
     SV.publish_snapshot(queue, _join(out, "serving", "msl_action_queue"))
     now = PB.current(spark, _join(out, "serving", "msl_action_queue"))
@@ -60,8 +82,6 @@ def land_bound_feeds(spark: SparkSession, sf_dir: str, landing: str, wave: str,
     ``wave="older"`` lands only the superseded HCP versions; ``wave="current"``
     lands everything else, so the newest-version rule sees two ingest times.
     """
-    from pyspark.sql import functions as F
-
     from ..sources.tables import StarTables
     from ..sources.testbind import HCP_CURRENT_TS, bind_feed
 

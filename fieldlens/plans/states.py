@@ -84,12 +84,12 @@ class NoteStates:
 
     def extracted(self) -> DataFrame:
         """All extracted rows, as stored."""
-        return self.spark.read.parquet(*self._folders("extracted"))
+        return self.spark.read.parquet(*self.folders("extracted"))
 
     def states(self) -> DataFrame:
-        return self.spark.read.parquet(*self._folders("states"))
+        return self.spark.read.parquet(*self.folders("states"))
 
-    def _folders(self, kind: str) -> list[str]:
+    def folders(self, kind: str) -> list[str]:
         entry = self.log.entry()
         if not entry:
             raise ValueError(f"no notes are stored under {self.log.root}")

@@ -31,6 +31,36 @@ def test_refresh_matches_batch_tables(spark, tmp_dir):
     cache = spark.read.parquet(f"{out}/extract_cache")
     assert cache.count() == cache.select("note_hash").distinct().count()
     assert cache.count() == batch.table("silver_extracted").select("raw_notes").distinct().count()
+    extracted = published(spark, f"{out}/tables", "silver_extracted")
+    assert _rows(extracted) == _rows(batch.table("silver_extracted").select(*extracted.columns))
+
+
+def test_a_second_wave_of_notes_is_added_to_the_stored_states(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from fieldlens.plans.states import NoteStates
+    from fieldlens.streaming import bronze as B
+
+    landing, out = f"{tmp_dir}/landing", f"{tmp_dir}/out"
+    batch = Lakehouse(spark, SF)
+    notes = batch.table("bronze_msl_interactions")
+    for feed in ("hcp_master", "medical_inquiries"):
+        B.drop_files(batch.table(f"bronze_{feed}"), f"{landing}/{feed}/d0")
+    for feed in ("congress_events", "digital_engagement", "publications_trials", "patient_claims_summary", "approved_content", "content_shared"):
+        os.makedirs(f"{landing}/{feed}/d0")
+    half = F.crc32(F.col("interaction_id").cast("binary")) % 2 == 0
+    for i, wave in enumerate([half, ~half]):
+        B.drop_files(notes.where(wave), f"{landing}/msl_interactions/d{i}")
+        written = run_refresh(spark, landing, out)
+    store = NoteStates(spark, f"{out}/note_states")
+    assert store.log.last() == 2 and len(store.folders("extracted")) == 2
+    assert [spark.read.parquet(f).count() for f in store.folders("extracted")] == [notes.where(half).count(), notes.where(~half).count()]
+    got = spark.read.parquet(written["interaction_summary"])
+    assert _rows(got) == _rows(batch.table("interaction_summary").select(*got.columns))
+    run_refresh(spark, landing, out)   # nothing arrived
+    assert store.log.last() == 2
 
 
 def test_refresh_levels_respect_dependencies(spark):
