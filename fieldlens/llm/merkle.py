@@ -248,14 +248,16 @@ def hand_down(blocks: DataFrame, above: DataFrame, extra: list[str]) -> DataFram
     return joined.mapInArrow(run, ", ".join(out))
 
 
-def _paths(stages: list[DataFrame], tops: DataFrame, folder: str, extra: list[str]) -> DataFrame:
-    """Paths of the leaves of the lowest stage; ``tops`` (grp, above, subroot or null) are the paths of the groups' roots."""
-    spark = tops.sparkSession
+def _paths(stages: list[DataFrame], tops: DataFrame | None, folder: str, extra: list[str]) -> DataFrame:
+    """Paths of the leaves of the lowest stage; ``tops`` (grp, above, subroot) are the paths of the groups' roots, none for a lone tree."""
+    spark = stages[0].sparkSession
     handed = None
     for i in reversed(range(len(stages))):
         ended = stages[i].where(F.col("total") <= BLOCK).select("grp", "block", "root")
-        above = ended.join(tops.withColumnRenamed("grp", "g"), F.col("grp").eqNullSafe(F.col("g"))).select(
-            "grp", "block", "above", F.coalesce("subroot", "root").alias("subroot"))
+        if tops is None:
+            above = ended.select("grp", "block", F.lit(b"").alias("above"), F.col("root").alias("subroot"))
+        else:
+            above = ended.join(tops.withColumnRenamed("grp", "g"), F.col("grp").eqNullSafe(F.col("g"))).select("grp", "block", "above", "subroot")
         if handed is not None:
             above = above.unionByName(handed.select("grp", F.col("at").alias("block"), F.col("path").alias("above"), "subroot"))
         with small_batches(spark, ROWS):
@@ -264,10 +266,9 @@ def _paths(stages: list[DataFrame], tops: DataFrame, folder: str, extra: list[st
     return handed
 
 
-def proofs(m: Manifest, spark: SparkSession, carry: list[str] | None = None) -> DataFrame:
+def proofs(m: Manifest, carry: list[str] | None = None) -> DataFrame:
     """grp, id, at, digest, path up to the dataset's root, subroot and carried columns of every leaf."""
-    start = spark.range(1).select(F.lit(0).alias("grp"), F.lit(b"").alias("above"), F.lit(None).cast("binary").alias("subroot"))
-    tops = _paths(m.top, start, f"{m.folder}/top-paths", ["id"])
+    tops = _paths(m.top, None, f"{m.folder}/top-paths", ["id"])
     tops = tops.select(F.col("id").alias("grp"), F.col("path").alias("above"), F.col("digest").alias("subroot"))
     return _paths(m.groups, tops, f"{m.folder}/paths", ["id", *(carry or [])])
 
@@ -298,7 +299,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = docs.select(lang.alias("grp"), doc_id.alias("id"), leaf_digest(doc_id, source, lang, n_chars, text).alias("digest"),
                          F.when(tampered, leaf_digest(doc_id, source, lang, n_chars + 1, text)).alias("claim"))
     m = build(leaves, shared_folder(spark, "merkle"), ["claim"])
-    found = check_proofs(proofs(m, spark, ["claim"]), "claim")
+    found = check_proofs(proofs(m, ["claim"]), "claim")
     hexed = lambda c: F.lower(F.hex(c))
     root = F.lit(m.root.hex() if m.root else None).cast("string")
     return found.select(F.col("id").alias("doc_id"), hexed("digest").alias("leaf"), hexed("subroot").alias("subroot"), root.alias("root"),
