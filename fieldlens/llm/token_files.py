@@ -54,7 +54,10 @@ from .text import read_table, shared_folder, whole
 
 FRAME_IDS = 1 << 16
 END_ID = 0
-MEMO = 600_000  # pieces a worker remembers
+MEMO_BYTES = 200 << 20  # what a worker remembers of pieces and their ids
+MEMO_CHARS = 64         # longer pieces aren't remembered
+ENTRY_BYTES = 220       # of a piece with its ids: two objects and their place
+WORDS_AT_ONCE = 256     # of words in one text for the library
 BATCH_CHARS = 2_000_000
 BATCH_ROWS = 512  # texts handed to Python at once
 SKIP_DIRECTORY, SKIP_SEEK, SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -66,6 +69,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 # Outside plain white space, ASCII, Latin letters and common punctuation two regex engines may differ: left to the library.
 ODD = re.compile("[^\t-\r -~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf-\u024f]")
+SPACE = "\u0120"  # how byte-level tokenizers write a space
 GAPS = re.compile(r" \s|\s ")
 
 
@@ -82,6 +86,8 @@ class Encoder:
     def __init__(self, path: str, plain_special: bool = True) -> None:
         import os
 
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -94,7 +100,11 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                          and spec.get("normalizer") is None and spec.get("post_processor") is None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)   # tokens that begin with a space
+        self.begins[[i for t, i in vocabulary.items() if t[0] == SPACE]] = True
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
         from array import array
@@ -105,18 +115,71 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         easy = [self.by_piece and not _gaps(t) and not ODD.search(t) and not (self.added and self.added.search(t)) for t in texts]
-        split = [t.replace(" ", "\0 ").split("\0") if e else [] for t, e in zip(texts, easy)]  # \0 is odd, so not in t
-        if len(self.known) > MEMO:  # the shorter half stays: short pieces come again most
-            middle = sorted(map(len, self.known))[MEMO // 2]
-            self.known = {p: ids for p, ids in self.known.items() if len(p) < middle}
-        known = self.known
-        new = [p for p in set().union(*split) if p not in known]
-        cut = {p: WORDS.findall(p) for p in new}
-        unknown = [w for w in set().union(*cut.values()) if w not in known]
-        known.update(zip(unknown, self._library(unknown)))
-        known.update([(p, b"".join(map(known.__getitem__, ws))) for p, ws in cut.items() if len(ws) != 1])
+        known, split, found, gaps = self.known, [], [], []
+        for t, e in zip(texts, easy):  # one look-up a piece; what is missing is filled in below
+            pieces = t.replace(" ", "\0 ").split("\0") if e else []  # \0 is odd, so not in t
+            ids = list(map(known.get, pieces))
+            split.append(pieces)
+            found.append(ids)
+            gaps.append([i for i, x in enumerate(ids) if x is None] if None in ids else [])
+        new = {pieces[i] for pieces, where in zip(split, gaps) for i in where}
+        made = self._pieces(new)
         hard = iter(self._library([t for t, e in zip(texts, easy) if not e]))
-        return [b"".join(map(known.__getitem__, s)) if e else next(hard) for s, e in zip(split, easy)]
+        for pieces, ids, where in zip(split, found, gaps):
+            for i in where:
+                ids[i] = made[pieces[i]]
+        out = [b"".join(ids) if e else next(hard) for ids, e in zip(found, easy)]
+        if self.held > MEMO_BYTES:
+            self._forget()
+        return out
+
+    def _pieces(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that aren't remembered; they and their words are from now on."""
+        known, cut, words = self.known, [], {}
+        for p in new:
+            ws = WORDS.findall(p)
+            if len(ws) == 1:
+                words[p] = None
+            else:
+                cut.append((p, ws))
+                for w in ws:
+                    words[w] = known.get(w)
+        unknown = [w for w, ids in words.items() if ids is None]
+        words.update(zip(unknown, self._words(unknown)))
+        made = [(p, b"".join([words[w] for w in ws])) for p, ws in cut]
+        words.update(made)
+        short = words if max(map(len, words), default=0) <= MEMO_CHARS else {p: ids for p, ids in words.items() if len(p) <= MEMO_CHARS}
+        before = len(known)
+        known.update(short)
+        self.held += (len(known) - before) * ENTRY_BYTES
+        return words
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of single words. Those that begin with a space are handed on many at a time: their first tokens tell them apart."""
+        import numpy as np
+
+        spaced = [w for w in words if w[0] == " " and len(w) > 1]
+        found: dict[str, bytes] = {}
+        for low in range(0, len(spaced), WORDS_AT_ONCE):
+            some = spaced[low:low + WORDS_AT_ONCE]
+            data = self._library(["".join(some)])[0]
+            begins = (np.flatnonzero(self.begins[np.frombuffer(data, np.uint32)]) * 4).tolist()
+            if len(begins) != len(some):
+                raise ValueError("words and tokens that begin with a space differ in number")
+            found.update(zip(some, map(data.__getitem__, map(slice, begins, [*begins[1:], len(data)]))))
+        other = [w for w in words if w not in found]
+        found.update(zip(other, self._library(other)))
+        return [found[w] for w in words]
+
+    def _forget(self) -> None:
+        """Half of the memory is freed; the shorter pieces stay, which come again most."""
+        kept, left = {}, MEMO_BYTES // 2
+        for p in sorted(self.known, key=len):
+            left -= ENTRY_BYTES
+            if left < 0:
+                break
+            kept[p] = self.known[p]
+        self.known, self.held = kept, len(kept) * ENTRY_BYTES
 
 
 def _encoder(path: str, plain_special: bool) -> Encoder:
