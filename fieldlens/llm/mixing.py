@@ -256,17 +256,19 @@ def draw(rows: DataFrame, mix: Mix, folder: str) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id", source: str = "source",
                     text: str = "text") -> DataFrame:
-    """The mix: each row of ``docs`` as often as it is drawn, with ``shard`` and ``shard_order``."""
+    """The mix: each row of ``docs`` as often as it is drawn, with ``shard`` and ``shard_order`` (in place of input columns of these names)."""
     folder = shared_folder(docs.sparkSession, "mix")
-    rows = numbered(docs, docs.columns, source, doc_id, text, f"{folder}/rows")
-    drawn = draw(rows, mix, folder).where("draws > 0").select(F.col("__row").alias("d_row"), F.posexplode("shards").alias("turn", "shard"))
-    place = F.xxhash64(F.lit(mix.seed), "shard", "__id", "__row", "turn").alias("shard_order")
-    return rows.join(drawn, F.col("__row") == F.col("d_row")).select(*docs.columns, "shard", place)
+    kept = [c for c in docs.columns if c not in ("shard", "shard_order") or c in (source, text, doc_id)]
+    rows = numbered(docs, kept, source, doc_id, text, f"{folder}/rows")
+    drawn = draw(rows, mix, folder).where("draws > 0").select(F.col("__row").alias("__drawn"), F.posexplode("shards").alias("__turn", "__shard"))
+    place = F.xxhash64(F.lit(mix.seed), "__shard", "__id", "__row", "__turn").alias("shard_order")
+    return rows.join(drawn, F.col("__row") == F.col("__drawn")).select(
+        *[c for c in kept if c not in ("shard", "shard_order")], F.col("__shard").alias("shard"), place)
 
 
 def local_shuffle(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows clustered by output shard and shuffled inside each, ready for ``write.partitionBy('shard')``."""
-    return mixed.repartition("shard", F.pmod("shard_order", F.lit(8))).sortWithinPartitions("shard", "shard_order").select(*columns, "shard")
+    """Rows clustered by output shard and shuffled inside each, ready for ``write.partitionBy('shard')`` when ``columns`` has it."""
+    return mixed.repartition("shard", F.pmod("shard_order", F.lit(8))).sortWithinPartitions("shard", "shard_order").select(*columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,9 +26,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import let, read_table, whole
+from .text import let, read_table, running, whole
 
 KINDS = ["assign", "access", "hex", "markov"]
+MARKOV = 3
 # The patterns of the base kinds.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # A run that is too short fails as a whole wherever a match begins in it, so its least length may stand in the pattern.
@@ -55,8 +56,9 @@ def samples(docs: DataFrame, training: Training = Training(), doc_id: str = "doc
     """(sample, label): matched secrets of at most ``random_rows`` texts, words and plain numbers of at most ``word_rows`` texts."""
     t = whole(F.col(text))
     rows = docs.select(F.xxhash64(F.col(doc_id), t).alias("h"), t.alias("t"))
-    found = _smallest(rows.where(F.col("t").contains("AKIA") | F.col("t").rlike(HEX)), training.random_rows)
-    secret = F.concat(F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))
+    found = _smallest(rows.where(F.col("t").contains("AKIA") | F.col("t").rlike(HEX) | F.col("t").rlike(ASSIGN)), training.random_rows)
+    values = F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), lambda v: F.char_length(v) >= MIN_VALUE)
+    secret = F.concat(F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)), values)
     plain = _smallest(rows, training.word_rows)
     ordinary = F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_.=-])(?:[A-Za-z]{2,}|[0-9]{2,})(?![A-Za-z0-9+/_=-])"), F.lit(0))
     return (found.select(F.explode_outer(secret).alias("sample"), F.lit(1).alias("label"))
@@ -102,26 +104,39 @@ def score(sample: Column, model: list[float]) -> Column:
 def places(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """Spans of the leftmost non-overlapping matches; ``keep`` tells from (match, number) which stay.
 
-    The pieces between matches, from a split by the same pattern, give the places.
+    The pieces between matches, from a split by the same pattern, give the places: a match ends behind the running sum
+    of the lengths of pieces and matches up to it.
     """
-    def spans(x: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+    def spans(matches: Column, ends: Column) -> Column:
+        found = F.transform(ends, lambda end, i: F.struct((end - F.char_length(F.get(matches, i))).alias("start"), F.lit(kind).alias("kind"), end.alias("stop")))
+        return found if keep is None else F.filter(found, lambda m, i: keep(i, F.get(matches, i)))
 
-        def step(acc: Column, m: Column) -> Column:
-            at = acc["at"] + F.char_length(m["piece"])
-            end = at + F.char_length(m["match"])
-            span = F.array(F.struct(at.alias("start"), F.lit(kind).alias("kind"), end.alias("stop")))
-            grown = F.concat(acc["out"], span) if keep is None else F.when(m["ok"], F.concat(acc["out"], span)).otherwise(acc["out"])
-            return F.struct(end.alias("at"), grown.alias("out"))
+    def summed(matches: Column) -> Column:
+        lengths = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)), matches, lambda p, m: F.char_length(p) + F.char_length(m))
+        return let(let(lengths, lambda x: running(x, lambda a, n: a + n, F.lit(0))), lambda ends: spans(matches, ends))
 
-        return F.aggregate(x, start, step, lambda a: a["out"])
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), summed)).otherwise(F.array().cast(SPANS))
 
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    ok = (lambda i, m: F.lit(True)) if keep is None else keep
-    rows = let(pieces, lambda p: F.transform(matches, lambda m, i: F.struct(
-        F.get(p, i).alias("piece"), m.alias("match"), ok(i, m).alias("ok"))))
-    return F.when(text.rlike(pattern), let(rows, spans)).otherwise(F.array().cast(SPANS))
+
+def apart(spans: Column, base: Column) -> Column:
+    """The spans that overlap none of ``base``; both sorted by start.
+
+    In one sorted list, a span overlaps a base span before it when the greatest stop so far lies behind its start, and
+    one after it when the next base span begins before its stop.
+    """
+    far = F.lit(2**31 - 1)
+    is_base = lambda m: m["kind"] != MARKOV
+
+    def clear(merged: Column) -> Column:
+        stops = F.transform(merged, lambda m: F.when(is_base(m), m["stop"]).otherwise(F.lit(0)))
+        starts = F.transform(F.reverse(merged), lambda m: F.when(is_base(m), m["start"]).otherwise(far))
+        before = let(stops, lambda x: running(x, lambda a, b: F.greatest(a, b), F.lit(0)))
+        after = let(starts, lambda x: running(x, lambda a, b: F.least(a, b), far))
+        return let(before, lambda most: let(after, lambda least: F.filter(merged, lambda m, i: ~is_base(m) & (
+            F.get(most, i) <= m["start"]) & (F.get(least, F.size(least) - 1 - i) >= m["stop"]))))
+
+    both = F.sort_array(F.concat(spans, base))
+    return F.when((F.size(spans) == 0) | (F.size(base) == 0), spans).otherwise(let(both, clear))
 
 
 def scan(docs: DataFrame, model: list[float], threshold: float = Training.threshold, text: str = "text") -> DataFrame:
@@ -129,15 +144,16 @@ def scan(docs: DataFrame, model: list[float], threshold: float = Training.thresh
     t = whole(F.col(text))
     kept = [c for c in docs.columns if c not in (text, "spans")]
     values = F.regexp_extract_all(F.col("__t"), F.lit(ASSIGN), F.lit(2))
-    long_value = lambda i, m: F.char_length(F.get(values, i)) >= MIN_VALUE
+    # Bound once: inside the test of each match the values would be searched again for each.
+    assigned = let(values, lambda v: places(F.col("__t"), ASSIGN, 0, lambda i, m: F.char_length(F.get(v, i)) >= MIN_VALUE))
     base = docs.select(*[F.col(c) for c in kept], t.alias("__t"))
     base = base.select(*kept, "__t", F.sort_array(F.concat(
-        places(F.col("__t"), ASSIGN, 0, long_value),
+        assigned,
         F.when(F.col("__t").contains("AKIA"), places(F.col("__t"), ACCESS, 1)).otherwise(F.array().cast(SPANS)),
         places(F.col("__t"), HEX, 2))).alias("__base"))
-    random = places(F.col("__t"), CANDIDATE, 3, lambda i, m: score(m, model) > threshold)
-    apart = F.filter(random, lambda r: ~F.exists("__base", lambda b: (b["start"] < r["stop"]) & (r["start"] < b["stop"])))
-    return base.select(*kept, F.sort_array(F.concat("__base", apart)).alias("spans"))
+    random = places(F.col("__t"), CANDIDATE, MARKOV, lambda i, m: score(m, model) > threshold)
+    found = let(random, lambda r: apart(r, F.col("__base")))
+    return base.select(*kept, F.sort_array(F.concat("__base", found)).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

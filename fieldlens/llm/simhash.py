@@ -67,8 +67,8 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (default: all) and ``fp``, the fingerprint as a signed long, of every row."""
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, keep: list[str] | None = None, name: str = "fp") -> DataFrame:
+    """Columns ``keep`` (default: all) and ``name``, the fingerprint as a signed long, of every row."""
     import pyarrow as pa
 
     keep = docs.columns if keep is None else keep
@@ -77,9 +77,9 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [_signed(fingerprint(t.as_py(), shingle)) for t in b.column("__text")]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(fps, pa.int64())], names=[*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(fps, pa.int64())], names=[*keep, name])
 
-    return rows.mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + [T.StructField("fp", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.LongType())]))
 
 
 # ------------------------------------------------------------------ partitions and thresholds
@@ -271,13 +271,14 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "simhash")
-    numbered = fingerprints(docs, text, shingle).withColumn("__row", F.monotonically_increasing_id())
+    numbered = fingerprints(docs, text, shingle, name="__fp").withColumn("__row", F.monotonically_increasing_id())
     numbered.write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
-    order = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
-    groups = _grouped(spark, rows.select("fp", doc_id, "__row"), folder, max_bits, order)
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    slim = rows.select(F.col("__fp").alias("fp"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
+    groups = _grouped(spark, slim, folder, max_bits, order)
     stay = groups.select(F.col("best.row").alias("__stay")).distinct()
-    return rows.join(stay, F.col("__row") == F.col("__stay"), "left_semi").drop("__row", "fp")
+    return rows.join(stay, F.col("__row") == F.col("__stay"), "left_semi").drop("__row", "__fp")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

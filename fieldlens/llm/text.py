@@ -70,6 +70,30 @@ def _joined(a: Column, b: Column, gap: int) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(gap + 1), n), lambda x, y: F.xxhash64(x, y))
 
 
+def running(x: Column, combine, zero: Column, levels: int = 3, block: int = 128) -> Column:
+    """combine(... combine(zero, x[0]) ..., x[i]) for every i, for an associative ``combine`` with neutral ``zero``.
+
+    Growing an array copies it, so long arrays are scanned in blocks, whose totals are scanned the same way: the
+    work is ``block`` steps an element at most, for up to block^levels elements.
+    """
+    def scan(a: Column, start: Column) -> Column:
+        return F.aggregate(a, F.struct(start.alias("now"), F.slice(x, F.lit(1), F.lit(0)).alias("out")),
+                           lambda acc, v: let(combine(acc["now"], v), lambda now: F.struct(now.alias("now"), F.array_append(acc["out"], now).alias("out"))),
+                           lambda acc: acc["out"])
+
+    if levels == 1:
+        return scan(x, zero)
+    last = F.floor((F.size(x) - 1) / block).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(x, b * block + 1, F.lit(block)))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, zero, combine))
+        before = let(totals, lambda t: running(t, combine, zero, levels - 1, block))
+        return let(before, lambda ends: F.flatten(F.transform(parts, lambda part, i: scan(part, F.when(i > 0, F.get(ends, i - 1)).otherwise(zero)))))
+
+    return F.when(F.size(x) <= block, scan(x, zero)).otherwise(let(blocks, joined))
+
+
 def covered(positions: Column, width: int) -> Column:
     """Number of slots covered by runs of ``width`` slots at the given ascending start positions."""
     return F.when(F.size(positions) > 0, F.aggregate(

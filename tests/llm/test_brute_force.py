@@ -295,6 +295,49 @@ def test_secret_spans(spark, docs):
     assert "markov" in got[7] and got[8] == ""
 
 
+def test_secret_scan_is_linear_in_matches(spark, docs):
+    import time
+
+    line = "password: abcdefgh q8Zr2VxT0bLw7NfKj3Yp 24be64439e3e49cf46b2d7c90f3602a3\n"
+    model = secrets.train(secrets.samples(table(spark, "documents", "0.01")))
+    took = {}
+    for n in (1000, 1000, 30_000):   # the first run compiles
+        rows = [(1, line * n, "en", "a", 0)]
+        began = time.time()
+        spans = secrets.scan(docs(rows), model).first()["spans"]
+        took[n] = time.time() - began
+        assert len(spans) == 3 * n and [s["start"] for s in spans[:4]] == [0, 19, 40, 73]
+        assert spans[-1]["stop"] == len(line) * n - 1
+    assert took[30_000] < 10 * took[1000] + 10   # 30 times the matches; quadratic work would be 900 times
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000, 20_000])
+def test_running_sums_in_blocks(spark, n):
+    import itertools
+
+    from fieldlens.llm.text import running
+
+    values = [(7 * i) % 23 - 5 for i in range(n)]
+    frame = spark.createDataFrame([(values,)], "x array<int>")
+    got = frame.select(running(F.col("x"), lambda a, b: a + b, F.lit(0)), running(F.col("x"), lambda a, b: F.greatest(a, b), F.lit(-99))).first()
+    assert got[0] == list(itertools.accumulate(values)) and got[1] == list(itertools.accumulate(values, max))
+
+
+def test_spans_apart_from_base_spans(spark):
+    import random
+
+    rng = random.Random(2)
+    for _ in range(6):
+        base = sorted((a, rng.randint(0, 2), a + rng.randint(1, 30)) for a in (rng.randint(0, 2000) for _ in range(rng.choice([0, 3, 60]))))
+        spans, at = [], 0
+        while at < 2000:
+            spans.append((at, 3, at + rng.randint(1, 9)))
+            at = spans[-1][2] + rng.randint(0, 9)
+        row = spark.createDataFrame([(spans, base)], f"s {secrets.SPANS}, b {secrets.SPANS}")
+        got = row.select(secrets.apart(F.col("s"), F.col("b"))).first()[0]
+        assert [tuple(g) for g in got] == [s for s in spans if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+
+
 def test_secret_model_on_held_out_strings(spark):
     import base64
     import random
@@ -388,6 +431,45 @@ def test_clashing_columns_are_kept_out(spark, docs):
     assert token_files.round_trip(spark, frame).count() == frame.count()
 
 
+STAGE_NAMES = ["shard", "shard_order", "turn", "d_row", "fp", "draws", "size", "s", "q", "r", "idx", "block", "state", "part", "best", "node", "root",
+               "no_id", "row", "h", "hits", "bits", "words", "n_words", "fail_bits", "id", "u", "v"]
+
+
+def test_clashing_columns_in_the_stages(spark, docs):
+    rows = [r for r in edge_rows() if r[0] != 4] + near_copies(6)
+    plain = docs(rows)
+    frame = plain.withColumns({c: F.lit("clash") for c in STAGE_NAMES})
+    group = simhash.one_per_group(frame)
+    assert group.columns == frame.columns and group.count() == simhash.one_per_group(plain).count()
+    mixed = mixing.mixed_documents(frame)
+    assert len(set(mixed.columns)) == len(mixed.columns) == len(frame.columns)
+    own = lambda m: sorted(map(repr, m.select("doc_id", "text", "shard").collect()))
+    assert own(mixed) == own(mixing.mixed_documents(plain))
+    shuffled = mixing.local_shuffle(mixed, [*plain.columns, "shard"])
+    assert own(shuffled) == own(mixed) and shuffled.columns[:5] == plain.columns
+    grams = decontaminate.ngrams(spark.createDataFrame([(1, "null id text")], "item_id long, text string"))
+    assert decontaminate.remove_documents(frame, grams).columns == frame.columns
+    import corpus_pipeline as P
+
+    for name, stage in P.STAGES[:4]:
+        assert stage(spark, frame, SF).columns == plain.columns, name
+    assert P.STAGES[4][1](spark, frame, SF).count() == frame.count()
+
+
+def test_clashing_columns_in_licenses_archives_and_chat(spark, docs, tmp_dir):
+    from fieldlens.llm import licenses
+
+    names = ["n_words", "labels", "score", "block", "hits", "first_word", "base", "at", "words", "w", "t", "rank"]
+    frame = docs(edge_rows()).withColumns({c: F.lit("clash") for c in names})
+    assert licenses.scan(frame).count() == frame.count()
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "x" * (900 + 200 * (i % 2))) for i in range(9)], "page_id long, url string, html string")
+    pages = pages.withColumns({c: F.lit("clash") for c in ["digest", "payload", "offset", "length", "key", "n", "file", "refers_to", "part"]})
+    assert warc.write_archives(pages, f"{tmp_dir}/a").count() == 9
+    turns = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "y")], "conv_id long, turn long, role string, text string")
+    turns = turns.withColumns({c: F.lit("clash") for c in ["t", "turns", "formatted", "loss"]}).withColumn("parts", chat.text_parts(F.col("text")))
+    assert chat.read_back(chat.format_conversations(chat.conversations(turns))).count() == 1
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as P
 
