@@ -36,10 +36,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, each as often as the mix draws it."""
+    """Whole documents, each as often as the mix draws it, by output shard and shuffled inside each."""
     from fieldlens.llm import mixing as mix
 
-    return mix.mixed_documents(docs).select(*COLUMNS)
+    return mix.local_shuffle(mix.mixed_documents(docs), COLUMNS)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
