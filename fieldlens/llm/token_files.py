@@ -69,6 +69,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 # Outside plain white space, ASCII, Latin letters and common punctuation two regex engines may differ: left to the library.
 ODD = re.compile("[^\t-\r -~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf-\u024f]")
+FIRST = "\0"  # marks what has no space before it; an odd character, so in no piece
+MARKS = frozenset(",.;:!?")
 SPACE = "\u0120"  # how byte-level tokenizers write a space
 GAPS = re.compile(r" \s|\s ")
 
@@ -117,7 +119,9 @@ class Encoder:
         easy = [self.by_piece and not _gaps(t) and not ODD.search(t) and not (self.added and self.added.search(t)) for t in texts]
         known, split, found, gaps = self.known, [], [], []
         for t, e in zip(texts, easy):  # one look-up a piece; what is missing is filled in below
-            pieces = t.replace(" ", "\0 ").split("\0") if e else []  # \0 is odd, so not in t
+            pieces = t.split(" ") if e else []
+            if pieces:
+                pieces[0] = FIRST + pieces[0]
             ids = list(map(known.get, pieces))
             split.append(pieces)
             found.append(ids)
@@ -134,10 +138,20 @@ class Encoder:
         return out
 
     def _pieces(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of pieces that aren't remembered; they and their words are from now on."""
+        """The ids of pieces that aren't remembered; they and their words are from now on.
+
+        A piece or word stands for itself behind a space; one without a space before it has FIRST there.
+        """
         known, cut, words = self.known, [], {}
         for p in new:
-            ws = WORDS.findall(p)
+            body, mark = p[:-1], p[-1:]
+            if p.isalpha():   # the usual pieces: a word, and a word with a mark
+                words[p] = None
+                continue
+            if mark in MARKS and body.isalpha():
+                ws = [body, FIRST + mark]
+            else:
+                ws = [w[1:] if w[0] == " " else FIRST + w for w in WORDS.findall(p[1:] if p[:1] == FIRST else " " + p)]
             if len(ws) == 1:
                 words[p] = None
             else:
@@ -158,17 +172,17 @@ class Encoder:
         """The ids of single words. Those that begin with a space are handed on many at a time: their first tokens tell them apart."""
         import numpy as np
 
-        spaced = [w for w in words if w[0] == " " and len(w) > 1]
+        spaced = [w for w in words if w and w[0] != FIRST]
         found: dict[str, bytes] = {}
         for low in range(0, len(spaced), WORDS_AT_ONCE):
             some = spaced[low:low + WORDS_AT_ONCE]
-            data = self._library(["".join(some)])[0]
+            data = self._library([" " + " ".join(some)])[0]
             begins = (np.flatnonzero(self.begins[np.frombuffer(data, np.uint32)]) * 4).tolist()
             if len(begins) != len(some):
                 raise ValueError("words and tokens that begin with a space differ in number")
             found.update(zip(some, map(data.__getitem__, map(slice, begins, [*begins[1:], len(data)]))))
         other = [w for w in words if w not in found]
-        found.update(zip(other, self._library(other)))
+        found.update(zip(other, self._library([w[1:] if w else " " for w in other])))
         return [found[w] for w in words]
 
     def _forget(self) -> None:
