@@ -33,23 +33,55 @@ def action_queue(next_best: DataFrame) -> DataFrame:
     return next_best.select(*QUEUE_COLUMNS)
 
 
-def publish_snapshot(queue: DataFrame, root: str, key: str = "hcp_id") -> DataFrame:
+ROWS_PER_FILE = 200_000
+ROW_GROUP_BYTES = 4 << 20
+
+
+def publish_snapshot(queue: DataFrame, root: str, key: str = "hcp_id", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """K3: write the queue to a new folder under ``root``, check the key, then switch readers to it.
 
     The check reads the written files (not the lineage). When it fails nothing
-    is published and the former snapshot stays served.
+    is published and the former snapshot stays served. The served files are sorted
+    by the key, have a Bloom filter of it per row group, and a directory of each
+    file's least and greatest key, so :func:`lookup` opens only files that can hold a key.
     """
     spark = queue.sparkSession
     run = PB.new_run(root)
     before = PB.current(spark, root)
-    queue.write.parquet(run)
-    dupes = spark.read.parquet(run).groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    if dupes:
-        raise ValueError(f"snapshot key {key!r} is not unique in {run}")
+    queue.write.parquet(f"{run}-staged")
+    staged = spark.read.parquet(f"{run}-staged")
+    rows, keys = staged.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    if staged.where(F.col(key).isNull()).limit(1).count() or rows != keys:
+        raise ValueError(f"snapshot key {key!r} is not unique in {run}-staged")
+    files = max(1, -(-rows // rows_per_file))
+    (staged.repartitionByRange(files, key).sortWithinPartitions(key).write
+        .option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.bloom.filter.expected.ndv#{key}", str(max(1, rows // files)))
+        .option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(run))
+    (spark.read.parquet(run).groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min(key).alias("least"), F.max(key).alias("greatest"), F.count(F.lit(1)).alias("rows")).coalesce(1).write.parquet(f"{run}-directory"))
     PB.publish(spark, root, run, before[0] if before else 0)
     return spark.read.parquet(run)
 
 
+def lookup(spark: SparkSession, root: str, keys: list[str], key: str = "hcp_id") -> DataFrame:
+    """The served rows of some keys (A2, A6, A9, A11): only files whose range holds one of them are opened.
+
+    In those files the key filter is pushed down to the row groups' statistics and Bloom filters.
+    """
+    now = PB.current(spark, root)
+    if now is None:
+        raise ValueError(f"nothing is published under {root}")
+    wanted = sorted(set(keys))
+    some = F.lit(False)
+    for k in wanted:
+        some = some | F.lit(k).between(F.col("least"), F.col("greatest"))
+    files = [r["file"] for r in spark.read.parquet(f"{now[1]}-directory").where(some).select("file").collect()]
+    served = spark.read.parquet(now[1])
+    if not files:
+        return served.limit(0)
+    return spark.read.schema(served.schema).parquet(*files).where(F.col(key).isin(wanted))
+
+
 def served_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The snapshot that is published under ``root``."""
     now = PB.current(spark, root)

@@ -302,6 +302,9 @@ for _name, (_body, _deps) in CTES_EXTRA.items():
     CTES[_name] = (_body, _deps)
     table(_name)
 
+sql("queue_lookup", """SELECT * FROM serving_action_queue WHERE hcp_id IN (
+    SELECT hcp_id FROM silver_inquiries WHERE hcp_id IS NOT NULL GROUP BY hcp_id ORDER BY count(*) DESC, hcp_id LIMIT 50)""",
+    ["serving_action_queue", "silver_inquiries"])
 # The queue before and after newer notes and HCP versions arrived.
 _OLDER = {"bronze_hcp_master": f"SELECT * FROM bronze_hcp_master WHERE _ingested_at < {HCP_CURRENT}",
           "bronze_msl_interactions": f"SELECT * FROM bronze_msl_interactions WHERE interaction_date < {AS_OF} - INTERVAL 120 DAY"}

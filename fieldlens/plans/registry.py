@@ -298,8 +298,8 @@ register("masked_hcp_360")(lambda lh: GOV.mask(GOV.classify(lh.table("hcp_360"))
 _SNAPSHOTS: dict[tuple, str] = {}
 
 
-def _queue_snapshot(lh: Lakehouse) -> DataFrame:
-    """The served queue of the tables as they are now: published once for an application and state of the input files."""
+def _queue_root(lh: Lakehouse) -> str:
+    """Where the queue of the tables as they are now is served: published once for an application and state of the input files."""
     from ..session import work_dir
 
     key = (lh.spark.sparkContext.applicationId, lh.sf_dir, lh.inputs)
@@ -307,7 +307,19 @@ def _queue_snapshot(lh: Lakehouse) -> DataFrame:
         root = work_dir(lh.spark, "serving") + "/msl_action_queue"
         SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), root)
         _SNAPSHOTS[key] = root
-    return SV.served_snapshot(lh.spark, _SNAPSHOTS[key])
+    return _SNAPSHOTS[key]
+
+
+def _queue_snapshot(lh: Lakehouse) -> DataFrame:
+    return SV.served_snapshot(lh.spark, _queue_root(lh))
+
+
+@register("queue_lookup")
+def _queue_lookup(lh: Lakehouse) -> DataFrame:
+    """Point reads of the served queue: the HCPs with the most inquiries."""
+    busiest = (lh.table("silver_inquiries").where(F.col("hcp_id").isNotNull()).groupBy("hcp_id").agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.desc("n"), "hcp_id").limit(lh.settings.queue_limit))
+    return SV.lookup(lh.spark, _queue_root(lh), [r["hcp_id"] for r in busiest.collect()])
 
 
 def _before(lh: Lakehouse) -> Lakehouse:

@@ -201,6 +201,25 @@ def test_change_feed_brings_the_old_version_up_to_date(spark):
     assert SV.changes(new, new).count() == 0
 
 
+def test_point_reads_open_only_files_that_can_hold_the_key(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.range(20_000).selectExpr("concat('h', lpad(cast(id * 7 % 20000 as string), 6, '0')) AS hcp_id", "cast(id AS double) AS msl_priority_score")
+    SV.publish_snapshot(rows, f"{tmp_dir}/q", rows_per_file=1000)
+    total = len(SV.served_snapshot(spark, f"{tmp_dir}/q").inputFiles())
+    assert total >= 15
+    found = SV.lookup(spark, f"{tmp_dir}/q", ["h000007", "h000008", "h019999", "h0000075", "none"])
+    assert sorted(r.hcp_id for r in found.collect()) == ["h000007", "h000008", "h019999"]
+    assert len(found.inputFiles()) == 2 and "PushedFilters: [In(hcp_id" in found._jdf.queryExecution().toString()
+    assert SV.lookup(spark, f"{tmp_dir}/q", ["a", "z"]).count() == 0
+    run = PB.current(spark, f"{tmp_dir}/q")[1]
+    for f in glob.glob(f"{run}/*.parquet"):
+        keys = pq.read_table(f, columns=["hcp_id"]).column(0).to_pylist()
+        assert keys == sorted(keys)
+
+
 def test_snapshot_follows_the_input_files(spark, tmp_dir):
     import shutil
 
