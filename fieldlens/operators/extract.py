@@ -216,8 +216,8 @@ def parse_response(clean: Column) -> Column:
     return F.from_json(F.trim(clean), EXTRACTION_SCHEMA)
 
 
-def apply_defaults(df: DataFrame, parsed: str = "j") -> DataFrame:
-    """S9e + S9f: per-field defaults, channel fallback, follow-up date."""
+def apply_defaults(df: DataFrame, parsed: str = "j", more: list[str] | None = None) -> DataFrame:
+    """S9e + S9f: per-field defaults, channel fallback, follow-up date; columns ``more`` are carried."""
     j = lambda f: F.col(f"{parsed}.{f}")
     d = EXTRACTION_DEFAULTS
     return df.select(
@@ -229,7 +229,7 @@ def apply_defaults(df: DataFrame, parsed: str = "j") -> DataFrame:
         F.coalesce(j("evidence_type_requested"), F.lit(d["evidence_type_requested"])).alias("evidence_type_requested"),
         F.when(j("follow_up_requested"), F.date_add(F.col("interaction_date"), DEFAULT.followup_after_days))
         .alias("recommended_follow_up_date"),
-        "raw_notes",
+        "raw_notes", *(more or []),
     )
 
 

@@ -13,6 +13,7 @@ from ..operators import consumers as C
 from ..operators import extract as X
 from ..operators import gold as G
 from ..operators import governance as GOV
+from ..operators import model as M
 from ..operators import serving as SV
 from ..sources.tables import fingerprint
 from .catalog import Lakehouse
@@ -154,6 +155,30 @@ def _extract_incremental(lh: Lakehouse) -> DataFrame:
     return X.extract_incremental(spark, notes, cache_path)
 
 
+# ----------------------------------------------------------------------------- S9b, A15: a model step
+def _store(lh: Lakehouse, name: str) -> M.ResponseStore:
+    from ..session import work_dir
+
+    return M.ResponseStore(lh.spark, work_dir(lh.spark, name))
+
+
+@register("extract_model")
+def _extract_model(lh: Lakehouse) -> DataFrame:
+    """Extraction by calls to a (stand-in) model, each distinct prompt once."""
+    calls = M.ModelCalls(M.template_model, "template-1")
+    table = M.extract_with_model(lh.table("bronze_msl_interactions"), _store(lh, "extract-model"), calls)
+    return table.select("interaction_id", "scientific_topic", "information_need", "sentiment", "interest_level",
+                        "follow_up_requested", "topic_category", "error")
+
+
+@register("briefing_text")
+def _briefing_text(lh: Lakehouse) -> DataFrame:
+    """A briefing per HCP, generated by a (stand-in) model from its prompt."""
+    calls = M.ModelCalls(M.briefing_model, "briefing-1")
+    made = M.generate(C.briefing_prompt(_context(lh)), _store(lh, "briefings"), calls)
+    return made.select("hcp_id", F.col("response").alias("briefing"), "error")
+
+
 # ----------------------------------------------------------------------------- K2: incremental refresh
 def _two_waves(lh: Lakehouse) -> NoteStates:
     """Older notes first, then the newer ones: each wave extracts and adds up its own notes only."""
