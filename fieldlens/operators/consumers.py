@@ -161,8 +161,12 @@ def _latest(df: DataFrame, order: list[Column], n: int, rank_name: str) -> DataF
 
 def app_recent_interactions(extracted: DataFrame, s: Settings) -> DataFrame:
     """A3: five newest notes per HCP."""
-    return _latest(extracted, [F.desc("interaction_date"), F.desc("interaction_id")], s.recent_limit,
-                   "recency_rank").select(
+    return shown_interactions(_latest(extracted, [F.desc("interaction_date"), F.desc("interaction_id")], s.recent_limit, "recency_rank"))
+
+
+def shown_interactions(ranked: DataFrame) -> DataFrame:
+    """The columns of A3 of extracted notes that carry their ``recency_rank``."""
+    return ranked.select(
         "hcp_id", "recency_rank", "interaction_id", "interaction_date", "channel", "msl_name",
         "topic_category", "scientific_topic", "information_need", "sentiment", "interest_level",
         "follow_up_requested", "competitor_mentioned", "evidence_type_requested")
@@ -219,22 +223,27 @@ def rank_catalogue(content: DataFrame) -> DataFrame:
 def recommend_content(top: DataFrame, content: DataFrame, shared: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """A10: newest Approved asset of each HCP's top topic that was not shared with the HCP.
 
-    One pass over the shares: each becomes (topic, rank) by the catalogue, and an
-    HCP's set of them is one aggregate. The answer's rank is the smallest one
-    that the set lacks, so each HCP joins the catalogue once, by (topic, rank),
-    with no HCP x catalogue pairing and no job while the plan is built.
-    ``NOT IN`` semantics are kept: an HCP with a share whose content_id is NULL
-    gets no recommendation. With ``keep``, those columns of ``top`` are carried
-    and HCPs without an answer stay, with NULL content columns.
+    One pass over the shares: each becomes a place in the catalogue, and places in
+    the HCP's top topic count. Distinct places in order have the row numbers 1, 2, ... up
+    to the first gap, so the first free place is one more than the places that equal
+    their row number: a sort per HCP that spills, with no set in memory. Each HCP
+    joins the catalogue once, by (topic, place), with no HCP x catalogue pairing and
+    no job while the plan is built. ``NOT IN`` semantics are kept: an HCP with a share
+    whose content_id is NULL gets no recommendation. With ``keep``, those columns of
+    ``top`` are carried and HCPs without an answer stay, with NULL content columns.
     """
     ranked = rank_catalogue(content)
-    places = ranked.select(F.col("content_id").alias("_c"), F.struct(F.col("topic_category").alias("t"), F.col("cand_rank").alias("r")).alias("_p"))
+    places = ranked.select(F.col("content_id").alias("_c"), F.col("topic_category").alias("_t"), F.col("cand_rank").alias("_r"))
+    wanted = top.select("hcp_id", *(keep or []), "top_scientific_topic")
+    mine = wanted.select(F.col("hcp_id").alias("_h"), F.col("top_scientific_topic").alias("_top"))
     seen = (shared.select("hcp_id", "content_id").join(places, F.col("content_id") == F.col("_c"), "left")
-            .groupBy("hcp_id").agg(F.bool_or(F.col("content_id").isNull()).alias("_null"), F.collect_set("_p").alias("_seen")))
-    used = F.transform(F.filter(F.coalesce("_seen", F.array().cast("array<struct<t:string,r:bigint>>")),
-                                lambda p: p["t"] == F.col("top_scientific_topic")), lambda p: p["r"])
-    free = F.array_min(F.array_except(F.sequence(F.lit(1).cast("bigint"), F.size("_used") + F.lit(1).cast("bigint")), F.col("_used")))
-    wanted = top.join(seen.withColumnRenamed("hcp_id", "_h"), F.col("hcp_id") == F.col("_h"), "left").withColumn("_used", used)
+            .join(mine, F.col("hcp_id") == F.col("_h"))
+            .select("_h", F.col("content_id").isNull().alias("_null"), F.when(F.col("_t") == F.col("_top"), F.col("_r")).alias("_r")).distinct())
+    order = Window.partitionBy("_h").orderBy(F.col("_r").asc_nulls_last(), "_null")
+    free = (seen.withColumn("_k", F.row_number().over(order)).groupBy("_h")
+            .agg(F.bool_or("_null").alias("_null"), (F.count(F.when(F.col("_r") == F.col("_k"), 1)) + 1).alias("_free")))
+    wanted = wanted.join(free, F.col("hcp_id") == F.col("_h"), "left")
+    free = F.coalesce("_free", F.lit(1))
     wanted = wanted.select("hcp_id", *(keep or []), F.col("top_scientific_topic").alias("_topic"),
                            F.when(~F.coalesce("_null", F.lit(False)), free).alias("_rank"))
     hit = (F.col("topic_category") == F.col("_topic")) & (F.col("cand_rank") == F.col("_rank"))

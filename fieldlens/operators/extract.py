@@ -233,8 +233,8 @@ def apply_defaults(df: DataFrame, parsed: str = "j", more: list[str] | None = No
     )
 
 
-def silver_extracted(interactions: DataFrame, extractor=None) -> DataFrame:
-    """The composed extraction table, one row per interaction."""
+def silver_extracted(interactions: DataFrame, extractor=None, more: list[str] | None = None) -> DataFrame:
+    """The composed extraction table, one row per interaction; input columns ``more`` are carried."""
     extractor = extractor or RegexExtractor()
     prompts = extract_prompt(interactions)
     if hasattr(extractor, "parsed"):
@@ -242,7 +242,7 @@ def silver_extracted(interactions: DataFrame, extractor=None) -> DataFrame:
     else:
         raw = extractor.apply(prompts)
         parsed = raw.withColumn("j", parse_response(clean_json(F.col("extracted_raw"))))
-    fixed = apply_defaults(parsed)
+    fixed = apply_defaults(parsed, more=more)
     return fixed.withColumn("topic_category", classify_topic(F.col("scientific_topic")))
 
 

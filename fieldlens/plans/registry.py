@@ -214,14 +214,29 @@ def _topics_earlier(lh: Lakehouse) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- metric views (M1-M3)
+_CUBES: dict[tuple, str] = {}
+
+
+def _cells(lh: Lakehouse, name: str) -> DataFrame:
+    """The stored cube of a metric view over the tables as they are now: built once, read by every question."""
+    from ..session import work_dir
+    from .metrics import MEDICAL_INQUIRIES, hcp_engagement
+
+    key = (lh.spark.sparkContext.applicationId, lh.sf_dir, lh.inputs, name)
+    if key not in _CUBES:
+        view, source = (hcp_engagement(lh.settings), "hcp_360") if name == "hcp" else (MEDICAL_INQUIRIES, "gold_inquiries")
+        path = work_dir(lh.spark, f"cube-{name}") + "/cells"
+        view.cube(lh.table(source)).write.parquet(path)
+        _CUBES[key] = path
+    return lh.spark.read.parquet(_CUBES[key])
+
+
 def _metric(key: str, view: str, dims: list[str], measures: list[str] | None = None, where: Callable | None = None):
     from .metrics import MEDICAL_INQUIRIES, hcp_engagement
 
     def run(lh: Lakehouse) -> DataFrame:
-        rows = where() if where else None
-        if view == "hcp":
-            return hcp_engagement(lh.settings).query(lh.table("hcp_360"), dims, measures, rows)
-        return MEDICAL_INQUIRIES.query(lh.table("gold_inquiries"), dims, measures, rows)
+        of = hcp_engagement(lh.settings) if view == "hcp" else MEDICAL_INQUIRIES
+        return of.query_cube(_cells(lh, view), dims, measures, where() if where else None)
     register(key)(run)
 
 
@@ -292,9 +307,8 @@ def _recent_interactions(lh: Lakehouse) -> DataFrame:
     with a fraction of the extraction work (and of the model calls, for a model extractor)."""
     s = lh.settings
     notes = lh.table("bronze_msl_interactions")
-    newest = C._latest(notes, [F.desc("interaction_date"), F.desc("interaction_id")], s.recent_limit,
-                       "_newest").drop("_newest")
-    return C.app_recent_interactions(X.silver_extracted(newest, lh.extractor), s)
+    newest = C._latest(notes, [F.desc("interaction_date"), F.desc("interaction_id")], s.recent_limit, "recency_rank")
+    return C.shown_interactions(X.silver_extracted(newest, lh.extractor, more=["recency_rank"]))
 register("app_topic_interests")(lambda lh: C.app_topic_interests(lh.table("topic_interest")))
 register("app_recent_inquiries")(lambda lh: C.app_recent_inquiries(lh.table("gold_inquiries"), lh.settings))
 register("app_publications")(lambda lh: C.app_publications(lh.table("gold_publications"), lh.settings))

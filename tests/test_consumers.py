@@ -66,3 +66,27 @@ def test_masking_hashes_tagged_columns(spark):
     assert GOV.pii_columns(m) == ["npi"]
     r = m.collect()[0]
     assert r.hcp_id == "h1" and len(r.npi) == 64 and r.npi != "1000000001"
+
+
+def test_any_question_from_the_stored_cube(spark, tmp_dir):
+    import itertools
+
+    from fieldlens.plans.catalog import Lakehouse
+    from fieldlens.plans.metrics import MEDICAL_INQUIRIES
+
+    lh = Lakehouse(spark, "/root/testdata/sf0.001")
+    h360 = lh.table("hcp_360")
+    HCP_ENGAGEMENT.cube(h360).write.parquet(f"{tmp_dir}/cells")
+    cells = spark.read.parquet(f"{tmp_dir}/cells")
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for dims in [[], ["territory"], ["specialty", "hcp_tier"], ["preferred_channel", "top_scientific_topic", "practice_setting"]]:
+        assert rows(HCP_ENGAGEMENT.query_cube(cells, dims)) == rows(HCP_ENGAGEMENT.query(h360, dims)), dims
+    strong = F.col("influence_score") >= 60
+    assert rows(HCP_ENGAGEMENT.query_cube(cells, ["hcp_tier"], where=strong)) == rows(HCP_ENGAGEMENT.query(h360, ["hcp_tier"], where=strong))
+    plan = HCP_ENGAGEMENT.query_cube(cells, ["territory"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    none = HCP_ENGAGEMENT.query(h360.where("false")).first()
+    assert (none["total_hcps"], none["hcp_reach_pct"], none["total_msl_interactions"]) == (0, None, None)
+    inquiries = lh.table("gold_inquiries")
+    for dims in itertools.combinations(["product", "inquiry_month", "response_status"], 2):
+        assert rows(MEDICAL_INQUIRIES.query_cube(MEDICAL_INQUIRIES.cube(inquiries), list(dims))) == rows(MEDICAL_INQUIRIES.query(inquiries, list(dims)))
