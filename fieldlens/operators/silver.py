@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
@@ -25,19 +25,24 @@ def silver_hcp(bronze: DataFrame) -> DataFrame:
     payload = [c for c in HCP_COLUMNS if c != "hcp_id"]
     newest = (bronze.filter(F.col("hcp_id").isNotNull())
               .groupBy("hcp_id")
-              .agg(F.max_by(F.struct(*payload),
-                            F.struct("_ingested_at", "_source_file", "hcp_name", "influence_score",
-                                     *[c for c in payload if c not in ("hcp_name", "influence_score")]))
-                   .alias("r")))
+              .agg(F.max_by(F.struct(*payload), version_order()).alias("r")))
+    return cleaned_hcp(newest.select("hcp_id", "r.*"))
+
+
+def version_order() -> Column:
+    """By which the greatest version of an HCP is the newest."""
+    first = ["_ingested_at", "_source_file", "hcp_name", "influence_score"]
+    return F.struct(*first, *[c for c in HCP_COLUMNS if c not in (*first, "hcp_id")])
+
+
+def cleaned_hcp(newest: DataFrame) -> DataFrame:
+    """The silver columns of the newest version of each HCP."""
     return newest.select(
         "hcp_id",
-        F.trim("r.hcp_name").alias("hcp_name"),
-        *[F.col(f"r.{c}").alias(c) for c in ["specialty", "institution", "city", "state", "territory",
-                                             "practice_setting", "hcp_tier", "primary_therapeutic_area"]],
-        *[F.col(f"r.{c}").try_cast("int").alias(c)
-          for c in ["publication_count", "trial_participation", "influence_score"]],
-        F.col("r.npi").alias("npi"),
-    )
+        F.trim("hcp_name").alias("hcp_name"), "specialty", "institution", "city", "state", "territory",
+        "practice_setting", "hcp_tier", "primary_therapeutic_area",
+        *[F.col(c).try_cast("int").alias(c) for c in ["publication_count", "trial_participation", "influence_score"]],
+        "npi")
 
 
 def silver_inquiries(bronze: DataFrame, settings: Settings) -> DataFrame:

@@ -63,6 +63,7 @@ sql("extract_model", """SELECT interaction_id, scientific_topic, information_nee
 
 # ----------------------------------------------------------------------------- K2
 table("refresh_incremental", "next_best_engagement")
+table("silver_hcp_incremental", "silver_hcp")
 # Only the table itself is as of another day; the notes are the same.
 CTES["topic_interest_earlier"] = (CTES["topic_interest"][0].replace(AS_OF, "DATE '2023-12-02'"), CTES["topic_interest"][1])
 table("topic_interest_earlier")
@@ -333,8 +334,13 @@ sql("engagement_plan", """SELECT h.hcp_id,
     FROM hcp_360 h LEFT JOIN next_best_engagement n USING (hcp_id) LEFT JOIN recommend_content r USING (hcp_id)""",
     ["hcp_360", "next_best_engagement", "recommend_content"])
 _PAD = [bytes(b ^ x for b in _C.DEFAULT.mask_key.encode().ljust(64, b"\0")).hex() for x in (0x36, 0x5C)]
-sql("masked_hcp_360", f"""SELECT * REPLACE (
-    sha256(from_hex('{_PAD[1]}') || from_hex(sha256(from_hex('{_PAD[0]}') || encode(npi)))) AS npi) FROM hcp_360""", ["hcp_360"])
+def _hmac(value: str) -> str:
+    return f"sha256(from_hex('{_PAD[1]}') || from_hex(sha256(from_hex('{_PAD[0]}') || encode({value}))))"
+
+
+sql("masked_hcp_360", f"SELECT * REPLACE ({_hmac('npi')} AS npi) FROM hcp_360", ["hcp_360"])
+sql("masked_contacts", f"""SELECT hcp_id, {_hmac('npi')} AS licence, {_hmac("concat_ws('/', territory, npi)")} AS route,
+    {_hmac('substr(npi, 1, 2)')} AS series, hcp_tier, CAST(length(hcp_name) AS INTEGER) AS name_chars FROM silver_hcp""", ["silver_hcp"])
 sql("action_queue_top50", "SELECT * FROM serving_action_queue ORDER BY msl_priority_score DESC, hcp_id LIMIT 50",
     ["serving_action_queue"])
 sql("queue_check", """SELECT hcp_id, hcp_name, priority_tier, msl_priority_score, trigger,

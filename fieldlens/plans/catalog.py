@@ -191,8 +191,8 @@ class Lakehouse:
                 plain, seen = frames, {name: Observation() for name in level}
                 frames = {name: df.observe(seen[name], F.count(F.lit(1)).alias("rows")) for name, df in frames.items()}
                 for name in [n for n in level if n in GOV.CLASSIFIED_TABLES]:
-                    frames[name] = GOV.classify(frames[name])
-                    frames[f"{name}_masked"] = GOV.mask(GOV.classify(plain[name]), self.settings.mask_key)
+                    frames[name] = GOV.classify_derived(frames[name])
+                    frames[f"{name}_masked"] = GOV.publishable(GOV.mask(GOV.classify_derived(plain[name]), self.settings.mask_key))
                 paths = {name: os.path.join(run, name) for name in frames}
                 jobs = [pool.submit(frames[n].write.parquet, paths[n]) for n in frames]
                 for job in jobs:

@@ -1,6 +1,6 @@
 """The scheduled job: ingest new CSV drops, rebuild silver and gold, publish the queue.
 
-    python -m fieldlens.plans.refresh --landing <root> --out <root> [--as-of YYYY-MM-DD]
+    python -m fieldlens.plans.refresh --landing <root> --out <root> --mask-key-file <file> [--as-of YYYY-MM-DD]
 
 ``<landing>/<feed>/`` holds the drop folders of each of the nine feeds. Each
 run ingests only files not seen before (checkpointed bronze streams), extracts
@@ -103,11 +103,16 @@ def main() -> None:
     ap.add_argument("--landing", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", default=DEFAULT.as_of.isoformat())
+    ap.add_argument("--mask-key-file", required=True, help="file with the secret of the masked identifiers (1 to 64 bytes)")
     args = ap.parse_args()
     from ..session import build_session
 
     spark = build_session(os.environ.get("SPARK_MASTER"))
-    settings = Settings(as_of=dt.date.fromisoformat(args.as_of))
+    with open(args.mask_key_file) as f:
+        secret = f.read().strip()
+    if secret == DEFAULT.mask_key:
+        raise SystemExit("the mask key must be an own secret")
+    settings = Settings(as_of=dt.date.fromisoformat(args.as_of), mask_key=secret)
     for name, path in run_refresh(spark, args.landing, args.out, settings).items():
         print(name, path)
 

@@ -202,6 +202,21 @@ def _refresh_incremental(lh: Lakehouse) -> DataFrame:
     return after.table("next_best_engagement")
 
 
+@register("silver_hcp_incremental")
+def _silver_hcp_incremental(lh: Lakehouse) -> DataFrame:
+    """S1 kept up to date: first versions, then the current ones, which rewrite only the buckets they hit."""
+    from ..operators import silver as S
+    from ..session import work_dir
+    from .buckets import NewestByKey
+
+    bronze = lh.table("bronze_hcp_master").select(*S.HCP_COLUMNS, "_ingested_at", "_source_file")
+    store = NewestByKey(lh.spark, work_dir(lh.spark, "silver-hcp"), "hcp_id", S.version_order)
+    current = F.col("_ingested_at") >= F.lit(bound_current()).cast("timestamp")
+    store.update(bronze.where(~current))
+    store.update(bronze.where(current))
+    return S.cleaned_hcp(store.table(bronze.schema))
+
+
 EARLIER = dt.date(2023, 12, 2)
 
 
@@ -330,7 +345,16 @@ register("briefing_context")(_context)
 register("briefing_prompt")(lambda lh: C.briefing_prompt(_context(lh)))
 register("engagement_plan")(lambda lh: C.engagement_plan(
     _wide(lh), lh.table("gold_content"), lh.table("gold_content_shared")))
-register("masked_hcp_360")(lambda lh: GOV.mask(GOV.classify(lh.table("hcp_360")), lh.settings.mask_key))
+register("masked_hcp_360")(lambda lh: GOV.publishable(GOV.mask(GOV.classify_derived(lh.table("hcp_360")), lh.settings.mask_key)))
+
+
+@register("masked_contacts")
+def _masked_contacts(lh: Lakehouse) -> DataFrame:
+    """A table with columns made from the identifier under other names: all of them are found and masked."""
+    contacts = lh.table("silver_hcp").select(
+        "hcp_id", F.col("npi").alias("licence"), F.concat_ws("/", "territory", "npi").alias("route"), F.substring("npi", 1, 2).alias("series"),
+        "hcp_tier", F.length("hcp_name").alias("name_chars"))
+    return GOV.publishable(GOV.mask(GOV.classify_derived(contacts), lh.settings.mask_key))
 
 
 # ----------------------------------------------------------------------------- serving
