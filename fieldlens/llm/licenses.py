@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 A block is a window of ``2 * stride`` words, one beginning every ``stride`` words,
-so any run of ``stride`` words lies whole in some block, across line breaks. A
+so any run of ``stride`` words lies whole in some block, across line breaks. Templates
+of more words (a whole license) get blocks of their own, of the next doubled
+stride that holds them, so templates of any length lie whole in a block. A
 template matches a block when at least ``ceil(threshold * |T|)`` of its |T|
 distinct words are in the block.
 
@@ -64,6 +66,13 @@ def template_words(text: str) -> list[str]:
     return sorted(set(re.findall(TEMPLATE_WORD, text.lower())))
 
 
+def stride_of(n_words: int, stride: int = STRIDE) -> int:
+    """The stride of a template's blocks: ``stride``, doubled until it holds the template."""
+    while stride < n_words:
+        stride *= 2
+    return stride
+
+
 def _list(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words]).cast("array<string>")
 
@@ -101,44 +110,48 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
     spark = docs.sparkSession
     sets = [(label, template_words(t)) for label, t in templates]
     # repeated words count too: the notice in a text has them all, and only a run of stride words lies whole in a block
-    if any(len(re.findall(TEMPLATE_WORD, t.lower())) > stride for _, t in templates):
-        raise ValueError("a template has more words than the stride")
+    own = [stride_of(len(re.findall(TEMPLATE_WORD, t.lower())), stride) for _, t in templates]
     order = words_in_order(docs, sorted({w for _, t in sets for w in t}), text)
     rank = {w: i for i, w in enumerate(order)}
-    rows, least = [], stride
-    for k, (label, t) in enumerate(sets):
+    rows, least, used = [], {}, {}
+    for k, ((label, t), wide) in enumerate(zip(sets, own)):
         need = math.ceil(threshold * len(t) - 1e-9)
         t = sorted(t, key=rank.__getitem__)
-        least = min(least, need)
-        rows += [(w, i, k, label, need, t) for i, w in enumerate(t[:len(t) - need + 1])]
+        least[wide] = min(least.get(wide, need), need)
+        used.setdefault(wide, set()).update(t)
+        rows += [(w, wide, i, k, label, need, t) for i, w in enumerate(t[:len(t) - need + 1])]
     if len(rows) > MAX_BROADCAST:
         raise ValueError("scan the templates in several lists")
-    prefixes = spark.createDataFrame(rows, "t_word string, t_at int, template int, label string, need int, t_words array<string>")
+    prefixes = spark.createDataFrame(rows, "t_word string, t_stride int, t_at int, template int, label string, need int, t_words array<string>")
 
     words = words_of(ascii_lower(whole(F.col(text))), ALNUM_WORD)
     base = docs.select(F.col(doc_id).alias("doc_id"), F.md5(whole(F.col(text)).cast("binary")).alias("digest"), words.alias("words"))
     w = F.col("words")
-    n_blocks = F.ceil(F.size(w) / stride).cast("int")
-    block = lambda b: F.array_intersect(_list(order), F.slice(w, b * stride + 1, 2 * stride))  # noqa: E731  in global order
-    entry = "array<struct<b:int,at:int,word:string,words:array<string>>>"
+    entry = "array<struct<b:int,stride:int,at:int,word:string,words:array<string>>>"
+
+    def blocks(wide: int) -> Column:
+        """The entries of all blocks of one stride, for the templates of that stride."""
+        mine = _list([x for x in order if x in used[wide]])
+
+        def entries(b: Column) -> Column:
+            def prefix(have: Column) -> Column:
+                keep = F.greatest(F.size(have) - F.lit(least[wide]) + 1, F.lit(0))
+                return F.transform(F.slice(have, F.lit(1), keep), lambda x, j: F.struct(
+                    b.alias("b"), F.lit(wide).alias("stride"), j.alias("at"), x.alias("word"), have.alias("words")))
 
-    def entries(b: Column) -> Column:
-        def prefix(have: Column) -> Column:
-            keep = F.greatest(F.size(have) - F.lit(least) + 1, F.lit(0))
-            return F.transform(F.slice(have, F.lit(1), keep), lambda x, j: F.struct(
-                b.alias("b"), j.alias("at"), x.alias("word"), have.alias("words")))
+            return let(F.array_intersect(mine, F.slice(w, b * wide + 1, 2 * wide)), prefix)   # in global order
 
-        return let(block(b), prefix)
+        found = F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(F.size(w) / wide).cast("int") - 1), entries))
+        likely = F.arrays_overlap(w, _list(sorted({r[0] for r in rows if r[1] == wide})))
+        return F.when(likely, found).otherwise(F.array().cast(entry))
 
-    blocks = F.transform(F.sequence(F.lit(0), n_blocks - 1), entries)
-    likely = F.arrays_overlap(w, _list(sorted({r[0] for r in rows})))
-    marker = F.array(F.struct(F.lit(-1).alias("b"), F.lit(-1).alias("at"), F.lit(None).cast("string").alias("word"),
+    marker = F.array(F.struct(F.lit(-1).alias("b"), F.lit(0).alias("stride"), F.lit(-1).alias("at"), F.lit(None).cast("string").alias("word"),
                               F.array().cast("array<string>").alias("words"))).cast(entry)
-    candidates = F.when(likely, F.flatten(blocks)).otherwise(F.array().cast(entry))
+    candidates = [blocks(wide).cast(entry) for wide in sorted(used)]
     base = base.select("doc_id", "digest", F.size(w).cast("long").alias("n_words"), _places(w, phrases).alias("places"),
-                       F.concat(marker, candidates).alias("entries"))
+                       F.concat(marker, *candidates).alias("entries"))
     flat = base.select("doc_id", "digest", "n_words", "places", F.explode_outer("entries").alias("e"))
-    found = flat.join(F.broadcast(prefixes), F.col("e.word") == F.col("t_word"), "left")
+    found = flat.join(F.broadcast(prefixes), (F.col("e.word") == F.col("t_word")) & (F.col("e.stride") == F.col("t_stride")), "left")
     room = F.least(F.size("t_words") - F.col("t_at"), F.size("e.words") - F.col("e.at"))
     passes = (F.size("e.words") >= F.col("need")) & (room >= F.col("need"))
     overlap = F.size(F.array_intersect(F.col("e.words"), F.col("t_words")))

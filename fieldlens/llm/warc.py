@@ -232,16 +232,61 @@ class Search:
         return out
 
 
-def read_back(directory: DataFrame, index: str, archives: str) -> DataFrame:
-    """Every record, found through the index: block reads, then range reads in archive order."""
+TASK_BYTES = 16 << 20        # of archives that one task reads
+DIRECTORY_ROWS = 1 << 18     # of the sparse directory that tasks search at once
+
+
+def blocks_of(keys: DataFrame, directory: DataFrame) -> DataFrame:
+    """(file, offset, length, wanted): the index blocks that can hold each key, found by binary search in the directory.
+
+    A key's captures lie in the block before the first one that begins with it or later, and in all that begin with it.
+    A directory of more than ``DIRECTORY_ROWS`` blocks is searched in slices, so no task holds more of it.
+    """
+    import pyarrow as pa
+
+    ordered = directory.orderBy("part", "no").select("key", "file", "offset", "length")
+    slices = -(-directory.count() // DIRECTORY_ROWS)
+    out = None
+    for i in range(slices):
+        rows = [tuple(r) for r in ordered.offset(i * DIRECTORY_ROWS).limit(DIRECTORY_ROWS).collect()]
+        first = [r[0] for r in rows]
+
+        def run(batches: Iterator[pa.RecordBatch], rows=rows, first=first) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                made = []
+                for key in b.column("key").to_pylist():
+                    at = max(0, bisect_left(first, key) - 1)
+                    while at < len(first) and (first[at] <= key):
+                        made.append((*rows[at][1:], key))
+                        at += 1
+                if made:
+                    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=["file", "offset", "length", "key"])
+
+        found = keys.mapInArrow(run, "file string, offset long, length long, key string")
+        out = found if out is None else out.unionAll(found)
+    if out is None:
+        out = keys.select("key", F.lit("").alias("file"), F.lit(0).cast("long").alias("offset"), F.lit(0).cast("long").alias("length")).where("false")
+    # a block lists its own keys and at most one that only begins in the next block
+    return out.groupBy("file", "offset", "length").agg(F.collect_set("key").alias("wanted"))
+
+
+def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str, archive_bytes: int = 0) -> DataFrame:
+    """The records of all captures of ``keys`` (column key, distinct): directory, then index blocks, then range reads in archive order.
+
+    The records are dealt out by the bytes of the archives, not of their index entries, which are a thousandth of them.
+    """
     import pyarrow as pa
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, at = _open(index)
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                _, _, f, o, n = zip(*read_block(place, at, *row))
-                yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(o, pa.int64()), pa.array(n, pa.int64())], names=["file", "offset", "length"])
+            for *block, wanted in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length", "wanted"))):
+                wanted = set(wanted)
+                hits = [(f, o, n) for k, _, f, o, n in read_block(place, at, *block) if k in wanted]
+                if hits:
+                    f, o, n = zip(*hits)
+                    yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(o, pa.int64()), pa.array(n, pa.int64())], names=["file", "offset", "length"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, at = _open(archives)
@@ -262,9 +307,8 @@ def read_back(directory: DataFrame, index: str, archives: str) -> DataFrame:
         if file is not None:
             file.close()
 
-    blocks = directory.select("file", "offset", "length").repartition(F.xxhash64("file", "offset"))
-    entries = blocks.mapInArrow(expand, "file string, offset long, length long")
-    entries = entries.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    entries = blocks_of(keys, directory).mapInArrow(expand, "file string, offset long, length long")
+    entries = entries.repartitionByRange(1 + archive_bytes // TASK_BYTES, "file", "offset").sortWithinPartitions("file", "offset")
     return entries.mapInArrow(fetch, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
@@ -272,7 +316,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = shared_folder(spark, "warc")
     captures = write_archives(read_table(spark, sf_dir, "pages"), archives)
     directory = write_index(captures, f"{archives}-index")
-    return read_back(directory, f"{archives}-index", archives)
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    return look_up(captures.select("key").distinct(), directory, f"{archives}-index", archives, size)
 
 
 ORACLE = """

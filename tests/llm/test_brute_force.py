@@ -365,16 +365,49 @@ def test_capture_search(spark, tmp_dir):
         assert sorted(r["page_id"] for r in find.records(url)) == sorted(p[0] for p in pages if p[1] == url), url
     assert find.records("https://h1.example.org/none") == []
     under = find.captures("org,example,h3)", prefix=True)
+    some = sorted({warc.url_key(p[1]) for p in pages if p[1]})[::5] + ["org,example,none)/"]
+    want = sorted(p[0] for p in pages if p[1] and warc.url_key(p[1]) in some)
+    for rows in (7, 1 << 18):   # in slices of the directory, and at once
+        warc.DIRECTORY_ROWS, keep = rows, warc.DIRECTORY_ROWS
+        keys = spark.createDataFrame([(k,) for k in some], "key string")
+        got = warc.look_up(keys, directory, f"{tmp_dir}/i", f"{tmp_dir}/a", 40 << 20)
+        warc.DIRECTORY_ROWS = keep
+        assert sorted(r["page_id"] for r in got.collect()) == want
+        assert warc.blocks_of(keys.limit(2), directory).count() <= 8 < directory.count()
     assert sorted(c[1] for c in under) == sorted(p[0] for p in pages if p[1] and "//h3." in p[1])
 
 
-def test_license_templates_are_bounded_by_their_full_word_count(docs):
+def test_license_templates_of_any_length(docs):
+    """Containment in every block, by brute force, for templates of 5 to 400 words at many offsets."""
+    import random
+
     from fieldlens.llm import licenses
 
-    long = " ".join(f"w{i}" for i in range(20))
-    with pytest.raises(ValueError):
-        licenses.scan(docs([(1, "text", "en", "a", 0)]), [("x", f"{long} {long}")])
-    assert all(len(re.findall(licenses.TEMPLATE_WORD, t.lower())) <= licenses.STRIDE for _, t in licenses.TEMPLATES)
+    rng = random.Random(6)
+    word = lambda k: " ".join(f"t{k}w{rng.randint(0, 300)}" for _ in range(k))
+    templates = [("five", "one two three four five"), ("long", word(400)), ("mid", word(60)), ("edge", word(33)), ("edge", word(32))]
+    assert [licenses.stride_of(len(t.split())) for _, t in templates] == [32, 512, 64, 64, 32]
+    data = []
+    for i in range(60):
+        _, t = rng.choice(templates)
+        ws = t.split()
+        for _ in range(rng.choice([0, 0, 1, len(ws) // 10, len(ws) // 4])):   # lost words
+            ws.pop(rng.randrange(len(ws)))
+        filler = [f"x{rng.randint(0, 50)}" for _ in range(rng.randint(0, 900))]
+        at = rng.randint(0, len(filler))
+        data.append((i, " ".join(filler[:at] + ws + filler[at:]), "en", "a", 0))
+    got = {r["doc_id"]: (r["labels"], round(r["best"], 9)) for r in licenses.scan(docs(data), templates).collect()}
+    for i, text, *_ in data:
+        ws, found, best = text.split(), set(), 0.0
+        for label, t in templates:
+            own, stride = set(t.split()), licenses.stride_of(len(t.split()))
+            for b in range(0, len(ws), stride):
+                share = len(own & set(ws[b:b + 2 * stride]))
+                if share >= math.ceil(licenses.THRESHOLD * len(own) - 1e-9):
+                    found.add(label)
+                    best = max(best, share / len(own))
+        assert got[i] == (sorted(found), round(best, 9)), i
+    assert {x for labels, _ in got.values() for x in labels} == {"five", "long", "mid", "edge"}
 
 
 def test_chat_parts_and_reversible_escapes():
