@@ -48,7 +48,7 @@ from .token_files import BATCH_CHARS, BATCH_ROWS, TOKENIZER, small_batches
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LIMIT = 1024
-HELD_BYTES = 80 << 20     # of a generation of pieces
+HELD_BYTES = 150 << 20    # of a generation of pieces
 HELD_PAIRS = 1_000_000
 HELD_PIECE = 64           # code points; longer pieces are not kept
 
@@ -56,6 +56,7 @@ HELD_PIECE = 64           # code points; longer pieces are not kept
 ODD = re.compile("[^\t-\r -~¡-©«-±´¶-¸»¿-ɏ]")
 # A run of white space with the pre-token behind it; contractions only where no space stands before them.
 UNIT = re.compile(r"(\s*)((?<! )'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d+|(?:[^\s\w\0]|_)+)|(\s+)|(\0)")
+MARKS = frozenset(",.;:!?")
 CUT = re.compile(r"(?<=\S)(?=\s\S)")
 
 
@@ -247,7 +248,18 @@ class Counter:
 
     def _solve(self, pieces: list[str]) -> dict[str, bytes]:
         """Steps of pieces and of their units; a piece begins where a pre-token begins and ends where a text may end."""
-        cut, runs = self._units(pieces)
+        simple, rest, marked = [], [], {}
+        for p in pieces:   # the usual pieces need no pattern: a space and a word, perhaps with a mark behind it
+            if p[:1] == " " and not ODD.search(p):
+                if p[1:].isalpha():
+                    simple.append(p)
+                    continue
+                if p[-1] in MARKS and p[1:-1].isalpha():
+                    marked[p] = [p[:-1], p[-1]]
+                    continue
+            rest.append(p)
+        cut, runs = self._units(rest) if rest else ([], {})
+        pieces, cut = [*simple, *marked, *rest], [*[[p] for p in simple], *marked.values(), *cut]
         known = {u: s for u in set().union(*cut) if (s := self.young.get(u)) is not None}
         plain = sorted((u.encode(), u) for u in set().union(*cut) if u not in known and u not in runs)
         solved = self.vocabulary.prefix_counts(data for data, _ in plain)
@@ -264,24 +276,19 @@ class Counter:
         return self._find({text})[text]
 
     def _find(self, pieces: set[str]) -> dict[str, bytes]:
+        """Steps of pieces that the young generation lacks: from the old one, or solved."""
         found, new = {}, []
         for p in pieces:
-            steps = self.young.get(p)
+            steps = self.old.get(p)
             if steps is None:
-                steps = self.old.get(p)
-                if steps is None:
-                    new.append(p)
-                    continue
-                self._hold(p, steps)
-            found[p] = steps
+                new.append(p)
+            else:
+                found[p] = steps
         odd = [p for p in new if "\0" in p]   # elsewhere it separates pieces
         for some in [[p for p in new if "\0" not in p], *[[p] for p in odd]]:
-            solved = self._solve(some) if some else {}
-            found.update(solved)
-            for p, steps in solved.items():
-                self._hold(p, steps)
-        if self.held > HELD_BYTES:
-            self.old, self.young, self.held = self.young, {}, 0
+            found.update(self._solve(some) if some else {})
+        for p, steps in found.items():
+            self._hold(p, steps)
         return found
 
     def _hold(self, piece: str, steps: bytes) -> None:
@@ -314,9 +321,21 @@ class Counter:
     def steps(self, texts: list[str]) -> list[bytes]:
         """The steps of each text."""
         marked = [bool(self.special and self.special.search(t)) for t in texts]
-        pieces = [[] if m else self._pieces(t) for t, m in zip(texts, marked)]
-        known = self._find(set().union(*pieces))
-        return [self._with_special(t) if m else b"".join(map(known.__getitem__, p)) for t, m, p in zip(texts, marked, pieces)]
+        split, found, gaps = [], [], []
+        for t, m in zip(texts, marked):  # one look-up a piece; what is missing is filled in below
+            pieces = [] if m else self._pieces(t)
+            steps = list(map(self.young.get, pieces))
+            split.append(pieces)
+            found.append(steps)
+            gaps.append([i for i, x in enumerate(steps) if x is None] if None in steps else [])
+        made = self._find({pieces[i] for pieces, where in zip(split, gaps) for i in where})
+        for pieces, steps, where in zip(split, found, gaps):
+            for i in where:
+                steps[i] = made[pieces[i]]
+        out = [self._with_special(t) if m else b"".join(steps) for t, m, steps in zip(texts, marked, found)]
+        if self.held > HELD_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        return out
 
 
 def _counter(path: str) -> Counter:
