@@ -43,10 +43,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document copy, read back from the token files: place, length and checksum of its ids."""
+    """Per document copy, read back from the token files: place, length and checksum of its ids.
+
+    Workers share an executor with what the stages before left in its memory, so they remember less than the library's default.
+    """
     from fieldlens.llm import token_files as files
 
-    return files.round_trip(spark, docs, plain_special=False)
+    return files.round_trip(spark, docs, plain_special=False, memo_bytes=64 << 20, batch_chars=500_000)
 
 
 STAGES = [

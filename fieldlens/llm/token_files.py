@@ -85,7 +85,7 @@ def _gaps(text: str) -> bool:
 class Encoder:
     """Ids of whole texts as little-endian bytes, with a memo of pieces."""
 
-    def __init__(self, path: str, plain_special: bool = True) -> None:
+    def __init__(self, path: str, plain_special: bool = True, memo_bytes: int = MEMO_BYTES) -> None:
         import os
 
         import numpy as np
@@ -106,7 +106,7 @@ class Encoder:
         self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)   # tokens that begin with a space
         self.begins[[i for t, i in vocabulary.items() if t[0] == SPACE]] = True
         self.known: dict[str, bytes] = {}
-        self.held = 0
+        self.held, self.memo_bytes = 0, memo_bytes
 
     def _library(self, texts: list[str]) -> list[bytes]:
         from array import array
@@ -133,7 +133,7 @@ class Encoder:
             for i in where:
                 ids[i] = made[pieces[i]]
         out = [b"".join(ids) if e else next(hard) for ids, e in zip(found, easy)]
-        if self.held > MEMO_BYTES:
+        if self.held > self.memo_bytes:
             self._forget()
         return out
 
@@ -187,7 +187,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """Half of the memory is freed; the shorter pieces stay, which come again most."""
-        kept, left = {}, MEMO_BYTES // 2
+        kept, left = {}, self.memo_bytes // 2
         for p in sorted(self.known, key=len):
             left -= ENTRY_BYTES
             if left < 0:
@@ -196,12 +196,12 @@ class Encoder:
         self.known, self.held = kept, len(kept) * ENTRY_BYTES
 
 
-def _encoder(path: str, plain_special: bool) -> Encoder:
+def _encoder(path: str, plain_special: bool, memo_bytes: int = MEMO_BYTES) -> Encoder:
     """One encoder per Python worker, so its memo outlives a task."""
     held = sys.modules.setdefault("_token_file_encoders", types.ModuleType("_token_file_encoders"))
-    key = f"{path} {plain_special}"
+    key = f"{path} {plain_special} {memo_bytes}"
     if key not in held.__dict__:
-        held.__dict__[key] = Encoder(path, plain_special)
+        held.__dict__[key] = Encoder(path, plain_special, memo_bytes)
     return held.__dict__[key]
 
 
@@ -324,8 +324,12 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                      plain_special: bool = True) -> DataFrame:
-    """Writes the files under ``folder``; the stored manifest, one row per file, in file order."""
+                      plain_special: bool = True, memo_bytes: int = MEMO_BYTES, batch_chars: int = BATCH_CHARS) -> DataFrame:
+    """Writes the files under ``folder``; the stored manifest, one row per file, in file order.
+
+    A worker remembers pieces in about ``memo_bytes`` and encodes texts of ``batch_chars`` at once (one text at least):
+    both move memory and time only.
+    """
     import pyarrow as pa
 
     spark = docs.sparkSession
@@ -339,7 +343,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
         first = next(batches, None)
         if first is None:
             return
-        part, coder = first.column("part")[0].as_py(), _encoder(tokenizer, plain_special)
+        part, coder = first.column("part")[0].as_py(), _encoder(tokenizer, plain_special, memo_bytes)
         place, at = _filesystem(folder)
         place.create_dir(at, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.zst"
@@ -351,7 +355,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
                 low = 0
                 while low < len(texts):
                     high = low + 1
-                    while high < len(texts) and chars[high + 1] - chars[low] <= BATCH_CHARS:
+                    while high < len(texts) and chars[high + 1] - chars[low] <= batch_chars:
                         high += 1
                     for doc, made in zip(ids[low:high], coder.encode(texts[low:high])):
                         writer.add(doc, made + end)
@@ -391,14 +395,15 @@ def read_documents(spark: SparkSession, folder: str, manifest: DataFrame, wanted
     return todo.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, plain_special: bool = True) -> DataFrame:
+def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, plain_special: bool = True,
+               memo_bytes: int = MEMO_BYTES, batch_chars: int = BATCH_CHARS) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every row, from the files it writes."""
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path(TOKENIZER)
     folder = shared_folder(spark, "tokens")
-    manifest = write_token_files(docs, folder, tokenizer, plain_special=plain_special)
+    manifest = write_token_files(docs, folder, tokenizer, plain_special=plain_special, memo_bytes=memo_bytes, batch_chars=batch_chars)
     back = read_documents(spark, folder, manifest)
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.crc32("ids").alias("ids_crc32"))

@@ -212,6 +212,22 @@ def test_token_files_round_trip(spark, docs):
     assert got == sorted(want)
 
 
+def test_token_files_do_not_depend_on_memory_bounds(spark, docs):
+    rows = [(i, f"word{i} w{i % 7} and, more{i % 50} don't  stop", "en", "a", 0) for i in range(300)] + [(300, "日本語 text", "en", "a", 0)]
+    frame = docs(rows).repartition(3)
+    want = sorted(map(tuple, token_files.round_trip(spark, frame).collect()))
+    assert sorted(map(tuple, token_files.round_trip(spark, frame, memo_bytes=4_000, batch_chars=100).collect())) == want
+
+
+def test_token_memo_keeps_its_own_bound():
+    import public_tokenizers
+
+    coder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"), memo_bytes=4_000)
+    for i in range(50):
+        coder.encode([f"some{i} words{i} of{i} batch{i}"])
+        assert coder.held <= 4_000 and len(coder.known) * token_files.ENTRY_BYTES <= 4_000
+
+
 def test_token_query_takes_the_library_default(spark, docs, tmp_dir):
     import corpus_pipeline
     import public_tokenizers
