@@ -15,7 +15,7 @@ from ..operators import gold as G
 from ..operators import governance as GOV
 from ..operators import model as M
 from ..operators import serving as SV
-from ..sources.tables import fingerprint
+from ..sources.tables import fingerprint, spread
 from .catalog import Lakehouse
 from .states import NoteStates
 
@@ -36,6 +36,7 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     rewritten since give a new graph; ``Lakehouse(spark, dir)`` gives a fresh one.
     """
     inputs = fingerprint(spark, sf_dir)
+    spread(spark, sf_dir)
     key = (spark.sparkContext.applicationId, id(spark), sf_dir, inputs)
     if key not in _GRAPHS:
         while len(_GRAPHS) >= 8:  # plans only; the oldest graph goes

@@ -31,6 +31,28 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
 
 
+BYTES_A_PARTITION = 4 << 20
+
+
+def spread(spark: SparkSession, sf_dir: str) -> int:
+    """Let shuffles begin with a partition per ``BYTES_A_PARTITION`` of the tables' files, if that is more than the session's own number.
+
+    A task then sorts and aggregates about as many rows on large tables as on small ones; AQE merges what is
+    too small. A larger number in the session stays. Returns the number that shuffles begin with.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tables = [jvm.org.apache.hadoop.fs.Path(root, f"{name}.parquet") for name in STAR_TABLES]
+    size = sum(fs.getContentSummary(t).getLength() for t in tables if fs.exists(t))
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-size // BYTES_A_PARTITION)
+    if wanted > now:
+        spark.conf.set(name, str(wanted))
+    return max(now, wanted)
+
+
 class StarTables:
     """Lazy accessor: ``StarTables(spark, dir).lineitem``."""
 
