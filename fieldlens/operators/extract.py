@@ -77,6 +77,14 @@ FREE_NO_CALL_BACK = r"\bno (call back|follow[- ]up)\b"
 _SEP = "\u0001"
 
 
+def _seldom(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)`` for a branch that few rows take: as a lambda it adds no code to the generated method of the others.
+
+    The JVM never compiles a method of over 8,000 bytes of code; all rows then run interpreted, several times as slow.
+    """
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 class RegexExtractor:
     """Deterministic extractor for the field-note sentence template.
 
@@ -103,50 +111,59 @@ class RegexExtractor:
             F.regexp_replace(note, TEMPLATE_PATTERN, _SEP.join(f"${i}" for i in range(1, 9))), _SEP))
         staged = df.withColumn("_cap_packed", packed)
         fast = F.size("_cap_packed") == len(FIELD_PATTERNS)
-        caps = [F.when(fast, F.nullif(F.element_at("_cap_packed", i + 1), F.lit("")))
-                .otherwise(F.nullif(F.regexp_extract(note, pattern, 1), F.lit(""))).alias(f"_cap_{name}")
-                for i, (name, pattern) in enumerate(FIELD_PATTERNS.items())]
+        searched = _seldom(note, lambda n: F.array(*[F.regexp_extract(n, pattern, 1) for pattern in FIELD_PATTERNS.values()]))
+        staged = staged.withColumn("_cap_all", F.when(fast, F.col("_cap_packed")).otherwise(searched))
+        caps = [F.nullif(F.get("_cap_all", F.lit(i)), F.lit("")).alias(f"_cap_{name}") for i, name in enumerate(FIELD_PATTERNS)]
         # the lower-cased note feeds three keyword tests: project it once
-        return staged.select("*", *caps, F.lower(note).alias("_cap_lower")).drop("_cap_packed")
+        return staged.select("*", *caps, F.lower(note).alias("_cap_lower")).drop("_cap_packed", "_cap_all")
+
+    @staticmethod
+    def free_values(note: Column) -> Column:
+        """What words say in a note without a subject, as a struct; NULL for a labelled note."""
+        def found(low: Column) -> Column:
+            def free(entries: list[tuple[str, str]]) -> Column:
+                out = F.lit(None).cast("string")
+                for value, pattern in reversed(entries):
+                    out = F.when(low.rlike(pattern), F.lit(value)).otherwise(out)
+                return out
+
+            def named(values: list[str]) -> Column:
+                some = F.filter(F.array(*[F.lit(v) for v in values]), lambda v: F.contains(low, F.lower(v)))
+                return F.get(some, F.lit(0))
+
+            return F.struct(
+                F.nullif(classify_topic(low), F.lit(TOPIC_DEFAULT)).alias("topic"), named(PRODUCTS).alias("product"),
+                free(FREE_SENTIMENT).alias("sentiment"), free(FREE_INTEREST).alias("interest"), free(FREE_CHANNEL).alias("channel"),
+                free(FREE_EVIDENCE).alias("evidence"), named([c for c in COMPETITORS if c != "None"]).alias("competitor"),
+                F.when(low.rlike(FREE_NO_CALL_BACK), F.lit(False)).when(low.rlike(FREE_CALL_BACK), F.lit(True)).alias("call_back"))
+
+        # a labelled note has a subject; only a note without one is searched for words
+        plain = note.isNotNull() & F.col("_cap_scientific_topic").isNull()
+        return F.when(plain, _seldom(F.col("_cap_lower"), found))
 
     @staticmethod
     def struct_from_captures(note: Column) -> Column:
         cap = lambda name: F.col(f"_cap_{name}")
         low = F.col("_cap_lower")
-
-        def free(entries: list[tuple[str, str]]) -> Column:
-            out = F.lit(None).cast("string")
-            for value, pattern in reversed(entries):
-                out = F.when(low.rlike(pattern), F.lit(value)).otherwise(out)
-            return out
-
-        def named(values: list[str]) -> Column:
-            found = F.filter(F.array(*[F.lit(v) for v in values]), lambda v: F.contains(low, F.lower(v)))
-            return F.get(found, F.lit(0))
-
-        # a labelled note has a subject; only a note without one is searched for words
-        plain = note.isNotNull() & cap("scientific_topic").isNull()
-        or_free = lambda labelled, value: F.coalesce(labelled, F.when(plain, value))
+        or_free = lambda labelled, name: F.coalesce(labelled, F.col(f"_cap_free.{name}"))
         evidence_raw = cap("evidence_type_requested")
         canonical = F.create_map(*[F.lit(x) for e in EVIDENCE_TYPES for x in (e.lower(), e)])
         evidence = F.coalesce(F.element_at(canonical, F.lower(evidence_raw)), first_upper(evidence_raw))
         follow = (F.when(note.contains("No call back."), F.lit(False)).when(note.contains("Call back agreed."), F.lit(True))
-                  .when(plain & low.rlike(FREE_NO_CALL_BACK), F.lit(False)).when(plain & low.rlike(FREE_CALL_BACK), F.lit(True)))
-        topic = F.nullif(classify_topic(low), F.lit(TOPIC_DEFAULT))
+                  .otherwise(F.col("_cap_free.call_back")))
         return F.struct(
             F.when(low.contains("leukemia") | low.contains("lymphoma") | low.contains("myeloma"),
                    F.lit("Hematology-Oncology"))
             .when(note.isNotNull(), F.lit("Oncology")).alias("therapeutic_area"),
-            or_free(cap("scientific_topic"), topic).alias("scientific_topic"),
+            or_free(cap("scientific_topic"), "topic").alias("scientific_topic"),
             cap("information_need").alias("information_need"),
-            or_free(cap("product_or_indication"), named(PRODUCTS)).alias("product_or_indication"),
-            or_free(first_upper(cap("sentiment")), free(FREE_SENTIMENT)).alias("sentiment"),
-            or_free(first_upper(cap("interest_level")), free(FREE_INTEREST)).alias("interest_level"),
+            or_free(cap("product_or_indication"), "product").alias("product_or_indication"),
+            or_free(first_upper(cap("sentiment")), "sentiment").alias("sentiment"),
+            or_free(first_upper(cap("interest_level")), "interest").alias("interest_level"),
             follow.alias("follow_up_requested"),
-            F.when(note.isNotNull(), F.coalesce(or_free(cap("competitor_mentioned"), named([c for c in COMPETITORS if c != "None"])),
-                                                F.lit("None"))).alias("competitor_mentioned"),
-            or_free(first_upper(cap("preferred_channel")), free(FREE_CHANNEL)).alias("preferred_channel"),
-            or_free(evidence, free(FREE_EVIDENCE)).alias("evidence_type_requested"),
+            F.when(note.isNotNull(), F.coalesce(or_free(cap("competitor_mentioned"), "competitor"), F.lit("None"))).alias("competitor_mentioned"),
+            or_free(first_upper(cap("preferred_channel")), "channel").alias("preferred_channel"),
+            or_free(evidence, "evidence").alias("evidence_type_requested"),
         )
 
     def _with_struct(self, df: DataFrame, prompt_col: str, out: str, to_text: bool) -> DataFrame:
@@ -155,10 +172,10 @@ class RegexExtractor:
         else:  # the instruction names the possible values: it must not be searched for them
             prompt, n = F.col(prompt_col), len(EXTRACTION_INSTRUCTION)
             note = F.when(prompt.startswith(EXTRACTION_INSTRUCTION), F.substring(prompt, n + 1, 1 << 30)).otherwise(prompt)
-        staged = self.captures(df, note)
+        staged = self.captures(df, note).withColumn("_cap_free", self.free_values(note))
         s = self.struct_from_captures(note)
         return staged.withColumn(out, F.to_json(s) if to_text else s).drop(
-            *[f"_cap_{name}" for name in FIELD_PATTERNS], "_cap_lower")
+            *[f"_cap_{name}" for name in FIELD_PATTERNS], "_cap_lower", "_cap_free")
 
     def apply(self, df: DataFrame, prompt_col: str = "prompt") -> DataFrame:
         """The response text (JSON), as any extractor returns it."""
