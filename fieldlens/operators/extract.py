@@ -105,21 +105,25 @@ class RegexExtractor:
 
     @staticmethod
     def captures(df: DataFrame, note: Column) -> DataFrame:
-        """``df`` plus one ``_cap_<field>`` column per pattern (NULL when absent) and
-        ``_cap_lower``, the lower-cased note."""
+        """``df`` plus one ``_cap_<field>`` column per pattern (NULL when absent), ``_cap_free`` (:meth:`free_values`) and
+        ``_cap_lower``, the lower-cased note.
+
+        Lambdas have no generated code, so a projection with one copies its rows: all lambdas are in one projection.
+        """
         packed = F.when(~note.contains(_SEP), F.split(
             F.regexp_replace(note, TEMPLATE_PATTERN, _SEP.join(f"${i}" for i in range(1, 9))), _SEP))
         staged = df.withColumn("_cap_packed", packed)
         fast = F.size("_cap_packed") == len(FIELD_PATTERNS)
         searched = _seldom(note, lambda n: F.array(*[F.regexp_extract(n, pattern, 1) for pattern in FIELD_PATTERNS.values()]))
-        staged = staged.withColumn("_cap_all", F.when(fast, F.col("_cap_packed")).otherwise(searched))
+        staged = staged.select("*", F.when(fast, F.col("_cap_packed")).otherwise(searched).alias("_cap_all"),
+                               F.when(~F.coalesce(fast, F.lit(False)), RegexExtractor.free_values(note)).alias("_cap_free"))
         caps = [F.nullif(F.get("_cap_all", F.lit(i)), F.lit("")).alias(f"_cap_{name}") for i, name in enumerate(FIELD_PATTERNS)]
-        # the lower-cased note feeds three keyword tests: project it once
+        # the lower-cased note feeds keyword tests: project it once
         return staged.select("*", *caps, F.lower(note).alias("_cap_lower")).drop("_cap_packed", "_cap_all")
 
     @staticmethod
     def free_values(note: Column) -> Column:
-        """What words say in a note without a subject, as a struct; NULL for a labelled note."""
+        """What words say in a note without a subject, as a struct; NULL for a note with one."""
         def found(low: Column) -> Column:
             def free(entries: list[tuple[str, str]]) -> Column:
                 out = F.lit(None).cast("string")
@@ -138,8 +142,8 @@ class RegexExtractor:
                 F.when(low.rlike(FREE_NO_CALL_BACK), F.lit(False)).when(low.rlike(FREE_CALL_BACK), F.lit(True)).alias("call_back"))
 
         # a labelled note has a subject; only a note without one is searched for words
-        plain = note.isNotNull() & F.col("_cap_scientific_topic").isNull()
-        return F.when(plain, _seldom(F.col("_cap_lower"), found))
+        subject = FIELD_PATTERNS["scientific_topic"]
+        return _seldom(note, lambda n: F.when(F.regexp_extract(n, subject, 1) == "", _seldom(F.lower(n), found)))
 
     @staticmethod
     def struct_from_captures(note: Column) -> Column:
@@ -172,7 +176,7 @@ class RegexExtractor:
         else:  # the instruction names the possible values: it must not be searched for them
             prompt, n = F.col(prompt_col), len(EXTRACTION_INSTRUCTION)
             note = F.when(prompt.startswith(EXTRACTION_INSTRUCTION), F.substring(prompt, n + 1, 1 << 30)).otherwise(prompt)
-        staged = self.captures(df, note).withColumn("_cap_free", self.free_values(note))
+        staged = self.captures(df, note)
         s = self.struct_from_captures(note)
         return staged.withColumn(out, F.to_json(s) if to_text else s).drop(
             *[f"_cap_{name}" for name in FIELD_PATTERNS], "_cap_lower", "_cap_free")
@@ -270,13 +274,16 @@ def new_responses(interactions: DataFrame, cache: DataFrame | None, extractor=No
     sent to the extractor once, when that write runs.
     """
     extractor = extractor or RegexExtractor()
-    prompts = extract_prompt(interactions).withColumn("note_hash", note_hash(F.col("prompt")))
-    distinct = (prompts.filter(F.col("prompt").isNotNull())
-                .groupBy("note_hash").agg(F.min("prompt").alias("prompt")))
-    todo = distinct if cache is None else distinct.join(cache.select("note_hash"), "note_hash", "left_anti")
+    notes = interactions.filter(F.col("raw_notes").isNotNull()).select("raw_notes")
+    # notes travel without the instruction, hashes as bytes: half as long as their text
+    keyed = extract_prompt(notes).select(F.unhex(note_hash(F.col("prompt"))).alias("note_key"), "raw_notes")
+    todo = keyed.groupBy("note_key").agg(F.min("raw_notes").alias("raw_notes"))
+    if cache is not None:
+        todo = todo.join(cache.select(F.unhex("note_hash").alias("note_key")), "note_key", "left_anti")
+    todo = extract_prompt(todo).withColumn("note_hash", F.lower(F.hex("note_key")))
     if hasattr(extractor, "responses"):
-        return extractor.responses(todo).select("note_hash", "extracted_raw")
-    return extractor.apply(todo).select("note_hash", "extracted_raw")
+        return extractor.responses(todo.select("note_hash", "prompt")).select("note_hash", "extracted_raw")
+    return extractor.apply(todo.drop("note_key")).select("note_hash", "extracted_raw")
 
 
 def table_from_cache(interactions: DataFrame, cache: DataFrame) -> DataFrame:
@@ -284,9 +291,9 @@ def table_from_cache(interactions: DataFrame, cache: DataFrame) -> DataFrame:
 
     A cache that two runs filled at once may hold several responses of one note: the least counts, for every interaction.
     """
-    cache = cache.groupBy("note_hash").agg(F.min("extracted_raw").alias("extracted_raw"))
-    prompts = extract_prompt(interactions).withColumn("note_hash", note_hash(F.col("prompt")))
-    raw = prompts.join(cache.select("note_hash", "extracted_raw"), "note_hash", "left").drop("note_hash")
+    cache = cache.groupBy(F.unhex("note_hash").alias("note_key")).agg(F.min("extracted_raw").alias("extracted_raw"))
+    prompts = extract_prompt(interactions).withColumn("note_key", F.unhex(note_hash(F.col("prompt"))))
+    raw = prompts.join(cache, "note_key", "left").drop("note_key")
     parsed = raw.withColumn("j", parse_response(clean_json(F.col("extracted_raw"))))
     return apply_defaults(parsed).withColumn("topic_category", classify_topic(F.col("scientific_topic")))
 
@@ -299,5 +306,5 @@ def extract_incremental(spark: SparkSession, interactions: DataFrame, cache_path
     """
     schema = "note_hash STRING, extracted_raw STRING"
     stored = spark.read.schema(schema).parquet(cache_path) if path_has_files(spark, cache_path) else None
-    new_responses(interactions, stored, extractor).write.mode("append").parquet(cache_path)
+    new_responses(interactions, stored, extractor).write.mode("append").option("compression", "zstd").parquet(cache_path)
     return table_from_cache(interactions, spark.read.schema(schema).parquet(cache_path))

@@ -52,20 +52,34 @@ def interest_weight() -> Column:
             .when(F.col("interest_level") == "Medium", 2).otherwise(1))
 
 
-def latest_signals() -> Column:
-    """What the profile takes from an HCP's newest note."""
-    return F.struct(
-        F.col("information_need").alias("recent_question"),
-        F.col("evidence_type_requested").alias("recent_evidence_request"),
-        F.nullif(F.col("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
-        F.col("preferred_channel"))
+LATEST_COLUMNS = ["recent_question", "recent_evidence_request", "recent_competitor_interest", "preferred_channel"]
+BRIEF_COLUMNS = ["channel", "scientific_topic", "information_need", "sentiment",
+                 "interest_level", "follow_up_requested", "evidence_type_requested", "competitor_mentioned"]
 
 
-def briefing_note() -> Column:
+def _of_note(columns: list, note: str | None = None) -> Column:
+    """Day and id of a note, then ``columns``: the greatest such struct is the newest note's."""
+    return F.struct(*[F.col(f"{note}.{c}" if note else c) for c in ("interaction_date", "interaction_id")], *columns)
+
+
+def latest_signals(note: str | None = None) -> Column:
+    """What the profile takes from an HCP's newest note (the columns, or a struct column ``note`` of them)."""
+    c = lambda name: F.col(f"{note}.{name}" if note else name)
+    return _of_note([
+        c("information_need").alias("recent_question"),
+        c("evidence_type_requested").alias("recent_evidence_request"),
+        F.nullif(c("competitor_mentioned"), F.lit("None")).alias("recent_competitor_interest"),
+        c("preferred_channel")], note)
+
+
+def briefing_note(note: str | None = None) -> Column:
     """What a briefing takes from an HCP's newest note."""
-    return F.struct(
-        "interaction_date", "channel", "scientific_topic", "information_need", "sentiment",
-        "interest_level", "follow_up_requested", "evidence_type_requested", "competitor_mentioned")
+    return _of_note([F.col(f"{note}.{c}" if note else c) for c in BRIEF_COLUMNS], note)
+
+
+def whole_note() -> Column:
+    """All that :func:`latest_signals` and :func:`briefing_note` take."""
+    return _of_note([F.col(c) for c in [*BRIEF_COLUMNS, "preferred_channel"]])
 
 
 def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
@@ -77,7 +91,6 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
     once; the per-HCP level then re-aggregates at most one row per topic.
     """
     age = days_since(s.as_of, F.col("interaction_date"))
-    latest_key = F.struct("interaction_date", "interaction_id")
     return extracted.groupBy("hcp_id", "topic_category").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(age <= s.recent_days, 1)).alias("n30"),
@@ -90,9 +103,9 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
         F.count(F.when(F.col("follow_up_requested"), 1)).alias("follow_ups"),
         F.max("interaction_date").alias("last_date"),
         F.max("sentiment").alias("max_sentiment"),
-        F.max_by(latest_signals(), latest_key).alias("latest"),
-        F.max_by(briefing_note(), latest_key).alias("brief"),
-        F.max(latest_key).alias("latest_key"),
+        # day and id begin each struct, so a row carries them once in each of the two that a query reads
+        F.max(latest_signals()).alias("latest"),
+        F.max(briefing_note()).alias("brief"),
     )
 
 
@@ -126,8 +139,8 @@ def msl_rollup(notes_r: DataFrame, s: Settings) -> DataFrame:
         F.sum("follow_ups").alias("follow_ups_requested"),
         F.count("topic_category").alias("distinct_topics"),
         F.max("max_sentiment").alias("sample_sentiment"),
-        F.max_by("latest", "latest_key").alias("latest"),
-        F.max_by("brief", "latest_key").alias("brief"),
+        F.max("latest").alias("latest"),
+        F.max("brief").alias("brief"),
         # one entry per topic category of the HCP: bounded by the classifier's categories
         F.collect_list(F.struct("topic_category", "score_dec", "n")).alias("topic_list"),
         F.min_by(F.struct(F.col("topic_category").alias("topic"), F.col("score_dec").alias("score")),
@@ -146,7 +159,7 @@ def interaction_summary(msl_r: DataFrame) -> DataFrame:
 
 def latest_note(msl_r: DataFrame) -> DataFrame:
     """Signals of the newest note per HCP (ties: highest interaction_id)."""
-    return msl_r.select("hcp_id", "latest.*")
+    return msl_r.select("hcp_id", *[F.col(f"latest.{c}") for c in LATEST_COLUMNS])
 
 
 def topic_interest(notes_r: DataFrame, s: Settings) -> DataFrame:

@@ -32,15 +32,20 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 BYTES_A_PARTITION = 4 << 20
+SHUFFLED_BYTES_A_TASK = 16 << 20   # of narrow keys, which a task then builds and sorts ten times as wide rows from
 
 
 def spread(spark: SparkSession, sf_dir: str) -> int:
     """Let shuffles begin with a partition per ``BYTES_A_PARTITION`` of the tables' files, if that is more than the session's own number.
 
     A task then sorts and aggregates about as many rows on large tables as on small ones; AQE merges what is
-    too small. A larger number in the session stays. Returns the number that shuffles begin with.
+    too small, up to ``SHUFFLED_BYTES_A_TASK``: at its usual 64 MB a task gets millions of notes to sort and spills them. A larger
+    number and a smaller size in the session stay. Returns the number that shuffles begin with.
     """
     jvm = spark.sparkContext._jvm
+    merge = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(merge)) > SHUFFLED_BYTES_A_TASK:
+        spark.conf.set(merge, str(SHUFFLED_BYTES_A_TASK))
     root = jvm.org.apache.hadoop.fs.Path(sf_dir)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     tables = [jvm.org.apache.hadoop.fs.Path(root, f"{name}.parquet") for name in STAR_TABLES]

@@ -176,3 +176,21 @@ def test_single_pass_equals_per_field_search(spark):
     off_template = odd.first().raw_notes
     got = caps.filter(n == off_template).select("_cap_scientific_topic").first()[0]
     assert got == "dosing"
+
+
+def test_lambdas_of_notes_off_the_template_are_in_one_projection(spark):
+    notes = spark.createDataFrame([("i1", "h", "m", None, "Email", 5, "Contact (phone).")],
+                                  "interaction_id string, hcp_id string, msl_name string, interaction_date date, channel string, "
+                                  "duration_minutes int, raw_notes string")
+    plan = X.silver_extracted(notes.repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Project" in line and "lambdafunction(" in line]) == 1
+
+
+def test_notes_are_shuffled_without_the_instruction_and_with_short_keys(spark):
+    notes = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "raw_notes string")
+    cached = X.new_responses(notes.where("raw_notes = 'a'"), None)
+    new = X.new_responses(notes, cached)
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [note_key") == 2 and "Aggregate [note_hash" not in plan and "min(prompt" not in plan
+    expected = X.extract_prompt(notes).where("raw_notes = 'b'").select(X.note_hash(F.col("prompt"))).first()[0]
+    assert [r["note_hash"] for r in new.collect()] == [expected]

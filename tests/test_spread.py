@@ -24,3 +24,17 @@ def test_partitions_follow_the_size_of_the_tables(spark, tmp_dir, monkeypatch):
         assert tables.spread(spark, tmp_dir) == 1_000_000 == int(spark.conf.get(INITIAL))   # a larger number stays
     finally:
         spark.conf.unset(INITIAL) if before is None else spark.conf.set(INITIAL, before)
+
+
+def test_tasks_get_a_few_mb_of_shuffled_keys(spark, tmp_dir):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64MB")
+        tables.spread(spark, tmp_dir)
+        assert int(spark.conf.get(name)) == tables.SHUFFLED_BYTES_A_TASK
+        spark.conf.set(name, "1MB")
+        tables.spread(spark, tmp_dir)
+        assert spark.conf.get(name) == "1MB"   # a smaller size stays
+    finally:
+        spark.conf.set(name, before)

@@ -65,6 +65,49 @@ def test_waves_merge_and_are_stored_once(spark, tmp_dir):
     same(store.rollup(DEFAULT), G.note_rollup(rows, DEFAULT))
 
 
+def test_compaction_copies_days_of_one_commit(spark, tmp_dir, monkeypatch):
+    from fieldlens.plans import states as ST
+
+    rows = notes(spark)
+    day = DEFAULT.as_of - dt.timedelta(days=100)
+    store = NoteStates(spark, f"{tmp_dir}/s")
+    older = rows.where((rows.interaction_date < str(day)) | (rows.interaction_id == "i0001"))
+    store.update(0, lambda after: older)
+    store.update(1, lambda after: rows.join(older.select("interaction_id"), "interaction_id", "left_anti"))
+    first, second = [{r[0] for r in spark.read.parquet(f).select("day").distinct().collect()} for f in store.folders("states")]
+    seen, make = [], ST.merged
+
+    def watched(states, keys, more=None):
+        seen.append({r[0] for r in states.select("day").distinct().collect()})
+        return make(states, keys, more)
+
+    monkeypatch.setattr(ST, "merged", watched)
+    store.compact()
+    assert seen == [first & second] and len(first & second) < len(first | second)
+    monkeypatch.undo()
+    keys = store.states().select("hcp_id", "topic_category", "day")
+    assert keys.count() == keys.distinct().count()
+    same(store.rollup(DEFAULT), G.note_rollup(rows, DEFAULT))
+
+
+def test_states_of_the_former_form_are_read(spark, tmp_dir):
+    rows = notes(spark)
+    store = NoteStates(spark, f"{tmp_dir}/s")
+    made = day_states(rows.where("crc32(interaction_id) % 2 = 0"))
+    former = made.selectExpr(
+        "hcp_id", "topic_category", "day", "n", "w_sum", "dur_sum", "dur_n", "follow_ups", "max_sentiment",
+        "struct(newest.preferred_channel) AS latest", "struct(newest.interaction_date, newest.channel, newest.scientific_topic, "
+        "newest.information_need, newest.sentiment, newest.interest_level, newest.follow_up_requested, newest.evidence_type_requested, "
+        "newest.competitor_mentioned) AS brief", "struct(newest.interaction_date, newest.interaction_id) AS latest_key")
+    folder = store.log.folder_for_data("states")
+    former.write.parquet(folder)
+    store.log.append(lambda entries: {"extracted": [], "states": [folder], "through": 0, "replaces": True})
+    store.update(1, lambda after: rows.where("crc32(interaction_id) % 2 = 1"))
+    same(store.rollup(DEFAULT), G.note_rollup(rows, DEFAULT))
+    store.compact()
+    same(store.rollup(DEFAULT), G.note_rollup(rows, DEFAULT))
+
+
 def test_two_refreshes_at_once_store_each_batch_once(spark, tmp_dir):
     rows = notes(spark, 60)
     store = NoteStates(spark, f"{tmp_dir}/s")
