@@ -37,6 +37,7 @@ gives no file and an empty result; other columns are not read.
 from __future__ import annotations
 
 import contextlib
+import gc
 import itertools
 import json
 import re
@@ -44,6 +45,7 @@ import struct
 import sys
 import types
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
@@ -54,7 +56,7 @@ from .text import read_table, shared_folder, whole
 
 FRAME_IDS = 1 << 16
 END_ID = 0
-MEMO_BYTES = 200 << 20  # what a worker remembers of pieces and their ids
+MEMO_BYTES = 260 << 20  # what a worker remembers of pieces and their ids
 MEMO_CHARS = 64         # longer pieces aren't remembered
 ENTRY_BYTES = 220       # of a piece with its ids: two objects and their place
 WORDS_AT_ONCE = 256     # of words in one text for the library
@@ -107,6 +109,7 @@ class Encoder:
         self.begins[[i for t, i in vocabulary.items() if t[0] == SPACE]] = True
         self.known: dict[str, bytes] = {}
         self.held, self.memo_bytes = 0, memo_bytes
+        self.marks = dict(zip(sorted(MARKS), self._library(sorted(MARKS))))
 
     def _library(self, texts: list[str]) -> list[bytes]:
         from array import array
@@ -115,7 +118,16 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in made]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
+        """The ids of each text. Lists of pieces hold no cycles: the collector, which would walk them again and again, rests."""
+        resting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if resting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         easy = [self.by_piece and not _gaps(t) and not ODD.search(t) and not (self.added and self.added.search(t)) for t in texts]
         known, split, found, gaps = self.known, [], [], []
         for t, e in zip(texts, easy):  # one look-up a piece; what is missing is filled in below
@@ -125,7 +137,7 @@ class Encoder:
             ids = list(map(known.get, pieces))
             split.append(pieces)
             found.append(ids)
-            gaps.append([i for i, x in enumerate(ids) if x is None] if None in ids else [])
+            gaps.append([i for i, x in enumerate(ids) if x is None])
         new = {pieces[i] for pieces, where in zip(split, gaps) for i in where}
         made = self._pieces(new)
         hard = iter(self._library([t for t, e in zip(texts, easy) if not e]))
@@ -142,16 +154,17 @@ class Encoder:
 
         A piece or word stands for itself behind a space; one without a space before it has FIRST there.
         """
-        known, cut, words = self.known, [], {}
+        known, marks, marked, cut, words = self.known, self.marks, [], [], {}
         for p in new:
-            body, mark = p[:-1], p[-1:]
             if p.isalpha():   # the usual pieces: a word, and a word with a mark
                 words[p] = None
                 continue
-            if mark in MARKS and body.isalpha():
-                ws = [body, FIRST + mark]
-            else:
-                ws = [w[1:] if w[0] == " " else FIRST + w for w in WORDS.findall(p[1:] if p[:1] == FIRST else " " + p)]
+            if p[-1:] in marks and (body := p[:-1]).isalpha():
+                marked.append(p)
+                if body not in known:
+                    words[body] = None
+                continue
+            ws = [w[1:] if w[0] == " " else FIRST + w for w in WORDS.findall(p[1:] if p[:1] == FIRST else " " + p)]
             if len(ws) == 1:
                 words[p] = None
             else:
@@ -162,6 +175,9 @@ class Encoder:
         words.update(zip(unknown, self._words(unknown)))
         made = [(p, b"".join([words[w] for w in ws])) for p, ws in cut]
         words.update(made)
+        for p in marked:
+            body = p[:-1]
+            words[p] = (words.get(body) or known[body]) + marks[p[-1]]
         short = words if max(map(len, words), default=0) <= MEMO_CHARS else {p: ids for p, ids in words.items() if len(p) <= MEMO_CHARS}
         before = len(known)
         known.update(short)
@@ -187,13 +203,17 @@ class Encoder:
 
     def _forget(self) -> None:
         """Half of the memory is freed; the shorter pieces stay, which come again most."""
-        kept, left = {}, self.memo_bytes // 2
-        for p in sorted(self.known, key=len):
-            left -= ENTRY_BYTES
+        lengths, left, longest = Counter(map(len, self.known)), self.memo_bytes // 2, 0
+        for longest in sorted(lengths):
+            left -= lengths[longest] * ENTRY_BYTES
             if left < 0:
                 break
-            kept[p] = self.known[p]
-        self.known, self.held = kept, len(kept) * ENTRY_BYTES
+        gone = -(left // ENTRY_BYTES) if left < 0 else 0   # of the longest that stay some go
+        drop = [p for p in self.known if len(p) > longest]
+        drop += itertools.islice((p for p in self.known if len(p) == longest), gone)
+        for p in drop:
+            del self.known[p]
+        self.held = len(self.known) * ENTRY_BYTES
 
 
 def _encoder(path: str, plain_special: bool, memo_bytes: int = MEMO_BYTES) -> Encoder:
