@@ -26,3 +26,10 @@ def test_collector_rests_while_texts_are_encoded(monkeypatch):
     monkeypatch.setattr(coder, "_library", lambda texts: (seen.append(gc.isenabled()), make(texts))[1])
     coder.encode(["some words, here."])
     assert seen and not any(seen) and gc.isenabled()
+
+
+def test_texts_are_encoded_few_at_a_time():
+    from fieldlens.llm.token_files import ENCODE_CHARS, _missing
+
+    assert ENCODE_CHARS <= 100_000   # the pieces of a batch fit a core's cache
+    assert _missing([None, b"a", None, None]) == [0, 2, 3] and _missing([b"a"]) == _missing([]) == []
