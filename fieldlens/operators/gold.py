@@ -14,6 +14,8 @@ back as DECIMAL at their known scale, which is exact.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,16 +84,17 @@ def whole_note() -> Column:
     return _of_note([F.col(c) for c in [*BRIEF_COLUMNS, "preferred_channel"]])
 
 
-def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
+def note_rollup(extracted: DataFrame, s: Settings, more: Sequence[str] = ()) -> DataFrame:
     """One aggregate of the extracted notes per (HCP, topic) holding every partial
     that the per-HCP and per-topic tables need.
 
     Both :func:`msl_rollup` and :func:`topic_interest` read this frame, so a
     plan that needs both scans and extracts the notes once and shuffles them
     once; the per-HCP level then re-aggregates at most one row per topic.
+    Columns ``more`` are further keys.
     """
     age = days_since(s.as_of, F.col("interaction_date"))
-    return extracted.groupBy("hcp_id", "topic_category").agg(
+    return extracted.groupBy("hcp_id", "topic_category", *more).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(age <= s.recent_days, 1)).alias("n30"),
         F.count(F.when(age.between(s.recent_days + 1, s.prior_days), 1)).alias("n31_60"),
@@ -109,6 +112,16 @@ def note_rollup(extracted: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+ROLLUP_SUMS = ["n", "n30", "n31_60", "n90", "n180", "w_sum", "dur_sum", "dur_n", "follow_ups"]
+
+
+def merged_rollup(parts: DataFrame) -> DataFrame:
+    """:func:`note_rollup` of all notes from the rollups of disjoint parts of them, as of the same day: sums add up, greatest values stay."""
+    greatest = [c for c in parts.columns if c not in ("hcp_id", "topic_category", *ROLLUP_SUMS)]
+    return parts.groupBy("hcp_id", "topic_category").agg(
+        *[F.sum(c).alias(c) for c in ROLLUP_SUMS], *[F.max(c).alias(c) for c in greatest]).select(*parts.columns)
+
+
 def topic_frame(notes_r: DataFrame, s: Settings) -> DataFrame:
     """Per (HCP, topic): the partials plus the rounded interest weight and score."""
     avg_w = quotient(F.col("w_sum"), F.col("n"))
@@ -311,8 +324,14 @@ def channel_engagement(hcp, dig_r, msl_r, cg_r, inq_r, s: Settings) -> DataFrame
 def hcp_profile(hcp: DataFrame, notes_r: DataFrame, inquiries: DataFrame, congress: DataFrame,
                 digital: DataFrame, publications: DataFrame, s: Settings) -> DataFrame:
     """Wide per-HCP frame from which G9, G10 and G11 are projected."""
-    j = rollup_frame(hcp, msl_rollup(notes_r, s), digital_rollup(digital), congress_rollup(congress),
-                     inquiry_rollup(inquiries), pubs_tracked(publications))
+    return profile_of_rollups(hcp, msl_rollup(notes_r, s), digital_rollup(digital), congress_rollup(congress),
+                              inquiry_rollup(inquiries), pubs_tracked(publications), s)
+
+
+def profile_of_rollups(hcp: DataFrame, msl_r: DataFrame, dig_r: DataFrame, cg_r: DataFrame, inq_r: DataFrame,
+                       pubs_r: DataFrame, s: Settings) -> DataFrame:
+    """:func:`hcp_profile` from rollups that may be stored."""
+    j = rollup_frame(hcp, msl_r, dig_r, cg_r, inq_r, pubs_r)
     ch = _channel_columns(s)
     z = _z
     rate = F.coalesce(_open_rate(), dec("0.000"))

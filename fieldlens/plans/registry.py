@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import consumers as C
@@ -395,8 +395,45 @@ def _before(lh: Lakehouse) -> Lakehouse:
     return older
 
 
+def _two_versions(lh: Lakehouse) -> tuple[Lakehouse, Lakehouse]:
+    """:func:`_before` and the tables as they are now, for the queue: what both read is rolled up once and stored.
+
+    Each note is extracted once and added to the rollup of its wave; all notes are the merged rollups of both. The other
+    rollups are the same in both versions. Of the notes only what the queue reads is stored; the rest is NULL.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..session import work_dir
+
+    s, root = lh.settings, work_dir(lh.spark, "queue-rollups")
+    notes = X.silver_extracted(lh.table("bronze_msl_interactions").withColumn("older", F.coalesce(_is_older(lh), F.lit(False))),
+                               lh.extractor, more=["older"])
+    waves = G.note_rollup(notes, s, ["older"])
+    unread = ["max_sentiment", "brief"]
+    frames = {"notes": waves.drop(*unread), "digital": G.digital_rollup(lh.table("silver_digital")),
+              "congress": G.congress_rollup(lh.table("silver_congress")).drop("session_topics"),
+              "inquiries": G.inquiry_rollup(lh.table("silver_inquiries")), "pubs": G.pubs_tracked(lh.table("silver_publications"))}
+    with ThreadPoolExecutor(len(frames)) as pool:
+        for job in [pool.submit(f.write.parquet, f"{root}/{name}") for name, f in frames.items()]:
+            job.result()
+    stored = {name: lh.spark.read.parquet(f"{root}/{name}") for name in frames}
+    parts = stored["notes"].select("*", *[F.lit(None).cast(waves.schema[c].dataType).alias(c) for c in unread])
+    before, now = _before(lh), Lakehouse(lh.spark, lh.sf_dir, s)
+    before.replace("note_rollup", parts.where("older").drop("older"))
+    now.replace("note_rollup", G.merged_rollup(parts.drop("older")))
+    for version in (before, now):
+        version.replace("hcp_profile", G.profile_of_rollups(
+            version.table("silver_hcp"), G.msl_rollup(version.table("note_rollup"), s), stored["digital"], stored["congress"],
+            stored["inquiries"], stored["pubs"], s))
+    return before, now
+
+
+def _is_older(lh: Lakehouse) -> Column:
+    return F.col("interaction_date") < F.date_sub(F.lit(lh.settings.as_of), 120)
+
+
 def older_notes(lh: Lakehouse) -> DataFrame:
-    return lh.table("bronze_msl_interactions").filter(F.col("interaction_date") < F.date_sub(F.lit(lh.settings.as_of), 120))
+    return lh.table("bronze_msl_interactions").filter(_is_older(lh))
 
 
 @register("queue_changes")
@@ -405,8 +442,8 @@ def _queue_changes(lh: Lakehouse) -> DataFrame:
     from ..session import work_dir
 
     root = work_dir(lh.spark, "serving-feed") + "/msl_action_queue"
-    SV.publish_snapshot(SV.action_queue(_before(lh).table("next_best_engagement")), root)
-    SV.publish_snapshot(SV.action_queue(lh.table("next_best_engagement")), root)
+    for version in _two_versions(lh):
+        SV.publish_snapshot(SV.action_queue(version.table("next_best_engagement")), root)
     return SV.changes(SV.snapshot_at(lh.spark, root, 1), SV.snapshot_at(lh.spark, root, 2))
 
 

@@ -5,6 +5,8 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark.sql import functions as F
+
 from fieldlens.config import DEFAULT
 from fieldlens.operators import extract as X
 from fieldlens.operators import gold as G
@@ -41,6 +43,24 @@ def test_states_give_the_rollup_of_any_day(spark):
         same(rollup(day_states(rows), s), G.note_rollup(rows, s))
 
 
+def test_rollups_of_waves_merge_to_the_rollup_of_all_notes(spark):
+    rows = notes(spark).withColumn("wave", F.expr("crc32(interaction_id) % 3"))
+    parts = G.note_rollup(rows, DEFAULT, ["wave"])
+    same(G.merged_rollup(parts.drop("wave")), G.note_rollup(rows, DEFAULT))
+    same(parts.where("wave = 1").drop("wave"), G.note_rollup(rows.where("wave = 1"), DEFAULT))
+
+
+def test_both_queue_versions_read_stored_rollups(spark):
+    """Notes, congress rows, inquiries and digital touches are rolled up once for the two versions that are compared."""
+    from fieldlens.plans import registry as R
+
+    lh = R.lakehouse(spark, "/root/testdata/sf0.001")
+    for stored, whole in zip(R._two_versions(lh), (R._before(lh), lh)):
+        queue = stored.table("next_best_engagement")
+        assert not [f for f in queue.inputFiles() if any(t in f for t in ("lineitem", "orders", "events"))]
+        same(queue, whole.table("next_best_engagement"))
+
+
 def test_waves_merge_and_are_stored_once(spark, tmp_dir):
     rows = notes(spark)
     store, asked = NoteStates(spark, f"{tmp_dir}/s"), []
