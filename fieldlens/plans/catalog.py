@@ -66,23 +66,24 @@ class Lakehouse:
             "gold_content_shared": (["silver_content_shared"],
                                     lambda: G.gold_passthrough(t("silver_content_shared"))),
             "note_rollup": (["silver_extracted"], lambda: G.note_rollup(t("silver_extracted"), s)),
-            "interaction_summary": (["note_rollup"],
-                                    lambda: G.interaction_summary(G.msl_rollup(t("note_rollup"), s))),
+            # rollups that several tables read: a refresh makes each once
+            "msl_rollup": (["note_rollup"], lambda: G.msl_rollup(t("note_rollup"), s)),
+            "congress_rollup": (["silver_congress"], lambda: G.congress_rollup(t("silver_congress"))),
+            "digital_rollup": (["silver_digital"], lambda: G.digital_rollup(t("silver_digital"))),
+            "inquiry_rollup": (["silver_inquiries"], lambda: G.inquiry_rollup(t("silver_inquiries"))),
+            "pubs_rollup": (["silver_publications"], lambda: G.pubs_tracked(t("silver_publications"))),
+            "interaction_summary": (["msl_rollup"], lambda: G.interaction_summary(t("msl_rollup"))),
             "topic_interest": (["note_rollup"], lambda: G.topic_interest(t("note_rollup"), s)),
-            "congress_engagement": (["silver_congress", "silver_hcp"], lambda: G.congress_engagement(
-                G.congress_rollup(t("silver_congress")), t("silver_hcp"))),
+            "congress_engagement": (["congress_rollup", "silver_hcp"], lambda: G.congress_engagement(
+                t("congress_rollup"), t("silver_hcp"))),
             "channel_engagement": (
-                ["silver_hcp", "silver_digital", "note_rollup", "silver_congress", "silver_inquiries"],
-                lambda: G.channel_engagement(
-                    t("silver_hcp"), G.digital_rollup(t("silver_digital")),
-                    G.msl_rollup(t("note_rollup"), s), G.congress_rollup(t("silver_congress")),
-                    G.inquiry_rollup(t("silver_inquiries")), s)),
+                ["silver_hcp", "digital_rollup", "msl_rollup", "congress_rollup", "inquiry_rollup"],
+                lambda: G.channel_engagement(t("silver_hcp"), t("digital_rollup"), t("msl_rollup"), t("congress_rollup"),
+                                             t("inquiry_rollup"), s)),
             "hcp_profile": (
-                ["silver_hcp", "note_rollup", "silver_inquiries", "silver_congress",
-                 "silver_digital", "silver_publications"],
-                lambda: G.hcp_profile(t("silver_hcp"), t("note_rollup"), t("silver_inquiries"),
-                                      t("silver_congress"), t("silver_digital"),
-                                      t("silver_publications"), s)),
+                ["silver_hcp", "msl_rollup", "digital_rollup", "congress_rollup", "inquiry_rollup", "pubs_rollup"],
+                lambda: G.profile_of_rollups(t("silver_hcp"), t("msl_rollup"), t("digital_rollup"), t("congress_rollup"),
+                                             t("inquiry_rollup"), t("pubs_rollup"), s)),
             "hcp_360": (["hcp_profile"], lambda: G.hcp_360(t("hcp_profile"))),
             "hcp_priority": (["hcp_profile"], lambda: G.hcp_priority(t("hcp_profile"), s)),
             "next_best_engagement": (["hcp_profile"], lambda: G.next_best_engagement(t("hcp_profile"), s)),

@@ -410,21 +410,19 @@ def _two_versions(lh: Lakehouse) -> tuple[Lakehouse, Lakehouse]:
                                lh.extractor, more=["older"])
     waves = G.note_rollup(notes, s, ["older"])
     unread = ["max_sentiment", "brief"]
-    frames = {"notes": waves.drop(*unread), "digital": G.digital_rollup(lh.table("silver_digital")),
-              "congress": G.congress_rollup(lh.table("silver_congress")).drop("session_topics"),
-              "inquiries": G.inquiry_rollup(lh.table("silver_inquiries")), "pubs": G.pubs_tracked(lh.table("silver_publications"))}
+    frames = {"notes": waves.drop(*unread), "congress_rollup": lh.table("congress_rollup").drop("session_topics"),
+              **{name: lh.table(name) for name in ("digital_rollup", "inquiry_rollup", "pubs_rollup")}}
     with ThreadPoolExecutor(len(frames)) as pool:
         for job in [pool.submit(f.write.parquet, f"{root}/{name}") for name, f in frames.items()]:
             job.result()
     stored = {name: lh.spark.read.parquet(f"{root}/{name}") for name in frames}
-    parts = stored["notes"].select("*", *[F.lit(None).cast(waves.schema[c].dataType).alias(c) for c in unread])
+    parts = stored.pop("notes").select("*", *[F.lit(None).cast(waves.schema[c].dataType).alias(c) for c in unread])
     before, now = _before(lh), Lakehouse(lh.spark, lh.sf_dir, s)
     before.replace("note_rollup", parts.where("older").drop("older"))
     now.replace("note_rollup", G.merged_rollup(parts.drop("older")))
     for version in (before, now):
-        version.replace("hcp_profile", G.profile_of_rollups(
-            version.table("silver_hcp"), G.msl_rollup(version.table("note_rollup"), s), stored["digital"], stored["congress"],
-            stored["inquiries"], stored["pubs"], s))
+        for name, rows in stored.items():
+            version.replace(name, rows)
     return before, now
 
 

@@ -137,6 +137,17 @@ def test_two_refreshes_at_once_store_each_batch_once(spark, tmp_dir):
     same(store.rollup(DEFAULT), G.note_rollup(rows, DEFAULT))
 
 
+def test_refresh_makes_each_rollup_once(spark, tmp_dir):
+    """Tables that share a rollup read the stored one, not the rows behind it."""
+    lh = Lakehouse(spark, "/root/testdata/sf0.001")
+    lh.refresh(f"{tmp_dir}/out")
+    for name, (needs, build) in lh.builders.items():
+        if name in ("interaction_summary", "congress_engagement", "channel_engagement", "hcp_profile"):
+            read = {f.split("/")[-2] for f in build().inputFiles()}
+            assert read == set(needs), name
+            assert not read & {"note_rollup", "silver_congress", "silver_digital", "silver_inquiries", "silver_publications"}
+
+
 def test_refresh_keeps_the_counts_it_observed(spark, tmp_dir):
     lh = Lakehouse(spark, SF)
     written = lh.refresh(f"{tmp_dir}/out")
