@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TOPIC_DEFAULT, TOPIC_RULES
@@ -50,6 +51,27 @@ def classify_topic(topic: Column) -> Column:
     return expr.otherwise(F.lit(TOPIC_DEFAULT))
 
 
+GROUP_BUCKETS = 4096          # of the hash of a group's keys
+HOT_BUCKET_ROWS = 1_000_000   # a bucket of more rows, and of several times the usual, holds a hot group
+HOT_BUCKET_SHARE = 8
+
+
+def aggregate_by(rows: DataFrame, keys: list[str], aggregate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``aggregate(rows)``, whose groups are those of ``keys`` or parts of them, with the rows shuffled by ``keys`` as they are.
+
+    Where a task has about a row per group, rows as they are take less room in a shuffle than the states made of them, and
+    all groups of equal ``keys`` come out in one place. Rows of hot keys are added up before they are shuffled:
+    ``rows`` are counted first by the hash of their keys, so they should be stored.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(GROUP_BUCKETS))
+    sizes = {r[0]: r[1] for r in rows.groupBy(bucket.alias("b")).count().collect()}   # at most GROUP_BUCKETS
+    most = max(HOT_BUCKET_ROWS, HOT_BUCKET_SHARE * sum(sizes.values()) / GROUP_BUCKETS)
+    hot = [b for b, n in sizes.items() if n > most]
+    if not hot:
+        return aggregate(rows.repartition(*keys))
+    return aggregate(rows.where(~bucket.isin(hot)).repartition(*keys)).unionByName(aggregate(rows.where(bucket.isin(hot))))
+
+
 def path_has_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its file system (local, HDFS, object store)."""
     jvm = spark.sparkContext._jvm

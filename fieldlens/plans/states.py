@@ -17,11 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.common import aggregate_by
 from ..operators import gold as G
+from ..session import shuffles_freed
 from .commitlog import CommitLog
 
 KEYS = ["hcp_id", "topic_category", "day"]
 SUMS = ["n", "w_sum", "dur_sum", "dur_n", "follow_ups"]
+# what states are made of
+NOTE = ["hcp_id", "topic_category", "interaction_date", "interaction_id", "duration_minutes", *G.BRIEF_COLUMNS, "preferred_channel"]
 STATES = "day-states"   # how folders of states are named; those of the former form are named "states"
 
 
@@ -66,15 +70,18 @@ class NoteStates:
         """Store the notes of the batches after the stored ones up to ``through``.
 
         ``extracted(after)`` gives their extracted rows. Extraction runs once, in the write of the rows; the states are
-        made from what was written. When another refresh came first, the batches that it stored are left out.
+        made from what was written, those of an HCP and topic in one file, so a rollup adds them up before it shuffles them.
+        When another refresh came first, the batches that it stored are left out.
         """
         def prepare(entries: list[dict]) -> dict | None:
             after = entries[-1]["through"] if entries else -1
             if through <= after:
                 return None
             rows, states = self.log.folder_for_data("extracted"), self.log.folder_for_data(STATES)
-            extracted(after).write.option("compression", "zstd").parquet(rows)
-            day_states(self.spark.read.parquet(rows)).write.option("compression", "zstd").parquet(states)
+            with shuffles_freed(self.spark):
+                extracted(after).write.option("compression", "zstd").parquet(rows)
+                made = aggregate_by(self.spark.read.parquet(rows).select(*NOTE), KEYS[:2], day_states)
+                made.write.option("compression", "zstd").parquet(states)
             return {"extracted": [*(entries[-1]["extracted"] if entries else []), rows],
                     "states": [*(entries[-1]["states"] if entries else []), states], "through": through, "replaces": True}
 
@@ -125,7 +132,8 @@ class NoteStates:
             several = F.col("day").eqNullSafe(F.col("__day"))
             kept = rows.join(F.broadcast(days), several, "left_anti").drop("__commit")
             both = merged(rows.join(F.broadcast(days), several, "left_semi"), KEYS)
-            kept.unionByName(both).write.option("compression", "zstd").parquet(folder)
+            with shuffles_freed(self.spark):
+                kept.unionByName(both).write.option("compression", "zstd").parquet(folder)
             return {**{k: entries[-1][k] for k in ("extracted", "through")}, "states": [folder], "replaces": True}
 
         return self.log.append(prepare)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +41,33 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: dict[str, list] = {}   # session -> writers inside, the setting before the first of them
+_freeing_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside remove their shuffle files as soon as they are done.
+
+    Without it they stay on the disks until the driver's garbage collector finds the plan, so a job of several writes
+    holds the shuffles of all of them. Only for frames that are written once: one that runs again shuffles again.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _freeing_lock:
+        inside = _freeing.setdefault(session, [0, spark.conf.get(FREE_SHUFFLES, None)])
+        inside[0] += 1
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            inside[0] -= 1
+            if not inside[0]:
+                del _freeing[session]
+                spark.conf.unset(FREE_SHUFFLES) if inside[1] is None else spark.conf.set(FREE_SHUFFLES, inside[1])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -168,3 +168,70 @@ def test_a_doubled_cache_doubles_no_note(spark):
     doubled = cache.unionByName(cache).unionByName(cache.selectExpr("note_hash", "'{}' AS extracted_raw"))
     assert X.table_from_cache(rows, doubled).count() == 50
     same(X.table_from_cache(rows, cache.unionByName(cache)), X.table_from_cache(rows, cache))
+
+
+def shuffle_files(spark):
+    """Names of the session's shuffle files as they are now."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_after(spark, job):
+    """Shuffle files that ``job`` made and left."""
+    import time
+
+    before = shuffle_files(spark)
+    job()
+    for _ in range(50):   # removal isn't awaited
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_an_update_leaves_no_shuffle_files(spark, tmp_dir):
+    from fieldlens.session import FREE_SHUFFLES
+
+    rows = notes(spark).repartition(4)
+    store, setting = NoteStates(spark, f"{tmp_dir}/s"), spark.conf.get(FREE_SHUFFLES)
+    assert left_after(spark, lambda: rows.write.parquet(f"{tmp_dir}/plain"))   # as every write does by itself
+    for wave in (0, 1):
+        assert not left_after(spark, lambda: store.update(wave, lambda after: rows.where(f"crc32(interaction_id) % 2 = {wave}")))
+    assert not left_after(spark, store.compact)
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+    same(store.rollup(DEFAULT), G.note_rollup(rows, DEFAULT))
+
+
+def test_states_of_an_hcp_and_topic_lie_together(spark, tmp_dir):
+    """So a rollup reduces them before it shuffles."""
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    store = NoteStates(spark, f"{tmp_dir}/s")
+    try:
+        spark.conf.set(merge, "false")
+        store.update(0, lambda after: notes(spark))
+    finally:
+        spark.conf.set(merge, before)
+    places = (store.states().groupBy("hcp_id", "topic_category")
+              .agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"), F.count(F.lit(1)).alias("days")).collect())
+    assert {r.files for r in places} == {1} and max(r.days for r in places) > 10
+    same(store.rollup(DEFAULT), G.note_rollup(notes(spark), DEFAULT))
+
+
+def test_hot_keys_are_added_up_before_they_are_shuffled(spark, monkeypatch):
+    from fieldlens.functions import common
+
+    rows = notes(spark)
+    monkeypatch.setattr(common, "HOT_BUCKET_ROWS", 40)
+    monkeypatch.setattr(common, "HOT_BUCKET_SHARE", 0)
+    parts = []
+
+    def states(some):
+        parts.append({(r.hcp_id, r.topic_category) for r in some.select("hcp_id", "topic_category").distinct().collect()})
+        return day_states(some)
+
+    got = common.aggregate_by(rows, ["hcp_id", "topic_category"], states)
+    few, hot = parts
+    assert few and hot and not few & hot and ("a", "t1") in hot
+    same(got, day_states(rows))
