@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..operators import extract as X
-from ..functions.common import path_has_files
+from ..functions.common import aggregate_by, path_has_files
 from ..operators import gold as G
 from ..operators import governance as GOV
 from ..operators import silver as S
+from ..session import shuffles_freed
 from ..sources.feeds import FEEDS
 from ..sources.tables import StarTables
 from ..sources.testbind import bind_feed
@@ -42,6 +43,7 @@ class Lakehouse:
         self.star = StarTables(spark, sf_dir)
         self.bronze_paths = bronze_paths or {}
         self._tables: dict[str, DataFrame] = {}
+        self._stored: set[str] = set()   # tables that a refresh has written
         self._bronze_counts: dict[str, Observation] = {}
         s = settings
         t = self.table
@@ -65,10 +67,10 @@ class Lakehouse:
             "gold_content": (["silver_content"], lambda: G.gold_passthrough(t("silver_content"))),
             "gold_content_shared": (["silver_content_shared"],
                                     lambda: G.gold_passthrough(t("silver_content_shared"))),
-            "note_rollup": (["silver_extracted"], lambda: G.note_rollup(t("silver_extracted"), s)),
+            "note_rollup": (["silver_extracted"], lambda: self._by_hcp("silver_extracted", lambda rows: G.note_rollup(rows, s))),
             # rollups that several tables read: a refresh makes each once
             "msl_rollup": (["note_rollup"], lambda: G.msl_rollup(t("note_rollup"), s)),
-            "congress_rollup": (["silver_congress"], lambda: G.congress_rollup(t("silver_congress"))),
+            "congress_rollup": (["silver_congress"], lambda: self._by_hcp("silver_congress", G.congress_rollup)),
             "digital_rollup": (["silver_digital"], lambda: G.digital_rollup(t("silver_digital"))),
             "inquiry_rollup": (["silver_inquiries"], lambda: G.inquiry_rollup(t("silver_inquiries"))),
             "pubs_rollup": (["silver_publications"], lambda: G.pubs_tracked(t("silver_publications"))),
@@ -101,6 +103,11 @@ class Lakehouse:
         cache = self.spark.read.schema("note_hash STRING, extracted_raw STRING").parquet(self.extract_cache)
         return X.table_from_cache(notes, cache)
 
+    def _by_hcp(self, name: str, rollup: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A rollup of a table's rows; those that are stored are shuffled once, as they are, by HCP."""
+        rows = self.table(name)
+        return aggregate_by(rows, ["hcp_id"], rollup) if name in self._stored else rollup(rows)
+
     def update_extract_cache(self) -> None:
         """Send the notes that the stored cache doesn't have to the extractor, each distinct one once."""
         if self.extract_cache:
@@ -170,6 +177,7 @@ class Lakehouse:
         ``published(spark, out_dir)`` get the new tables only after all of them
         are written: a failed run leaves the former version in place. The rows of every table, and of the bronze
         tables that they read, are counted while they are written (``Observation``) and kept in the published entry.
+        A table's shuffles are removed when it is written.
         ``stored`` names the folders of tables that an incremental store keeps: they are published as they are.
         """
         stored = stored or {}
@@ -185,7 +193,7 @@ class Lakehouse:
             self._observed(name)
         if "silver_extracted" in self.order(targets) and "silver_extracted" not in stored:
             self.update_extract_cache()
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        with shuffles_freed(self.spark), ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for level in self.levels(targets):
                 level = [name for name in level if name not in stored]
                 frames = {name: self.table(name) for name in level}  # plans built on this thread
@@ -195,11 +203,12 @@ class Lakehouse:
                     frames[name] = GOV.classify_derived(frames[name])
                     frames[f"{name}_masked"] = GOV.publishable(GOV.mask(GOV.classify_derived(plain[name]), self.settings.mask_key))
                 paths = {name: os.path.join(run, name) for name in frames}
-                jobs = [pool.submit(frames[n].write.parquet, paths[n]) for n in frames]
+                jobs = [pool.submit(frames[n].write.option("compression", "zstd").parquet, paths[n]) for n in frames]
                 for job in jobs:
                     job.result()
                 for name in level:
                     self._tables[name] = self.spark.read.parquet(paths[name])
+                self._stored.update(level)
                 written.update(paths)
                 counts.update({name: o.get["rows"] for name, o in seen.items()})
                 for name in [n for n in self._bronze_counts if any(n in self.builders[t][0] for t in level)]:

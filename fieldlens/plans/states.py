@@ -24,8 +24,6 @@ from .commitlog import CommitLog
 
 KEYS = ["hcp_id", "topic_category", "day"]
 SUMS = ["n", "w_sum", "dur_sum", "dur_n", "follow_ups"]
-# what states are made of
-NOTE = ["hcp_id", "topic_category", "interaction_date", "interaction_id", "duration_minutes", *G.BRIEF_COLUMNS, "preferred_channel"]
 STATES = "day-states"   # how folders of states are named; those of the former form are named "states"
 
 
@@ -80,7 +78,7 @@ class NoteStates:
             rows, states = self.log.folder_for_data("extracted"), self.log.folder_for_data(STATES)
             with shuffles_freed(self.spark):
                 extracted(after).write.option("compression", "zstd").parquet(rows)
-                made = aggregate_by(self.spark.read.parquet(rows).select(*NOTE), KEYS[:2], day_states)
+                made = aggregate_by(self.spark.read.parquet(rows), KEYS[:2], day_states)
                 made.write.option("compression", "zstd").parquet(states)
             return {"extracted": [*(entries[-1]["extracted"] if entries else []), rows],
                     "states": [*(entries[-1]["states"] if entries else []), states], "through": through, "replaces": True}

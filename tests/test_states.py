@@ -235,3 +235,15 @@ def test_hot_keys_are_added_up_before_they_are_shuffled(spark, monkeypatch):
     few, hot = parts
     assert few and hot and not few & hot and ("a", "t1") in hot
     same(got, day_states(rows))
+
+
+def test_a_refresh_leaves_no_shuffle_files_and_shuffles_stored_rows_once(spark, tmp_dir):
+    lh, fresh = Lakehouse(spark, SF), Lakehouse(spark, SF)
+    assert not left_after(spark, lambda: lh.refresh(f"{tmp_dir}/out"))
+    for name in ("note_rollup", "congress_rollup"):
+        rollup = lh.builders[name][1]()
+        plan = rollup._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(hcp_id") == plan.count("Exchange ") == 1, name
+        same(rollup, fresh.table(name))
+    stored = [f for f in lh.table("gold_content_shared").inputFiles()]
+    assert stored and all(f.endswith(".zstd.parquet") for f in stored)
