@@ -509,17 +509,18 @@ def _drops(bound: DataFrame, feed: str) -> list[DataFrame]:
 def _bronze(feed: str):
     def run(lh: Lakehouse) -> DataFrame:
         from ..session import work_dir
+        from ..sources.feeds import MULTILINE_FEEDS
         from ..sources.testbind import bind_feed
         from ..streaming import bronze as B
 
-        spark = lh.spark
+        spark, gzip = lh.spark, feed in MULTILINE_FEEDS
         root = work_dir(spark, f"bronze-{feed}")
         table, ckpt = f"{root}/table", f"{root}/_checkpoint"
         drops = _drops(bind_feed(lh.star, feed, lh.settings), feed)
-        B.drop_files(drops[0], f"{root}/landing/drop-0")
+        B.drop_files(drops[0], f"{root}/landing/drop-0", gzip=gzip)
         B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)
-        B.drop_files(drops[1], f"{root}/landing/drop-1")
-        B.drop_files(drops[2], f"{root}/landing/drop-2")
+        B.drop_files(drops[1], f"{root}/landing/drop-1", gzip=gzip)
+        B.drop_files(drops[2], f"{root}/landing/drop-2", gzip=gzip)
         B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)  # one batch with two headers
         B.ingest(spark, feed, f"{root}/landing/*", table, ckpt)  # no new files: stores nothing
         return B.bronze_view(spark, feed, table)

@@ -101,12 +101,16 @@ def csv_options(feed: str) -> dict[str, str]:
     return opts
 
 
-def write_feed_csv(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Write a feed as headered CSV the way an upstream system would drop files."""
+def write_feed_csv(df: DataFrame, path: str, files: int | None = None, gzip: bool = False) -> None:
+    """Write a feed as headered CSV the way an upstream system would drop files.
+
+    ``gzip`` is for files that are not split anyway (multi-line feeds): each is read by one task.
+    """
     out = df.select(*[c for c in df.columns if not c.startswith("_")])
     if files:
         out = out.repartition(files)
+    how = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"} if gzip else {}
     (out.write.mode("overwrite").option("header", "true").option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-        .option("dateFormat", "yyyy-MM-dd").csv(path))
+        .option("dateFormat", "yyyy-MM-dd").options(**how).csv(path))
 

@@ -1,6 +1,6 @@
 """Bronze ingest: CSV drop folders -> append-only Parquet tables.
 
-Each feed is a Structured Streaming source of the files in its drop folders. A
+Each feed is a Structured Streaming source of the files (``.csv`` or ``.csv.gz``) in its drop folders. A
 micro-batch takes the paths of the files that arrived, groups them by header
 (:mod:`.headers`) and writes their mapped rows with the lineage columns
 (``_ingested_at`` = processing time, ``_source_file`` = the file's path) to a
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType
 
+from ..session import shuffles_freed
 from ..sources.feeds import BATCH_COLUMN, bronze_schema, feed_columns, write_feed_csv
 from .headers import read_mapped
 
@@ -26,7 +27,7 @@ FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 def file_stream(spark: SparkSession, source_glob: str, max_files: int = 1000) -> DataFrame:
     """The paths of the files under the drop folders, as they arrive."""
-    return (spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", "*.csv")
+    return (spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", "*.{csv,csv.gz}")
             .option("maxFilesPerTrigger", max_files).load(source_glob).select("path"))
 
 
@@ -36,7 +37,8 @@ def start(spark: SparkSession, feed: str, source_glob: str, table_path: str, che
         session = files.sparkSession
         paths = [r["path"] for r in files.distinct().collect()]   # at most max_files
         rows = read_mapped(session, feed, paths).withColumn("_ingested_at", F.current_timestamp())
-        rows.select(*[f.name for f in bronze_schema(feed)]).write.mode("overwrite").parquet(f"{table_path}/{BATCH_COLUMN}={batch}")
+        stored = rows.select(*[f.name for f in bronze_schema(feed)]).write.mode("overwrite").option("compression", "zstd")
+        stored.parquet(f"{table_path}/{BATCH_COLUMN}={batch}")
 
     return (file_stream(spark, source_glob, max_files).writeStream.foreachBatch(store)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -53,9 +55,10 @@ def ingest(spark: SparkSession, feed: str, source_glob: str, table_path: str, ch
     finish(start(spark, feed, source_glob, table_path, checkpoint, max_files))
 
 
-def drop_files(df: DataFrame, folder: str, files: int | None = None) -> None:
+def drop_files(df: DataFrame, folder: str, files: int | None = None, gzip: bool = False) -> None:
     """Upstream side: land a feed extract as headered CSV files in a drop folder."""
-    write_feed_csv(df, folder, files)
+    with shuffles_freed(df.sparkSession):
+        write_feed_csv(df, folder, files, gzip)
 
 
 def read_bronze(spark: SparkSession, feed: str, table_path: str) -> DataFrame:
@@ -69,7 +72,7 @@ def bronze_view(spark: SparkSession, feed: str, table_path: str) -> DataFrame:
     ``source_drop`` is the drop folder in ``_source_file``; ``ingest_batch`` is the batch, of one ``_ingested_at``.
     """
     t = read_bronze(spark, feed, table_path)
-    ok = F.col("_ingested_at").isNotNull() & F.col("_source_file").endswith(".csv")
+    ok = F.col("_ingested_at").isNotNull() & F.col("_source_file").rlike(r"\.csv(\.gz)?$")
     return t.select(*feed_columns(feed), F.col("_rescued").alias("rescued"),
                     F.regexp_extract("_source_file", r"/([^/]+)/[^/]+$", 1).alias("source_drop"), F.col(BATCH_COLUMN).alias("ingest_batch"),
                     ok.alias("ingest_ok"))

@@ -6,7 +6,7 @@ read with the feed's type, names that the feed doesn't have are kept as text in
 the rescue column, and columns that the file lacks are NULL.
 
 Only the first record of each file is read to find its header (a few hundred
-bytes, by the driver, for the files of one micro-batch, whose number is bounded).
+bytes, unpacked if the file's ending names a codec, by the driver, for the files of one micro-batch, whose number is bounded).
 Files with the same header are read together by one typed scan.
 """
 
@@ -32,9 +32,15 @@ PARALLEL = 16
 def first_record(spark: SparkSession, path: str, separator: str = ",") -> tuple[str, ...]:
     """The cells of a file's first record; empty for an empty file."""
     jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    place, conf = jvm.org.apache.hadoop.fs.Path(path), spark.sparkContext._jsc.hadoopConfiguration()
+    stream = place.getFileSystem(conf).open(place)
     try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        if codec is not None:
+            if stream.read() < 0:
+                return ()   # without a byte it is no compressed file
+            stream.seek(0)
+            stream = codec.createInputStream(stream)
         data = bytes(stream.readNBytes(HEADER_BYTES))
     finally:
         stream.close()

@@ -108,6 +108,48 @@ def test_headers_of_a_feed_with_line_breaks(spark, tmp_dir):
     assert (r.raw_notes, r.hcp_id, r.interaction_id, r._rescued) == ('one\ntwo "x", three', "h1", "i1", None)
 
 
+def _write_gz(folder, name, text):
+    import gzip
+
+    os.makedirs(folder, exist_ok=True)
+    with gzip.open(os.path.join(folder, name), "wt", newline="") as f:
+        f.write(text)
+
+
+def test_compressed_files_are_ingested_like_plain_ones(spark, tmp_dir):
+    land = f"{tmp_dir}/landing/d"
+    text = 'raw_notes,hcp_id,interaction_id\n"one\ntwo ""x"", three",h1,%s\n'
+    _write(land, "plain.csv", text % "i1")
+    _write_gz(land, "packed.csv.gz", text % "i2")
+    _write_gz(land, "turned.csv.gz", "INTERACTION_ID,duration_minutes,region\r\ni3,30,north\r\ni4,long,\r\n")
+    _write_gz(land, "header.csv.gz", "hcp_id,interaction_id\n")
+    _write_gz(land, "none.csv.gz", "")
+    _write(land, "nothing.csv.gz", "")   # no byte: not even a compressed file
+    _write_gz(land, "other.txt.gz", text % "i5")
+    B.ingest(spark, "msl_interactions", f"{tmp_dir}/landing/*", f"{tmp_dir}/t", f"{tmp_dir}/c")
+    rows = {r.interaction_id: r for r in B.bronze_view(spark, "msl_interactions", f"{tmp_dir}/t").collect()}
+    assert set(rows) == {"i1", "i2", "i3", "i4"} and all(r.ingest_ok and r.source_drop == "d" for r in rows.values())
+    assert [rows[i].raw_notes for i in ("i1", "i2")] == ['one\ntwo "x", three'] * 2 and rows["i2"].hcp_id == "h1"
+    assert rows["i3"].duration_minutes == 30 and json.loads(rows["i3"].rescued) == {"region": "north"}
+    assert rows["i4"].duration_minutes is None and rows["i4"].rescued is not None
+
+
+def test_note_drops_are_compressed_and_leave_no_shuffles(spark, tmp_dir, monkeypatch):
+    from test_states import left_after
+
+    from fieldlens import session
+    from fieldlens.plans.registry import REGISTRY
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: tmp_dir)
+    left = left_after(spark, lambda: REGISTRY["bronze_msl_interactions"](spark, "/root/testdata/sf0.001"))
+    (root,) = [f for f in os.listdir(tmp_dir) if f.startswith("bronze-")]
+    files = {where: [f for at, _, names in os.walk(f"{tmp_dir}/{root}/{where}") for f in names if f.startswith("part-")]
+             for where in ("landing", "table")}
+    assert files["landing"] and all(f.endswith(".csv.gz") for f in files["landing"])
+    assert files["table"] and all(f.endswith(".zstd.parquet") for f in files["table"])
+    assert len({f.split("_")[1] for f in left}) <= 2   # of the lists of the files that came, one a batch
+
+
 DECISION = ("request_id string, hcp_id string, msl_name string, review_decision string, review_notes string, "
             "scheduled_channel string, scheduled_date date")
 
